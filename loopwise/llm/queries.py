@@ -25,8 +25,20 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op3_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import rlz_dedup
+
+    return rlz_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substrings import suffix_dedup
+
+    return suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op5_suffix_array_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
