@@ -37,8 +37,14 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import scan_secrets
+
+    return scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op5_suffix_array_dedup)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op5_suffix_array_dedup, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:

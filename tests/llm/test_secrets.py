@@ -1,0 +1,87 @@
+"""Secret scans: base spans against plain patterns, structure against encodings made here."""
+
+import base64
+import hashlib
+import json
+import random
+import re
+
+import pytest
+from loopwise.llm.secrets import der_items, find_secrets, is_der_key, is_ssh_key, joined, redact, redact_secrets, scan_secrets
+
+SCHEMA = "doc_id long, text string, spans string"
+
+
+def plain(text):
+    found = []
+    key = r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+    for kind, k, pattern, least in (("assign", 0, key + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6), ("access", 1, r"AKIA[A-Z0-9]+", 20), ("hex", 2, r"[0-9a-f]+", 24)):
+        for m in re.finditer(pattern, text or ""):
+            if len(m[2] if kind == "assign" else m[0]) >= least:
+                found.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(x[2] for x in sorted(found))
+
+
+def der(tag, *parts):
+    body = b"".join(parts)
+    n = len(body)
+    size = bytes([n]) if n < 128 else bytes([0x81, n]) if n < 256 else b"\x82" + n.to_bytes(2, "big")
+    return bytes([tag]) + size + body
+
+
+KEY = der(0x30, der(2, b"\0"), *[der(2, random.Random(k).randbytes(64)) for k in range(3)])
+
+
+def ssh(*parts):
+    return b"".join(len(p).to_bytes(4, "big") + p for p in parts)
+
+
+def jwt(head):
+    enc = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
+    return f"{enc(head)}.{enc({'sub': 'x'})}.c2lnbmF0dXJl"
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_base_spans(seed):
+    rnd = random.Random(seed)
+    bits = ["password", "Token", "API_KEY", "apikey", "SECRET", " ", "  ", "=", ":", '"', "'", "AKIA", "ABCD0123", "Z" * 16, "deadbeef", "0" * 24, "abc", "é", "\n", "ſecret", "a.b-c/d+e", "AKIAAKIA"]
+    for _ in range(300):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randrange(14)))
+        base, spans = find_secrets(text)
+        assert joined(base) == plain(text)
+        assert set(base) <= set(spans)
+
+
+def test_structure():
+    assert is_der_key(KEY) and der_items(KEY[:-1]) is None and not is_der_key(KEY + b"\0")
+    assert is_der_key(der(0x30, der(0x30, der(6, b"\x2a\x86\x48")), der(3, b"\0" + bytes(40))))
+    assert is_ssh_key(ssh(b"ssh-ed25519", bytes(32))) and not is_ssh_key(ssh(b"ssh-ed25519", bytes(32)) + b"x") and not is_ssh_key(ssh(b"other", b"y"))
+    kinds = lambda t: [s[0] for s in find_secrets(t)[1]]
+    text = base64.b64encode(KEY).decode()
+    assert kinds(f"x {text} y") == ["der"]
+    assert kinds(f"x {text[:-6]} y") == []
+    assert "ssh" in kinds("k " + base64.b64encode(ssh(b"ssh-ed25519", bytes(range(32)))).decode())
+    assert kinds(f"a {jwt({'alg': 'HS256', 'typ': 'JWT'})}.") == ["jwt"] and kinds(f"a {jwt({'typ': 'JWT'})}") == []
+    body = "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
+    pem = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
+    assert find_secrets("a\n" + pem)[1] == [("pem", 2, 2 + len(pem))]
+    assert kinds(KEY.hex()) == ["hex", "der"]
+
+
+def test_redaction():
+    text = 'é token = "abcdef0123456789abcdef0123456789" end'
+    base, spans = find_secrets(text)
+    assert redact(text, spans) == 'é [SECRET]" end'
+
+
+def test_edge_rows(spark):
+    rows = [(1, None, "x"), (1, "", None), (None, "secret=abcdefg", "y"), (4, "secret=abcde", "z"), (5, "word " * 50_000 + "AKIA" + "B" * 16, "z"), (5, "secret=abcdefg", "y")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    out = scan_secrets(docs).collect()
+    assert len(out) == 6
+    for r in out:
+        assert r.base_sha256 in {hashlib.sha256(plain(t).encode()).hexdigest() for _, t, _ in rows}
+    assert sorted(r.spans for r in out) == ["", "", "", "access:250000:250020", "assign:0:14", "assign:0:14"]
+    assert scan_secrets(spark.createDataFrame([], SCHEMA)).count() == 0
+    kept = {(r.doc_id, r.text) for r in redact_secrets(docs).collect()}
+    assert (None, "[SECRET]") in kept and (1, None) in kept and (4, "secret=abcde") in kept
