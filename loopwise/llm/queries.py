@@ -43,6 +43,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import label_domains, mixing_rates
+
+    return mixing_rates(_table(spark, sf_dir, "documents"), label_domains(_table(spark, sf_dir, "labels")))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan_secrets
 
@@ -50,7 +56,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op5_suffix_array_dedup, op7_best_fit_packing, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op5_suffix_array_dedup, op7_best_fit_packing, op8_soft_membership_mixing, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
