@@ -31,6 +31,12 @@ def op3_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .classifier import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substrings import suffix_dedup
 
@@ -56,7 +62,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op5_suffix_array_dedup, op7_best_fit_packing, op8_soft_membership_mixing, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op7_best_fit_packing, op8_soft_membership_mixing, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
