@@ -55,6 +55,12 @@ def op8_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_rates(_table(spark, sf_dir, "documents"), label_domains(_table(spark, sf_dir, "labels")))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import scan_secrets
 
@@ -62,7 +68,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op7_best_fit_packing, op8_soft_membership_mixing, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op7_best_fit_packing, op8_soft_membership_mixing, op9_nearest_neighbours, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:
