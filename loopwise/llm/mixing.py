@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 #: Share of expected tokens wanted of each domain that the labels table tells apart.
-TARGETS = {"clean": 0.9, "poor": 0.07, "toxic": 0.03}
+TARGETS = {"clean": 0.95, "poor": 0.03, "toxic": 0.02}
 BUCKETS = 1 << 16
 SPACE = "[\\x20\\x09-\\x0D]+"
 

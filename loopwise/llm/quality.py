@@ -123,6 +123,14 @@ def _measure(texts: list[str | None], least: int) -> dict[str, np.ndarray]:
     return {"n_words": n, "word_chars": np.array(chars), "n_symbols": np.array(symbols), "n_dup_lines": np.array(dup_lines)} | repeats(np.array(flat, np.int64), n, least)
 
 
+def _verdicts(m: dict[str, np.ndarray], max_covered: float, max_longest: int, max_longest_share: float, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(base_failed, kept) of measured texts."""
+    n, rep = m["n_words"], m["covered"]
+    failed = (n < min_words) | (100 * rep > 20 * n)
+    too_long = m["longest"] > np.maximum(max_longest, max_longest_share * n)
+    return failed, ~failed & ~(rep > max_covered * n) & ~too_long
+
+
 def quality_rules(
     docs: DataFrame,
     least_repeat: int = 5,
@@ -148,13 +156,21 @@ def quality_rules(
         for batch in batches:
             for part in split_table(batch, 400_000):
                 m = _measure(part.column("text").to_pylist(), least_repeat)
-                n, rep = m["n_words"], m["covered"]
-                failed = (n < min_words) | (100 * rep > 20 * n)
-                long_ = m["longest"] > np.maximum(max_longest, max_longest_share * n)
-                kept = ~failed & ~(rep > max_covered * n) & ~long_
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, m["word_chars"], m["n_symbols"], m["n_dup_lines"], rep)), pa.array(failed), pa.array(kept), *(pa.array(x, pa.int64()) for x in (rep, m["longest"], m["maximal"]))],
-                    names=[x.split()[0] for x in SCHEMA.split(", ")],
-                )
+                failed, kept = _verdicts(m, max_covered, max_longest, max_longest_share, min_words)
+                counts = [pa.array(m[k], pa.int64()) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "covered")]
+                more = [pa.array(m[k], pa.int64()) for k in ("covered", "longest", "maximal")]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *counts, pa.array(failed), pa.array(kept), *more], names=[x.split()[0] for x in SCHEMA.split(", ")])
 
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, SCHEMA)
+
+
+def keep_quality(docs: DataFrame, least_repeat: int = 5, max_covered: float = 0.2, max_longest: int = 100, max_longest_share: float = 0.1, min_words: int = 10) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
+
+    def run(batches):
+        for batch in batches:
+            for part in split_table(batch, 400_000):
+                m = _measure(part.column("text").to_pylist(), least_repeat)
+                yield part.filter(pa.array(_verdicts(m, max_covered, max_longest, max_longest_share, min_words)[1]))
+
+    return docs.mapInArrow(run, docs.schema)
