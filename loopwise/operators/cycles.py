@@ -8,27 +8,15 @@ rise when an edge is added, so a path under the bound is dropped as it grows.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import month_index
+from ..scratch import materialise
 from .edges import seeds, trim_to_core, window_of
 from .score import balance_of, components_of, time_of
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage where the cluster has a shared folder for it; a lost executor then costs one level."""
-    spark = df.sparkSession
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        return df
-    path = f"{path.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _edge() -> F.Column:
     return F.struct(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst"), "period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"))
 
@@ -40,7 +28,7 @@ def reach_layers(edges: DataFrame, max_hops: int, targets: DataFrame | None = No
     out = layer.withColumn("depth", F.lit(1))
     for depth in range(2, max_hops + 1):
         step = hops.select("src", F.col("dst").alias("via")).join(layer.select(F.col("src").alias("via"), F.col("dst")), "via").select("src", "dst").distinct()
-        layer = _written(step.join(out.select("src", "dst"), ["src", "dst"], "left_anti"), "reach")
+        layer = materialise(step.join(out.select("src", "dst"), ["src", "dst"], "left_anti"), "reach")
         out = out.unionByName(layer.withColumn("depth", F.lit(depth)))
     return out
 
@@ -66,8 +54,8 @@ def enumerate_cycles(
     next. With ``row_budget`` a level of more open paths is not extended, and
     all rows say truncated. ``only`` keeps cycles of one length.
     """
-    edges = trim_to_core(window_of(trades, period_from, period_to), trim_rounds)
-    edges = _written(edges.select("seller_mst", "buyer_mst", "period", "total_amount", "total_vat", month_index(F.col("period")).alias("month")), "core")
+    edges = window_of(trades, period_from, period_to).select("seller_mst", "buyer_mst", "period", "total_amount", "total_vat", month_index(F.col("period")).alias("month"))
+    edges = trim_to_core(materialise(edges, "window"), trim_rounds)
     paths = edges.where("buyer_mst > seller_mst").select(
         F.col("seller_mst").alias("start"),
         F.col("buyer_mst").alias("last"),
@@ -101,7 +89,7 @@ def enumerate_cycles(
             truncated = True
             break
         longer = paths.join(edges, (F.col("last") == F.col("seller_mst")) & (F.col("buyer_mst") > F.col("start")) & ~F.array_contains("members", F.col("buyer_mst")))
-        paths = _written(step(longer).withColumn("members", F.concat("members", F.array("last"))), "paths")
+        paths = materialise(step(longer).withColumn("members", F.concat("members", F.array("last"))), "paths")
     out = found[0] if found else paths.select("members", "edges", F.lit(0).alias("hop_len")).limit(0)
     for x in found[1:]:
         out = out.unionByName(x)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
+
 
 def trade_edges(invoices: DataFrame) -> DataFrame:
     """Invoices (seller_mst, buyer_mst, period, day, amount, vat) summed over seller, buyer and month; self-trades are dropped.
@@ -69,6 +71,7 @@ def trim_to_core(trades: DataFrame, rounds: int = 2) -> DataFrame:
         sells = trades.select(F.col("seller_mst").alias("k")).distinct()
         buys = trades.select(F.col("buyer_mst").alias("k")).distinct()
         trades = trades.join(buys, trades["seller_mst"] == buys["k"], "left_semi").join(sells, F.col("buyer_mst") == sells["k"], "left_semi")
+        trades = materialise(trades, "core")
     return trades
 
 

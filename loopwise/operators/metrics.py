@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cycles import _written
+from ..scratch import materialise
 
 NEW_PARTNER_DAYS = 90
 
@@ -56,14 +56,14 @@ def betweenness(trades: DataFrame, most_rounds: int = 64) -> DataFrame:
     the number of shortest paths; then what each vertex carries, from the last
     level back. No task holds the graph.
     """
-    adj = _written(partners(trades).select(F.col("mst").alias("v"), F.col("partner").alias("w")), "adjacency")
+    adj = materialise(partners(trades).select(F.col("mst").alias("v"), F.col("partner").alias("w")), "adjacency")
     nodes = adj.select("v").distinct()
-    levels = [_written(nodes.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("sigma"), F.lit(0).alias("depth")), "level")]
+    levels = [materialise(nodes.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("sigma"), F.lit(0).alias("depth")), "level")]
     for depth in range(1, most_rounds):
         step = levels[-1].join(adj, "v").groupBy("s", F.col("w").alias("v")).agg(F.sum("sigma").alias("sigma"))
         # a neighbour of a level lies in it, in the one before, or in the next
         near = levels[-1].select("s", "v") if len(levels) == 1 else levels[-1].select("s", "v").unionByName(levels[-2].select("s", "v"))
-        step = _written(step.join(near, ["s", "v"], "left_anti").withColumn("depth", F.lit(depth)), "level")
+        step = materialise(step.join(near, ["s", "v"], "left_anti").withColumn("depth", F.lit(depth)), "level")
         if step.isEmpty():
             break
         levels.append(step)
@@ -73,7 +73,7 @@ def betweenness(trades: DataFrame, most_rounds: int = 64) -> DataFrame:
     for level in reversed(levels[1:]):
         own = level if carried is None else level.join(carried, ["s", "v"], "left")
         own = own.select("s", "v", "sigma", F.col("depth"), (F.lit(0.0) if carried is None else F.coalesce("delta", F.lit(0.0))).alias("delta"))
-        own = _written(own, "delta")
+        own = materialise(own, "delta")
         total = own.select("v", "delta") if total is None else total.unionByName(own.select("v", "delta"))
         before = levels[levels.index(level) - 1].select("s", F.col("v").alias("u"), F.col("sigma").alias("sigma_u"))
         carried = own.join(adj.select("v", F.col("w").alias("u")), "v").join(before, ["s", "u"]).groupBy("s", F.col("u").alias("v")).agg(F.sum(F.col("sigma_u") / F.col("sigma") * (1 + F.col("delta"))).alias("delta"))

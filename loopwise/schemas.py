@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "int": T.IntegerType(), "bigint": T.LongType()}
+
+
 def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A schema of "name type" pairs; unlike a DDL string it needs no session."""
+    return T.StructType([T.StructField(n, _TYPES[t]) for n, t in (f.split() for f in spec.split(", "))])
 
 
 #: Headerless CSV inputs, by position.

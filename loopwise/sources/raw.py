@@ -7,6 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import strip, to_period
 from ..schemas import OPTIONAL, RAW_COMPANY, RAW_INVOICE, TABLES
@@ -30,9 +31,10 @@ def dataset_dir(root: str, name: str) -> str:
 def _rows(spark: SparkSession, path: str, schema, least: int) -> DataFrame:
     """Rows of a headerless CSV with at least ``least`` fields each; a byte order mark is dropped."""
     fields = [f.name for f in schema.fields]
-    raw = spark.read.csv(path, schema=schema.add("_bad", "string"), header=False, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", multiLine=False)
+    raw = spark.read.csv(path, schema=T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), header=False, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", multiLine=False, nullValue="\x00", emptyValue="")
     first = F.regexp_replace(F.col(fields[0]), "^﻿", "")
-    short = F.col(fields[least - 1]).isNull() & F.col("_bad").isNotNull()
+    # only a field that isn't there reads as null, an empty one as ''
+    short = F.col(fields[least - 1]).isNull() & (strip(first) != "")
     checked = F.when(short, F.raise_error(F.concat(F.lit(f"fewer than {least} fields: "), F.col("_bad")))).otherwise(first)
     rows = raw.where(F.col("_bad").isNull() | (F.trim(F.col("_bad")) != "")).withColumn(fields[0], checked.cast("string"))
     return rows.where(strip(F.col(fields[0])) != "").select(*fields)
