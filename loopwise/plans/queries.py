@@ -546,11 +546,11 @@ _N = "SELECT '{}' AS id, '{}' AS status, {} AS required, cast({} AS bigint) AS n
             _N.format("4.1.tag_company", "pass", "true", "(SELECT count(*) FROM company)"),
             _N.format("4.1.edge_trades", "pass", "true", "(SELECT count(*) FROM trades)"),
             _N.format("4.1.rank_period", "pass", "true", "(SELECT count(*) FROM trades)"),
-            _N.format("4.1.index", "pass", "false", "NULL"),
-            _N.format("4.2.legal_rep", "missing", "false", "NULL"),
-            _N.format("4.2.owns", "missing", "false", "NULL"),
+            _N.format("4.1.index", "pass", "false", "-1"),
+            _N.format("4.2.legal_rep", "missing", "false", "-1"),
+            _N.format("4.2.owns", "missing", "false", "-1"),
             _N.format("4.2.shares_address", "pass", "false", f"(SELECT count(*) FROM ({_P_ADDR}))"),
-            _N.format("4.2.shares_phone", "missing", "false", "NULL"),
+            _N.format("4.2.shares_phone", "missing", "false", "-1"),
             _N.format("4.2.status_date", "pass", "false", "(SELECT count(*) FROM company WHERE coalesce(established_date, status) IS NOT NULL)"),
         ]
     ),
@@ -559,7 +559,7 @@ _N = "SELECT '{}' AS id, '{}' AS status, {} AS required, cast({} AS bigint) AS n
 )
 def contract_checks(t):
     spark = t["company"].sparkSession
-    return contract.checks_frame(spark, contract.validate(_tables_of(t))).select(F.col("check_id").alias("id"), "status", "required", "n")
+    return contract.checks_frame(spark, contract.validate(_tables_of(t))).select(F.col("check_id").alias("id"), "status", "required", F.coalesce("n", F.lit(-1)).alias("n"))
 
 
 @query("SELECT 100.0::double AS ceiling, true AS can_run, 6 AS n_pass, 0 AS n_empty, 3 AS n_missing")
