@@ -26,25 +26,20 @@ def label_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain")).where("doc_id is not null and domain is not null")
 
 
-def _features(text: Column) -> tuple[Column, Column]:
-    """(words in the text, its different features: lower-cased words and marks for bins of structure statistics)."""
-    text = F.coalesce(text, F.lit(""))
-    words = F.array_remove(F.split(text, SPACE), "")
-    n = F.size(words)
-    chars = F.greatest(F.length(text), F.lit(1))
-    share = lambda c: F.floor(F.log2(1 + 1000 * c / chars)).cast("string")
-    symbols = F.length(text) - F.length(F.translate(text, "#*$%&|<>!", ""))
-    capitals = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    digits = F.length(text) - F.length(F.translate(text, "0123456789", ""))
-    lower = F.array_distinct(F.array_remove(F.split(F.lower(text), SPACE), ""))
+def _with_features(rows: DataFrame) -> DataFrame:
+    """``rows`` with n_tokens (words of its column text) and f, its different features: lower-cased words and marks for bins of structure statistics."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    words = F.array_remove(F.split(F.lower(text), SPACE), "")
+    symbols = F.length(F.regexp_replace(text, "[^#*$%&|<>!]+", ""))
+    rows = rows.withColumns({"f_words": words, "f_chars": F.length(text), "f_symbols": symbols})
+    rows = rows.withColumns({"n_tokens": F.size("f_words").cast("long"), "f_lower": F.array_distinct("f_words")})
+    n, chars = F.greatest(F.col("n_tokens"), F.lit(1)), F.greatest(F.col("f_chars"), F.lit(1))
     marks = F.array(
-        F.concat(F.lit("\x00variety "), F.floor(10 * F.size(lower) / F.greatest(n, F.lit(1))).cast("string")),
-        F.concat(F.lit("\x00symbols "), share(symbols)),
-        F.concat(F.lit("\x00capitals "), share(capitals)),
-        F.concat(F.lit("\x00digits "), share(digits)),
-        F.concat(F.lit("\x00length "), F.floor(chars / F.greatest(n, F.lit(1))).cast("string")),
+        F.concat(F.lit("\x00variety "), F.floor(10 * F.size("f_lower") / n).cast("string")),
+        F.concat(F.lit("\x00symbols "), F.floor(F.log2(1 + 1000 * F.col("f_symbols") / chars)).cast("string")),
+        F.concat(F.lit("\x00length "), F.floor(chars / n).cast("string")),
     )
-    return n, F.concat(lower, marks)
+    return rows.withColumn("f", F.concat("f_lower", marks)).drop("f_words", "f_chars", "f_symbols", "f_lower")
 
 
 def _bucket(feature: Column) -> Column:
@@ -65,8 +60,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     sample = labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     sample = materialise(sample.withColumnRenamed("doc_id", "l_id"), "labelled")  # at most fit_rows rows: bounded for the broadcast
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
-    known = known.select("domain", _features(F.col("text"))[1].alias("f"))
-    has = known.select("domain", F.explode("f").alias("f")).groupBy("domain", _bucket(F.col("f")).alias("bucket")).count()
+    # explode_outer, as Spark would put a filter on what explode() takes, and with it the features, below the join
+    has = _with_features(known).select("domain", F.explode_outer("f").alias("f")).groupBy("domain", _bucket(F.col("f")).alias("bucket")).count()
     # counts of a domain's documents ride along as bucket -1; at most len(domains) * BUCKETS rows
     counts = materialise(has.unionByName(known.groupBy("domain").count().withColumn("bucket", F.lit(-1)).select("domain", "bucket", "count")), "domain-counts")
     size = {r["domain"]: r["count"] for r in counts.where("bucket = -1").collect()}
@@ -79,9 +74,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     weights = table.select("bucket", *[(x - mean).alias(f"w{k}") for k, x in enumerate(logs)])
     weights = weights.where(F.greatest(*[F.abs(f"w{k}") for k in range(len(domains))]) >= least_weight)
     weights = materialise(weights, "domain-weights")  # at most BUCKETS rows
-    n, f = _features(F.col("text"))
-    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("uid"), n.cast("long").alias("n_tokens"), f.alias("f"))
-    each = each.select("uid", "doc_id", "n_tokens", F.explode("f").alias("f")).withColumn("bucket", _bucket(F.col("f")))
+    each = _with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("uid")))
+    each = each.select("uid", "doc_id", "n_tokens", F.explode_outer("f").alias("f")).withColumn("bucket", _bucket(F.col("f")))
     scored = each.join(F.broadcast(weights), "bucket", "left").groupBy("uid", "doc_id", "n_tokens").agg(*[F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(domains))])
     prior = [math.log((size.get(d, 0) + 1) / (total + len(domains))) for d in domains]
     score = [F.col(f"s{k}") + prior[k] for k in range(len(domains))]
@@ -111,7 +105,8 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     targets: the share of each domain; budget: expected tokens in all (None:
     as many as there are; with ``max_rate`` at most as many as the scarcest
     domain allows). Rates r >= 0 (and <= max_rate) minimise
-    sum_d ((sum_i n_i p_id r_i) / budget - t_d)**2 / t_d, plus ``pull`` times
+    sum_d w_d ((sum_i n_i p_id r_i) / budget - t_d)**2, w_d the inverse of
+    sum_i n_i p_id**2 / budget, plus ``pull`` times
     the token-weighted squared distance from 1, by projected gradient steps of
     one aggregate each. A step changes rates by their posteriors alone, so the
     steps run over one row for each different posterior, and a document's rate
@@ -127,7 +122,7 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     post = materialise(domain_posteriors(docs, labelled, domains), "posteriors")
     names = [f"p_{d}" for d in domains]
     groups = materialise(post.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "posterior-groups")
-    first = groups.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col(p)).alias(p) for p in names], *[F.sum(F.col("tokens") * F.col(p) * F.col(p)).alias(f"q{p}") for p in names]).first()
+    first = groups.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col(p)).alias(p) for p in names], *[F.sum(F.col("tokens") * F.col(p) * F.col(q)).alias(f"{p} {q}") for p in names for q in names]).first()
     history: list[list[float]] = []
     step = 1.0
     if first["all"]:
@@ -135,15 +130,19 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
         if budget is None:
             budget = total if max_rate is None else min(max_rate * first[p] / share[d] for d, p in zip(domains, names, strict=True) if share[d])
         budget = max(float(budget), 1.0)
-        weight = {d: 1.0 / max(share[d], 1e-6) for d in domains}
-        step = 1.0 / (sum(weight[d] * first[f"qp_{d}"] for d in domains) / budget + pull)
+        # a domain's error counts by its own squared mass, so all directions converge alike; the step is safe by the largest row sum
+        weight = {d: budget / max(first[f"p_{d} p_{d}"], 1e-6 * budget) for d in domains}
+        step = 1.0 / (max(sum(math.sqrt(weight[d] * weight[e]) * first[f"p_{d} p_{e}"] for e in domains) for d in domains) / budget + pull)
         for _ in range(most_steps):
             r = _rate(domains, history, step, pull, max_rate)
             got = groups.select(*names, "tokens", r.alias("r")).agg(*[F.sum(F.col("tokens") * F.col(p) * F.col("r")).alias(p) for p in names]).first()
             off = {d: got[f"p_{d}"] / budget - share[d] for d in domains}
             if max(abs(off[d]) for d in domains) < tolerance:
                 break
-            history.append([weight[d] * off[d] for d in domains])
+            grad = [weight[d] * off[d] for d in domains]
+            if history and max(abs(a - b) for a, b in zip(grad, history[-1], strict=True)) < tolerance / 20:
+                break  # bounds on the rates keep some target out of reach
+            history.append(grad)
     return post.withColumn("rate", _rate(domains, history, step, pull, max_rate))
 
 
