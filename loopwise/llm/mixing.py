@@ -151,8 +151,8 @@ def take_copies(docs: DataFrame, rates: DataFrame, seed: int = 8) -> DataFrame:
 
     rates: (doc_id, rate), one row for each doc_id (repeated ids: their largest rate).
     """
-    u = F.pmod(F.xxhash64(F.col("m_id"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = rates.groupBy(F.col("doc_id").alias("m_id")).agg(F.max("rate").alias("m_rate"))
-    copies = copies.select("m_id", F.floor(F.col("m_rate") + u).cast("int").alias("m_n")).where("m_n > 0")
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("m_id")))
-    return joined.withColumn("m_k", F.explode(F.sequence(F.lit(1), F.col("m_n")))).select(*[docs[c] for c in docs.columns])
+    u = F.pmod(F.xxhash64(F.col("_mix_id"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    copies = rates.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("rate").alias("_mix_rate"))
+    copies = copies.select("_mix_id", F.floor(F.col("_mix_rate") + u).cast("int").alias("_mix_n")).where("_mix_n > 0")
+    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_mix_id")))
+    return joined.withColumn("_mix_k", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*[docs[c] for c in docs.columns])

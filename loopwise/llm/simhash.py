@@ -308,11 +308,11 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 3) -> Da
 def near_dedup(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:
     """The row with the smallest doc_id (null first) of each SimHash component of ``docs``; columns unchanged."""
     names = docs.columns
-    ids = docs.select(F.col("doc_id").alias("n_id"))
-    if ids.groupBy("n_id").count().where("count > 1 or n_id is null").limit(1).isEmpty():
-        first = simhash_components(docs, shingle, budget).where("doc_id = component_id").select(F.col("doc_id").alias("n_id"))
-        return docs.join(first.hint("shuffle_hash"), docs["doc_id"] == F.col("n_id"), "left_semi").select(*names)
-    rows = materialise(docs.withColumn("n_uid", F.monotonically_increasing_id()), "rows")
-    found = simhash_components(rows.select(F.col("n_uid").alias("doc_id"), "text"), shingle, budget).select(F.col("doc_id").alias("n_uid"), "component_id")
-    first = rows.select("n_uid", F.col("doc_id").alias("n_id")).join(found, "n_uid").groupBy("component_id").agg(F.min(F.struct("n_id", "n_uid")).alias("low")).select(F.col("low.n_uid").alias("n_uid"))
-    return rows.join(first, "n_uid", "left_semi").select(*names)
+    ids = docs.select(F.col("doc_id").alias("_near_id"))
+    if ids.groupBy("_near_id").count().where("count > 1 or _near_id is null").limit(1).isEmpty():
+        first = simhash_components(docs, shingle, budget).where("doc_id = component_id").select(F.col("doc_id").alias("_near_id"))
+        return docs.join(first.hint("shuffle_hash"), docs["doc_id"] == F.col("_near_id"), "left_semi").select(*names)
+    rows = materialise(docs.withColumn("_near_uid", F.monotonically_increasing_id()), "rows")
+    found = simhash_components(rows.select(F.col("_near_uid").alias("doc_id"), "text"), shingle, budget).select(F.col("doc_id").alias("_near_uid"), "component_id")
+    first = rows.select("_near_uid", F.col("doc_id").alias("_near_id")).join(found, "_near_uid").groupBy("component_id").agg(F.min(F.struct("_near_id", "_near_uid")).alias("low")).select(F.col("low._near_uid").alias("_near_uid"))
+    return rows.join(first, "_near_uid", "left_semi").select(*names)
