@@ -572,7 +572,7 @@ def contract_ceiling(t):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
-        return lambda spark, sf_dir: f(testbed.tables(spark, sf_dir) | {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("orders", "documents")})
+        return lambda spark, sf_dir: f(testbed.Tables(spark, sf_dir))
 
     return {name: bind(f) for name, f in QUERIES.items()}
 

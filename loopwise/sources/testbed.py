@@ -6,6 +6,8 @@ both sides of a comparison start from the same rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 PERIOD_FROM, PERIOD_TO = 199601, 199603
@@ -76,15 +78,23 @@ VIEWS = {
 NEEDS = {"trades": ("invoices",)}
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All views of one folder, as lazy frames."""
-    for name in BASE:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    out = {}
-    for name, sql in VIEWS.items():
-        out[name] = spark.sql(sql)
-        out[name].createOrReplaceTempView(name)
-    return out
+class Tables(dict):
+    """Base tables and views of one folder by name; each is set up when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name in VIEWS:
+            for other in (*NEEDS.get(name, ()), *(b for b in BASE if re.search(rf"(FROM|JOIN) {b}\b", VIEWS[name]))):
+                self[other]
+            df = self.spark.sql(VIEWS[name])
+        else:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df.createOrReplaceTempView(name)
+        self[name] = df
+        return df
 
 
 def with_views(sql: str, *names: str) -> str:
