@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +28,14 @@ class Tokens(dict):
     does everything if the file is built in another way.
     """
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    def __init__(self, path: str, remembered: int = 700_000):
         import regex
         from tokenizers import Tokenizer
 
         super().__init__()
         self.whole = Tokenizer.from_file(path)
         self.remembered = remembered
+        self.parts: dict[str, bytes] = {}
         self.model = self.whole.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -46,13 +48,27 @@ class Tokens(dict):
         rest = [b for b in range(256) if b not in shown]
         self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
+    def _part(self, part: str) -> bytes:
+        """Ids of one match of the pattern."""
+        if (out := self.parts.get(part)) is None:
+            shown = part if part.isascii() else "".join(map(self.alphabet.__getitem__, part.encode()))
+            ids = [t.id for t in self.model.tokenize(shown)]
+            if len(self.parts) >= self.remembered // 2:
+                self.parts.clear()
+            self.parts[part] = out = pack(f"<{len(ids)}I", *ids)
+        return out
+
     def __missing__(self, word: str) -> bytes:
-        ids: list[int] = []
-        for part in self.pattern.findall(word.lower()):
-            ids += [t.id for t in self.model.tokenize("".join(map(self.alphabet.__getitem__, part.encode())))]
+        low = word.lower()
+        if low.isalpha():  # letters alone are one match, and with a mark behind them two
+            out = self._part(low)
+        elif low[:-1].isalpha() and low[-1] in ".,":
+            out = self._part(low[:-1]) + self._part(low[-1])
+        else:
+            out = b"".join(map(self._part, self.pattern.findall(low)))
         if len(self) >= self.remembered:
             self.clear()
-        self[word] = out = np.array(ids, "<u4").tobytes()
+        self[word] = out
         return out
 
     def ids(self, text: str) -> bytes:
