@@ -154,5 +154,6 @@ def take_copies(docs: DataFrame, rates: DataFrame, seed: int = 8) -> DataFrame:
     u = F.pmod(F.xxhash64(F.col("_mix_id"), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = rates.groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("rate").alias("_mix_rate"))
     copies = copies.select("_mix_id", F.floor(F.col("_mix_rate") + u).cast("int").alias("_mix_n")).where("_mix_n > 0")
-    joined = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("_mix_id")))
+    # the same plan at every size; one rate a document, so the side that is built is spread like the documents
+    joined = docs.join(copies.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_mix_id")))
     return joined.withColumn("_mix_k", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(*[docs[c] for c in docs.columns])
