@@ -40,9 +40,18 @@ def word_symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 _BYTE_NAMES = np.random.default_rng(100).integers(0, 2**64, 256, dtype=np.uint64)
 
 
-def byte_symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+def raw_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     raw = [_encode(t) for t in texts]
-    return _BYTE_NAMES[np.frombuffer(b"".join(raw), np.uint8)], np.array([len(x) for x in raw], np.int64)
+    return np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64)
+
+
+def byte_names(raw: np.ndarray) -> np.ndarray:
+    return _BYTE_NAMES[raw]
+
+
+def byte_symbols(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    raw, lengths = raw_bytes(texts)
+    return byte_names(raw), lengths
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -139,7 +148,7 @@ def suffix_dedup(docs: DataFrame, window: int = 100, anchor: int = 32, with_text
     comes back once for each row. with_text adds ``kept`` (binary: the
     remaining bytes, which may cut a character).
     """
-    spec = Windows(W=window, K=anchor, symbols=byte_symbols, strict=False)
+    spec = Windows(W=window, K=anchor, symbols=byte_symbols, strict=False, small=(raw_bytes, byte_names))
     texts = _prepared(docs)
     found = repeated_windows(texts, spec)
 

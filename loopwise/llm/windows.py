@@ -47,6 +47,8 @@ class Windows:
     K: int
     symbols: Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
     strict: bool
+    # symbols that fit a byte: (texts to uint8 symbols and lengths, uint8 symbols to names); what stays open is then sent as bytes
+    small: tuple[Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]], Callable[[np.ndarray], np.ndarray]] | None = None
     hot: int = 20_000  # more surroundings of one anchor than this are compared by Spark, not in one task
 
 
@@ -106,7 +108,7 @@ def _unpack(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return p >> 16, (p >> 8) & 255, p & 255
 
 
-def _chunks(spec: Windows, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _chunks(symbols: Callable, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(from row, to row, symbols, lengths) of slices of a column; a very long text comes alone."""
     values = texts.to_pylist()
     at = 0
@@ -115,7 +117,7 @@ def _chunks(spec: Windows, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarr
         while to < len(values) and (to == at or size + len(values[to] or "") <= CHUNK):
             size += len(values[to] or "")
             to += 1
-        yield at, to, *spec.symbols(values[at:to])
+        yield at, to, *symbols(values[at:to])
         at = to
 
 
@@ -158,7 +160,7 @@ def _anchored(spec: Windows):
         for batch in batches:
             rid = batch.column("rid").to_numpy()
             found = []
-            for a, b, symbols, lengths in _chunks(spec, batch.column("text")):
+            for a, b, symbols, lengths in _chunks(spec.symbols, batch.column("text")):
                 for first, offset, sy, le in _split_long(spec, symbols, lengths):
                     x = cells(spec, sy, le)
                     found.append((x["g"], x["c"], rid[a:b][first + x["doc"]], pack(x["start"] + offset, x["n"], x["off"])))
@@ -225,7 +227,11 @@ def _settle(spec: Windows):
 
 
 def _open_windows(spec: Windows, spread: bool):
-    """Documents with their open cells to the names of those cells' windows: one row a cell, or (spread) one a window."""
+    """Documents with their open cells to what tells those cells' windows apart: one row a cell, or (spread) one a window.
+
+    A cell's row has the names of its windows, or its symbols where they are bytes.
+    """
+    as_bytes = spec.small is not None and not spread
 
     def run(batches):
         for batch in batches:
@@ -234,23 +240,24 @@ def _open_windows(spec: Windows, spread: bool):
             key, p = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             size = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(size)), size)
-            for a, b, symbols, lengths in _chunks(spec, batch.column("text")):
-                if len(symbols) < spec.W:
-                    continue
-                whole = names(symbols, spec.W, 1)[spec.W]
+            for a, b, symbols, lengths in _chunks(spec.small[0] if as_bytes else spec.symbols, batch.column("text")):
                 of = (row >= a) & (row < b)
+                if not of.any():
+                    continue
+                whole = symbols if as_bytes else names(symbols, spec.W, 1)[spec.W]
                 start, n, off = _unpack(p[of])
                 at = start + (np.cumsum(lengths) - lengths)[row[of] - a]
-                each = np.repeat(np.arange(len(n)), n)
-                step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                size_ = n + spec.W - 1 if as_bytes else n
+                each = np.repeat(np.arange(len(n)), size_)
+                step = np.arange(len(each)) - np.repeat(np.cumsum(size_) - size_, size_)
                 w = whole[at[each] + step]
                 r, k = rid[row[of]], key[of]
                 if spread:
                     # windows of one anchor meet only where the anchor lies at the same place
                     k2 = combine(k[each].view(np.uint64) + (off[each] - step).astype(np.uint64), w)
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k2.view(np.int64), w.view(np.int64), r[each], start[each] + step)], names=["key", "w", "rid", "s"])
-                elif len(n):
-                    ends = np.concatenate(([0], np.cumsum(n) * 8)).astype(np.int32)
+                else:
+                    ends = np.concatenate(([0], np.cumsum(size_) * w.itemsize)).astype(np.int32)
                     blob = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(w.tobytes())])
                     yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(r), pa.array(p[of]), blob], names=["key", "rid", "p", "names"])
 
@@ -258,12 +265,18 @@ def _open_windows(spec: Windows, spread: bool):
 
 
 def _compare(spec: Windows):
-    """Open cells with their windows' names, sorted by key, to runs of windows that also start earlier."""
+    """Open cells with their windows' names or bytes, sorted by key, to runs of windows that also start earlier."""
 
     def judge(keys, rids, ps, blobs):
         key, r, p = (np.concatenate(x) for x in (keys, rids, ps))
-        w = np.frombuffer(b"".join(blobs), np.uint64)
         start, n, off = _unpack(p)
+        if spec.small is None:
+            w = np.frombuffer(b"".join(blobs), np.uint64)
+        else:
+            size = n + spec.W - 1
+            own = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) < np.repeat(n, size)
+            w = names(spec.small[1](np.frombuffer(b"".join(blobs), np.uint8)), spec.W, 1)[spec.W]
+            w = w[own[: len(w)]]
         each = np.repeat(np.arange(len(n)), n)
         step = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
         name = combine(key[each].view(np.uint64) + (off[each] - step).astype(np.uint64), w)
