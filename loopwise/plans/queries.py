@@ -420,7 +420,9 @@ def _and_scored(sql: str) -> str:
 
 
 def _scored(t: Tables) -> DataFrame:
-    return score.score_cycles(_best(t), links.hidden_pairs(links.address_pairs(t["company"])), links.risky_companies(t["company"], FROM))
+    """All red cycles of 3 to 5 companies: the search has the bound of both signals, as in plans.circular; the SQL still has 3 and 4 companies at bound 50."""
+    found = cycles.best_combinations(cycles.enumerate_cycles(t["trades"], FROM, TO, bound=score.prune_bound(True, True)))
+    return score.score_cycles(found, links.hidden_pairs(links.address_pairs(t["company"])), links.risky_companies(t["company"], FROM))
 
 
 _SCORES = ["score", "score_60", "score_balance", "score_time", "score_hidden_link", "score_risky_member", "score_vat"]
