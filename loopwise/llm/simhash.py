@@ -47,6 +47,7 @@ def fingerprints(texts: list[str | None], shingle: int = 3, seed: int = 42) -> n
 # -- the trie join -------------------------------------------------------------
 
 #: Blocks of bits that are asked to be equal, one level after the other. With at most 3 differing bits over 4 blocks, one block has none.
+#: At the last level 27 bits are left: the fourth block has 6, as blocks must not overlap.
 LEVELS = (16, 12, 9, 7)
 
 
@@ -185,8 +186,8 @@ def link_edges(distinct: DataFrame, budget: int = 3, most: int = 8192) -> DataFr
     blocks of 16 bits: each fingerprint goes, with each of its four blocks
     brought to the front, to that block's trie. A trie with more than ``most``
     fingerprints is dealt again by one of four blocks of 12 of its remaining 48
-    bits, and so on over 9 and 7 bits; then 44 bits agree, and no trie can hold
-    more than 2**20. No link is lost and no trie is collected unbounded.
+    bits, and so on over 9 and 7 bits (6 in the fourth block of the last 27);
+    then 43 bits agree at least, and no trie can hold more than 2**21. No link is lost and no trie is collected unbounded.
     """
     if budget > 3:
         raise ValueError("four blocks allow for three differing bits")
@@ -201,7 +202,7 @@ def link_edges(distinct: DataFrame, budget: int = 3, most: int = 8192) -> DataFr
                 for k in range(4):
                     new = _bring_forward(rot, prefix, k, size)
                     t = turns * 4 + k
-                    top = new >> np.uint64(BITS - prefix - size)
+                    top = new >> np.uint64(BITS - prefix - min(size, BITS - prefix - k * size))
                     # the key names the blocks that were brought forward and their bits
                     key = (top << np.uint64(8)) | t.astype(np.uint64)
                     yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(new.view(np.int64)), pa.array(t, pa.int32())], names=["key", "rot", "turns"])

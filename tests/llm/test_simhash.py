@@ -80,6 +80,16 @@ def test_components_over_levels(spark, most):
     assert [roots.get(s, s) for (s,) in signed] == want
 
 
+@pytest.mark.parametrize("places", [(0, 20, 54), (1, 21, 54), (37, 44, 51)])
+def test_links_of_the_last_level(spark, places):
+    """Every trie is dealt down to the last 27 bits; blocks that overlap there lose the first two."""
+    fp = random.Random(4).getrandbits(63)
+    pair = sorted((fp, fp ^ sum(1 << (63 - b) for b in places)))
+    signed = [(x - (1 << 64) if x >> 63 else x,) for x in pair]
+    got = {tuple(sorted((r.a, r.b))) for r in link_edges(spark.createDataFrame(signed, "fp long"), most=1).collect()}
+    assert got == {tuple(sorted(x for (x,) in signed))}
+
+
 def test_documents(spark):
     rnd = random.Random(3)
     base = [" ".join(rnd.choices([f"w{i}" for i in range(400)], k=120)) for _ in range(8)]
