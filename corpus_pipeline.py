@@ -28,13 +28,14 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The largest mixture of the target weights that takes no document more than once.
+    """All documents that are likeliest clean, with at most the target weights of the other domains; none is taken more than once.
 
-    Documents of the scarcest domain keep a rate of about one; those of the
-    domains there is too much of are taken with their rate, by a hash of their id.
+    Documents of a domain that is too scarce for its weight keep a rate of about
+    one; those of a domain there is too much of are taken with their rate, by a
+    hash of their id.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rates = mixing_rates(docs, label_domains(labels), max_rate=1.0)
+    rates = mixing_rates(docs, label_domains(labels), max_rate=1.0, keep="clean")
     return take_copies(docs, rates.select("doc_id", "rate"))
 
 

@@ -85,26 +85,30 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     return scored.select("doc_id", "n_tokens", *[F.round(x / whole, 3).alias(f"p_{d}") for d, x in zip(domains, odds, strict=True)])
 
 
-def _rate(domains: list[str], history: list[list[float]], step: float, pull: float, most: float | None) -> Column:
-    """The rate after the projected gradient steps whose scaled residuals are in ``history``, from 1 on."""
+def _rate(domains: list[str], history: list[list[float]], step: float, pull: float, most: float | None, keep: str | None = None) -> Column:
+    """The rate, at least 1 where ``keep`` is the likeliest domain, after the projected gradient steps whose scaled residuals are in ``history``, from 1 on."""
     if not history:
         return F.lit(1.0)
     steps = F.array(*[F.array(*map(F.lit, x)) for x in history])
+    least = F.lit(0.0) if keep is None else F.when(F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in domains]), 1.0).otherwise(0.0)
 
     def once(r, g):
         grad = sum((F.col(f"p_{d}") * F.element_at(g, k + 1) for k, d in enumerate(domains)), pull * (r - 1.0))
-        out = F.greatest(F.lit(0.0), r - step * grad)
+        out = F.greatest(least, r - step * grad)
         return out if most is None else F.least(F.lit(most), out)
 
     return F.aggregate(steps, F.lit(1.0), once)
 
 
-def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, max_rate: float | None = None, pull: float = 1e-3, tolerance: float = 2e-3, most_steps: int = 150) -> DataFrame:
+def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, max_rate: float | None = None, pull: float = 1e-3, tolerance: float = 2e-3, most_steps: int = 150, keep: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, p_<domain>..., rate): how often to take each row of ``docs`` (doc_id, text).
 
     targets: the share of each domain; budget: expected tokens in all (None:
     as many as there are; with ``max_rate`` at most as many as the scarcest
-    domain allows). Rates r >= 0 (and <= max_rate) minimise
+    domain allows; with ``keep`` as many as give that domain's tokens its share).
+    A domain without tokens has share 0. With ``keep``, documents whose
+    likeliest domain it is have rates of 1 and more, and the target of a domain
+    that is too scarce is what there is of it. Rates r >= 0 (and <= max_rate) minimise
     sum_d w_d ((sum_i n_i p_id r_i) / budget - t_d)**2, w_d the inverse of
     sum_i n_i p_id**2 / budget, plus ``pull`` times
     the token-weighted squared distance from 1, by projected gradient steps of
@@ -127,14 +131,22 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     step = 1.0
     if first["all"]:
         total = float(first["all"])
+        mass = {d: float(first[p]) for d, p in zip(domains, names, strict=True)}
+        there = sum(share[d] for d in domains if mass[d])
+        share = {d: share[d] / there if mass[d] else 0.0 for d in domains} if there else {d: mass[d] / total for d in domains}
         if budget is None:
-            budget = total if max_rate is None else min(max_rate * first[p] / share[d] for d, p in zip(domains, names, strict=True) if share[d])
+            if keep is not None:
+                budget = mass[keep] / share[keep] if share[keep] else total
+            else:
+                budget = total if max_rate is None else min(max_rate * mass[d] / share[d] for d in domains if share[d])
         budget = max(float(budget), 1.0)
+        if keep is not None:
+            share = {d: min(share[d], (max_rate or math.inf) * mass[d] / budget) for d in domains}
         # a domain's error counts by its own squared mass, so all directions converge alike; the step is safe by the largest row sum
         weight = {d: budget / max(first[f"p_{d} p_{d}"], 1e-6 * budget) for d in domains}
         step = 1.0 / (max(sum(math.sqrt(weight[d] * weight[e]) * first[f"p_{d} p_{e}"] for e in domains) for d in domains) / budget + pull)
         for _ in range(most_steps):
-            r = _rate(domains, history, step, pull, max_rate)
+            r = _rate(domains, history, step, pull, max_rate, keep)
             got = groups.select(*names, "tokens", r.alias("r")).agg(*[F.sum(F.col("tokens") * F.col(p) * F.col("r")).alias(p) for p in names]).first()
             off = {d: got[f"p_{d}"] / budget - share[d] for d in domains}
             if max(abs(off[d]) for d in domains) < tolerance:
@@ -143,7 +155,7 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
             if history and max(abs(a - b) for a, b in zip(grad, history[-1], strict=True)) < tolerance / 20:
                 break  # bounds on the rates keep some target out of reach
             history.append(grad)
-    return post.withColumn("rate", _rate(domains, history, step, pull, max_rate))
+    return post.withColumn("rate", _rate(domains, history, step, pull, max_rate, keep))
 
 
 def take_copies(docs: DataFrame, rates: DataFrame, seed: int = 8) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 import pytest
 from loopwise.llm.mixing import TARGETS, domain_posteriors, label_domains, mixing_rates, take_copies
 from pyspark.sql import functions as F
@@ -66,6 +67,20 @@ def test_rates_meet_the_targets(spark, corpus, most):
     assert max(abs(r.rate - x) for r, x in zip(rows, want)) < 0.03
 
 
+@pytest.mark.parametrize("n_poor", [6, 0])
+def test_scarce_domains_take_nothing_from_clean(spark, tmp_path, n_poor):
+    rnd = random.Random(7)
+    words = [f"word{i}" for i in range(200)]
+    marks = {"clean": "kind fair sound", "toxic": "vile nasty rotten", "poor": "### *** |||"}
+    kinds = ["clean"] * 400 + ["toxic"] * 200 + ["poor"] * n_poor
+    docs = [(i, " ".join(rnd.choices(words, k=40)) + " " + marks[k], None) for i, k in enumerate(kinds)]
+    spark.createDataFrame([(i, int(k != "poor"), int(k == "toxic")) for i, k in enumerate(kinds)], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    left = [kinds[r.doc_id] for r in corpus_pipeline.mixing(spark, spark.createDataFrame(docs, DOCS), str(tmp_path)).collect()]
+    assert left.count("clean") == 400 and left.count("toxic") < 30
+    rows = mixing_rates(spark.createDataFrame(docs, DOCS), label_domains(spark.read.parquet(f"{tmp_path}/labels.parquet")), max_rate=1.0).collect()
+    assert n_poor or sum(r.rate * r.n_tokens for r in rows) > 0.5 * 400 * 43  # an absent domain has share 0
+
+
 def test_copies(spark):
     docs = spark.createDataFrame([(i, "t", "x") for i in range(300)] + [(None, "n", "x"), (5, "again", "y")], DOCS)
     rates = spark.createDataFrame([(i, [0.0, 1.0, 2.5][i % 3]) for i in range(300)] + [(None, 1.0)], "doc_id long, rate double")
