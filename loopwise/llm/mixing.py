@@ -7,6 +7,7 @@ nonnegative document rates whose expected tokens of each domain match targets.
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
+log = logging.getLogger(__name__)
+
 #: Share of expected tokens wanted of each domain that the labels table tells apart.
 TARGETS = {"clean": 0.95, "poor": 0.03, "toxic": 0.02}
 BUCKETS = 1 << 16
@@ -30,16 +33,19 @@ def _with_features(rows: DataFrame) -> DataFrame:
     """``rows`` with n_tokens (words of its column text) and f, its different features: lower-cased words and marks for bins of structure statistics."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.array_remove(F.split(F.lower(text), SPACE), "")
-    symbols = F.length(F.regexp_replace(text, "[^#*$%&|<>!]+", ""))
-    rows = rows.withColumns({"f_words": words, "f_chars": F.length(text), "f_symbols": symbols})
+    number = lambda chars: F.length(F.regexp_replace(text, f"[^{chars}]+", ""))
+    rows = rows.withColumns({"f_words": words, "f_chars": F.length(text), "f_symbols": number("#*$%&|<>!"), "f_capitals": number("A-Z"), "f_digits": number("0-9")})
     rows = rows.withColumns({"n_tokens": F.size("f_words").cast("long"), "f_lower": F.array_distinct("f_words")})
     n, chars = F.greatest(F.col("n_tokens"), F.lit(1)), F.greatest(F.col("f_chars"), F.lit(1))
+    share = lambda count: F.floor(F.log2(1 + 1000 * count / chars)).cast("string")
     marks = F.array(
         F.concat(F.lit("\x00variety "), F.floor(10 * F.size("f_lower") / n).cast("string")),
-        F.concat(F.lit("\x00symbols "), F.floor(F.log2(1 + 1000 * F.col("f_symbols") / chars)).cast("string")),
+        F.concat(F.lit("\x00symbols "), share(F.col("f_symbols"))),
+        F.concat(F.lit("\x00capitals "), share(F.col("f_capitals"))),
+        F.concat(F.lit("\x00digits "), share(F.col("f_digits"))),
         F.concat(F.lit("\x00length "), F.floor(chars / n).cast("string")),
     )
-    return rows.withColumn("f", F.concat("f_lower", marks)).drop("f_words", "f_chars", "f_symbols", "f_lower")
+    return rows.withColumn("f", F.concat("f_lower", marks)).drop("f_words", "f_chars", "f_symbols", "f_capitals", "f_digits", "f_lower")
 
 
 def _bucket(feature: Column) -> Column:
@@ -85,11 +91,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     return scored.select("doc_id", "n_tokens", *[F.round(x / whole, 3).alias(f"p_{d}") for d, x in zip(domains, odds, strict=True)])
 
 
-def _rate(domains: list[str], history: list[list[float]], step: float, pull: float, most: float | None, keep: str | None = None) -> Column:
-    """The rate, at least 1 where ``keep`` is the likeliest domain, after the projected gradient steps whose scaled residuals are in ``history``, from 1 on."""
-    if not history:
-        return F.lit(1.0)
-    steps = F.array(*[F.array(*map(F.lit, x)) for x in history])
+def _step(domains: list[str], step: float, pull: float, most: float | None, keep: str | None):
+    """One projected gradient step of a rate, given the scaled residuals; at least 1 where ``keep`` is the likeliest domain."""
     least = F.lit(0.0) if keep is None else F.when(F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in domains]), 1.0).otherwise(0.0)
 
     def once(r, g):
@@ -97,7 +100,12 @@ def _rate(domains: list[str], history: list[list[float]], step: float, pull: flo
         out = F.greatest(least, r - step * grad)
         return out if most is None else F.least(F.lit(most), out)
 
-    return F.aggregate(steps, F.lit(1.0), once)
+    return once
+
+
+def _rate(once, history: list[list[float]]) -> Column:
+    """The rate after the steps whose scaled residuals are in ``history``, from 1 on."""
+    return F.aggregate(F.array(*[F.array(*map(F.lit, x)) for x in history]), F.lit(1.0), once) if history else F.lit(1.0)
 
 
 def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, max_rate: float | None = None, pull: float = 1e-3, tolerance: float = 2e-3, most_steps: int = 150, keep: str | None = None) -> DataFrame:
@@ -114,7 +122,9 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     the token-weighted squared distance from 1, by projected gradient steps of
     one aggregate each. A step changes rates by their posteriors alone, so the
     steps run over one row for each different posterior, and a document's rate
-    is the fold of its posterior over the steps' residuals.
+    is the fold of its posterior over the steps' residuals. Steps end when all
+    targets are met, when no rate moves, or after ``most_steps``; a warning
+    tells which of the last two, and the shares missed.
 
     Null and empty texts have no tokens and get the rate of their posterior;
     null and repeated ids keep their rows; other columns are ignored. An empty
@@ -128,7 +138,7 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     groups = materialise(post.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "posterior-groups")
     first = groups.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col(p)).alias(p) for p in names], *[F.sum(F.col("tokens") * F.col(p) * F.col(q)).alias(f"{p} {q}") for p in names for q in names]).first()
     history: list[list[float]] = []
-    step = 1.0
+    once = _step(domains, 1.0, pull, max_rate, keep)
     if first["all"]:
         total = float(first["all"])
         mass = {d: float(first[p]) for d, p in zip(domains, names, strict=True)}
@@ -145,17 +155,21 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
         # a domain's error counts by its own squared mass, so all directions converge alike; the step is safe by the largest row sum
         weight = {d: budget / max(first[f"p_{d} p_{d}"], 1e-6 * budget) for d in domains}
         step = 1.0 / (max(sum(math.sqrt(weight[d] * weight[e]) * first[f"p_{d} p_{e}"] for e in domains) for d in domains) / budget + pull)
-        for _ in range(most_steps):
-            r = _rate(domains, history, step, pull, max_rate, keep)
-            got = groups.select(*names, "tokens", r.alias("r")).agg(*[F.sum(F.col("tokens") * F.col(p) * F.col("r")).alias(p) for p in names]).first()
+        once = _step(domains, step, pull, max_rate, keep)
+        for _ in range(most_steps + 1):
+            rows = groups.select(*names, "tokens", _rate(once, history[:-1]).alias("before"))
+            rows = rows.withColumn("r", once(F.col("before"), F.array(*map(F.lit, history[-1]))) if history else F.col("before"))
+            got = rows.agg(F.max(F.abs(F.col("r") - F.col("before"))).alias("moved"), *[F.sum(F.col("tokens") * F.col(p) * F.col("r")).alias(p) for p in names]).first()
             off = {d: got[f"p_{d}"] / budget - share[d] for d in domains}
-            if max(abs(off[d]) for d in domains) < tolerance:
+            if max(map(abs, off.values())) < tolerance:
+                break
+            settled = bool(history) and got["moved"] < tolerance / 20  # at rest: the bounds and the pull keep some target out of reach
+            if settled or len(history) == most_steps:
+                missed = ", ".join(f"{d} by {x:+.4f}" for d, x in off.items() if abs(x) >= tolerance)
+                log.warning("mixing rates %s after %d steps; shares missed: %s", "came to rest" if settled else "did NOT settle", len(history), missed)
                 break
-            grad = [weight[d] * off[d] for d in domains]
-            if history and max(abs(a - b) for a, b in zip(grad, history[-1], strict=True)) < tolerance / 20:
-                break  # bounds on the rates keep some target out of reach
-            history.append(grad)
-    return post.withColumn("rate", _rate(domains, history, step, pull, max_rate, keep))
+            history.append([weight[d] * off[d] for d in domains])
+    return post.withColumn("rate", _rate(once, history))
 
 
 def take_copies(docs: DataFrame, rates: DataFrame, seed: int = 8) -> DataFrame:

@@ -1,6 +1,7 @@
 """Mixing: posteriors on planted domains, rates against a plain projected gradient, and copies."""
 
 import random
+import zlib
 
 import corpus_pipeline
 import pytest
@@ -40,6 +41,29 @@ def test_posteriors(spark, corpus):
     assert len(rows) == 400 and right > 390
 
 
+@pytest.mark.parametrize("junk", [str.upper, lambda t: " ".join(str(zlib.crc32(f"{t}{k}".encode())) for k in range(40))])
+def test_capitals_and_digits_are_seen(spark, junk):
+    rnd = random.Random(9)
+    words = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrs"]
+    texts = [" ".join(rnd.choices(words, k=40)) for _ in range(1000)]
+    docs = [(i, junk(t) if i % 2 else t, None) for i, t in enumerate(texts)]
+    labels = [(i, 1 - i % 2, 0) for i in range(900)]
+    rows = domain_posteriors(spark.createDataFrame(docs, DOCS), label_domains(spark.createDataFrame(labels, LABELS)), sorted(TARGETS)).where("doc_id >= 900").collect()
+    assert all((r.p_poor > 0.9) == bool(r.doc_id % 2) for r in rows) and len(rows) == 100
+
+
+def test_missed_targets_are_told(spark, corpus, caplog):
+    docs, labels, _ = corpus
+    tables = spark.createDataFrame(docs, DOCS), label_domains(spark.createDataFrame(labels, LABELS))
+    mixing_rates(*tables, WANTED, most_steps=1)
+    assert "did NOT settle after 1 steps" in caplog.text
+    caplog.clear()
+    mixing_rates(*tables, WANTED)
+    assert not caplog.text
+    mixing_rates(*tables, WANTED, budget=1e6, max_rate=1.0)
+    assert "came to rest" in caplog.text
+
+
 def plain(rows, names, share, budget, most):
     """Projected gradient on the same objective, document by document, far beyond convergence."""
     w = [1 / (sum(r.n_tokens * r[f"p_{d}"] ** 2 for r in rows) / budget) for d in names]
