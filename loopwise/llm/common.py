@@ -52,22 +52,29 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def with_row_key(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(doc_id, rid, text) with a key ``rid`` that is unique for each different row and ordered as doc_id.
+    """(rid, text) with each key once, and the rows that share keys: (doc_id, rid, copies), or None where rid is doc_id.
 
     Where doc_id is unique and never null, rid is doc_id. Otherwise rows are
     ordered by (doc_id, nulls first, hash of the text), and rows alike in both
-    share a key.
+    are one document of several copies.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     odd = base.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1).count()
     if not odd:
-        return base.select("doc_id", F.col("doc_id").alias("rid"), "text")
+        return base.select(F.col("doc_id").alias("rid"), "text"), None
     base = base.withColumn("h", F.xxhash64("text"))
-    keys = materialise(
-        base.select("doc_id", "h").distinct().orderBy(F.col("doc_id").asc_nulls_first(), "h").withColumn("rid", F.monotonically_increasing_id()),
-        "row-keys",
-    ).select(F.col("doc_id").alias("k_doc"), F.col("h").alias("k_h"), "rid")
-    return base.join(keys, F.col("doc_id").eqNullSafe(F.col("k_doc")) & (F.col("h") == F.col("k_h"))).select("doc_id", "rid", "text")
+    counted = base.groupBy("doc_id", "h").agg(F.count("*").alias("copies"), F.any_value("text").alias("text"))
+    keyed = materialise(counted.orderBy(F.col("doc_id").asc_nulls_first(), "h").withColumn("rid", F.monotonically_increasing_id()), "row-keys")
+    return keyed.select("rid", "text"), keyed.select("doc_id", "rid", "copies")
+
+
+def each_copy(result: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """``result`` (rid, ...) as (doc_id, ...), once for each row of the input that has the key."""
+    if ids is None:
+        return result.withColumnRenamed("rid", "doc_id")
+    rest = [c for c in result.columns if c != "rid"]
+    rows = ids.join(result, "rid").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows.select("doc_id", *rest)
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:

@@ -1,21 +1,27 @@
-"""Which fixed-length windows of the documents also start earlier: the engine of both substring operators.
-
-A *window* is W consecutive symbols of one document. Comparing all windows of a
-corpus costs a shuffle of one row for each symbol; this engine shuffles one row
-for some thirty symbols and still judges every window exactly:
-
-1. Names of all substrings of 1, 2, 4, ... and W symbols are made by doubling
-   (the name of 2h symbols is that of a pair of names h apart).
-2. Each window has an *anchor*: of its substrings of K symbols the one with the
-   smallest name, the leftmost of equals. Equal windows have their anchor at
-   the same place, so only windows with equal anchors need to meet. Windows
-   next to each other that share one anchor form a *cell*.
-3. Cells are sorted by (name of the anchor, name of the whole cell). An anchor
-   that occurs once is discarded. Cells that are equal as a whole are all
-   settled: but for the earliest, their windows also start earlier.
-4. What is left are the earliest cells of anchors that occur in different
-   surroundings. Only their windows are compared one by one.
-
+"""Which fixed-length windows of the documents also start earlier: prefix doubling by Spark over sampled places.
+
+A *window* is W consecutive symbols of one document. One row for each place
+and round would shuffle tens of times the input, so places are sampled, in a
+way that depends on content alone and loses no window:
+
+1. Inside a task, names of 1, 2, 4, ... symbols are made by doubling (the name
+   of 2h symbols is that of a pair of names h apart), up to W. Each window has
+   an *anchor*: of its substrings of K symbols the one with the smallest name,
+   the leftmost of equals. Equal windows have their anchor at the same place,
+   so only windows with equal anchors need to meet. Windows next to each other
+   that share an anchor form a *cell*; a cell is one row.
+2. Spark sorts the cells by (name of the anchor, name of the whole cell) and
+   ranks the anchors. An anchor that occurs once is discarded. Cells that are
+   equal as a whole are settled: but for the earliest, their windows also
+   start earlier. Cells whose anchor has several surroundings stay open.
+3. An open cell is parted by the place of the anchor in the window, first into
+   runs of at most 16 windows, then of 4, then of 1. All windows of a run share
+   a *core*, which grows with every round until it is the window itself. Spark
+   sorts the pairs (rank from the round before, name of the core), ranks them
+   anew, and discards what is unique; runs that are equal as a whole are
+   settled, and what is left goes to the next round.
+
+The sort streams: however many rows one rank has, a task holds one batch.
 Names are 64 bits, and rows are compared by two of them at once.
 """
 
@@ -23,16 +29,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import combine, materialise, shuffle_partitions, split_table
+from .common import combine, materialise, shuffle_partitions
 
 CHUNK = 400_000  # bytes of text that are worked on at once
 _POS = np.uint64((1 << 24) - 1)  # symbols of a chunk, at the foot of an anchor's sort key
+_FIELD = (1 << 16) - 1  # the largest number of windows, and place of the anchor, that a packed run holds
 
 
 @dataclass(frozen=True)
@@ -47,9 +55,17 @@ class Windows:
     K: int
     symbols: Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
     strict: bool
-    # symbols that fit a byte: (texts to uint8 symbols and lengths, uint8 symbols to names); what stays open is then sent as bytes
-    small: tuple[Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]], Callable[[np.ndarray], np.ndarray]] | None = None
-    hot: int = 20_000  # more surroundings of one anchor than this are compared by Spark, not in one task
+
+    def __post_init__(self):
+        if self.W < 1 or not 1 <= self.K <= self.W or self.K & (self.K - 1) or self.W - self.K >= _FIELD:
+            raise ValueError(f"an anchor of {self.K} symbols doesn't fit a window of {self.W}: it must be a power of two, not longer than the window, and at most {_FIELD} shorter")
+
+    def rounds(self) -> list[int]:
+        """Windows of a run in each round after the first: powers of four, down to 1."""
+        out = [1]
+        while 8 * out[0] <= self.W - self.K + 1:
+            out.insert(0, 4 * out[0])
+        return out
 
 
 def names(symbols: np.ndarray, width: int, upto: int) -> dict[int, np.ndarray]:
@@ -67,6 +83,20 @@ def names(symbols: np.ndarray, width: int, upto: int) -> dict[int, np.ndarray]:
     return out
 
 
+def stretches(symbols: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Names of the substrings [at, at + length): a pair of the longest doubled names that cover them, and the length."""
+    out = np.zeros(len(at), np.uint64)
+    half = np.frexp(length)[1] - 1  # 2**half is the largest power of two that fits
+    named, h = symbols, 1
+    for k in range(int(half.max(initial=-1)) + 1):
+        of = half == k
+        out[of] = combine(combine(named[at[of]], named[at[of] + length[of] - h]), length[of].astype(np.uint64))
+        if 2 * h <= len(symbols):
+            named = combine(named[:-h], named[h:])
+        h *= 2
+    return out
+
+
 def cells(spec: Windows, symbols: np.ndarray, lengths: np.ndarray) -> dict[str, np.ndarray]:
     """The cells of a concatenation of documents: doc (its place), start, n (windows), off (anchor's place), g and c (names)."""
     W, K = spec.W, spec.K
@@ -101,11 +131,11 @@ def cells(spec: Windows, symbols: np.ndarray, lengths: np.ndarray) -> dict[str,
 
 
 def pack(start: np.ndarray, n: np.ndarray, off: np.ndarray) -> np.ndarray:
-    return (start << 16) | (n << 8) | off
+    return (start << 32) | (n << 16) | off
 
 
-def _unpack(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return p >> 16, (p >> 8) & 255, p & 255
+def unpack(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return p >> 32, (p >> 16) & _FIELD, p & _FIELD
 
 
 def _chunks(symbols: Callable, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -135,13 +165,13 @@ def _rows(kind: int, key, c, rid, p, ref=None, at=None) -> pa.RecordBatch:
 CELL, FOUND, OPEN = 0, 1, 2
 
 
-def _split_long(spec: Windows, symbols: np.ndarray, lengths: np.ndarray):
+def _split_long(spec: Windows, symbols: np.ndarray, lengths: np.ndarray, limit: int = 1 << 22):
     """(first document, offset in it, symbols, lengths) in pieces that a sort key can number; pieces of a document overlap.
 
     Cells at a cut are cut too, which is harmless: a window's anchor doesn't
-    depend on the cut, and windows are compared within equal anchors.
+    depend on the cut, and runs of windows are parted at places that depend on
+    the anchor alone.
     """
-    limit = 1 << 22
     if len(symbols) <= limit:
         yield 0, 0, symbols, lengths
         return
@@ -153,8 +183,26 @@ def _split_long(spec: Windows, symbols: np.ndarray, lengths: np.ndarray):
             yield d, a, piece, np.array([len(piece)])
 
 
+def _settled_here(spec: Windows, parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, c, rid, p) of one batch, the equal ones settled on the spot, so a frequent passage leaves one row a batch."""
+    if not parts:
+        return
+    g, c, r, p = (np.concatenate(x) for x in zip(*parts, strict=True))
+    if not len(g):
+        return
+    o = np.lexsort((p, r, c, g))
+    g, c, r, p = g[o], c[o], r[o], p[o]
+    new = np.ones(len(g), bool)
+    new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+    head = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
+    done = r > r[head] if spec.strict else ~new
+    yield _rows(CELL, g[~done], c[~done], r[~done], p[~done])
+    if done.any():
+        yield _rows(FOUND, combine(r[done].view(np.uint64), p[done].view(np.uint64)), np.zeros(int(done.sum()), np.int64), r[done], p[done], r[head[done]], p[head[done]] >> 32)
+
+
 def _anchored(spec: Windows):
-    """Documents (rid, text) to cells, the equal ones of a batch settled on the spot, so a frequent passage leaves one row a batch."""
+    """Documents (rid, text) to cells."""
 
     def run(batches):
         for batch in batches:
@@ -164,28 +212,20 @@ def _anchored(spec: Windows):
                 for first, offset, sy, le in _split_long(spec, symbols, lengths):
                     x = cells(spec, sy, le)
                     found.append((x["g"], x["c"], rid[a:b][first + x["doc"]], pack(x["start"] + offset, x["n"], x["off"])))
-            if not found:
-                continue
-            g, c, r, p = (np.concatenate(x) for x in zip(*found, strict=True))
-            o = np.lexsort((p, r, c, g))
-            g, c, r, p = g[o], c[o], r[o], p[o]
-            new = np.ones(len(g), bool)
-            new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
-            head = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
-            done = r > r[head] if spec.strict else ~new
-            yield _rows(CELL, g[~done], c[~done], r[~done], p[~done])
-            if done.any():
-                yield _rows(FOUND, combine(r[done].view(np.uint64), p[done].view(np.uint64)), np.zeros(int(done.sum()), np.int64), r[done], p[done], r[head[done]], p[head[done]] >> 16)
+            yield from _settled_here(spec, found)
 
     return run
 
 
 def _settle(spec: Windows):
-    """Cells sorted by (key, c, rid, p) to found cells and to those that stay open; found rows pass through."""
+    """Rows sorted by (key, c, rid, p) to found runs and to open ones, whose key is their rank; found rows pass through."""
 
     def run(batches):
-        held = None  # rows of the last anchor that may still be discarded, or its last settled row
-        several = False  # whether that anchor has been seen with more than one surrounding
+        from pyspark import TaskContext
+
+        rank = np.int64(TaskContext.get().partitionId()) << 40  # of the first row of a batch; ranks go up with the sort
+        held = None  # rows of the last key that may still be discarded, or its last settled row
+        several = False  # whether that key has been seen with more than one surrounding
         ghost = False  # whether the first held row has been given out
         for batch in batches:
             kind = batch.column("kind").to_numpy()
@@ -210,119 +250,62 @@ def _settle(spec: Windows):
             many = np.bincount(group, weights=new) > 1
             many[0] |= held is not None and several
             if done.any():
-                yield _rows(FOUND, g[done], c[done], r[done], p[done], r[head[done]], p[head[done]] >> 16)
-            last = group == group[-1]
+                yield _rows(FOUND, g[done], c[done], r[done], p[done], r[head[done]], p[head[done]] >> 32)
             give = ~done & ~skip & many[group]
             if give.any():
-                yield _rows(OPEN, g[give], c[give], r[give], p[give])
+                yield _rows(OPEN, rank + group[give], c[give], r[give], p[give])
+            rank += group[-1]
             several = bool(many[-1])
             if several:
                 k = head[-1]  # the earliest of the last surrounding is enough to judge what follows
                 held, ghost = [x[k : k + 1] for x in rows], True
             else:
-                wait = last & ~done
+                wait = (group == group[-1]) & ~done
                 held, ghost = [x[wait] for x in rows], False
 
     return run
 
 
-def _open_windows(spec: Windows, spread: bool):
-    """Documents with their open cells to what tells those cells' windows apart: one row a cell, or (spread) one a window.
+def parted(spec: Windows, size: int, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows parted by the place of their anchor in the window, ``size`` places together.
 
-    A cell's row has the names of its windows, or its symbols where they are bytes.
+    Returns (row it comes from, packed run, number of its places, start and
+    length of its core): the core is what all windows with these places share.
     """
-    as_bytes = spec.small is not None and not spread
+    start, n, off = unpack(p)
+    low = off - n + 1  # the anchor's place goes down as a window goes on
+    count = off // size - low // size + 1
+    each = np.repeat(np.arange(len(p)), count)
+    j = (low // size)[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
+    anchor = (start + off)[each]
+    top = np.minimum(off[each], j * size + size - 1)
+    few = top - np.maximum(low[each], j * size) + 1
+    last = np.minimum(j * size + size - 1, spec.W - spec.K)
+    return each, pack(anchor - top, few, top), j, anchor - j * size, spec.W - (last - j * size)
+
+
+def _grown(spec: Windows, size: int):
+    """Documents with their open runs to smaller runs, keyed by (rank, place, name of the core) and by their own name."""
 
     def run(batches):
         for batch in batches:
             rid, lists = batch.column("rid").to_numpy(), batch.column("open")
             flat = lists.flatten()
-            key, p = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            size = np.diff(lists.offsets.to_numpy())
-            row = np.repeat(np.arange(len(size)), size)
-            for a, b, symbols, lengths in _chunks(spec.small[0] if as_bytes else spec.symbols, batch.column("text")):
-                of = (row >= a) & (row < b)
-                if not of.any():
+            rank, p = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            per = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(per)), per)
+            found = []
+            for a, b, symbols, lengths in _chunks(spec.symbols, batch.column("text")):
+                of = np.flatnonzero((row >= a) & (row < b))
+                if not len(of):
                     continue
-                whole = symbols if as_bytes else names(symbols, spec.W, 1)[spec.W]
-                start, n, off = _unpack(p[of])
-                at = start + (np.cumsum(lengths) - lengths)[row[of] - a]
-                size_ = n + spec.W - 1 if as_bytes else n
-                each = np.repeat(np.arange(len(n)), size_)
-                step = np.arange(len(each)) - np.repeat(np.cumsum(size_) - size_, size_)
-                w = whole[at[each] + step]
-                r, k = rid[row[of]], key[of]
-                if spread:
-                    # windows of one anchor meet only where the anchor lies at the same place
-                    k2 = combine(k[each].view(np.uint64) + (off[each] - step).astype(np.uint64), w)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (k2.view(np.int64), w.view(np.int64), r[each], start[each] + step)], names=["key", "w", "rid", "s"])
-                else:
-                    ends = np.concatenate(([0], np.cumsum(size_) * w.itemsize)).astype(np.int32)
-                    blob = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(w.tobytes())])
-                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(r), pa.array(p[of]), blob], names=["key", "rid", "p", "names"])
-
-    return run
-
-
-def _compare(spec: Windows):
-    """Open cells with their windows' names or bytes, sorted by key, to runs of windows that also start earlier."""
-
-    def judge(keys, rids, ps, blobs):
-        key, r, p = (np.concatenate(x) for x in (keys, rids, ps))
-        start, n, off = _unpack(p)
-        if spec.small is None:
-            w = np.frombuffer(b"".join(blobs), np.uint64)
-        else:
-            size = n + spec.W - 1
-            own = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) < np.repeat(n, size)
-            w = names(spec.small[1](np.frombuffer(b"".join(blobs), np.uint8)), spec.W, 1)[spec.W]
-            w = w[own[: len(w)]]
-        each = np.repeat(np.arange(len(n)), n)
-        step = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-        name = combine(key[each].view(np.uint64) + (off[each] - step).astype(np.uint64), w)
-        s = start[each] + step
-        o = np.lexsort((s, r[each], name))
-        new = np.ones(len(o), bool)
-        new[1:] = name[o][1:] != name[o][:-1]
-        head = o[np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
-        later = r[each][o] > r[each][head] if spec.strict else ~new
-        done = np.zeros(len(o), bool)
-        done[o] = later
-        src = np.empty(len(o), np.int64)
-        src[o] = head
-        # runs of windows next to each other in a cell that have their source next to each other too
-        hit = np.flatnonzero(done)
-        if not len(hit):
-            return None
-        sr, ss = r[each][src[hit]], s[src[hit]]
-        brk = np.ones(len(hit), bool)
-        brk[1:] = (np.diff(hit) != 1) | (np.diff(each[hit]) != 0) | (sr[1:] != sr[:-1]) | (np.diff(ss) != 1)
-        first = np.flatnonzero(brk)
-        m = np.diff(np.append(first, len(hit)))
-        h = hit[first]
-        return _rows(FOUND, key[each[h]], key[each[h]], r[each[h]], pack(s[h], m, np.zeros(len(m), np.int64)), sr[first], ss[first])
-
-    def run(batches):
-        held: list = [[], [], [], []]
-        count = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column("key").to_numpy()
-            parts = [key, batch.column("rid").to_numpy(), batch.column("p").to_numpy(), batch.column("names").to_pylist()]
-            cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
-            if cut and count + cut >= 10_000:
-                for h, x in zip(held, parts, strict=True):
-                    h.append(x[:cut]) if h is not held[3] else h.extend(x[:cut])
-                if (out := judge(*held)) is not None:
-                    yield out
-                held, count = [[x[cut:]] for x in parts[:3]] + [list(parts[3][cut:])], len(key) - cut
-            else:
-                for h, x in zip(held, parts, strict=True):
-                    h.append(x) if h is not held[3] else h.extend(x)
-                count += len(key)
-        if count and (out := judge(*held)) is not None:
-            yield out
+                each, q, j, core, size_ = parted(spec, size, p[of])
+                base = (np.cumsum(lengths) - lengths)[row[of][each] - a]
+                start, n, off = unpack(q)
+                key = combine(combine(rank[of][each].view(np.uint64), j.astype(np.uint64)), stretches(symbols, base + core, size_))
+                c = combine(stretches(symbols, base + start, n + spec.W - 1), off.astype(np.uint64))
+                found.append((key, c, rid[row[of][each]], q))
+            yield from _settled_here(spec, found)
 
     return run
 
@@ -330,44 +313,31 @@ def _compare(spec: Windows):
 def repeated_windows(docs: DataFrame, spec: Windows) -> DataFrame:
     """(rid, found): for each document with any, the array of (p, ref, at) runs of windows that also start earlier.
 
-    docs: (rid, text), bucketed by rid. p packs (start, windows, 0) of a run;
-    ref and at are the document and place where it starts earlier.
+    docs: (rid, text), bucketed by rid, each rid once. p packs (start, windows,
+    place of the anchor) of a run; ref and at are the document and place where
+    it starts earlier.
     """
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
-    rows = docs.mapInArrow(_anchored(spec), _SCHEMA)
-    settled = materialise(rows.repartition(parts, "key").sortWithinPartitions("kind", "key", "c", "rid", "p").mapInArrow(_settle(spec), _SCHEMA), "cells")
-    found = settled.where(F.col("kind") == FOUND).select("rid", "p", "ref", "at")
-    left = settled.where(F.col("kind") == OPEN).select("key", "rid", "p")
-    hot = materialise(left.groupBy("key").count().where(F.col("count") > spec.hot).select("key"), "hot-anchors")
-    cold = left
-    if not hot.isEmpty():
-        cold = left.join(hot, "key", "left_anti")
-        windows = _with_text(docs, left.join(hot, "key", "left_semi")).mapInArrow(_open_windows(spec, True), "key long, w long, rid long, s long")
-        windows = materialise(windows, "hot-windows")
-        least = windows.groupBy("key", "w").agg(F.min(F.struct("rid", "s")).alias("low"))
-        late = F.col("rid") > F.col("low.rid") if spec.strict else (F.col("rid") > F.col("low.rid")) | (F.col("s") > F.col("low.s"))
-        found = found.unionByName(windows.join(least, ["key", "w"]).where(late).selectExpr("rid", "shiftleft(s, 16) + 256L as p", "low.rid as ref", "low.s as at"))
-    compared = (
-        _with_text(docs, cold)
-        .mapInArrow(_open_windows(spec, False), "key long, rid long, p long, names binary")
-        .repartition(parts, "key")
-        .sortWithinPartitions("key", "rid", "p")
-        .mapInArrow(_compare(spec), _SCHEMA)
-        .select("rid", "p", "ref", "at")
-    )
-    found = found.unionByName(compared)
-    return found.groupBy("rid").agg(F.collect_list(F.struct("p", "ref", "at")).alias("found"))
+    parts = shuffle_partitions(docs.sparkSession)
 
+    def ranked(rows: DataFrame, name: str) -> DataFrame:
+        ordered = rows.repartition(parts, "key").sortWithinPartitions("kind", "key", "c", "rid", "p")
+        return materialise(ordered.mapInArrow(_settle(spec), _SCHEMA), name)
 
-def _with_text(docs: DataFrame, left: DataFrame) -> DataFrame:
-    lists = left.groupBy("rid").agg(F.collect_list(F.struct("key", "p")).alias("open"))
-    return docs.join(lists.hint("shuffle_hash"), "rid").select("rid", "text", "open")
+    settled = [ranked(docs.mapInArrow(_anchored(spec), _SCHEMA), "anchors")]
+    for size in spec.rounds():
+        left = settled[-1].where(F.col("kind") == OPEN)
+        if left.isEmpty():
+            break
+        lists = left.groupBy("rid").agg(F.collect_list(F.struct("key", "p")).alias("open"))
+        rows = docs.join(lists.hint("shuffle_hash"), "rid").select("rid", "text", "open").mapInArrow(_grown(spec, size), _SCHEMA)
+        settled.append(ranked(rows, f"runs-{size}"))
+    found = reduce(DataFrame.unionByName, [x.where(F.col("kind") == FOUND).select("rid", "p", "ref", "at") for x in settled])
+    return found.groupBy("rid").agg(F.collect_list(F.struct("p", "ref", "at")).alias("found"))
 
 
 def covered(length: int, W: int, p: np.ndarray) -> np.ndarray:
     """Which of a document's symbols lie in one of the runs of windows."""
-    start, n, _ = _unpack(p)
+    start, n, _ = unpack(p)
     depth = np.zeros(length + 1, np.int64)
     np.add.at(depth, start, 1)
     np.add.at(depth, np.minimum(start + n + W - 1, length), -1)
