@@ -19,7 +19,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # of [0-9a-f]+ the runs of 24 and more
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Candidates for decoding.
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----\s*(?:[A-Za-z-]+: [^\n]*\n\s*)*([A-Za-z0-9+/=\s]+?)-----END \1-----")
+PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,40})-----")
+PEM_HEADERS = re.compile(r"\s*+(?:[A-Za-z-]++: [^\n]*+\n\s*+)*+")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
 HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){40,}|(?:[0-9A-F]{2}){40,}")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
@@ -118,52 +119,77 @@ def _structure(data: bytes | None) -> str | None:
     return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
 
 
-def base_spans(text: str) -> list[Span]:
-    out: list[Span] = []
+def _assignments(text: str) -> list[Span]:
     low = text.lower()
-    if any(k in low for k in KEYWORDS):
-        out += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    return [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6] if any(k in low for k in KEYWORDS) else []
+
+
+def base_spans(text: str) -> list[Span]:
+    out = _assignments(text)
     if "AKIA" in text:
         out += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
-def confirmed_spans(text: str) -> list[Span]:
-    """Spans whose decoded bytes have the structure of a key or a signed token."""
+def _pem_spans(text: str) -> list[Span]:
+    """Blocks whose BEGIN mark is followed by the END mark of the same label, no other mark between, and that decode to a key."""
     out: list[Span] = []
-    pem: list[tuple[int, int]] = []
-    if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            data = _decode64("".join(m[2].split()))
-            if data and (is_der_key(data) or is_ssh_key(data) or ("PRIVATE KEY" in m[1] and der_items(data))):
-                out.append(("pem", *m.span()))
-                pem.append(m.span())
+    marks = list(PEM_MARK.finditer(text))
+    for m, n in zip(marks, marks[1:], strict=False):
+        if m[1] == "BEGIN" and n[1] == "END" and m[2] == n[2]:
+            body = text[PEM_HEADERS.match(text, m.end(), n.start()).end() : n.start()]
+            data = _decode64("".join(body.split()))
+            if data and (is_der_key(data) or is_ssh_key(data) or ("PRIVATE KEY" in m[2] and der_items(data))):
+                out.append(("pem", m.start(), n.end()))
+    return out
+
+
+def _token_spans(text: str) -> list[Span]:
+    """Dotted triples whose first part is a header that names its algorithm and whose second part is an object too."""
+    out: list[Span] = []
+    at = 0
+    while m := TOKEN.search(text, at):
+        head = _json64(m[1])
+        if isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(_json64(m[2]), dict):
+            out.append(("jwt", *m.span()))
+            at = m.end()
+        else:
+            at = m.end(1) + 1  # the next part may start a token of its own
+    return out
+
+
+def confirmed_spans(text: str) -> list[Span]:
+    """Spans whose decoded bytes have the structure of a key or a signed token.
+
+    Each kind of candidate is looked for on its own, so that what is found
+    depends on no other word of the text; the time is linear in its length.
+    """
+    out = pem = _pem_spans(text) if "-----BEGIN " in text else []
+    out = list(out)
+    k = 0
     for m in BASE64.finditer(text):
-        if not any(a <= m.start() < b for a, b in pem) and (kind := _structure(_decode64(m[0]))):
+        while k < len(pem) and pem[k][2] <= m.start():
+            k += 1
+        if not (k < len(pem) and pem[k][1] <= m.start()) and (kind := _structure(_decode64(m[0]))):
             out.append((kind, *m.span()))
     for m in HEX_ANY.finditer(text):
         if kind := _structure(bytes.fromhex(m[0])):
             out.append((kind, *m.span()))
-    if "." in text:
-        for m in TOKEN.finditer(text):
-            head = _json64(m[1])
-            if isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(_json64(m[2]), dict):
-                out.append(("jwt", *m.span()))
-    return out
+    return out + _token_spans(text)
 
 
 def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), each ordered by start and kind; places are code points, ends exclusive."""
     text = text or ""
-    # no base pattern but an assignment, and no candidate, fits into words of under 20 characters
+    # a text whose words are all shorter than a candidate has none; blocks with BEGIN marks may be wrapped into short lines
     longest = max(map(len, text.split()), default=0)
-    if longest >= 20:
-        base = base_spans(text)
-        more = confirmed_spans(text) if longest >= 26 else []
+    base = base_spans(text) if longest >= 20 else _assignments(text)
+    if longest >= 40:
+        more = confirmed_spans(text)
     else:
-        low = text.lower()
-        base = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6] if any(k in low for k in KEYWORDS) else []
-        more = []
+        more = _token_spans(text) if longest >= 12 and "." in text else []
+        if "-----BEGIN " in text:
+            more = more + _pem_spans(text)
     order = lambda s: (s[1], _ORDER[s[0]], s[2])
     return sorted(base, key=order), sorted({*base, *more}, key=order)
 
