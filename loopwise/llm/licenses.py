@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections import defaultdict
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -126,8 +127,8 @@ def _prepared(templates: tuple[tuple[str, str], ...], least: float):
     words, cues = {}, defaultdict(list)
     for name, text in templates:
         own = [w for w, _, _ in words_of(text)]
-        words[name] = own
         missed = int(len(own) * (1 - least) + 1e-9)
+        words[name] = own, frozenset(own), len(set(own)) - missed  # a match lacks at most so many of the different words
         taken = 0
         for w in sorted(set(own), key=lambda w: (w.decode() in COMMON, own.count(w), -len(w), w)):
             if taken > missed:
@@ -139,14 +140,47 @@ def _prepared(templates: tuple[tuple[str, str], ...], least: float):
     return words, dict(cues)
 
 
+def _windows(i: int, k: int, size: int, n: int) -> list[tuple[int, int]]:
+    """Stretches of a text of n words to align, for the template's word k at the text's word i.
+
+    The narrow one allows for a quarter of the template's ``size`` on both
+    sides; the wide one for as many words again as the template has, which is
+    all that a match may hold. The narrow one has fewer words that repeat, so
+    both are tried.
+    """
+    return [(max(0, i - k - slack), min(n, i - k + size + slack)) for slack in (max(2, size // 4), size)]
+
+
+def _pick(matches: set[tuple[int, float, int, int, str]]) -> list[tuple[int, float, int, int, str]]:
+    """Of overlapping matches (pairs, share, first, last, name) the one with more pairs, then the shorter, then the earlier."""
+    starts: list[int] = []
+    ends: list[int] = []
+    out = []
+    for m in sorted(matches, key=lambda m: (-m[0], m[3] - m[2], -m[1], m[2], m[4])):
+        at = bisect_left(starts, m[2])
+        if (at < len(starts) and starts[at] <= m[3]) or (at and ends[at - 1] >= m[2]):
+            continue
+        starts.insert(at, m[2])
+        ends.insert(at, m[3])
+        out.append(m)
+    return out
+
+
+def _characters(raw: bytes) -> np.ndarray:
+    """How many characters start before each byte of a text, and in all of it."""
+    starts = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
+    return np.concatenate(([0], np.cumsum(starts)))
+
+
 def scan_text(text: str | None, templates: tuple[tuple[str, str], ...] = tuple(TEMPLATES.items()), least: float = 0.8) -> list[tuple[str, int, int, float]]:
     """(template, start, end, coverage) of the notices in a text, in code points, none overlapping another.
 
-    Around each cue word the stretch of text that a template would take up,
-    and a quarter more on both sides, is aligned with the template; it counts
-    if ``least`` of the template's words are paired, within a stretch in which
-    at least half of the words are. Of overlapping matches the one with more
-    paired words stays.
+    Around each cue word, a narrow and a wide stretch of text (see
+    ``_windows``) are aligned with the template; a match pairs ``least`` of
+    the template's words, within a stretch in which at least half of the words
+    are paired. Stretches that lack too many of the template's different words
+    are not aligned, as they can't match. Of overlapping matches the one with
+    more paired words stays.
     """
     templates_words, cues = _prepared(templates, least)
     found = words_of(text or "")
@@ -154,29 +188,27 @@ def scan_text(text: str | None, templates: tuple[tuple[str, str], ...] = tuple(T
     if not hits:
         return []
     words = [w for w, _, _ in found]
-    tried, matches = set(), []
+    tried, matches = set(), set()
     for i in hits:
         for name, k in cues[words[i]]:
-            own = templates_words[name]
-            slack = max(2, len(own) // 4)
-            lo, hi = max(0, i - k - slack), min(len(words), i - k + len(own) + slack)
-            if (name, lo, hi) in tried:
-                continue
-            tried.add((name, lo, hi))
-            pairs = align(words[lo:hi], own)
-            if pairs and len(pairs) >= least * len(own) - 1e-9:
-                first, last = lo + pairs[0][0], lo + pairs[-1][0]
-                if 2 * len(pairs) >= last - first + 1:
-                    matches.append((len(pairs), len(pairs) / len(own), first, last, name))
-    taken: list[tuple[int, int]] = []
-    out = []
-    for _, share, first, last, name in sorted(set(matches), key=lambda m: (-m[0], -m[1], m[2], m[4])):
-        if all(last < a or first > b for a, b in taken):
-            taken.append((first, last))
-            out.append((name, found[first][1], found[last][2], share))
+            own, different, needed = templates_words[name]
+            for lo, hi in _windows(i, k, len(own), len(words)):
+                if (name, lo, hi) in tried:
+                    continue
+                tried.add((name, lo, hi))
+                if len(different.intersection(words[lo:hi])) < needed:
+                    continue
+                pairs = align(words[lo:hi], own)
+                if pairs and len(pairs) >= least * len(own) - 1e-9:
+                    first, last = lo + pairs[0][0], lo + pairs[-1][0]
+                    if 2 * len(pairs) >= last - first + 1:
+                        matches.add((len(pairs), len(pairs) / len(own), first, last, name))
+    if not matches:
+        return []
+    out = [(name, found[first][1], found[last][2], share) for _, share, first, last, name in _pick(matches)]
     if not text.isascii():
-        raw = text.encode("utf-8", "surrogatepass")
-        out = [(n, len(raw[:a].decode("utf-8", "surrogatepass")), len(raw[:b].decode("utf-8", "surrogatepass")), c) for n, a, b, c in out]
+        place = _characters(text.encode("utf-8", "surrogatepass"))
+        out = [(n, int(place[a]), int(place[b]), c) for n, a, b, c in out]
     return sorted(out, key=lambda m: (m[1], m[0]))
 
 

@@ -1,8 +1,10 @@
 """License scans: the alignment against a recursive definition, scans against planted notices and a scan without cues."""
 
 import random
+import time
 
-from loopwise.llm.licenses import TEMPLATES, _prepared, align, scan_licenses, scan_text, words_of
+import pytest
+from loopwise.llm.licenses import TEMPLATES, _prepared, _windows, align, scan_licenses, scan_text, words_of
 
 SCHEMA = "doc_id long, text string, license string"
 
@@ -70,6 +72,69 @@ def test_planted_notices():
         assert {g[0] for g in got} <= without_cues(text)
 
 
+def every_window(text, least=0.8):
+    """The scan by definition: around every word that a template has, whether it is a cue or not; matches picked one by one."""
+    found = words_of(text)
+    words = [w for w, _, _ in found]
+    matches = set()
+    for name, t in TEMPLATES.items():
+        own = [w for w, _, _ in words_of(t)]
+        for i, w in enumerate(words):
+            for k in (k for k, x in enumerate(own) if x == w):
+                for lo, hi in _windows(i, k, len(own), len(words)):
+                    pairs = align(words[lo:hi], own)
+                    if pairs and len(pairs) >= least * len(own) - 1e-9 and 2 * len(pairs) >= pairs[-1][0] - pairs[0][0] + 1:
+                        matches.add((len(pairs), lo + pairs[0][0], lo + pairs[-1][0], name))
+    out = []
+    for m in sorted(matches, key=lambda m: (-m[0], m[2] - m[1])):
+        if all(m[2] < a or m[1] > b for _, a, b, _ in out):
+            out.append(m)
+    raw = text.encode()
+    return {(name, len(raw[: found[a][1]].decode()), len(raw[: found[b][2]].decode())) for _, a, b, name in out}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_whole_scan_against_every_window(seed):
+    rnd = random.Random(seed)
+    filler = ["lorem", "ipsum", "the", "of", "Überall", "under", "and", "7", "license", "é"]
+    short = [k for k, v in TEMPLATES.items() if len(v.split()) < 40]
+    for _ in range(12):
+        parts = []
+        for _ in range(rnd.randrange(1, 4)):
+            words = TEMPLATES[rnd.choice(short)].split()
+            for _ in range(rnd.randrange(0, 1 + len(words) // 8)):
+                words[rnd.randrange(len(words))] = rnd.choice(filler)
+            at = rnd.randrange(len(words) + 1)
+            words[at:at] = rnd.choices(filler[:2], k=rnd.choice([0, 0, len(words) // 3]))
+            parts += [*rnd.choices(filler, k=rnd.randrange(12)), *words]
+        text = " ".join(parts)
+        assert {m[:3] for m in scan_text(text)} == every_window(text), text
+
+
+def test_words_put_in_between_up_to_the_rule():
+    for name, t in TEMPLATES.items():
+        words = t.split()
+        n = len(words_of(t))
+        for at in {1, len(words) // 2, len(words) - 1}:
+            for extra in (1, n // 3, n // 2, n - 1, n):
+                text = "before it " + " ".join([*words[:at], *(f"q{k}" for k in range(extra)), *words[at:]]) + " after it"
+                got = scan_text(text)
+                assert (name, 1.0) in {(m[0], m[3]) for m in got}, (name, at, extra)
+        at = len(words) // 2
+        far = " ".join([*words[:at], *(f"q{k}" for k in range(n + 1)), *words[at:]])
+        assert (name, 1.0) not in {(m[0], m[3]) for m in scan_text(far)}
+
+
+def test_long_hostile_texts():
+    notice = TEMPLATES["MIT-notice"] + " "
+    cues = [w.decode() for w in _prepared(tuple(TEMPLATES.items()), 0.8)[1]]
+    for text in (notice * 30_000, "license " * 120_000, " ".join(random.Random(1).choices(cues, k=100_000)), "é " + notice * 30_000):
+        began = time.perf_counter()
+        scan_text(text)
+        print(len(text), time.perf_counter() - began)
+        assert time.perf_counter() - began < 30
+
+
 def test_spans_and_repeats():
     mit = TEMPLATES["MIT-notice"]
     text = f"é {mit}\n{mit} x {TEMPLATES['MIT']}"
@@ -79,7 +144,7 @@ def test_spans_and_repeats():
     assert all(c == 1 for *_, c in got)
     for name, t in TEMPLATES.items():
         assert name in {g[0] for g in scan_text(t)}
-    assert all(len(w) for w in _prepared(tuple(TEMPLATES.items()), 0.8)[0].values())
+    assert all(len(w) for w, _, _ in _prepared(tuple(TEMPLATES.items()), 0.8)[0].values())
 
 
 def test_edge_rows(spark):
