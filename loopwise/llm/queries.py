@@ -80,17 +80,19 @@ def queries() -> dict[str, Query]:
 _DOCS = r"docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"
 
 _QUALITY = rf"""WITH {_DOCS},
-sized AS (SELECT *, len(w) AS n, cast(floor(greatest(100, 0.1 * len(w))) AS bigint) + 1 AS longest FROM docs),
+sized AS (SELECT *, len(w) AS n FROM docs),
 grams AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[i:i + 4], ' '))) AS c FROM sized, unnest(range(1, n - 3)) AS u(i)),
 rep AS (SELECT doc_id, count(DISTINCT j) AS n_rep FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM grams WHERE c > 1) GROUP BY doc_id),
-long_ AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM sized, unnest(range(1, n - longest + 2)) AS u(i) GROUP BY doc_id, md5(array_to_string(w[i:i + longest - 1], ' ')) HAVING count(*) > 1)),
+long_ AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM sized, unnest(range(1, n - 99)) AS u(i) GROUP BY doc_id, md5(array_to_string(w[i:i + 100], ' ')) HAVING count(*) > 1)),
+twenty AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[i:i + 19], ' '))) AS c FROM sized, unnest(range(1, n - 18)) AS u(i)),
+cover AS (SELECT doc_id, count(DISTINCT j) AS n_cover FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM twenty WHERE c > 1) GROUP BY doc_id),
 base AS (SELECT s.doc_id, n AS n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS bigint) AS word_chars,
   length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
   len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
-  coalesce(n_rep, 0) AS n_repeat_words, l.doc_id IS NOT NULL AS too_long
-  FROM sized s LEFT JOIN rep r ON r.doc_id = s.doc_id LEFT JOIN long_ l ON l.doc_id = s.doc_id)
+  coalesce(n_rep, 0) AS n_repeat_words, l.doc_id IS NOT NULL OR coalesce(n_cover, 0) > 0.1 * n AS repeats
+  FROM sized s LEFT JOIN rep r ON r.doc_id = s.doc_id LEFT JOIN long_ l ON l.doc_id = s.doc_id LEFT JOIN cover c ON c.doc_id = s.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT too_long AS kept FROM base"""
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT repeats AS kept FROM base"""
 
 _WORDS = rf"""WITH {_DOCS},
 win AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(array_to_string(w[i:i + 49], ' '))) AS first FROM docs, unnest(range(1, len(w) - 48)) AS u(i)),

@@ -34,8 +34,8 @@ def folder(spark, tmp_path_factory):
 
 def keeps(text):
     w = (text or "").split()
-    covered, longest = repeats_of(w)
-    return len(w) >= 10 and 100 * covered <= 20 * len(w) and longest <= max(100, 0.1 * len(w))
+    base, (covered, longest) = repeats_of(w)[0], repeats_of(w, 20)
+    return len(w) >= 10 and 100 * base <= 20 * len(w) and covered <= 0.1 * len(w) and longest <= 100
 
 
 def test_stages(spark, folder):

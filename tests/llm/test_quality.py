@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from loopwise.llm.quality import keep_quality, quality_rules, repeats, suffix_array
+from loopwise.llm.quality import keep_quality, lcp_intervals, per_document, quality_rules, repeats, shared_windows, suffix_array
 
 SCHEMA = "doc_id long, text string, kept string"
 
@@ -32,7 +32,44 @@ def test_repeats(seed):
             docs.append(d + d[: rnd.randrange(25)] * (rnd.random() < 0.5))
         got = repeats(np.array([w for d in docs for w in d], np.int64), np.array([len(d) for d in docs]), 5)
         assert [(c, n) for c, n in zip(got["covered"], got["longest"])] == [brute(d) for d in docs]
-        assert [m > 0 for m in got["maximal"]] == [bool(brute(d)[0]) for d in docs]
+        assert got["maximal"].tolist() == [maximal(d, 5) for d in docs]
+        flat, sizes = np.array([w for d in docs for w in d], np.int64), np.array([len(d) for d in docs])
+        assert per_document(shared_windows(flat, sizes, 3), sizes).tolist() == [len({i + k for i in range(len(d) - 2) if sum(d[i : i + 3] == d[j : j + 3] for j in range(len(d) - 2)) > 1 for k in range(3)}) for d in docs]
+
+
+def maximal(words, least):
+    """How many different substrings of ``least`` words and more occur twice, and can be made longer neither to the left nor to the right in all places."""
+    seen = {}
+    for i in range(len(words)):
+        for j in range(i + least, len(words) + 1):
+            seen.setdefault(tuple(words[i:j]), []).append((words[i - 1] if i else None, words[j] if j < len(words) else -1))
+    return sum(len(x) > 1 and len({a for a, _ in x}) > 1 and (len({b for _, b in x}) > 1 or any(b == -1 for _, b in x)) for x in seen.values())
+
+
+def test_intervals():
+    text = np.array([0, 1, 0, 1, 0, 2])  # ababac
+    sa, lcp = suffix_array(text)
+    found = {(tuple(text[sa[a] : sa[a] + n]), b - a + 1) for a, b, n in lcp_intervals(lcp, 1)}
+    assert found == {((0,), 3), ((0, 1, 0), 2), ((1, 0), 2)}
+    assert lcp_intervals(np.zeros(0, np.int64), 1).shape == (0, 3)
+
+
+def test_limits_decide_in_long_texts(spark):
+    rnd = random.Random(5)
+    word = lambda k: " ".join(f"w{rnd.randrange(10**9)}" for _ in range(k))
+    passage, short = word(900), [word(60) for _ in range(12)]
+    texts = {
+        1: word(4000) + " " + passage + " " + word(4200) + " " + passage,  # 18 % covered, one long repeat
+        2: " ".join([word(8000), *short, word(300), *short[::-1]]),  # 14 % covered by repeats of 60
+        3: " ".join([word(8000), *short[:3], word(300), *short[:3][::-1]]),  # 4 % covered
+        4: " ".join([word(2000), *(x for s in [word(8) for _ in range(20)] for x in (s, word(3), s))]),  # repeats of 8 words are no business of the limits
+    }
+    out = {r.doc_id: r for r in quality_rules(spark.createDataFrame([(k, t, None) for k, t in texts.items()], SCHEMA)).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert {k: r.kept for k, r in out.items()} == {1: False, 2: False, 3: True, 4: True}
+    assert out[1].longest_repeat == 900 and out[2].longest_repeat == 60 and out[2].n_maximal_repeats == 12 and out[4].covered_words == 0
+    few = {r.doc_id: r for r in quality_rules(spark.createDataFrame([(k, t, None) for k, t in texts.items()], SCHEMA), least_repeat=5).collect()}
+    assert {k: r.n_repeat_words for k, r in few.items()} == {k: r.n_repeat_words for k, r in out.items()}  # the base columns don't follow the parameter
 
 
 def test_suffix_array():
