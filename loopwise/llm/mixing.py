@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,79 +53,130 @@ def _bucket(feature: Column) -> Column:
     return F.pmod(F.xxhash64(feature), F.lit(BUCKETS)).cast("int")
 
 
-def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], fit_rows: int = 20_000, strength: float = 50.0, least_weight: float = 1.0) -> DataFrame:
+def calibrated(scores: list[list[float]], truth: list[int], ridge: tuple[float, float] = (0.1, 1.0)) -> tuple[float, list[float]]:
+    """(scale, shifts) that make exp(scale * score + shift) the likeliest posteriors of some held-out rows.
+
+    Multinomial logistic regression of one scale and a shift for each domain by
+    damped Newton steps; the ridge (of the scale, of the shifts) towards 1 and
+    0 decides where rows are few.
+    """
+    if not truth:
+        return 1.0, []
+    x, y = np.array(scores), np.eye(len(scores[0]))[truth]
+    at = np.concatenate(([1.0], np.zeros(x.shape[1])))
+    base, weight = at.copy(), np.concatenate(([ridge[0]], np.full(x.shape[1], ridge[1])))
+    basis = np.concatenate((x[:, :, None], np.broadcast_to(np.eye(x.shape[1]), (len(x), x.shape[1], x.shape[1]))), axis=2)  # d score / d parameter
+
+    def loss(v):
+        z = x * v[0] + v[1:]
+        top = z.max(axis=1)
+        return float((top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - (z * y).sum(axis=1)).sum() + (weight * (v - base) ** 2).sum() / 2)
+
+    for _ in range(50):
+        z = x * at[0] + at[1:]
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        slope = np.einsum("nk,nkj->j", p - y, basis) + weight * (at - base)
+        mean = np.einsum("nk,nkj->nj", p, basis)
+        curve = np.einsum("nk,nki,nkj->ij", p, basis, basis) - np.einsum("ni,nj->ij", mean, mean) + np.diag(weight)
+        move, size = np.linalg.solve(curve, slope), 1.0
+        while loss(at - size * move) > loss(at) and size > 1e-6:
+            size /= 2
+        at = at - size * move
+        if np.abs(size * move).max() < 1e-6:
+            break
+    return float(max(at[0], 0.0)), at[1:].tolist()
+
+
+def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], fit_rows: int = 20_000, strength: float = 100.0, least_weight: float = 0.2) -> DataFrame:
     """(doc_id, n_tokens, p_<domain>...) for each row of ``docs`` (doc_id, text).
 
     labelled: (doc_id, domain). The classifier is fitted on at most
     ``fit_rows`` labelled documents, the first by a hash of their id; a
-    document labelled twice counts with its first domain by name. Weights are
-    log ratios of shares of documents that have a feature bucket, shrunk to
-    the overall share with ``strength`` documents; those under
-    ``least_weight`` are dropped. Posteriors are rounded to three digits.
-    Without labelled documents all domains are alike.
+    document labelled twice counts with its first domain by name, and of rows
+    with one id one text counts. Two thirds of them give the weights: log
+    ratios of shares of documents that have a feature bucket, shrunk to the
+    overall share with ``strength`` documents (a fifth of them, if fewer); those under
+    ``least_weight`` are noise and dropped. A document's evidence for a
+    domain is the sum of its weights over the root of how many features it
+    has, as features repeat each other. The last third, by another hash,
+    calibrates the posteriors (see ``calibrated``). Posteriors are rounded to
+    three digits. Without labelled documents all domains are alike.
     """
     sample = labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     sample = materialise(sample.withColumnRenamed("doc_id", "l_id"), "labelled")  # at most fit_rows rows: bounded for the broadcast
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), F.col("doc_id") == F.col("l_id"))
+    known = known.groupBy("l_id", "domain").agg(F.min("text").alias("text")).withColumn("held", F.pmod(F.xxhash64("l_id", F.lit(3)), F.lit(3)) == 0)
     # explode_outer, as Spark would put a filter on what explode() takes, and with it the features, below the join
-    has = _with_features(known).select("domain", F.explode_outer("f").alias("f")).groupBy("domain", _bucket(F.col("f")).alias("bucket")).count()
-    # counts of a domain's documents ride along as bucket -1; at most len(domains) * BUCKETS rows
-    counts = materialise(has.unionByName(known.groupBy("domain").count().withColumn("bucket", F.lit(-1)).select("domain", "bucket", "count")), "domain-counts")
-    size = {r["domain"]: r["count"] for r in counts.where("bucket = -1").collect()}
+    has = _with_features(known).select("l_id", "domain", "held", F.explode_outer("f").alias("f"))
+    has = materialise(has.select("l_id", "domain", "held", _bucket(F.col("f")).alias("bucket")), "labelled-features")
+    per = has.where("not held").select("l_id", "domain").distinct().groupBy("domain").count()
+    size = {r["domain"]: r["count"] for r in per.collect()}  # one row for each domain
     total = max(1, sum(size.values()))
-    of = lambda d: F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("count"))), F.lit(0))
-    table = counts.where("bucket >= 0").groupBy("bucket").agg(*[of(d).alias(f"c{k}") for k, d in enumerate(domains)])
+    strength = min(strength, total / 5)  # few labels must still be able to say something
+    of = lambda d: F.count_if(F.col("domain") == d)
+    table = has.where("not held").groupBy("bucket").agg(*[of(d).alias(f"c{k}") for k, d in enumerate(domains)])
     overall = sum((F.col(f"c{k}") for k in range(len(domains))), F.lit(0.0)) / total
     logs = [F.log((F.col(f"c{k}") + strength * overall) / (size.get(d, 0) + strength)) for k, d in enumerate(domains)]
     mean = sum(logs, F.lit(0.0)) / len(domains)
     weights = table.select("bucket", *[(x - mean).alias(f"w{k}") for k, x in enumerate(logs)])
     weights = weights.where(F.greatest(*[F.abs(f"w{k}") for k in range(len(domains))]) >= least_weight)
     weights = materialise(weights, "domain-weights")  # at most BUCKETS rows
+    prior = [math.log((size.get(d, 0) + 1) / (total + len(domains))) for d in domains]
+    root = F.sqrt(F.count("*"))
+    evidence = [(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)) / root + prior[k]).alias(f"s{k}") for k in range(len(domains))]
+    held = has.where("held").join(F.broadcast(weights), "bucket", "left").groupBy("l_id", "domain").agg(*evidence).collect()  # at most fit_rows rows
+    scale, shift = calibrated([[r[f"s{k}"] for k in range(len(domains))] for r in held], [domains.index(r["domain"]) for r in held])
     each = _with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("uid")))
     each = each.select("uid", "doc_id", "n_tokens", F.explode_outer("f").alias("f")).withColumn("bucket", _bucket(F.col("f")))
-    scored = each.join(F.broadcast(weights), "bucket", "left").groupBy("uid", "doc_id", "n_tokens").agg(*[F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(domains))])
-    prior = [math.log((size.get(d, 0) + 1) / (total + len(domains))) for d in domains]
-    score = [F.col(f"s{k}") + prior[k] for k in range(len(domains))]
+    scored = each.join(F.broadcast(weights), "bucket", "left").groupBy("uid", "doc_id", "n_tokens").agg(*evidence)
+    score = [scale * F.col(f"s{k}") + (shift[k] if shift else 0.0) for k in range(len(domains))]
     top = F.greatest(*score)
     odds = [F.exp(x - top) for x in score]
     whole = sum(odds, F.lit(0.0))
     return scored.select("doc_id", "n_tokens", *[F.round(x / whole, 3).alias(f"p_{d}") for d, x in zip(domains, odds, strict=True)])
 
 
-def _step(domains: list[str], step: float, pull: float, most: float | None, keep: str | None):
-    """One projected gradient step of a rate, given the scaled residuals; at least 1 where ``keep`` is the likeliest domain."""
+def _bounds(domains: list[str], most: float | None, keep: str | None) -> tuple[Column, Column]:
+    """The least and largest rate of a row: at least 1 where ``keep`` is the likeliest domain."""
     least = F.lit(0.0) if keep is None else F.when(F.col(f"p_{keep}") >= F.greatest(*[F.col(f"p_{d}") for d in domains]), 1.0).otherwise(0.0)
+    return least, F.lit(math.inf if most is None else float(most))
 
-    def once(r, g):
-        grad = sum((F.col(f"p_{d}") * F.element_at(g, k + 1) for k, d in enumerate(domains)), pull * (r - 1.0))
-        out = F.greatest(least, r - step * grad)
-        return out if most is None else F.least(F.lit(most), out)
 
-    return once
+def _rate(domains: list[str], bounds: tuple[Column, Column], history: list[list[float]]) -> Column:
+    """The rate after the gradient steps in ``history``, from 1 on, put back into its bounds after each."""
+    if not history:
+        return F.lit(1.0)
+    least, most = bounds
 
+    def once(r, g):
+        return F.least(most, F.greatest(least, r - sum((F.col(f"p_{d}") * F.element_at(g, k + 1) for k, d in enumerate(domains)), F.lit(0.0))))
 
-def _rate(once, history: list[list[float]]) -> Column:
-    """The rate after the steps whose scaled residuals are in ``history``, from 1 on."""
-    return F.aggregate(F.array(*[F.array(*map(F.lit, x)) for x in history]), F.lit(1.0), once) if history else F.lit(1.0)
+    return F.aggregate(F.array(*[F.array(*map(F.lit, x)) for x in history]), F.lit(1.0), once)
 
 
-def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, max_rate: float | None = None, pull: float = 1e-3, tolerance: float = 2e-3, most_steps: int = 150, keep: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>..., rate): how often to take each row of ``docs`` (doc_id, text).
+def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, max_rate: float | None = None, tolerance: float = 2e-3, most_steps: int = 40, keep: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, p_<domain>..., rate, largest_miss): how often to take each row of ``docs`` (doc_id, text).
 
     targets: the share of each domain; budget: expected tokens in all (None:
     as many as there are; with ``max_rate`` at most as many as the scarcest
     domain allows; with ``keep`` as many as give that domain's tokens its share).
     A domain without tokens has share 0. With ``keep``, documents whose
     likeliest domain it is have rates of 1 and more, and the target of a domain
-    that is too scarce is what there is of it. Rates r >= 0 (and <= max_rate) minimise
-    sum_d w_d ((sum_i n_i p_id r_i) / budget - t_d)**2, w_d the inverse of
-    sum_i n_i p_id**2 / budget, plus ``pull`` times
-    the token-weighted squared distance from 1, by projected gradient steps of
-    one aggregate each. A step changes rates by their posteriors alone, so the
-    steps run over one row for each different posterior, and a document's rate
-    is the fold of its posterior over the steps' residuals. Steps end when all
-    targets are met, when no rate moves, or after ``most_steps``; a warning
-    tells which of the last two, and the shares missed.
+    that is too scarce is what there is of it.
+
+    Rates r >= 0 (and <= max_rate) minimise the squared miss of the shares
+    (sum_i n_i p_id r_i) / budget - t_d by projected gradient steps from 1 on,
+    one aggregate each. The miss is measured in the metric in which one step
+    would settle it if the rates that are free to move stayed so; a step that
+    doesn't lower the largest miss halves the next ones. A step changes rates
+    by their posteriors alone, so the steps run over one row for each
+    different posterior (rounded to three digits, so their number is bounded),
+    and a document's rate is the fold of its posterior over the steps. Steps
+    end when all targets are met within ``tolerance``, when several brought no
+    gain, or after ``most_steps``. ``largest_miss`` is the same in all rows:
+    how far the worst share is from its target; where that is over
+    ``tolerance``, a warning tells all of them.
 
     Null and empty texts have no tokens and get the rate of their posterior;
     null and repeated ids keep their rows; other columns are ignored. An empty
@@ -136,9 +188,9 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     post = materialise(domain_posteriors(docs, labelled, domains), "posteriors")
     names = [f"p_{d}" for d in domains]
     groups = materialise(post.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "posterior-groups")
-    first = groups.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col(p)).alias(p) for p in names], *[F.sum(F.col("tokens") * F.col(p) * F.col(q)).alias(f"{p} {q}") for p in names for q in names]).first()
-    history: list[list[float]] = []
-    once = _step(domains, 1.0, pull, max_rate, keep)
+    first = groups.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col(p)).alias(p) for p in names]).first()
+    bounds = _bounds(domains, max_rate, keep)
+    best: tuple[float, list[list[float]]] = (0.0, [])
     if first["all"]:
         total = float(first["all"])
         mass = {d: float(first[p]) for d, p in zip(domains, names, strict=True)}
@@ -152,24 +204,41 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
         budget = max(float(budget), 1.0)
         if keep is not None:
             share = {d: min(share[d], (max_rate or math.inf) * mass[d] / budget) for d in domains}
-        # a domain's error counts by its own squared mass, so all directions converge alike; the step is safe by the largest row sum
-        weight = {d: budget / max(first[f"p_{d} p_{d}"], 1e-6 * budget) for d in domains}
-        step = 1.0 / (max(sum(math.sqrt(weight[d] * weight[e]) * first[f"p_{d} p_{e}"] for e in domains) for d in domains) / budget + pull)
-        once = _step(domains, step, pull, max_rate, keep)
-        for _ in range(most_steps + 1):
-            rows = groups.select(*names, "tokens", _rate(once, history[:-1]).alias("before"))
-            rows = rows.withColumn("r", once(F.col("before"), F.array(*map(F.lit, history[-1]))) if history else F.col("before"))
-            got = rows.agg(F.max(F.abs(F.col("r") - F.col("before"))).alias("moved"), *[F.sum(F.col("tokens") * F.col(p) * F.col("r")).alias(p) for p in names]).first()
-            off = {d: got[f"p_{d}"] / budget - share[d] for d in domains}
-            if max(map(abs, off.values())) < tolerance:
-                break
-            settled = bool(history) and got["moved"] < tolerance / 20  # at rest: the bounds and the pull keep some target out of reach
-            if settled or len(history) == most_steps:
-                missed = ", ".join(f"{d} by {x:+.4f}" for d, x in off.items() if abs(x) >= tolerance)
-                log.warning("mixing rates %s after %d steps; shares missed: %s", "came to rest" if settled else "did NOT settle", len(history), missed)
-                break
-            history.append([weight[d] * off[d] for d in domains])
-    return post.withColumn("rate", _rate(once, history))
+        best = _descend(groups, domains, share, budget, bounds, tolerance, most_steps)
+    return post.withColumns({"rate": _rate(domains, bounds, best[1]), "largest_miss": F.lit(best[0])})
+
+
+def _descend(groups: DataFrame, domains: list[str], share: dict[str, float], budget: float, bounds: tuple[Column, Column], tolerance: float, most_steps: int) -> tuple[float, list[list[float]]]:
+    """(largest miss, steps) of the best rates found."""
+    names = [f"p_{d}" for d in domains]
+    pairs = [(i, j) for i in range(len(domains)) for j in range(i, len(domains))]
+    history: list[list[float]] = []
+    best, off, size, idle = (math.inf, []), None, 1.0, 0
+    told = {}
+    for step in range(most_steps + 1):
+        rows = groups.select(*names, "tokens", _rate(domains, bounds, history).alias("r"), bounds[0].alias("least"), bounds[1].alias("most"))
+        push = sum((F.col(p) * x for p, x in zip(names, off, strict=True)), F.lit(0.0)) if off is not None else F.lit(0.0)
+        free = ~(((F.col("r") <= F.col("least")) & (push > 0)) | ((F.col("r") >= F.col("most")) & (push < 0)))
+        moved = F.when(free, F.col("tokens")).otherwise(0)
+        got = rows.agg(*[F.sum(F.col("tokens") * F.col(p) * F.col("r")).alias(p) for p in names], *[F.sum(moved * F.col(names[i]) * F.col(names[j])).alias(f"{i} {j}") for i, j in pairs]).first()
+        off = [got[p] / budget - share[d] for p, d in zip(names, domains, strict=True)]
+        miss = max(map(abs, off))
+        if miss < 0.99 * best[0]:
+            best, idle = (miss, list(history)), 0
+            told = dict(zip(domains, off, strict=True))
+        else:
+            size, idle = max(size / 2, 0.1), idle + 1
+        if miss < tolerance or idle >= 6 or step == most_steps:
+            break
+        square = np.zeros((len(domains), len(domains)))
+        for i, j in pairs:
+            square[i, j] = square[j, i] = got[f"{i} {j}"] / budget
+        ridge = 1e-3 * np.trace(square) + 1e-9
+        history.append((size * np.linalg.solve(square + ridge * np.eye(len(domains)), np.array(off))).tolist())
+    if best[0] >= tolerance:
+        missed = ", ".join(f"{d} by {x:+.4f}" for d, x in told.items() if abs(x) >= tolerance)
+        log.warning("mixing rates %s after %d steps; shares missed: %s", "came to rest, the targets are out of reach," if idle >= 6 else "did NOT settle", step, missed)
+    return best
 
 
 def take_copies(docs: DataFrame, rates: DataFrame, seed: int = 8) -> DataFrame:

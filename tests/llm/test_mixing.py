@@ -1,11 +1,12 @@
 """Mixing: posteriors on planted domains, rates against a plain projected gradient, and copies."""
 
+import math
 import random
 import zlib
 
 import corpus_pipeline
 import pytest
-from loopwise.llm.mixing import TARGETS, domain_posteriors, label_domains, mixing_rates, take_copies
+from loopwise.llm.mixing import TARGETS, calibrated, domain_posteriors, label_domains, mixing_rates, take_copies
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, rate string"
@@ -55,13 +56,45 @@ def test_capitals_and_digits_are_seen(spark, junk):
 def test_missed_targets_are_told(spark, corpus, caplog):
     docs, labels, _ = corpus
     tables = spark.createDataFrame(docs, DOCS), label_domains(spark.createDataFrame(labels, LABELS))
-    mixing_rates(*tables, WANTED, most_steps=1)
-    assert "did NOT settle after 1 steps" in caplog.text
+    assert mixing_rates(*tables, WANTED, most_steps=0).first().largest_miss > 0.01
+    assert "did NOT settle after 0 steps" in caplog.text
     caplog.clear()
-    mixing_rates(*tables, WANTED)
+    assert mixing_rates(*tables, WANTED).first().largest_miss < 2e-3
     assert not caplog.text
-    mixing_rates(*tables, WANTED, budget=1e6, max_rate=1.0)
-    assert "came to rest" in caplog.text
+    assert mixing_rates(*tables, WANTED, budget=1e6, max_rate=1.0).first().largest_miss > 0.1
+    assert "came to rest" in caplog.text and "out of reach" in caplog.text
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_real_tables_meet_their_targets(spark, sf):
+    """The query's own targets, and those of the pipeline's stage where its documents allow them."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/{sf}/{t}.parquet") for t in ("documents", "labels"))
+    domains = label_domains(labels)
+    rows = mixing_rates(docs, domains).join(domains.groupBy("doc_id").agg(F.first("domain").alias("domain")), "doc_id", "left").collect()
+    budget = sum(r.n_tokens for r in rows)
+    for d, t in TARGETS.items():
+        assert abs(sum(r.n_tokens * r[f"p_{d}"] * r.rate for r in rows) / budget - t) < 0.01
+    assert all(r.largest_miss < 0.01 for r in rows)
+    known = [r for r in rows if r.domain]
+    names = sorted(TARGETS)
+    right = sum(max(names, key=lambda d: r[f"p_{d}"]) == r.domain for r in known)
+    assert right > 0.8 * len(known)  # the labels of these tables are noisy; the largest class is 0.75
+    for d in names:  # posteriors agree with the shares of the classes
+        assert abs(sum(r[f"p_{d}"] for r in known) - sum(r.domain == d for r in known)) < 0.1 * len(known)
+    kept = mixing_rates(docs, domains, max_rate=1.0, keep="clean").collect()
+    assert all(r.rate == 1 for r in kept if r.p_clean >= max(r.p_poor, r.p_toxic))
+    budget = sum(r.n_tokens * r.p_clean for r in kept) / TARGETS["clean"]
+    got = {d: sum(r.n_tokens * r[f"p_{d}"] * r.rate for r in kept) / budget for d in names}
+    assert abs(max(abs(got[d] - t) for d, t in TARGETS.items()) - kept[0].largest_miss) < 0.02  # what is out of reach is told
+
+
+def test_calibration():
+    rnd = random.Random(3)
+    rows = [[rnd.gauss(0, 1), rnd.gauss(0, 1)] for _ in range(4000)]
+    truth = [int(rnd.random() < 1 / (1 + math.exp(2 * (a - b) - 1))) for a, b in rows]  # scale 2, shift 1
+    scale, shift = calibrated(rows, truth)
+    assert abs(scale - 2) < 0.2 and abs(shift[1] - shift[0] - 1) < 0.2
+    assert calibrated([], []) == (1.0, []) and abs(calibrated(rows[:1], truth[:1])[0] - 1) < 1
 
 
 def plain(rows, names, share, budget, most):
