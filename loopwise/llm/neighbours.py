@@ -137,17 +137,20 @@ def _usable(v):
     return F.coalesce((F.size(v) > 0) & ~F.exists(v, lambda y: y.isNull() | F.isnan(y) | (F.abs(y) == float("inf"))) & F.exists(v, lambda y: y != 0), F.lit(False))
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard_rows: int = 8192, block_rows: int = 2048, degree: int = 32, build_width: int = 48, width: int = 128, relax: float = 1.2) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard_rows: int = 8192, degree: int = 32, build_width: int = 48, width: int = 128, relax: float = 1.2) -> DataFrame:
     """(query_id, rank, vec_id, score): the k largest inner products found for each row whose vec_id is divisible by ``every``.
 
     vectors: (vec_id, embedding). Rows without id, and vectors that are null,
     zero, or hold a null or non-finite component take no part; vectors of
     different lengths are never compared; rows that share the query's vec_id
-    are its own. Equal vectors are one node of the graph, with the k + 1
+    are its own. Rows with one vec_id and different vectors ask together: a
+    candidate counts with its largest score. Equal vectors are one node of the graph, with the k + 1
     smallest ids each (more can't be asked for). Inner product becomes distance
     by one more coordinate, which gives all points of a shard the same norm.
-    Shards hold about ``shard_rows`` nodes whatever the input; each block of
-    queries searches each shard, and each query's best are merged.
+    Shards hold about ``shard_rows`` nodes whatever the input. A shard's graph
+    stays in one task, which all queries stream through, and each query's best
+    of all shards are merged: the rows that move are queries times shards, so
+    they grow with the square of the table, but no graph is ever copied.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v")).where("vec_id is not null").where(_usable(F.col("v")))
@@ -174,48 +177,68 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, shard_rows: int =
 
     sharded = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), count).cast("int"))
     graphs = materialise(sharded.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, x binary, far binary, graph binary, entry int, ids binary, edges binary"), "graphs")
-    asked = rows.where(F.col("vec_id") % every == 0).withColumn("dim", F.size("v"))
-    blocks = {r["dim"]: -(-r["count"] // block_rows) for r in asked.groupBy("dim").count().collect()}
-    if not blocks:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-
-    def gather(table: pa.Table) -> pa.Table:
-        flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return pa.table({"dim": [table.column("dim")[0].as_py()], "block": [table.column("block")[0].as_py()], "q": [flat.tobytes()], "q_ids": [table.column("vec_id").to_numpy().tobytes()]}, schema=pa.schema([("dim", pa.int32()), ("block", pa.int32()), ("q", pa.binary()), ("q_ids", pa.binary())]))
-
-    n_blocks = F.element_at(F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]), F.col("dim"))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int")).groupBy("dim", "block").applyInArrow(gather, "dim int, block int, q binary, q_ids binary")
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), count - 1)))
+    asked = rows.where(F.col("vec_id") % every == 0).withColumn("dim", F.size("v")).withColumn("shard", F.explode(F.sequence(F.lit(0), count - 1)))
 
     def search(batches):
+        """Rows sorted by (dim, shard, nothing asked first): a graph, then its queries."""
+        at = graph = None
         for batch in batches:
-            for r in batch.to_pylist():
-                dim = r["dim"]
-                x, far = np.frombuffer(r["x"]).reshape(-1, dim), np.frombuffer(r["far"])
-                graph = np.frombuffer(r["graph"], "<i4").reshape(len(x), -1).astype(np.int64)
-                ids, edges = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["edges"], "<i8")
-                q, q_ids = np.frombuffer(r["q"]).reshape(-1, dim), np.frombuffer(r["q_ids"], np.int64)
-                wide = np.column_stack((x, far))
-                norms = (wide * wide).sum(axis=1)
-                for a in range(0, len(q), 256):
-                    own = q[a : a + 256]
-                    found, _, _ = beam_search(wide, norms, graph, r["entry"], np.column_stack((own, np.zeros(len(own)))), width)
-                    qi, col = np.nonzero(found >= 0)
-                    node = found[qi, col]
-                    score = np.einsum("ij,ij->i", own[qi], x[node])
-                    size = edges[node + 1] - edges[node]
-                    each = np.repeat(np.arange(len(node)), size)
-                    vec = ids[np.repeat(edges[node] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-                    qi, score = qi[each], score[each]
-                    other = vec != q_ids[a : a + 256][qi]
-                    qi, vec, score = qi[other], vec[other], score[other]
-                    o = np.lexsort((vec, -score, qi))
-                    qi, vec, score = qi[o], vec[o], score[o]
-                    first = np.searchsorted(qi, qi)
-                    best = np.arange(len(qi)) - first < k
-                    yield pa.RecordBatch.from_arrays([pa.array(q_ids[a : a + 256][qi[best]]), pa.array(vec[best]), pa.array(score[best])], names=["query_id", "vec_id", "score"])
-
-    pairs = asked.join(graphs, ["dim", "shard"])
-    found = pairs.repartition(max(shards.values()) * max(blocks.values()), "shard", "block").mapInArrow(search, "query_id long, vec_id long, score double").distinct()
+            dims, shards_ = batch.column("dim").to_numpy(), batch.column("shard").to_numpy()
+            edges_ = [0, *(np.flatnonzero((np.diff(dims) != 0) | (np.diff(shards_) != 0)) + 1).tolist(), len(dims)]
+            for a, b in zip(edges_, edges_[1:], strict=False):
+                part = batch.slice(a, b - a)
+                if not part.num_rows:
+                    continue
+                key = dims[a], shards_[a]
+                if part.column("x")[0].is_valid:
+                    at, graph = key, _unpacked(part.slice(0, 1).to_pylist()[0])
+                    part = part.slice(1)
+                if at != key:
+                    raise RuntimeError("queries came before their graph")
+                flat = part.column("q").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, int(dims[a]))
+                q_ids = part.column("vec_id").to_numpy(zero_copy_only=False)
+                for c in range(0, len(q_ids), 256):
+                    yield _best_of(graph, q_ids[c : c + 256], flat[c : c + 256], k, width)
+
+    nothing = {"vec_id": F.lit(None).cast("long"), "q": F.lit(None).cast("array<double>")}
+    fields = ("x", "far", "graph", "entry", "ids", "edges")
+    streams = graphs.withColumns(nothing).unionByName(asked.select("dim", "shard", "vec_id", F.col("v").alias("q")), allowMissingColumns=True)
+    streams = streams.repartition(sum(shards.values()), "dim", "shard").sortWithinPartitions("dim", "shard", F.col("vec_id").asc_nulls_first())
+    found = streams.select("dim", "shard", "vec_id", "q", *fields).mapInArrow(search, "query_id long, vec_id long, score double")
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _unpacked(row: dict) -> dict:
+    """A shard's arrays, ready to be searched."""
+    x, far = np.frombuffer(row["x"]).reshape(-1, row["dim"]), np.frombuffer(row["far"])
+    wide = np.column_stack((x, far))
+    return {
+        "x": x,
+        "wide": wide,
+        "norms": (wide * wide).sum(axis=1),
+        "graph": np.frombuffer(row["graph"], "<i4").reshape(len(x), -1).astype(np.int64),
+        "entry": row["entry"],
+        "ids": np.frombuffer(row["ids"], np.int64),
+        "edges": np.frombuffer(row["edges"], "<i8"),
+    }
+
+
+def _best_of(g: dict, q_ids: np.ndarray, own: np.ndarray, k: int, width: int) -> pa.RecordBatch:
+    """(query_id, vec_id, score): the k best of one shard for each query, without the query's own rows."""
+    found, _, _ = beam_search(g["wide"], g["norms"], g["graph"], g["entry"], np.column_stack((own, np.zeros(len(own)))), width)
+    qi, col = np.nonzero(found >= 0)
+    node = found[qi, col]
+    score = np.einsum("ij,ij->i", own[qi], g["x"][node])
+    edges = g["edges"]
+    size = edges[node + 1] - edges[node]
+    each = np.repeat(np.arange(len(node)), size)
+    vec = g["ids"][np.repeat(edges[node] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+    qi, score = qi[each], score[each]
+    other = vec != q_ids[qi]
+    qi, vec, score = qi[other], vec[other], score[other]
+    o = np.lexsort((vec, -score, qi))
+    qi, vec, score = qi[o], vec[o], score[o]
+    best = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
+    return pa.RecordBatch.from_arrays([pa.array(q_ids[qi[best]].astype(np.int64)), pa.array(vec[best]), pa.array(score[best])], names=["query_id", "vec_id", "score"])

@@ -30,7 +30,7 @@ def test_recall_over_shards(spark):
     rnd = np.random.default_rng(1)
     centres = rnd.normal(size=(8, 24))
     rows = [(i, (centres[i % 8] + rnd.normal(size=24) * (1 + i % 3)).astype(np.float32).tolist(), "x") for i in range(3000)]
-    got = collect(nearest(spark.createDataFrame(rows, SCHEMA), shard_rows=1000, block_rows=64))
+    got = collect(nearest(spark.createDataFrame(rows, SCHEMA), shard_rows=1000))
     want = brute(rows, 20, 20)
     assert got.keys() == want.keys()
     hits = [len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want]
@@ -53,5 +53,7 @@ def test_rows_that_take_no_part(spark):
     bad = [(60, None, "n"), (80, [0.0, 0.0], "z"), (100, [1.0, None], "n"), (120, [float("nan"), 1.0], "n"), (140, [float("inf"), 1.0], "i"), (None, [1.0, 1.0], "n"), (160, [], "e")]
     got = collect(nearest(spark.createDataFrame(good + bad, SCHEMA)))
     assert {v for v, _ in got[0]} == {1, 20} and 40 not in got and got.keys() == {0, 20}
+    asks_twice = collect(nearest(spark.createDataFrame([*good, (3, [9.0, -9.0], "d")], SCHEMA)))  # 20 has two vectors
+    assert dict(asks_twice[20]) == {0: 9.0, 1: 9.0, 3: 0.0}
     assert nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     assert nearest(spark.createDataFrame([(1, [1.0], "x")], SCHEMA)).count() == 0
