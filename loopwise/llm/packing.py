@@ -188,7 +188,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     repeated ids are documents of their own; other columns are ignored; an
     empty table gives an empty result. The driver gets one count for each
     length, at most ``capacity`` of them, and plans bins by minimum bin slack;
-    pieces of a length are numbered over salted groups and look up their place.
+    pieces of a length are numbered over salted groups and look up their place
+    in a table of bins, whose size depends on ``capacity`` alone.
     """
     if tokenizer is None:
         import public_tokenizers
@@ -196,7 +197,7 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
         tokenizer = public_tokenizers.path("word_bpe_49k.json")
     spark = docs.sparkSession
     cut = materialise(pieces(docs, tokenizer, capacity), "pieces")
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shuffle_partitions(spark))).cast("int"))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(shuffle_partitions(spark))).cast("int"))
     counts = materialise(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     if not histogram:
@@ -204,7 +205,8 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int
     places = spark.sparkContext.broadcast(slots(minimum_bin_slack(histogram, capacity)))
     before = counts.withColumn("base", F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1))).select("length", "salt", F.coalesce("base", F.lit(0)).alias("base"))
     within = F.row_number().over(W.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32"))
-    numbered = salted.withColumn("k", within).join(before, ["length", "salt"]).withColumn("number", F.col("base") + F.col("k") - 1)
+    # one row for each length and salt: it grows with the partitions, so it is shuffled to them, not broadcast
+    numbered = salted.withColumn("k", within).join(before.hint("shuffle_hash"), ["length", "salt"]).withColumn("number", F.col("base") + F.col("k") - 1)
 
     def place(batches):
         table = places.value
