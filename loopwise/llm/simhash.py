@@ -298,12 +298,32 @@ def simhash_components(docs: DataFrame, shingle: int = 3, budget: int = 3) -> Da
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
     prints = materialise(docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, fp long"), "fingerprints")
-    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
+    nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")), "nodes")
     roots = components(link_edges(nodes.select("fp"), budget))
-    labelled = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    labelled = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", "n", F.coalesce("root", "fp").alias("root"))
     least = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = materialise(labelled.join(least, "root").select("fp", "component_id"), "labels")
-    return prints.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = materialise(labelled.join(least, "root").select("fp", "component_id", "n"), "labels")
+    labels = _with_labels(prints, of)
+    return labels.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_labels(prints: DataFrame, of: DataFrame, most: int = 100_000, hot_rows: int = 1_000_000) -> DataFrame:
+    """``prints`` (doc_id, fp) with the component_id of their fingerprint in ``of`` (fp, component_id, n rows).
+
+    Fingerprints of more than ``most`` rows, such as that of all empty texts,
+    would meet in one task each: their labels are broadcast. They are rows of
+    16 bytes, and ``most`` goes up with the table so that there can't be more
+    than ``hot_rows`` of them.
+    """
+    rows = of.agg(F.sum("n")).first()[0] or 0
+    most = max(most, rows // hot_rows)
+    hot = of.where(F.col("n") > most).select("fp", "component_id")
+    cold = of.where(F.col("n") <= most).select("fp", "component_id")
+    if hot.isEmpty():
+        return prints.join(cold, "fp")
+    of_hot = prints.join(F.broadcast(hot.withColumnRenamed("component_id", "_hot").withColumn("_is_hot", F.lit(True))), "fp", "left")
+    there = of_hot.where("_is_hot").select("doc_id", "fp", F.col("_hot").alias("component_id"))
+    return there.unionByName(of_hot.where("_is_hot is null").select("doc_id", "fp").join(cold, "fp").select("doc_id", "fp", "component_id"))
 
 
 def near_dedup(docs: DataFrame, shingle: int = 3, budget: int = 3) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from loopwise.llm import simhash
 from loopwise.llm.simhash import _bring_forward, _undo, components, fingerprints, link_edges, near_dedup, simhash_components, trie_links
@@ -111,6 +112,17 @@ def test_documents(spark):
     assert sorted(r.doc_id for r in near_dedup(spark.createDataFrame(unique, SCHEMA)).collect()) == sorted(set(roots))
 
 
+def test_hot_fingerprints_are_spread(spark):
+    prints = spark.createDataFrame([(i, i % 7 and i) for i in range(60)] + [(None, 0)], "doc_id long, fp long")
+    of = prints.groupBy("fp").agg(F.count("*").alias("n")).withColumn("component_id", F.col("fp") * 10)
+    want = sorted((r.doc_id or -1, r.fp * 10) for r in prints.collect())
+    for most in (1, 5, 100):
+        rows = simhash._with_labels(prints, of, most=most).collect()
+        assert sorted((r.doc_id or -1, r.component_id) for r in rows) == want
+    rows = simhash._with_labels(prints, of, most=1, hot_rows=2)  # never more than hot_rows labels
+    assert sorted((r.doc_id or -1, r.component_id) for r in rows.collect()) == want
+
+
 def test_empty(spark):
     assert simhash_components(spark.createDataFrame([], SCHEMA)).count() == 0
     assert near_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
