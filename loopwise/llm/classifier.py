@@ -8,9 +8,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import split_table
+from .common import materialise, split_table
 
 BUCKETS = 1 << 16
 STATISTICS = 12
@@ -151,13 +152,16 @@ def _remainder(doc_id):
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = 8000) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = 8000, fit_features: int = 8_000_000) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs`` (doc_id, text, n_chars if there).
 
     labels: (doc_id, quality). The machine is fitted on at most ``fit_rows``
     labelled rows that aren't held out (crc32 of doc_id as text, mod 3, is not
-    1), the first by a hash of their id; an id labelled twice counts once, by
-    its larger label. A null doc_id is never held out. Null and empty texts
+    1), the first by a hash of their id, and of these on as many as have
+    ``fit_features`` features together, so that what the driver gets is
+    bounded (12 bytes a feature) however long the texts; an id labelled twice
+    counts once, by its larger label, and of several rows with one id the
+    least text counts. A null doc_id is never held out. Null and empty texts
     get the score of their statistics. Repeated ids keep their rows; other
     columns are ignored; an empty table gives an empty result.
     """
@@ -172,13 +176,16 @@ def quality_scores(docs: DataFrame, labels: DataFrame, fit_rows: int = 8000) ->
                 x = features(part.column("text").to_pylist(), part.column("n_chars").to_pylist())
                 cuts = list(zip(x.edges, x.edges[1:], strict=False))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("label"), pa.array([x.index[a:b].astype("<i4").tobytes() for a, b in cuts], pa.binary()), pa.array([x.value[a:b].astype("<f4").tobytes() for a, b in cuts], pa.binary())],
-                    names=["doc_id", "label", "index", "value"],
+                    [part.column("doc_id"), part.column("label"), pa.array(np.diff(x.edges), pa.int64()), pa.array([x.index[a:b].astype("<i4").tobytes() for a, b in cuts], pa.binary()), pa.array([x.value[a:b].astype("<f4").tobytes() for a, b in cuts], pa.binary())],
+                    names=["doc_id", "label", "size", "index", "value"],
                 )
 
-    # bounded by fit_rows: the ids for the broadcast, and the rows that the driver gets
-    sample = base.join(F.broadcast(known), F.col("doc_id") == F.col("l_id")).select("doc_id", "label", "text", "n_chars")
-    got = sample.mapInArrow(prepare, "doc_id long, label int, index binary, value binary").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    # bounded by fit_rows: the ids for the broadcast, and one row for each of them
+    sample = base.join(F.broadcast(known), F.col("doc_id") == F.col("l_id")).groupBy("doc_id", "label").agg(F.min(F.struct("text", "n_chars")).alias("row")).select("doc_id", "label", "row.*")
+    ready = materialise(sample.mapInArrow(prepare, "doc_id long, label int, size long, index binary, value binary"), "labelled-features")
+    so_far = F.sum("size").over(W.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, 0))  # over ids and sizes, at most fit_rows rows
+    chosen = ready.select("doc_id", "size").withColumn("so_far", so_far).where(F.col("so_far") <= fit_features).select("doc_id")
+    got = ready.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "label", "index", "value").toArrow().sort_by([("doc_id", "ascending")])
     index, value = (got.column(k).to_pylist() for k in ("index", "value"))
     x = Sparse(np.frombuffer(b"".join(index), "<i4").astype(np.int64), np.frombuffer(b"".join(value), "<f4").astype(np.float64), np.concatenate(([0], np.cumsum([len(v) // 4 for v in index]))).astype(np.int64))
     machine = spark.sparkContext.broadcast(fit(x, got.column("label").to_numpy().astype(np.float64)))

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from loopwise.llm import classifier
 from loopwise.llm.classifier import BUCKETS, STATISTICS, Machine, features, fit, quality_scores
 
 DOCS = "doc_id long, text string, n_chars long, score string"
@@ -53,6 +54,22 @@ def test_held_out_labels_are_not_learnt(spark):
     assert a == b
 
 
+def test_what_the_driver_gets_is_bounded(spark, monkeypatch):
+    docs, labels = corpus(200)
+    docs += [(0, "again " * 50, 300, None)] * 100  # a labelled id that repeats counts once
+    d, lab = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+    seen = []
+    whole = classifier.fit
+    monkeypatch.setattr(classifier, "fit", lambda x, y: seen.append((len(y), len(x.index))) or whole(x, y))
+    quality_scores(d, lab)
+    ids = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(200))
+    assert seen[-1][0] == ids
+    quality_scores(d, lab, fit_features=1000)
+    assert 0 < seen[-1][1] <= 1000 and 0 < seen[-1][0] < ids
+    quality_scores(d, lab, fit_rows=10)
+    assert seen[-1][0] == 10
+
+
 def test_edge_rows(spark):
     docs = [(1, None, None, "x"), (None, "", 5, "x"), (3, "w " * 300_000, None, "x"), (3, "a b", 3, "x"), (4, "c d", 3, "y")]
     labels = [(3, 1, 0), (3, 0, 0), (4, None, 0), (None, 1, 0), (1, 0, 1)]
