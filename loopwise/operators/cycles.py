@@ -1,26 +1,35 @@
-"""Simple directed trade cycles, by joins of growing paths with the edges.
+"""Simple directed trade cycles, by joins of path halves.
 
-A path starts at its smallest company, so each cycle comes once for each
-combination of its months. Paths of k edges are closed by one equi-join on
-(last, first) and extended by one on the last company; balance and time never
-rise when an edge is added, so a path under the bound is dropped as it grows.
+A cycle starts at its smallest company, so it comes once for each combination
+of its months. It is a front, a path from that company, and a back, a path to
+it, that meet in one equi-join on both ends; fronts and backs grow by one edge
+a level, to half the longest cycle. Balance and time never rise when an edge
+is added, so a half under the bound is dropped as it grows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import month_index
 from ..scratch import materialise
 from .edges import seeds, trim_to_core, window_of
-from .score import balance_of, components_of, time_of
+from .score import RED, W_HIDDEN, W_RISKY, W_VAT, balance_of, components_of, flagged_members, time_of
 
 
 def _edge() -> F.Column:
     return F.struct(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst"), "period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"))
 
 
+def _fact() -> F.Column:
+    """What a path keeps of an edge beside its companies."""
+    return F.struct("period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"))
+
+
 def reach_layers(edges: DataFrame, max_hops: int, targets: DataFrame | None = None) -> DataFrame:
     """(src, dst, depth): the fewest hops, up to ``max_hops``, from src to each dst (of ``targets`` (mst) where given)."""
     hops = edges.select(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst")).distinct()
@@ -37,6 +46,63 @@ class CyclesCut(RuntimeError):
     """The paths of a level exceed the row budget."""
 
 
+#: What a path knows of all its edges: how two parts are put together, and what one edge has.
+_RANGE = {"mn": F.least, "mx": F.greatest, "lo": F.least, "hi": F.greatest, "risk": F.greatest, "many": F.greatest, "linked": F.concat}
+_OF_EDGE = {"mn": "total_amount", "mx": "total_amount", "lo": "month", "hi": "month", "risk": "e_risk", "many": "e_many", "linked": "e_linked"}
+_FEW = 32  # hidden links of a company that a path carries along
+
+
+def _with_signals(edges: DataFrame, hidden: DataFrame | None, risky: DataFrame | None) -> DataFrame:
+    """Edges with what is known of their sellers: e_risk (0 or 1), e_linked (companies linked to it in secret) and e_many (1: too many of them to carry).
+
+    Each company of a cycle is the seller of one of its edges, so the signals of a path are those of its edges.
+    """
+    none = F.array().cast("array<string>")
+    rows = edges if risky is None else edges.join(risky.select(F.col("mst").alias("seller_mst"), F.lit(1).alias("risk")).distinct(), "seller_mst", "left")
+    if hidden is not None:
+        both = hidden.select("company_a", "company_b").unionByName(hidden.select(F.col("company_b").alias("company_a"), F.col("company_a").alias("company_b"))).distinct()
+        few = both.withColumn("_n", F.row_number().over(W.partitionBy("company_a").orderBy("company_b"))).where(F.col("_n") <= _FEW + 1)
+        links = few.groupBy(F.col("company_a").alias("seller_mst")).agg(F.collect_list("company_b").alias("linked"))
+        rows = rows.join(links, "seller_mst", "left")
+    have = lambda c, other: F.coalesce(F.col(c), other) if c in rows.columns else other
+    many = F.size(have("linked", none)) > _FEW
+    return rows.withColumns({"e_risk": have("risk", F.lit(0)), "e_many": many.cast("int"), "e_linked": F.when(many, none).otherwise(have("linked", none))}).drop("risk", "linked")
+
+
+def _within(rows: DataFrame, bound: float | Column) -> DataFrame:
+    return rows.where(balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi")) >= bound)
+
+
+def _first_level(edges: DataFrame, front: bool) -> DataFrame:
+    """Edges as paths (low, far, members, facts, ranges): low is the smallest company, far the other end; a back's members leave low out."""
+    low, far = ("seller_mst", "buyer_mst") if front else ("buyer_mst", "seller_mst")
+    members = F.array(low, far) if front else F.array(far)
+    return edges.where(F.col(low) < F.col(far)).select(F.col(low).alias("low"), F.col(far).alias("far"), members.alias("members"), F.array(_fact()).alias("facts"), *[F.col(c).alias(k) for k, c in _OF_EDGE.items()])
+
+
+def _longer(paths: DataFrame, edges: DataFrame, front: bool, bound: float) -> DataFrame:
+    """Paths with one more edge at their far end."""
+    at, new = ("seller_mst", "buyer_mst") if front else ("buyer_mst", "seller_mst")
+    joined = paths.join(edges, (F.col("far") == F.col(at)) & (F.col(new) > F.col("low")) & ~F.array_contains("members", F.col(new)))
+    grow = (lambda c, x: F.concat(c, F.array(x))) if front else (lambda c, x: F.concat(F.array(x), c))
+    rows = joined.select("low", F.col(new).alias("far"), grow(F.col("members"), F.col(new)).alias("members"), grow(F.col("facts"), _fact()).alias("facts"), *[f(k, _OF_EDGE[k]).alias(k) for k, f in _RANGE.items()])
+    return _within(rows, bound)
+
+
+def _closed(fronts: DataFrame, backs: DataFrame, hops: int, bound: float, signals: bool) -> DataFrame:
+    """(members, edges, hop_len) of the fronts and backs that meet at both ends and nowhere else; with ``signals`` those that can be red."""
+    names = ("members", "facts", *_RANGE)
+    other = backs.select("low", "far", *[F.col(c).alias(f"b_{c}") for c in names])
+    rest = F.slice("b_members", 2, hops)  # a back's first member is the front's last
+    joined = fronts.join(other, ["low", "far"]).where(~F.arrays_overlap("members", rest))
+    rows = joined.select(F.concat("members", rest).alias("members"), F.concat("facts", "b_facts").alias("facts"), *[f(k, f"b_{k}").alias(k) for k, f in _RANGE.items()])
+    # a pair of members is hidden, or may be: within_member_bound looks again
+    pair = (F.col("many") > 0) | F.arrays_overlap("members", "linked")
+    need = RED - W_VAT - F.when(pair, W_HIDDEN).otherwise(0.0) - W_RISKY * F.col("risk")
+    edge = lambda f, i: F.struct(F.col("members")[i].alias("src"), F.col("members")[(i + 1) % hops].alias("dst"), f["period"].alias("period"), f["amount"].alias("amount"), f["vat"].alias("vat"))
+    return _within(rows, F.greatest(need, F.lit(bound)) if signals else bound).select("members", F.transform("facts", edge).alias("edges"), F.lit(hops).alias("hop_len"))
+
+
 def enumerate_cycles(
     trades: DataFrame,
     period_from: int,
@@ -45,57 +111,66 @@ def enumerate_cycles(
     min_hops: int = 3,
     bound: float = 50.0,
     row_budget: int | None = None,
-    trim_rounds: int = 2,
+    trim_rounds: int = 1,
     only: int | None = None,
+    time_budget_s: float | None = None,
+    hidden: DataFrame | None = None,
+    risky: DataFrame | None = None,
 ) -> DataFrame:
     """(members, edges, hop_len, truncated): every cycle of min_hops..max_hops companies with balance + time >= bound.
 
     members start with the smallest key; edges[i] leads from members[i] to the
-    next. With ``row_budget`` a level of more open paths is not extended, and
-    all rows say truncated. ``only`` keeps cycles of one length.
+    next. A level of more than ``row_budget`` paths is not made longer, and no
+    level is begun after ``time_budget_s`` seconds; then cycles that would need
+    it are lacking, and all rows say truncated. ``only`` keeps one length.
+    With ``hidden`` (company_a, company_b) or ``risky`` (mst), cycles that
+    can't be red by their members' signals are dropped as they close.
     """
+    began = time.monotonic()
+    signals = hidden is not None or risky is not None
     edges = window_of(trades, period_from, period_to).select("seller_mst", "buyer_mst", "period", "total_amount", "total_vat", month_index(F.col("period")).alias("month"))
-    edges = trim_to_core(materialise(edges, "window"), trim_rounds)
-    paths = edges.where("buyer_mst > seller_mst").select(
-        F.col("seller_mst").alias("start"),
-        F.col("buyer_mst").alias("last"),
-        F.array("seller_mst", "buyer_mst").alias("members"),
-        F.array(_edge()).alias("edges"),
-        *[F.col("total_amount").alias(c) for c in ("mn", "mx")],
-        *[F.col("month").alias(c) for c in ("lo", "hi")],
-    )
+    edges = trim_to_core(materialise(_with_signals(edges, hidden, risky), "window"), trim_rounds)
+    lengths = [only] if only is not None else list(range(max(2, min_hops), max_hops + 1))
+    levels: dict[tuple[bool, int], DataFrame | None] = {(f, 1): _first_level(edges, f) for f in (True, False)}
     truncated, found = False, []
 
-    def step(joined: DataFrame) -> DataFrame:
-        return joined.select(
-            "start",
-            F.col("buyer_mst").alias("last"),
-            F.col("members"),
-            F.concat("edges", F.array(_edge())).alias("edges"),
-            F.least("mn", "total_amount").alias("mn"),
-            F.greatest("mx", "total_amount").alias("mx"),
-            F.least("lo", "month").alias("lo"),
-            F.greatest("hi", "month").alias("hi"),
-        ).where(balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi")) >= bound)
-
-    for hops in range(2, max_hops + 1):
-        # the path so far has hops - 1 edges
-        if hops >= min_hops and (only is None or hops == only):
-            closed = step(paths.join(edges, (F.col("last") == F.col("seller_mst")) & (F.col("start") == F.col("buyer_mst"))))
-            found.append(closed.select("members", "edges", F.lit(hops).alias("hop_len")))
-        if hops == max_hops or hops == only:
-            break
-        if row_budget is not None and paths.limit(row_budget + 1).count() > row_budget:
+    def level(front: bool, n: int) -> DataFrame | None:
+        """Fronts or backs of n edges; None where a budget forbids them."""
+        if (front, n) not in levels:
+            before, out = level(front, n - 1), None
+            spent = time_budget_s is not None and time.monotonic() - began > time_budget_s
+            if before is not None and not spent and (row_budget is None or before.limit(row_budget + 1).count() <= row_budget):
+                out = _longer(before, edges, front, bound)
+                if sum(n <= ((h + 1) // 2 if front else h // 2) for h in lengths) > 1:  # read more than once
+                    out = materialise(out, "fronts" if front else "backs")
+            levels[front, n] = out
+        return levels[front, n]
+
+    for hops in lengths:
+        fronts, backs = level(True, (hops + 1) // 2), level(False, hops // 2)
+        if fronts is None or backs is None:
             truncated = True
             break
-        longer = paths.join(edges, (F.col("last") == F.col("seller_mst")) & (F.col("buyer_mst") > F.col("start")) & ~F.array_contains("members", F.col("buyer_mst")))
-        paths = materialise(step(longer).withColumn("members", F.concat("members", F.array("last"))), "paths")
-    out = found[0] if found else paths.select("members", "edges", F.lit(0).alias("hop_len")).limit(0)
+        found.append(_closed(fronts, backs, hops, bound, signals))
+    out = found[0] if found else _closed(levels[True, 1], levels[False, 1], 2, bound, signals).limit(0)
     for x in found[1:]:
         out = out.unionByName(x)
     return out.withColumn("truncated", F.lit(truncated))
 
 
+def within_member_bound(found: DataFrame, hidden: DataFrame | None, risky: DataFrame | None) -> DataFrame:
+    """Those of ``found`` that can be red: balance + time >= 50, less 25 with a hidden pair among the members and 15 with a company at risk."""
+    need = F.lit(RED - W_VAT)
+    found = materialise(found, "cycles")  # read by each signal
+    rows = found.withColumn("cycle_id", F.array_join("members", "|"))
+    for name, signal, points in (("_hidden", hidden, W_HIDDEN), ("_risky", risky, W_RISKY)):
+        if signal is not None:
+            rows = rows.join(flagged_members(found, signal, name), "cycle_id", "left")
+            need = need - F.when(F.col(name), points).otherwise(0.0)
+    parts = components_of(F.col("edges"))
+    return rows.where(parts["score_balance"] + parts["score_time"] >= need).select(*found.columns)
+
+
 def fixed_hop_cycles(trades: DataFrame, period_from: int, period_to: int, hops: int, most_seeds: int | None = None, per_seed: int | None = None) -> DataFrame:
     """(members, edges, hop_len) of cycles through each seed, one for each member that is a seed; no bound.
 
@@ -110,8 +185,6 @@ def fixed_hop_cycles(trades: DataFrame, period_from: int, period_to: int, hops:
     closed = closed.select("members", F.concat("edges", F.array(_edge())).alias("edges"), F.lit(hops).alias("hop_len"))
     if per_seed is None:
         return closed
-    from pyspark.sql import Window as W
-
     order = W.partitionBy(F.col("members")[0]).orderBy("members", F.transform("edges", lambda e: e["period"]))
     return closed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_seed).drop("_n")
 

@@ -65,7 +65,7 @@ def seed_summary(trades: DataFrame) -> DataFrame:
     ).withColumn("pruned_share", F.try_divide((F.col("n_participants") - F.col("n_seeds")).cast("double"), F.col("n_participants")))
 
 
-def trim_to_core(trades: DataFrame, rounds: int = 2) -> DataFrame:
+def trim_to_core(trades: DataFrame, rounds: int = 1) -> DataFrame:
     """Edges whose seller also buys and whose buyer also sells, again and again: what is dropped lies on no cycle."""
     for _ in range(rounds):
         sells = trades.select(F.col("seller_mst").alias("k")).distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import month_index
+from ..scratch import materialise
 
 W_BALANCE, W_TIME, W_HIDDEN, W_RISKY, W_VAT = 30.0, 20.0, 25.0, 15.0, 10.0
 RED, WATCH = 60.0, 40.0
@@ -49,28 +50,27 @@ def prune_bound(has_hidden: bool, has_risky: bool, no_prune: bool = False) -> fl
     return RED - W_VAT - (W_HIDDEN if has_hidden else 0.0) - (W_RISKY if has_risky else 0.0)
 
 
-def score_cycles(cycles: DataFrame, hidden: DataFrame | None = None, risky: DataFrame | None = None) -> DataFrame:
-    """All scores of deduplicated cycles (members, edges, hop_len).
+def flagged_members(cycles: DataFrame, signal: DataFrame, name: str) -> DataFrame:
+    """(cycle_id, ``name`` = true) of cycles with a member of ``signal`` (mst), or a pair of them in it (company_a < company_b).
 
-    Member pairs and members are exploded and joined to the signals by key; the
-    number of rows is that of cycles times pairs of at most max_hops members.
+    Members are exploded once for each different list of them and joined to
+    the signal by key; the rows are cycles times members or pairs of members.
     """
-    rows = cycles.withColumn("cycle_id", F.array_join("members", "|")).withColumns(components_of(F.col("edges")))
+    members = cycles.select(F.array_join("members", "|").alias("cycle_id"), "members").distinct().select("cycle_id", "members", F.explode("members").alias("mst"))
+    if "company_a" in signal.columns:
+        pairs = members.select("cycle_id", F.col("mst").alias("company_a"), F.explode("members").alias("company_b")).where("company_a < company_b")
+        hit = pairs.join(signal, ["company_a", "company_b"], "left_semi")
+    else:
+        hit = members.join(signal, "mst", "left_semi")
+    return hit.select("cycle_id").distinct().withColumn(name, F.lit(True))
 
-    def flagged(exploded: DataFrame, signal: DataFrame, on: list[str], name: str) -> DataFrame:
-        return exploded.join(signal, on, "left_semi").select("cycle_id").distinct().withColumn(name, F.lit(True))
 
-    if hidden is not None:
-        members = cycles.select(F.array_join("members", "|").alias("cycle_id"), "members", F.explode("members").alias("x"))
-        pairs = members.select("cycle_id", "x", F.explode("members").alias("y")).where("x < y").select("cycle_id", F.col("x").alias("company_a"), F.col("y").alias("company_b"))
-        rows = rows.join(flagged(pairs, hidden, ["company_a", "company_b"], "_hidden"), "cycle_id", "left")
-    else:
-        rows = rows.withColumn("_hidden", F.lit(None).cast("boolean"))
-    if risky is not None:
-        members = cycles.select(F.array_join("members", "|").alias("cycle_id"), F.explode("members").alias("mst"))
-        rows = rows.join(flagged(members, risky, ["mst"], "_risky"), "cycle_id", "left")
-    else:
-        rows = rows.withColumn("_risky", F.lit(None).cast("boolean"))
+def score_cycles(cycles: DataFrame, hidden: DataFrame | None = None, risky: DataFrame | None = None) -> DataFrame:
+    """All scores of deduplicated cycles (members, edges, hop_len)."""
+    cycles = materialise(cycles, "best-cycles")  # read by each signal
+    rows = cycles.withColumn("cycle_id", F.array_join("members", "|")).withColumns(components_of(F.col("edges")))
+    for name, signal in (("_hidden", hidden), ("_risky", risky)):
+        rows = rows.withColumn(name, F.lit(None).cast("boolean")) if signal is None else rows.join(flagged_members(cycles, signal, name), "cycle_id", "left")
     rows = rows.withColumn("score_hidden_link", F.when(F.col("_hidden"), F.lit(W_HIDDEN)).otherwise(F.lit(0.0))).withColumn("score_risky_member", F.when(F.col("_risky"), F.lit(W_RISKY)).otherwise(F.lit(0.0)))
     three = F.col("score_balance") + F.col("score_time") + F.col("score_vat")
     one = lambda c: F.bround(c, 1)

@@ -26,6 +26,7 @@ class Settings:
     method: str = "dfs"
     bound: float | None = None
     row_budget: int | None = None
+    time_budget_s: float | None = None
     seeds: int = 5000
     per_seed: int | None = None
     threshold: float = score.WATCH
@@ -66,7 +67,10 @@ def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
             rows = rows.unionByName(x)
         truncated = s.per_seed is not None
     elif s.method == "dfs":
-        rows = cycles.enumerate_cycles(trades, s.period_from, s.period_to, s.max_hops, bound=bound, row_budget=s.row_budget)
+        signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None else {}
+        rows = cycles.enumerate_cycles(trades, s.period_from, s.period_to, s.max_hops, bound=bound, row_budget=s.row_budget, time_budget_s=s.time_budget_s, **signals)
+        if signals:
+            rows = cycles.within_member_bound(rows, **signals)
         truncated = None
     else:
         raise ValueError(f"unknown method: {s.method}")

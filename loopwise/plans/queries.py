@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import contract, cycles, edges, flags, links, metrics, score
+from ..scratch import materialise
 from ..sources import lake, testbed
 from ..sources.testbed import PERIOD_FROM as FROM
 from ..sources.testbed import PERIOD_TO as TO
@@ -31,17 +32,28 @@ def query(sql: str | None = None, *views: str):
     return add
 
 
+FIRST, LAST = 0, 999912  # all months
+
+
 def _window(t: Tables) -> DataFrame:
     return edges.window_of(t["trades"], FROM, TO)
 
 
-W_SQL = f"w AS (SELECT * FROM trades WHERE period BETWEEN {FROM} AND {TO})"
+def _every(t: Tables) -> DataFrame:
+    return edges.window_of(t["trades"], FIRST, LAST)
+
+
+W_SQL = f"w AS MATERIALIZED (SELECT * FROM trades WHERE period BETWEEN {FROM} AND {TO})"
 
 
 def _and_w(sql: str) -> str:
     return f"SELECT * FROM (WITH {W_SQL} {sql})"
 
 
+def _and_all(sql: str) -> str:
+    return f"SELECT * FROM (WITH w AS MATERIALIZED (SELECT * FROM trades) {sql})"
+
+
 # -- ingest ---------------------------------------------------------------------
 
 
@@ -266,17 +278,17 @@ def external_entities_anti(t):
 _SEEDS = "SELECT seller_mst AS mst FROM w INTERSECT SELECT buyer_mst FROM w"
 
 
-@query(_and_w(_SEEDS), "trades")
+@query(_and_all(_SEEDS), "trades")
 def sellers_intersect_buyers(t):
-    return edges.seeds(_window(t))
+    return edges.seeds(_every(t))
 
 
 @query(
-    _and_w(f"SELECT p AS n_participants, s AS n_seeds, cast(p - s AS double) / p AS pruned_share FROM (SELECT (SELECT count(*) FROM (SELECT seller_mst FROM w UNION SELECT buyer_mst FROM w)) AS p, (SELECT count(*) FROM ({_SEEDS})) AS s)"),
+    _and_all(f"SELECT p AS n_participants, s AS n_seeds, cast(p - s AS double) / p AS pruned_share FROM (SELECT (SELECT count(*) FROM (SELECT seller_mst FROM w UNION SELECT buyer_mst FROM w)) AS p, (SELECT count(*) FROM ({_SEEDS})) AS s)"),
     "trades",
 )
 def seed_summary(t):
-    return edges.seed_summary(_window(t))
+    return edges.seed_summary(_every(t))
 
 
 # -- scalar functions -----------------------------------------------------------------
@@ -405,24 +417,30 @@ def score_components(t):
     return _best(t).select(F.array_join("members", "|").alias("cycle_id"), F.round(parts["score_balance"], 6).alias("balance"), parts["score_time"].alias("time"), parts["score_vat"].alias("vat"))
 
 
-_SCORED = (
-    f"SELECT b.cycle_id, b.members, b.hop_len, b.periods, b.amounts, CASE WHEN h.cycle_id IS NULL THEN 0.0 ELSE 25.0 END AS score_hidden_link, CASE WHEN r.cycle_id IS NULL THEN 0.0 ELSE 15.0 END AS score_risky_member, "
-    "round_even(b.balance, 1) AS score_balance, b.time_ AS score_time, b.vat AS score_vat, "
-    "round_even(b.balance + b.time_ + b.vat, 1) AS score_60, round_even(b.balance + b.time_ + CASE WHEN h.cycle_id IS NULL THEN 0.0 ELSE 25.0 END + CASE WHEN r.cycle_id IS NULL THEN 0.0 ELSE 15.0 END + b.vat, 1) AS score "
-    f"FROM best b LEFT JOIN (SELECT DISTINCT cycle_id FROM (SELECT a.cycle_id, a.x, b.x AS y FROM (SELECT cycle_id, unnest(members) AS x FROM best) a JOIN (SELECT cycle_id, unnest(members) AS x FROM best) b ON a.cycle_id = b.cycle_id AND a.x < b.x) p "
-    f"JOIN ({_P_ADDR}) q ON q.company_a = p.x AND q.company_b = p.y) h ON h.cycle_id = b.cycle_id "
-    f"LEFT JOIN (SELECT DISTINCT cycle_id FROM (SELECT cycle_id, unnest(members) AS x FROM best) WHERE x IN ({_RISKY})) r ON r.cycle_id = b.cycle_id"
-)
+# Cycles of 3 to 5 companies that can be red: the bound falls by 25 with a hidden pair among the members and by 15 with one at risk.
+_RAW = " UNION ALL ".join(f"SELECT cycle_id, members, periods, amounts, balance, time_, vat, hop_len FROM ({_cycle_sql(k, 10.0)})" for k in (3, 4, 5))
+_SCORED = f"""raw AS MATERIALIZED ({_RAW}),
+  lists AS MATERIALIZED (SELECT DISTINCT cycle_id, members FROM raw),
+  member AS MATERIALIZED (SELECT cycle_id, unnest(members) AS x FROM lists),
+  h AS MATERIALIZED (SELECT DISTINCT a.cycle_id, 25.0 AS hidden FROM ({_P_ADDR}) q JOIN member a ON a.x = q.company_a JOIN member b ON b.x = q.company_b AND b.cycle_id = a.cycle_id),
+  r AS MATERIALIZED (SELECT DISTINCT cycle_id, 15.0 AS risk FROM member WHERE x IN ({_RISKY})),
+  near AS MATERIALIZED (SELECT raw.*, coalesce(hidden, 0.0) AS hidden, coalesce(risk, 0.0) AS risk FROM raw LEFT JOIN h USING (cycle_id) LEFT JOIN r USING (cycle_id)
+    WHERE balance + time_ >= 50 - coalesce(hidden, 0.0) - coalesce(risk, 0.0)),
+  best AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cycle_id ORDER BY balance + time_ + vat DESC, periods, amounts) AS n FROM near) WHERE n = 1),
+  scored AS MATERIALIZED (SELECT cycle_id, members, hop_len, periods, amounts, hidden AS score_hidden_link, risk AS score_risky_member, round_even(balance, 1) AS score_balance, time_ AS score_time, vat AS score_vat,
+    round_even(balance + time_ + vat, 1) AS score_60, round_even(balance + time_ + hidden + risk + vat, 1) AS score FROM best)"""
 
 
 def _and_scored(sql: str) -> str:
-    return f"SELECT * FROM (WITH {W_SQL}, best AS ({_BEST}), scored AS ({_SCORED}) {sql})"
+    return f"SELECT * FROM (WITH {W_SQL}, {_SCORED} {sql})"
 
 
 def _scored(t: Tables) -> DataFrame:
-    """All red cycles of 3 to 5 companies: the search has the bound of both signals, as in plans.circular; the SQL still has 3 and 4 companies at bound 50."""
-    found = cycles.best_combinations(cycles.enumerate_cycles(t["trades"], FROM, TO, bound=score.prune_bound(True, True)))
-    return score.score_cycles(found, links.hidden_pairs(links.address_pairs(t["company"])), links.risky_companies(t["company"], FROM))
+    """All cycles of 3 to 5 companies that can be red, as in plans.circular."""
+    hidden = materialise(links.hidden_pairs(links.address_pairs(t["company"])), "hidden")
+    risky = materialise(links.risky_companies(t["company"], FROM), "risky")
+    found = cycles.enumerate_cycles(t["trades"], FROM, TO, bound=score.prune_bound(True, True), hidden=hidden, risky=risky)
+    return score.score_cycles(cycles.best_combinations(cycles.within_member_bound(found, hidden, risky)), hidden, risky)
 
 
 _SCORES = ["score", "score_60", "score_balance", "score_time", "score_hidden_link", "score_risky_member", "score_vat"]
@@ -485,36 +503,32 @@ def cycle_names(t):
 _PARTNERS = "SELECT mst, partner, count(*) > 1 AS both_ FROM (SELECT DISTINCT seller_mst AS mst, buyer_mst AS partner FROM w UNION ALL SELECT DISTINCT buyer_mst, seller_mst FROM w) GROUP BY mst, partner"
 
 
-@query(_and_w(f"SELECT mst, count(*) AS degree, round_even(count(*)::double / (SELECT count(DISTINCT mst) - 1 FROM ({_PARTNERS})), 4) AS degree_centrality FROM ({_PARTNERS}) GROUP BY mst"), "trades")
+@query(_and_all(f"SELECT mst, count(*) AS degree, round_even(count(*)::double / (SELECT count(DISTINCT mst) - 1 FROM ({_PARTNERS})), 4) AS degree_centrality FROM ({_PARTNERS}) GROUP BY mst"), "trades")
 def degree_centrality(t):
-    return metrics.degree_and_reciprocity(_window(t)).select("mst", "degree", "degree_centrality")
+    return metrics.degree_and_reciprocity(_every(t)).select("mst", "degree", "degree_centrality")
 
 
-@query(_and_w(f"SELECT mst, round_even(count(*) FILTER (both_)::double / count(*), 4) AS reciprocity_ratio FROM ({_PARTNERS}) GROUP BY mst"), "trades")
+@query(_and_all(f"SELECT mst, round_even(count(*) FILTER (both_)::double / count(*), 4) AS reciprocity_ratio FROM ({_PARTNERS}) GROUP BY mst"), "trades")
 def reciprocity(t):
-    return metrics.degree_and_reciprocity(_window(t)).select("mst", "reciprocity_ratio")
+    return metrics.degree_and_reciprocity(_every(t)).select("mst", "reciprocity_ratio")
 
 
 _FIRST = "SELECT seller_mst, buyer_mst, min(cast(first_date AS date)) AS first_seen FROM w GROUP BY ALL"
 
 
-@query(_and_w(f"SELECT seller_mst, buyer_mst, cast(first_seen AS string) AS first_seen FROM ({_FIRST})"), "trades")
+@query(_and_all(f"SELECT seller_mst, buyer_mst, cast(first_seen AS string) AS first_seen FROM ({_FIRST})"), "trades")
 def first_seen(t):
-    return metrics.first_seen(_window(t)).withColumn("first_seen", F.col("first_seen").cast("string"))
-
-
-def _year(t: Tables) -> DataFrame:
-    return edges.window_of(t["trades"], 199601, 199612)
+    return metrics.first_seen(_every(t)).withColumn("first_seen", F.col("first_seen").cast("string"))
 
 
 @query(
-    f"""SELECT * FROM (WITH w AS (SELECT * FROM trades WHERE period BETWEEN 199601 AND 199612), f AS ({_FIRST}), c AS (SELECT max(first_seen) - 90 AS cutoff FROM f)
+    f"""SELECT * FROM (WITH w AS MATERIALIZED (SELECT * FROM trades), f AS ({_FIRST}), c AS (SELECT max(first_seen) - 90 AS cutoff FROM f)
     SELECT p.mst, round_even(count(*) FILTER (coalesce(a.first_seen, b.first_seen) >= (SELECT cutoff FROM c))::double / count(*), 4) AS new_partner_rate_90d FROM ({_PARTNERS}) p
     LEFT JOIN f a ON a.seller_mst = p.mst AND a.buyer_mst = p.partner LEFT JOIN f b ON b.buyer_mst = p.mst AND b.seller_mst = p.partner GROUP BY p.mst)""",
     "trades",
 )
 def new_partner_rate(t):
-    return metrics.new_partner_rate(_year(t))
+    return metrics.new_partner_rate(_every(t))
 
 
 def _betweenness_sql(levels: int = 5) -> str:
@@ -524,12 +538,12 @@ def _betweenness_sql(levels: int = 5) -> str:
         out += f", p{k} AS (SELECT s, b AS v, sum(sigma) AS sigma FROM p{k - 1} JOIN adj ON a = v WHERE NOT EXISTS (SELECT 1 FROM all{k - 1} x WHERE x.s = p{k - 1}.s AND x.v = adj.b) GROUP BY s, b), all{k} AS (SELECT * FROM all{k - 1} UNION ALL SELECT s, v, sigma, {k} FROM p{k})"
     last = f"all{levels}"
     through = f"SELECT x.v AS mst, sum(x.sigma * y.sigma / z.sigma) / 2 AS c FROM {last} x JOIN {last} y ON y.s = x.v JOIN {last} z ON z.s = x.s AND z.v = y.v AND z.d = x.d + y.d WHERE x.s <> x.v AND y.v <> x.v GROUP BY x.v"
-    return f"SELECT * FROM (WITH {W_SQL}, {out} SELECT DISTINCT a AS mst, round_even(coalesce(c, 0.0), 6) AS betweenness_centrality FROM adj LEFT JOIN ({through}) t ON t.mst = adj.a)"
+    return f"SELECT * FROM (WITH w AS MATERIALIZED (SELECT * FROM trades), {out} SELECT DISTINCT a AS mst, round_even(coalesce(c, 0.0), 6) AS betweenness_centrality FROM adj LEFT JOIN ({through}) t ON t.mst = adj.a)"
 
 
 @query(_betweenness_sql(), "trades")
 def betweenness(t):
-    return metrics.betweenness(_window(t))
+    return metrics.betweenness(_every(t))
 
 
 # -- contract -----------------------------------------------------------------------
