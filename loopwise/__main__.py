@@ -1,45 +1,74 @@
-"""python -m loopwise: ingest CSV files, check tables, detect circular trading."""
+"""python -m loopwise: ingest CSV files or a lake, check tables, detect circular trading."""
 
 from __future__ import annotations
 
 import argparse
 import json
+import logging
 
+from . import scratch
 from .operators import contract
 from .plans import circular
 from .session import session
-from .sources import raw
+from .sources import lake, raw
 
 
-def main(argv: list[str] | None = None) -> int:
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="loopwise", description=__doc__)
     p.add_argument("--root", required=True, help="folder of datasets")
     p.add_argument("--dataset", required=True, help="name of the dataset's folder below it")
-    p.add_argument("--companies", help="headerless company CSV to ingest")
-    p.add_argument("--invoices", help="headerless invoice CSV to ingest")
-    p.add_argument("--from", dest="period_from", type=int)
-    p.add_argument("--to", dest="period_to", type=int)
-    p.add_argument("--hops", type=int, default=5)
-    p.add_argument("--method", choices=("dfs", "match"), default="dfs")
-    p.add_argument("--top-n", type=int, default=20)
-    p.add_argument("--run-id", default="run")
-    p.add_argument("--skip-detect", action="store_true")
-    p.add_argument("--no-metrics", action="store_true")
+    source = p.add_argument_group("ingest, from one of two sources")
+    source.add_argument("--companies", help="headerless company CSV")
+    source.add_argument("--invoices", help="headerless invoice CSV")
+    source.add_argument("--lake", help="folder of Parquet tables, catalog:<schema>, or a jdbc: address")
+    source.add_argument("--lake-table", action="append", default=[], metavar="ROLE=NAME", help="a table of the lake that has another name")
+    search = p.add_argument_group("search")
+    search.add_argument("--from", dest="period_from", type=int, help="first month, yyyymm (default: the first there is)")
+    search.add_argument("--to", dest="period_to", type=int)
+    search.add_argument("--hops", type=int, default=5)
+    search.add_argument("--method", choices=("dfs", "match"), default="dfs")
+    search.add_argument("--bound", type=float, help="least balance + time of a cycle (default: what can be red)")
+    search.add_argument("--row-budget", type=int, help="stop where a level has more paths than this")
+    search.add_argument("--time-budget", type=float, help="begin no further level after so many seconds")
+    search.add_argument("--seeds", type=int, default=5000, help="method match: companies to start from")
+    search.add_argument("--per-seed", type=int, help="method match: cycles kept of each")
+    out = p.add_argument_group("output")
+    out.add_argument("--top-n", type=int, default=20)
+    out.add_argument("--threshold", type=float, default=40.0, help="score from which invoices are flagged")
+    out.add_argument("--run-id", default="run")
+    out.add_argument("--skip-detect", action="store_true", help="check only")
+    out.add_argument("--no-metrics", action="store_true")
+    return p
+
+
+def main(argv: list[str] | None = None) -> int:
+    p = parser()
     a = p.parse_args(argv)
-    spark = session()
-    path = raw.dataset_dir(a.root, a.dataset)
     if bool(a.companies) != bool(a.invoices):
         p.error("--companies and --invoices go together")
-    if a.companies:
-        circular.save(circular.ingest(spark, a.companies, a.invoices), path)
-    tables = raw.read_tables(spark, path)
-    if a.skip_detect:
-        print(json.dumps(contract.as_dict(contract.validate(tables)), ensure_ascii=False, default=str))
+    if a.companies and a.lake:
+        p.error("ingest either CSV files or a lake")
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
+    spark = session()
+    path = raw.dataset_dir(a.root, a.dataset)
+    raw.dataset_dir(a.root, a.run_id)  # a run's name must be safe as well
+    steps = circular.Steps()
+    try:
+        if a.companies:
+            circular.save(circular.ingest(spark, a.companies, a.invoices), path, steps)
+        elif a.lake:
+            names = dict(x.split("=", 1) for x in a.lake_table)
+            circular.save(circular.ingest_lake(lake.read_lake(spark, a.lake, names), a.period_from, a.period_to), path, steps)
+        tables = raw.read_tables(spark, path)
+        if a.skip_detect:
+            print(json.dumps(contract.as_dict(contract.validate(tables)), ensure_ascii=False, default=str))
+            return 0
+        s = circular.Settings(a.period_from, a.period_to, a.hops, a.method, a.bound, a.row_budget, a.time_budget, a.seeds, a.per_seed, a.threshold, a.top_n, not a.no_metrics)
+        meta = circular.run(spark, tables, f"{path}/runs/{a.run_id}", s, steps=steps)
+        print(json.dumps(meta["summary"] | {"truncated": meta["truncated"]}, default=str))
         return 0
-    raw.dataset_dir(a.root, a.run_id)
-    meta = circular.run(spark, tables, f"{path}/runs/{a.run_id}", circular.Settings(a.period_from, a.period_to, a.hops, a.method, top_n=a.top_n, metrics=not a.no_metrics))
-    print(json.dumps(meta["summary"], default=str))
-    return 0
+    finally:
+        scratch.clear(spark)
 
 
 if __name__ == "__main__":

@@ -103,7 +103,13 @@ def _closed(fronts: DataFrame, backs: DataFrame, hops: int, bound: float, signal
     return _within(rows, F.greatest(need, F.lit(bound)) if signals else bound).select("members", F.transform("facts", edge).alias("edges"), F.lit(hops).alias("hop_len"))
 
 
-def enumerate_cycles(
+def enumerate_cycles(trades: DataFrame, period_from: int, period_to: int, **how) -> DataFrame:
+    """(members, edges, hop_len, truncated): what ``search_cycles`` finds, with what it says in all rows."""
+    found, truncated = search_cycles(trades, period_from, period_to, **how)
+    return found.withColumn("truncated", F.lit(truncated))
+
+
+def search_cycles(
     trades: DataFrame,
     period_from: int,
     period_to: int,
@@ -116,13 +122,13 @@ def enumerate_cycles(
     time_budget_s: float | None = None,
     hidden: DataFrame | None = None,
     risky: DataFrame | None = None,
-) -> DataFrame:
-    """(members, edges, hop_len, truncated): every cycle of min_hops..max_hops companies with balance + time >= bound.
+) -> tuple[DataFrame, bool]:
+    """(members, edges, hop_len) of every cycle of min_hops..max_hops companies with balance + time >= bound, and whether a budget cut the search.
 
     members start with the smallest key; edges[i] leads from members[i] to the
     next. A level of more than ``row_budget`` paths is not made longer, and no
     level is begun after ``time_budget_s`` seconds; then cycles that would need
-    it are lacking, and all rows say truncated. ``only`` keeps one length.
+    it are lacking, and the search was truncated. ``only`` keeps one length.
     With ``hidden`` (company_a, company_b) or ``risky`` (mst), cycles that
     can't be red by their members' signals are dropped as they close.
     """
@@ -155,7 +161,7 @@ def enumerate_cycles(
     out = found[0] if found else _closed(levels[True, 1], levels[False, 1], 2, bound, signals).limit(0)
     for x in found[1:]:
         out = out.unionByName(x)
-    return out.withColumn("truncated", F.lit(truncated))
+    return out, truncated
 
 
 def within_member_bound(found: DataFrame, hidden: DataFrame | None, risky: DataFrame | None) -> DataFrame:

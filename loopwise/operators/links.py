@@ -40,6 +40,12 @@ def pair_guard(groups: DataFrame, key: str) -> DataFrame:
     return sizes.agg(F.coalesce(F.sum(F.expr("n * (n - 1) div 2")), F.lit(0)).alias("n_pairs"), F.max_by(key, F.struct("n", key)).alias("worst"), F.max("n").alias("worst_n"))
 
 
+def _guard(groups: DataFrame, key: str, most: int) -> None:
+    guard = pair_guard(groups, key).first()
+    if guard["n_pairs"] > most:
+        raise TooManyPairs(f"{guard['n_pairs']} pairs; {guard['worst_n']} companies with {key} {guard['worst']!r}")
+
+
 def _pairs(groups: DataFrame, key: str) -> DataFrame:
     a, b = groups.alias("a"), groups.alias("b")
     on = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.mst") < F.col("b.mst"))
@@ -49,9 +55,7 @@ def _pairs(groups: DataFrame, key: str) -> DataFrame:
 def address_pairs(companies: DataFrame, most: int = MAX_ADDRESS_PAIRS) -> DataFrame:
     """(company_a < company_b, norm_addr). An input that would make more than ``most`` pairs is refused, by the worst address."""
     groups = normalized_addresses(companies)
-    guard = pair_guard(groups, "norm_addr").first()
-    if guard["n_pairs"] > most:
-        raise TooManyPairs(f"{guard['n_pairs']} pairs; {guard['worst_n']} companies at {guard['worst']!r}")
+    _guard(groups, "norm_addr", most)
     return _pairs(groups, "norm_addr")
 
 
@@ -62,9 +66,11 @@ def phone_pairs(phones: DataFrame, most: int = MAX_PHONE_GROUP) -> DataFrame:
     return _pairs(groups.join(small, "norm_phone"), "norm_phone").groupBy("company_a", "company_b").agg(F.min("norm_phone").alias("norm_phone"))
 
 
-def representative_pairs(legal_reps: DataFrame) -> DataFrame:
-    """(company_a < company_b, person_id) of companies with the same person."""
-    return _pairs(legal_reps.select("mst", "person_id").distinct(), "person_id")
+def representative_pairs(legal_reps: DataFrame, most: int = MAX_ADDRESS_PAIRS) -> DataFrame:
+    """(company_a < company_b, person_id) of companies with the same person; guarded as addresses are."""
+    groups = legal_reps.select("mst", "person_id").distinct()
+    _guard(groups, "person_id", most)
+    return _pairs(groups, "person_id")
 
 
 def unordered(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 
 from .flags import drill_down_sql, hubs, top_cycles, with_names
+from .score import RED
+
+SCORES = {"score_balance": "balance", "score_time": "time", "score_hidden_link": "hidden link", "score_risky_member": "risk", "score_vat": "tax rate"}
 
 
 def money(n: float) -> str:
@@ -26,29 +30,43 @@ def top_lists(scored: DataFrame, companies: DataFrame, top_n: int) -> tuple[list
     return top, [r.asDict() for r in heads.orderBy("red_count", "best_score", "mst", ascending=[False, False, True]).collect()]
 
 
+def table(columns: dict[str, Callable[[dict], object]], rows: Iterable[dict]) -> list[str]:
+    """A Markdown table: a column for each title, its cells by a function of the row; numbers stand right."""
+    rows = list(rows)
+    if not rows:
+        return ["(none)"]
+    cells = [[f(r) for f in columns.values()] for r in rows]
+    numeric = [all(isinstance(line[k], (int, float)) for line in cells) for k in range(len(columns))]
+    shown = [[f"{x:g}" if isinstance(x, float) else str(x).replace("|", "\\|") for x in line] for line in cells]
+    mark = ["---:" if n else "---" for n in numeric]
+    return ["| " + " | ".join(line) + " |" for line in (list(columns), mark, *shown)]
+
+
 def report_text(summary: dict, top: list[dict], heads: list[dict], meta: dict) -> str:
-    line = "-" * 78
-    out = ["CIRCULAR TRADING REPORT", line, f"window: {meta.get('period_from')} - {meta.get('period_to')}; up to {meta.get('max_hops')} hops; method {meta.get('method')}", ""]
-    out += [f"{k:>10}: {summary[k]}" for k in ("total", "red", "watch", "skipped")]
+    """Markdown: what was asked, what was found, one small table for each of the top cycles, and the companies in most of them."""
+    out = ["# Circular trades", ""]
+    out.append(f"Months {meta.get('period_from')} to {meta.get('period_to')}, cycles of 3 to {meta.get('max_hops')} companies, method `{meta.get('method')}`.")
+    out.append(f"{summary['total']} cycles: {summary['red']} red, {summary['watch']} to watch, {summary['skipped']} below.")
     if summary["max_achievable_score"] < 100:
-        out += ["", f"The data of this run reaches at most {summary['max_achievable_score']:.0f} of 100 points."]
+        out.append(f"With this data a cycle can reach {summary['max_achievable_score']:.0f} of 100 points.")
     if summary["watch"]:
-        out += ["The watch list holds what the score bound lets through; it isn't complete below the red threshold."]
-    out += ["", line, f"TOP {len(top)} CYCLES", line]
+        out.append(f"Below {RED:.0f} points the list is what the search let through, and not complete.")
+    out += ["", "## Cycles with most points", ""]
+    hop = {"seller": lambda e: e["mst"], "name": lambda e: e["name"], "month": lambda e: e["period"], "sold on": lambda e: money(e["amount"])}
     for i, r in enumerate(top, 1):
-        parts = ", ".join(f"{k.removeprefix('score_')} {r[k]:g}" for k in ("score_balance", "score_time", "score_hidden_link", "score_risky_member", "score_vat"))
-        out.append(f"{i:3d}. {r['score']:5.1f}  {r['hop_len']} hops  {min(r['periods'])}-{max(r['periods'])}  ({parts})")
-        out += [f"       {'-> ' if k else '   '}{m}  {name[:44]:<44} {money(a):>12}" for k, (m, name, a) in enumerate(zip(r["members"], r["names"], r["amounts"], strict=True))]
-    out += ["", line, "COMPANIES IN MOST RED CYCLES", line]
-    out += [f"{i:3d}. {h['mst']:<16} {(h['name'] or '')[:44]:<44} {h['red_count']:>6} {h['best_score']:6.1f}" for i, h in enumerate(heads, 1)] or ["none"]
+        points = "; ".join(f"{title} {r[k]:g}" for k, title in SCORES.items() if r[k])
+        out += [f"### {i}: {r['score']:g} points", "", f"{points or 'no signal'}.", ""]
+        out += [*table(hop, ({"mst": m, "name": n, "period": p, "amount": a} for m, n, p, a in zip(r["members"], r["names"], r["periods"], r["amounts"], strict=True))), ""]
+    out += ["## Companies in most red cycles", ""]
+    out += table({"company": lambda h: h["mst"], "name": lambda h: h["name"] or "", "red cycles": lambda h: h["red_count"], "best score": lambda h: h["best_score"]}, heads)
     return "\n".join(out) + "\n"
 
 
 def report_files(scored: DataFrame, companies: DataFrame, summary: dict, meta: dict, top_n: int = 20) -> dict[str, str]:
-    """File names to contents: report.txt, top.json and cycles.sql."""
+    """File names to contents: report.md, top.json and cycles.sql."""
     top, heads = top_lists(scored, companies, top_n)
     return {
-        "report.txt": report_text(summary, top, heads, meta),
+        "report.md": report_text(summary, top, heads, meta),
         "top.json": json.dumps({"meta": meta, "summary": summary, "top_cycles": top, "top_companies": heads}, ensure_ascii=False, indent=2, default=str),
         "cycles.sql": "\n".join(f"-- {r['score']} points, {r['hop_len']} hops\n{r['drill_down']};" for r in top) + "\n",
     }

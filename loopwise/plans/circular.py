@@ -5,13 +5,16 @@ from __future__ import annotations
 import json
 import logging
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contract, cycles, edges, flags, links, metrics, report, score
-from ..sources import raw
+from ..scratch import committed, write_counted
+from ..sources import lake, raw
 
 log = logging.getLogger(__name__)
 
@@ -34,20 +37,57 @@ class Settings:
     metrics: bool = True
 
 
+class Steps:
+    """Log of what a run does: each step with its seconds, and what it counted."""
+
+    def __init__(self):
+        self.done: list[dict] = []
+
+    @contextmanager
+    def step(self, name: str) -> Iterator[dict]:
+        facts: dict = {}
+        began = time.monotonic()
+        log.info("%s ...", name)
+        try:
+            yield facts
+        except BaseException:
+            log.error("%s failed after %.1f s", name, time.monotonic() - began)
+            raise
+        self.done.append({"step": name, "seconds": round(time.monotonic() - began, 1)} | facts)
+        log.info("%s: %.1f s %s", name, time.monotonic() - began, facts or "")
+
+
 def ingest(spark: SparkSession, company_csv: str, invoice_csv: str) -> dict[str, DataFrame]:
     """The tables of two headerless CSV files."""
     companies = raw.companies(raw.read_companies(spark, company_csv))
-    trades = edges.trade_edges(raw.invoices(raw.read_invoices(spark, invoice_csv)))
-    return {"company": companies, "trades": trades, "shares_address": links.address_pairs(companies)}
-
-
-def save(tables: dict[str, DataFrame], path: str) -> None:
-    """Write tables below ``path``: trades by month (only the months at hand are replaced), the others whole."""
+    rows = raw.invoices(raw.read_invoices(spark, invoice_csv))
+    return {"company": companies, "trades": edges.trade_edges(rows), "shares_address": links.address_pairs(companies), "invoices": raw.invoice_rows(rows)}
+
+
+def ingest_lake(t: dict[str, DataFrame], period_from: int | None = None, period_to: int | None = None) -> dict[str, DataFrame]:
+    """The tables of a lake's tables (see ``lake.read_lake``), of the companies that trade: companies, edges, links, people and invoices."""
+    scope = lake.transacting(t["invoices"])
+    reps = lake.legal_reps(t["header"], scope)
+    return {
+        "company": lake.companies(t["header"], t["filings"], t["items"], t["industry"], t["tax"], t["risk"], scope),
+        "trades": lake.trades(t["invoices"], period_from, period_to).withColumns({c: F.col(c).cast("double") for c in ("total_amount", "total_vat")}),
+        "shares_address": links.address_pairs(lake.addresses(t["header"], t["filings"], scope)),
+        "shares_phone": links.phone_pairs(lake.phones(t["header"], scope)),
+        "legal_reps": reps,
+        "persons": lake.persons(reps),
+        "invoices": lake.invoice_rows(t["invoices"], period_from, period_to),
+    }
+
+
+def save(tables: dict[str, DataFrame], path: str, steps: Steps | None = None) -> None:
+    """Write tables below ``path`` and count what is there: trades by month (only the months at hand are replaced), the others whole."""
+    steps = steps or Steps()
     for name, df in tables.items():
-        if name == "trades":
-            edges.upsert_edges(df, f"{path}/{name}")
-        else:
-            df.write.mode("overwrite").parquet(f"{path}/{name}")
+        with steps.step(f"write {name}") as facts:
+            if name == "trades":
+                edges.upsert_edges(df, f"{path}/{name}")
+            else:
+                facts["rows"] = write_counted(df, f"{path}/{name}")
 
 
 def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
@@ -68,40 +108,54 @@ def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
         truncated = s.per_seed is not None
     elif s.method == "dfs":
         signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None else {}
-        rows = cycles.enumerate_cycles(trades, s.period_from, s.period_to, s.max_hops, bound=bound, row_budget=s.row_budget, time_budget_s=s.time_budget_s, **signals)
+        rows, truncated = cycles.search_cycles(trades, s.period_from, s.period_to, s.max_hops, bound=bound, row_budget=s.row_budget, time_budget_s=s.time_budget_s, **signals)
         if signals:
             rows = cycles.within_member_bound(rows, **signals)
-        truncated = None
     else:
         raise ValueError(f"unknown method: {s.method}")
     scored = score.score_cycles(cycles.best_combinations(rows), hidden if has_hidden else None, risky if has_risky else None)
     return scored, {"bound": bound, "has_hidden": has_hidden, "has_risky": has_risky, "truncated": truncated}
 
 
-def run(spark: SparkSession, tables: dict[str, DataFrame], out: str, s: Settings | None = None, invoices: DataFrame | None = None) -> dict:
-    """Check, detect and write everything below ``out``; returns the facts of meta.json."""
-    s = s or Settings()
+def run(spark: SparkSession, tables: dict[str, DataFrame], out: str, s: Settings | None = None, invoices: DataFrame | None = None, steps: Steps | None = None) -> dict:
+    """Check, detect and write everything below ``out``; returns the facts of meta.json.
+
+    The files appear together when all are written; a run that fails leaves
+    ``out`` as it was. Invoices (those of the tables, if none are given) are
+    flagged if they can be; the report is worth having without them.
+    """
+    s, steps = s or Settings(), steps or Steps()
     began = time.time()
-    checks = contract.validate(tables)
-    contract.gate(checks)
-    scored, facts = detect(tables, s)
-    scored.drop("edges").write.mode("overwrite").json(f"{out}/graph_risk_flags")
-    scored.write.mode("overwrite").parquet(f"{out}/scored")
-    scored = spark.read.parquet(f"{out}/scored")
-    summary = score.level_summary(scored, facts["has_hidden"], facts["has_risky"]).first().asDict()
-    flags.loops(scored).write.mode("overwrite").json(f"{out}/invoice_loops")
-    if s.metrics:
-        metrics.company_metrics(edges.window_of(tables["trades"], s.period_from, s.period_to)).write.mode("overwrite").json(f"{out}/company_metrics")
-    flagged = None
-    if invoices is not None:
-        try:
-            flags.invoice_flags(invoices, scored, s.threshold).write.mode("overwrite").json(f"{out}/invoice_flags")
-            flagged = True
-        except Exception:  # noqa: BLE001  the report is worth having without it
-            log.exception("invoice flags were skipped")
-            flagged = False
-    meta = asdict(s) | facts | {"summary": summary, "contract": contract.as_dict(checks), "invoice_flags": flagged, "elapsed_sec": round(time.time() - began, 1)}
-    files = report.report_files(scored, tables["company"], summary, {k: meta[k] for k in ("period_from", "period_to", "max_hops", "method")}, s.top_n)
-    for name, text in (files | {"meta.json": json.dumps(meta, ensure_ascii=False, default=str), "validation.json": json.dumps(contract.as_dict(checks), ensure_ascii=False, default=str)}).items():
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{out}/{name}")
+    invoices = invoices if invoices is not None else tables.get("invoices")
+    with steps.step("check") as facts:
+        checks = contract.validate(tables)
+        facts |= contract.histogram(checks)
+        contract.gate(checks)
+    with committed(spark, out) as new:
+        with steps.step("detect cycles") as facts:
+            scored, found = detect(tables, s)
+            scored.write.parquet(f"{new}/scored")
+            scored = spark.read.parquet(f"{new}/scored")
+            summary = score.level_summary(scored, found["has_hidden"], found["has_risky"]).first().asDict()
+            facts |= summary
+        with steps.step("write cycles"):
+            scored.drop("edges").write.json(f"{new}/graph_risk_flags")
+            flags.loops(scored).write.json(f"{new}/invoice_loops")
+        if s.metrics:
+            with steps.step("company metrics"):
+                metrics.company_metrics(edges.window_of(tables["trades"], s.period_from, s.period_to)).write.json(f"{new}/company_metrics")
+        flagged = None
+        if invoices is not None:
+            try:
+                with steps.step("flag invoices"):
+                    flags.invoice_flags(invoices, scored, s.threshold).write.json(f"{new}/invoice_flags")
+                flagged = True
+            except Exception:  # noqa: BLE001
+                log.exception("invoice flags were skipped")
+                flagged = False
+        with steps.step("report"):
+            meta = asdict(s) | found | {"summary": summary, "contract": contract.as_dict(checks), "invoice_flags": flagged, "elapsed_sec": round(time.time() - began, 1), "steps": steps.done}
+            files = report.report_files(scored, tables["company"], summary, {k: meta[k] for k in ("period_from", "period_to", "max_hops", "method")}, s.top_n)
+            for name, text in (files | {"meta.json": json.dumps(meta, ensure_ascii=False, default=str), "validation.json": json.dumps(contract.as_dict(checks), ensure_ascii=False, default=str)}).items():
+                spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{new}/{name}")
     return meta

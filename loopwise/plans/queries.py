@@ -246,7 +246,7 @@ def person_id(t):
 
 @query(f"SELECT person_id, arg_max(person_name, mst) AS person_name FROM ({_REPS}) GROUP BY person_id", "header", "einvoice")
 def person_upsert(t):
-    return lake.legal_reps(t["header"], lake.transacting(t["einvoice"])).groupBy("person_id").agg(F.max_by("person_name", "mst").alias("person_name"))
+    return lake.persons(lake.legal_reps(t["header"], lake.transacting(t["einvoice"])))
 
 
 _P_REP = f"SELECT a.mst AS company_a, b.mst AS company_b, a.person_id FROM ({_REPS}) a JOIN ({_REPS}) b ON a.person_id = b.person_id AND a.mst < b.mst"
@@ -291,6 +291,9 @@ def seed_summary(t):
     return edges.seed_summary(_every(t))
 
 
+_RISKY = f"SELECT mst FROM company WHERE coalesce(established_date >= '1995-01-01', false) OR coalesce(status IN ({', '.join(repr(s) for s in links.RISKY_STATUSES)}), false)"
+
+
 # -- scalar functions -----------------------------------------------------------------
 
 
@@ -323,9 +326,6 @@ def cutoff_date(t):
     return rows.select("period", X.cutoff_date(F.col("period"), 12).alias("cutoff"))
 
 
-_RISKY = f"SELECT mst FROM company WHERE coalesce(established_date >= '1995-01-01', false) OR coalesce(status IN ({', '.join(repr(s) for s in links.RISKY_STATUSES)}), false)"
-
-
 @query(_RISKY, "company")
 def risky_members(t):
     return links.risky_companies(t["company"], FROM)
@@ -387,6 +387,38 @@ def cycles_match_fixed_hop(t):
     return _flat(cycles.fixed_hop_cycles(t["trades"], FROM, TO, 3))
 
 
+_SEEDED = f"""SELECT e0.seller_mst || '|' || e1.seller_mst || '|' || e2.seller_mst AS cycle_id, cast(e0.period AS string) || '|' || cast(e1.period AS string) || '|' || cast(e2.period AS string) AS periods, 3 AS hop_len,
+  row_number() OVER (PARTITION BY e0.seller_mst ORDER BY [e0.seller_mst, e1.seller_mst, e2.seller_mst], [e0.period, e1.period, e2.period]) AS n
+  FROM w e0 JOIN w e1 ON e1.seller_mst = e0.buyer_mst JOIN w e2 ON e2.seller_mst = e1.buyer_mst AND e2.buyer_mst = e0.seller_mst
+  WHERE e1.seller_mst <> e2.seller_mst AND e0.seller_mst <> e2.seller_mst AND e0.seller_mst IN (SELECT mst FROM ({_SEEDS}) ORDER BY mst LIMIT 25)"""
+
+
+@query(_and_w(f"SELECT cycle_id, periods, hop_len FROM ({_SEEDED}) WHERE n <= 5"), "trades")
+def cycles_match_limited(t):
+    """At most 25 seeds, and at most 5 cycles of each."""
+    return _flat(cycles.fixed_hop_cycles(t["trades"], FROM, TO, 3, most_seeds=25, per_seed=5))
+
+
+_MAY_BE_RED = f"""SELECT raw.cycle_id, array_to_string(periods, '|') AS periods, raw.hop_len FROM raw WHERE balance + time_ >= 50
+  - CASE WHEN EXISTS (SELECT 1 FROM ({_P_ADDR}) q WHERE list_contains(raw.members, q.company_a) AND list_contains(raw.members, q.company_b))
+      OR EXISTS (SELECT 1 FROM near_hidden x WHERE x.src = raw.members[3] AND x.depth <= 4 - raw.hop_len AND NOT list_contains(raw.members, x.dst)) THEN 25 ELSE 0 END
+  - CASE WHEN EXISTS (SELECT 1 FROM ({_RISKY}) q WHERE list_contains(raw.members, q.mst))
+      OR EXISTS (SELECT 1 FROM near_risky x WHERE x.src = raw.members[3] AND x.depth <= 4 - raw.hop_len AND NOT list_contains(raw.members, x.dst)) THEN 15 ELSE 0 END"""
+_NEAR = "SELECT DISTINCT seller_mst AS src, buyer_mst AS dst, 1 AS depth FROM w WHERE buyer_mst IN ({})"
+
+
+@query(
+    _and_w(f"SELECT * FROM (WITH raw AS MATERIALIZED ({_cycle_sql(3, 10.0)}), near_hidden AS MATERIALIZED ({_NEAR.format(f'SELECT company_a FROM ({_P_ADDR}) UNION SELECT company_b FROM ({_P_ADDR})')}), near_risky AS MATERIALIZED ({_NEAR.format(_RISKY)}) {_MAY_BE_RED})"),
+    "trades",
+    "company",
+)
+def cycles_path_bound(t):
+    """Cycles of 3 by the bound of each path, in a search of up to 4 companies: signals one hop away count too."""
+    hidden, risky = links.hidden_pairs(links.address_pairs(t["company"])), links.risky_companies(t["company"], FROM)
+    found = cycles.enumerate_cycles(t["trades"], FROM, TO, bound=10.0, only=3).drop("truncated")
+    return _flat(cycles.within_path_bound(found, _window(t), hidden, risky, 4))
+
+
 @query(
     _and_w(
         "SELECT * FROM (WITH h AS (SELECT DISTINCT seller_mst AS src, buyer_mst AS dst FROM w), h2 AS (SELECT DISTINCT a.src, b.dst FROM h a JOIN h b ON a.dst = b.src), h3 AS (SELECT DISTINCT a.src, b.dst FROM h a JOIN h2 b ON a.dst = b.src) "
@@ -470,6 +502,11 @@ def hub_companies(t):
     return flags.hubs(_scored(t))
 
 
+@query(_and_scored("SELECT mst, count(*) AS red_count, cast(max(score) AS double) AS best_score FROM (SELECT unnest(members) AS mst, score FROM scored WHERE score >= 60) GROUP BY mst ORDER BY red_count DESC, best_score DESC, mst LIMIT 10"), "trades", "company")
+def top_hubs(t):
+    return flags.hubs(_scored(t), 10)
+
+
 @query(_and_scored("SELECT cycle_id, hop_len, array_to_string(amounts, '|') AS amounts, array_to_string(periods, '|') AS periods FROM scored"), "trades", "company")
 def cycle_loops(t):
     rows = flags.loops(_scored(t))
@@ -550,35 +587,40 @@ def betweenness(t):
 
 
 def _tables_of(t: Tables) -> Tables:
-    return {"company": t["company"], "trades": t["trades"], "shares_address": links.address_pairs(t["company"])}
+    scope = lake.transacting(t["einvoice"])
+    return {"company": t["company"], "trades": t["trades"], "shares_address": links.address_pairs(t["company"]), "shares_phone": links.phone_pairs(lake.phones(t["header"], scope)), "legal_reps": lake.legal_reps(t["header"], scope)}
+
+
+_COUNTED = {
+    "company": "SELECT count(*) FROM company",
+    "trades": "SELECT count(*) FROM trades",
+    "trades.rank": "SELECT count(*) FROM trades",
+    "trades.period": None,
+    "legal_reps": f"SELECT count(*) FROM (SELECT person_id FROM ({_REPS}) GROUP BY person_id HAVING count(*) > 1)",
+    "shares_address": f"SELECT count(*) FROM ({_P_ADDR})",
+    "shares_phone": f"SELECT count(*) FROM ({_P_PHONE})",
+    "company.status": "SELECT count(*) FROM company WHERE coalesce(established_date, status) IS NOT NULL",
+}
+_CHECKED = " UNION ALL ".join(
+    f"SELECT '{k}' AS id, {'true' if contract.CHECKS[k].required else 'false'} AS required, cast({f'({q})' if q else '-1'} AS bigint) AS n, '{contract.CHECKS[k].supports or ''}' AS signal" for k, q in _COUNTED.items()
+)
+_CHECKED = f"SELECT *, CASE WHEN n <> 0 THEN 'pass' ELSE 'empty' END AS status FROM ({_CHECKED}) UNION ALL SELECT 'owns', false, -1, 'hidden_link', 'missing'"
 
 
-_N = "SELECT '{}' AS id, '{}' AS status, {} AS required, cast({} AS bigint) AS n"
+@query(f"SELECT id, status, required, n FROM ({_CHECKED})", "trades", "company", "header", "einvoice")
+def contract_checks(t):
+    spark = t["company"].sparkSession
+    return contract.checks_frame(spark, contract.validate(_tables_of(t))).select(F.col("check_id").alias("id"), "status", "required", F.coalesce("n", F.lit(-1)).alias("n"))
 
 
 @query(
-    " UNION ALL ".join(
-        [
-            _N.format("4.1.tag_company", "pass", "true", "(SELECT count(*) FROM company)"),
-            _N.format("4.1.edge_trades", "pass", "true", "(SELECT count(*) FROM trades)"),
-            _N.format("4.1.rank_period", "pass", "true", "(SELECT count(*) FROM trades)"),
-            _N.format("4.1.index", "pass", "false", "-1"),
-            _N.format("4.2.legal_rep", "missing", "false", "-1"),
-            _N.format("4.2.owns", "missing", "false", "-1"),
-            _N.format("4.2.shares_address", "pass", "false", f"(SELECT count(*) FROM ({_P_ADDR}))"),
-            _N.format("4.2.shares_phone", "missing", "false", "-1"),
-            _N.format("4.2.status_date", "pass", "false", "(SELECT count(*) FROM company WHERE coalesce(established_date, status) IS NOT NULL)"),
-        ]
-    ),
+    f"""SELECT 60.0 + max(CASE WHEN signal = 'hidden_link' AND status = 'pass' THEN 25.0 ELSE 0.0 END) + max(CASE WHEN signal = 'risky_member' AND status = 'pass' THEN 15.0 ELSE 0.0 END)::double AS ceiling,
+    bool_and(status = 'pass' OR NOT required) AS can_run, cast(count(*) FILTER (status = 'pass') AS int) AS n_pass, cast(count(*) FILTER (status = 'empty') AS int) AS n_empty, cast(count(*) FILTER (status = 'missing') AS int) AS n_missing FROM ({_CHECKED})""",
     "trades",
     "company",
+    "header",
+    "einvoice",
 )
-def contract_checks(t):
-    spark = t["company"].sparkSession
-    return contract.checks_frame(spark, contract.validate(_tables_of(t))).select(F.col("check_id").alias("id"), "status", "required", F.coalesce("n", F.lit(-1)).alias("n"))
-
-
-@query("SELECT 100.0::double AS ceiling, true AS can_run, 6 AS n_pass, 0 AS n_empty, 3 AS n_missing")
 def contract_ceiling(t):
     checks = contract.validate(_tables_of(t))
     h = contract.histogram(checks)
@@ -586,6 +628,13 @@ def contract_ceiling(t):
     return t["company"].sparkSession.createDataFrame(rows, "ceiling double, can_run boolean, n_pass int, n_empty int, n_missing int")
 
 
+@query("SELECT count(*) AS n, min(period) AS period_from, max(period) AS period_to, count(*) FILTER (period IS NULL) AS n_bad FROM trades", "trades")
+def period_range(t):
+    c = contract.rank_is_period({"trades": t["trades"]})
+    rows = [(c.count, c.more["period_from"], c.more["period_to"], 0 if c.status == contract.PASS else c.count)]
+    return t["trades"].sparkSession.createDataFrame(rows, "n bigint, period_from int, period_to int, n_bad bigint")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(f):
         return lambda spark, sf_dir: f(testbed.Tables(spark, sf_dir))

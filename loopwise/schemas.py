@@ -27,9 +27,11 @@ SHARES_ADDRESS = _fields("company_a string, company_b string, norm_addr string")
 SHARES_PHONE = _fields("company_a string, company_b string, norm_phone string")
 LEGAL_REPS = _fields("person_id string, person_name string, mst string")
 OWNS = _fields("owner string, owned string")
+PERSONS = _fields("person_id string, person_name string")
+INVOICES = _fields("einvoice_row_id string, seller_mst string, buyer_mst string, period int")
 
 #: All tables of a dataset directory; those in OPTIONAL may be absent.
-TABLES = {"company": COMPANY, "trades": TRADES, "shares_address": SHARES_ADDRESS, "shares_phone": SHARES_PHONE, "legal_reps": LEGAL_REPS, "owns": OWNS}
+TABLES = {"company": COMPANY, "trades": TRADES, "shares_address": SHARES_ADDRESS, "shares_phone": SHARES_PHONE, "legal_reps": LEGAL_REPS, "owns": OWNS, "persons": PERSONS, "invoices": INVOICES}
 OPTIONAL = frozenset(TABLES) - {"company", "trades"}
 
 

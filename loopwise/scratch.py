@@ -1,25 +1,87 @@
-"""Tables that a run writes for itself, in the folder that the cluster shares."""
+"""Tables that a run writes for itself, in the folder that the cluster shares, and output that appears whole or not at all."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one where none is set, as in tests."""
+    """The folder of ``spark.checkpoint.dir``; on a single machine a temporary one where none is set."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="loopwise-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, which ``clear`` removes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, so a lost executor costs one step."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, as a table may lie anywhere Spark can write."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, where = _files(spark, path)
+    files.delete(where, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the scratch tables of this process. Results that were not written elsewhere can't be read any more."""
+    while _written:
+        remove(spark, _written.pop())
+
+
+@contextmanager
+def committed(spark: SparkSession, out: str) -> Iterator[str]:
+    """A folder to write to that takes the place of ``out`` at the end; after an error it is removed and ``out`` stays as it was."""
+    begun = f"{out.rstrip('/')}-begun-{uuid.uuid4().hex[:8]}"
+    try:
+        yield begun
+    except BaseException:
+        remove(spark, begun)
+        raise
+    files, source = _files(spark, begun)
+    target = _files(spark, out)[1]
+    old = _files(spark, f"{begun}-old")[1]
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"cannot replace {out}; the new files are in {begun}")
+    if not files.rename(source, target):
+        if files.exists(old):
+            files.rename(old, target)
+        raise OSError(f"cannot move {begun} to {out}")
+    files.delete(old, True)
+
+
+def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write ``df`` as Parquet, read it back, and raise unless it holds as many rows as were written."""
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
+    wrote, there = seen.get["n"], df.sparkSession.read.parquet(path).count()
+    if wrote != there:
+        raise RuntimeError(f"{path} holds {there} rows, {wrote} were written")
+    return there

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,6 +14,31 @@ BOOK_TAX_GAP = "TTHN-T2-D08-002"
 ADJUSTMENT_RATE = "TTHN-T2-D07-001"
 BENFORD = "TTHN-T2-D07-002"
 UNKNOWN_SECTOR = "Chưa rõ"
+# Names of the lake's tables.
+LAKE_TABLES = {
+    "invoices": "einvoice_invoice",
+    "header": "company_header",
+    "industry": "company_industry",
+    "filings": "tax_declaration_bctc_filing_header",
+    "items": "tax_declaration_bctc_item_value",
+    "tax": "tax_declaration_gtgt_tndn_t2_feature_value",
+    "risk": "einvoice_invoice_risk_feature_value",
+}
+
+
+def read_lake(spark: SparkSession, where: str, names: dict[str, str] | None = None, **options: str) -> dict[str, DataFrame]:
+    """The lake's tables from a folder of Parquet tables, ``catalog:<schema>``, or a ``jdbc:`` address (``options`` go to its reader).
+
+    names: table names that differ from ``LAKE_TABLES``. Nothing is fetched:
+    filters and columns of what follows are pushed down to the source.
+    """
+    names = LAKE_TABLES | (names or {})
+    if where.startswith("catalog:"):
+        schema = where.removeprefix("catalog:")
+        return {k: spark.table(f"{schema}.{v}" if schema else v) for k, v in names.items()}
+    if where.startswith("jdbc:"):
+        return {k: spark.read.format("jdbc").options(url=where, dbtable=v, **options).load() for k, v in names.items()}
+    return {k: spark.read.parquet(f"{where.rstrip('/')}/{v}") for k, v in names.items()}
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -59,6 +84,16 @@ def trades(invoices: DataFrame, period_from: int | None = None, period_to: int |
     )
 
 
+def invoice_rows(invoices: DataFrame, period_from: int | None = None, period_to: int | None = None) -> DataFrame:
+    """(einvoice_row_id, seller_mst, buyer_mst, period) of all valid sales, to trace edges back to invoices; repeated invoices stay."""
+    rows = valid_sales(invoices).where(F.col("ngay_lap").isNotNull()).withColumn("period", period_of(F.col("ngay_lap")))
+    if period_from is not None:
+        rows = rows.where(F.col("period") >= period_from)
+    if period_to is not None:
+        rows = rows.where(F.col("period") <= period_to)
+    return rows.select(F.col("einvoice_row_id").cast("string").alias("einvoice_row_id"), F.col("mst_ban_goc").alias("seller_mst"), F.col("mst_mua_goc").alias("buyer_mst"), "period")
+
+
 def transacting(invoices: DataFrame) -> DataFrame:
     rows = valid_sales(invoices)
     return rows.select(F.col("mst_ban_goc").alias("mst")).union(rows.select(F.col("mst_mua_goc").alias("mst"))).distinct()
@@ -127,6 +162,11 @@ def legal_reps(header: DataFrame, scope: DataFrame) -> DataFrame:
     return rows.where(normalize_address(name) != "").select(person_id(name).alias("person_id"), name.alias("person_name"), "mst")
 
 
+def persons(reps: DataFrame) -> DataFrame:
+    """(person_id, person_name), one row for each person: the name of the company with the largest key."""
+    return reps.groupBy("person_id").agg(F.max_by("person_name", "mst").alias("person_name"))
+
+
 def phones(header: DataFrame, scope: DataFrame) -> DataFrame:
     """(mst, phone) of all valid numbers of each company's newest entry."""
     rows = header.where((F.col("record_status") == "active") & F.col("mst").isNotNull() & (F.length(F.trim("dien_thoai_tru_so")) >= 9)).join(scope, "mst", "left_semi")

@@ -88,15 +88,29 @@ def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return out
 
 
-def sections(rows: DataFrame, order: str, label: str, markers: dict[str, str], end: str) -> DataFrame:
+def invoice_rows(invoices: DataFrame) -> DataFrame:
+    """(einvoice_row_id, seller_mst, buyer_mst, period) of ``invoices``, to trace edges back to them."""
+    return invoices.select(F.col("invoice_id").alias("einvoice_row_id"), "seller_mst", "buyer_mst", "period")
+
+
+def sections(rows: DataFrame, order: str, label: str, markers: dict[str, str], end: str, header: str | None = None, required: str | None = None) -> DataFrame:
     """Rows of a flattened sheet that lie between a marker row and the next end row, with the section they lie in.
 
-    order: column that numbers the rows of a sheet; label: the column that holds markers.
+    order: column that numbers the rows of a sheet; label: the column that
+    holds markers. header: rows whose label is this text, in any case, repeat
+    the sheet's header and are dropped; required: rows without a value in this
+    column (such as the invoice number) are dropped. Where there is a column
+    ``sheet``, each sheet is on its own; without it, all rows are one sheet.
     """
     from pyspark.sql import Window as W
 
     text = F.lower(F.coalesce(F.col(label), F.lit("")))
     mark = F.coalesce(*[F.when(text.contains(k.lower()), F.lit(v)) for k, v in markers.items()], F.when(text.contains(end.lower()), F.lit("")))
-    keep = ["sheet"] if "sheet" in rows.columns else []
-    section = F.last(mark, ignorenulls=True).over(W.partitionBy(*keep).orderBy(order)) if keep else F.last(mark, ignorenulls=True).over(W.partitionBy(F.lit(0)).orderBy(order))
-    return rows.withColumn("_mark", mark).withColumn("section", section).where(F.col("_mark").isNull() & (F.col("section") != "")).drop("_mark")
+    sheet = F.col("sheet") if "sheet" in rows.columns else F.lit(0)
+    section = F.last(mark, ignorenulls=True).over(W.partitionBy(sheet).orderBy(order))
+    keep = F.col("_mark").isNull() & (F.col("section") != "")
+    if header is not None:
+        keep &= F.trim(text) != header.strip().lower()
+    if required is not None:
+        keep &= F.coalesce(F.trim(F.col(required).cast("string")), F.lit("")) != ""
+    return rows.withColumn("_mark", mark).withColumn("section", section).where(keep).drop("_mark")

@@ -85,6 +85,28 @@ def test_budget_is_told(spark):
     t = graph(spark, random_graph(1))
     out = cycles.enumerate_cycles(t, 202011, 202104, max_hops=4, bound=float("-inf"), row_budget=3)
     assert {r.truncated for r in out.select("truncated").distinct().collect()} <= {True}
+    assert cycles.search_cycles(t, 202011, 202104, max_hops=4, bound=float("-inf"), row_budget=3)[1]
+    few, cut = cycles.search_cycles(t, 202011, 202104, max_hops=5, bound=float("-inf"), time_budget_s=-1.0)
+    assert cut and few.count() == 0
+    assert not cycles.search_cycles(t, 202011, 202104, max_hops=4, bound=float("-inf"), row_budget=10**6, time_budget_s=600)[1]
+
+
+@pytest.mark.parametrize("few", [0, 32])
+def test_signals_lower_the_bound(spark, monkeypatch, few):
+    monkeypatch.setattr(cycles, "_FEW", few)  # 0: no company's links are carried along
+    rows = random_graph(7, n=8, m=60)
+    t = graph(spark, rows)
+    hidden = spark.createDataFrame([("c0", "c1"), ("c2", "c5")], "company_a string, company_b string")
+    risky = spark.createDataFrame([("c2",), ("c3",)], "mst string")
+    found = cycles.enumerate_cycles(t, 202011, 202104, max_hops=5, bound=10.0, hidden=hidden, risky=risky)
+    got = set(collected(cycles.within_member_bound(found, hidden, risky)))
+    want = set()
+    for members, periods in brute(rows, 5, 10.0):
+        combo = [next(r for r in rows if r[:3] == (a, b, p)) for a, b, p in zip(members, (*members[1:], members[0]), periods)]
+        balance, time, _ = parts([r[3] for r in combo], periods, [r[4] for r in combo])
+        if balance + time >= 50 - 25 * any({a, b} <= set(members) for a, b in (("c0", "c1"), ("c2", "c5"))) - 15 * bool({"c2", "c3"} & set(members)):
+            want.add((members, periods))
+    assert got == want and len(want) > 5
 
 
 def test_path_bound_keeps_red_cycles(spark):
@@ -141,6 +163,10 @@ def test_links(spark):
     assert sorted(tuple(r[:2]) for r in links.address_pairs(companies).collect()) == [("1", "2"), ("1", "3"), ("2", "3")]
     with pytest.raises(links.TooManyPairs, match="so 1 phuong a"):
         links.address_pairs(companies, most=2)
+    reps = spark.createDataFrame([("p", str(i)) for i in range(4)], "person_id string, mst string")
+    assert links.representative_pairs(reps).count() == 6
+    with pytest.raises(links.TooManyPairs, match="'p'"):
+        links.representative_pairs(reps, most=5)
     phones = spark.createDataFrame([(str(i), "0900000001") for i in range(6)] + [("1", "0900000003"), ("2", "0900000003"), ("1", "0900000002"), ("2", "0900000002")], "mst string, phone string")
     assert [tuple(r) for r in links.phone_pairs(phones).collect()] == [("1", "2", "0900000002")]
     owns = spark.createDataFrame([("9", "1"), ("1", "9"), ("3", "3")], "owner string, owned string")
@@ -196,8 +222,9 @@ def test_csv_to_report(spark, tmp_path):
     assert row["members"] == ["A", "B", "C"] and row["score_hidden_link"] == 25 and row["score_risky_member"] == 15 and row["score_balance"] == pytest.approx(12) and row["score"] == 72
     assert meta["summary"]["red"] == 1 and meta["contract"]["can_run"] and meta["period_from"] == 202101
     assert spark.read.json(str(tmp_path / "out/invoice_flags")).collect()[0]["cycle_ids"] == ["A|B|C"]
-    text = "\n".join(r[0] for r in spark.read.text(str(tmp_path / "out/report.txt"), wholetext=True).collect())
-    assert "Công ty A" in text and "1." in text
+    text = "\n".join(r[0] for r in spark.read.text(str(tmp_path / "out/report.md"), wholetext=True).collect())
+    assert "| A | Công ty A | 202101 | 200 |" in text and "### 1: 72 points" in text
+    assert [x["step"] for x in meta["steps"]][:5] == ["check", "detect cycles", "write cycles", "company metrics", "flag invoices"]
     assert spark.sql(flags.drill_down_sql(["A", "B"], [1, 2]).replace("trades", "(SELECT 'A' seller_mst, 'B' buyer_mst, 1 period)")).count() == 1
     with pytest.raises(ValueError):
         raw.dataset_dir(str(tmp_path), "../x")
@@ -212,12 +239,16 @@ def test_short_rows_are_errors(spark, tmp_path):
 def test_contract(spark):
     t = {"company": spark.createDataFrame([("1", None)], "mst string, status string"), "trades": graph(spark, [("a", "b", 202101, 1, 0)])}
     checks = {c.id: c.status for c in contract.validate(t)}
-    assert checks["4.2.status_date"] == "empty" and checks["4.2.owns"] == "missing" and checks["4.1.edge_trades"] == "pass"
+    assert checks["company.status"] == "empty" and checks["owns"] == "missing" and checks["trades"] == "pass"
     assert contract.ceiling(contract.validate(t)) == (60, ["hidden_link", "risky_member"]) and "60 of 100" in contract.headline(contract.validate(t))
     with pytest.raises(ValueError, match="Cannot run"):
         contract.gate(contract.validate({"company": t["company"]}))
     ranked = t["trades"].withColumn("rank", F.lit(5))
-    assert {c.id: c.status for c in contract.validate(t | {"trades": ranked})}["4.1.rank_period"] == "missing"
+    assert {c.id: c.status for c in contract.validate(t | {"trades": ranked})}["trades.rank"] == "missing"
+    reps = spark.createDataFrame([("p", "1"), ("p", "1"), ("q", "2")], "person_id string, mst string")
+    assert {c.id: c.status for c in contract.validate(t | {"legal_reps": reps})}["legal_reps"] == "empty"
+    both = {c.id: (c.status, c.count) for c in contract.validate(t | {"legal_reps": reps.union(spark.createDataFrame([("q", "3")], reps.schema))})}
+    assert both["legal_reps"] == ("pass", 1)
 
 
 def test_stream_merge(spark, tmp_path):
@@ -233,4 +264,6 @@ def test_sections_and_first(spark):
     rows = spark.createDataFrame([(1, "SALES", None), (2, "a", "x"), (3, "Total", None), (4, "lost", "y"), (5, "purchases", None), (6, "b", "z")], "i int, label string, v string")
     got = [(r.label, r.section) for r in raw.sections(rows, "i", "label", {"sales": "out", "purchases": "in"}, "total").orderBy("i").collect()]
     assert got == [("a", "out"), ("b", "in")]
+    rows = spark.createDataFrame([(1, "sales", None), (2, " no. ", "number"), (3, "a", " "), (4, "b", "7"), (5, "c", None)], "i int, label string, v string")
+    assert [r.label for r in raw.sections(rows, "i", "label", {"sales": "out"}, "total", header="No.", required="v").collect()] == ["b"]
     assert [r.i for r in edges.keep_first(rows.withColumn("k", F.lit(1)), ["k"], "i").collect()] == [1]
