@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _written: list[str] = []
+_tables: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +32,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_table(spark: SparkSession, name: str) -> tuple[str, str]:
+    """(name, path) of a new catalog table in the shared folder, which ``clear`` removes."""
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    _tables.append(table)
+    return table, path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage, so a lost executor costs one step."""
     spark = df.sparkSession
@@ -52,6 +61,8 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def clear(spark: SparkSession) -> None:
     """Remove the scratch tables of this process. Results that were not written elsewhere can't be read any more."""
+    while _tables:
+        spark.sql(f"DROP TABLE IF EXISTS {_tables.pop()}")
     while _written:
         remove(spark, _written.pop())
 
