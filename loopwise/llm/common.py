@@ -1,34 +1,17 @@
-"""What the corpus operators share: scratch tables, row keys and numpy hashing."""
+"""What the corpus operators share: bucketed scratch tables, row keys and numpy hashing."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_M1 = np.uint64(0xFF51AFD7ED558CCD)
-_M2 = np.uint64(0x9E3779B97F4A7C15)
-
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one where none is set, as in tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="loopwise-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+from ..scratch import materialise, scratch_table
 
+__all__ = ["bucketed", "combine", "each_copy", "materialise", "shuffle_partitions", "split_table", "with_row_key"]
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: cuts the lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+_M1 = np.uint64(0xFF51AFD7ED558CCD)
+_M2 = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -39,13 +22,13 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     """Write ``df`` once, bucketed by ``key``, so that later joins on it don't shuffle it again."""
     spark = df.sparkSession
     n = shuffle_partitions(spark)
-    table = f"{name}_{uuid.uuid4().hex}"
+    table, path = scratch_table(spark, name)
     (
         df.repartition(n, key)
         .write.format("parquet")
         .bucketBy(n, key)
         .option("compression", "zstd")
-        .option("path", f"{shared_dir(spark)}/{table}")
+        .option("path", path)
         .saveAsTable(table)
     )
     return spark.table(table)
@@ -98,6 +81,3 @@ def split_table(batch, limit: int, column: str = "text"):
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)]
     for a, b in zip(edges, edges[1:], strict=False):
         yield batch.slice(a, b - a)
-
-
-LONG = T.LongType()

@@ -56,12 +56,12 @@ def _anchor(anchor: int, window: int) -> int:
 
 
 def _runs(batch: pa.RecordBatch, i: int) -> np.ndarray:
-    """(p, ref, at) of row i as three arrays."""
+    """(p, ref, at) of row i as arrays; p alone where runs have no sources."""
     value = batch.column("found")[i]
     if not value.is_valid:
         return np.zeros((3, 0), np.int64)
     flat = value.values
-    return np.stack([flat.field(k).to_numpy(zero_copy_only=False) for k in range(3)])
+    return np.stack([flat.field(k).to_numpy(zero_copy_only=False) for k in range(flat.type.num_fields)])
 
 
 def matches(runs: np.ndarray, W: int) -> np.ndarray:
@@ -195,7 +195,7 @@ def suffix_dedup(docs: DataFrame, window: int = 100, anchor: int = 32, with_text
     remaining bytes, which may cut a character). ``anchor`` (a power of two)
     is shortened to fit a shorter window.
     """
-    spec = Windows(W=window, K=_anchor(anchor, window), symbols=byte_symbols, strict=False)
+    spec = Windows(W=window, K=_anchor(anchor, window), symbols=byte_symbols, strict=False, sources=False)
     texts, ids = _prepared(docs)
     found = repeated_windows(texts, spec)
     schema = BYTES_SCHEMA + ", kept binary" * with_text

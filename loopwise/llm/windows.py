@@ -48,13 +48,15 @@ class Windows:
     """W: symbols of a window; K: of an anchor (a power of two); symbols: texts to (uint64 symbols, symbols of each text).
 
     strict: only a window of another, earlier document counts (else an earlier
-    start in the same document does too).
+    start in the same document does too). sources: whether runs say where they
+    start earlier.
     """
 
     W: int
     K: int
     symbols: Callable[[list[str | None]], tuple[np.ndarray, np.ndarray]]
     strict: bool
+    sources: bool = True
 
     def __post_init__(self):
         if self.W < 1 or not 1 <= self.K <= self.W or self.K & (self.K - 1) or self.W - self.K >= _FIELD:
@@ -155,6 +157,10 @@ _FIELDS = ("kind", "key", "c", "rid", "p", "ref", "at")
 _SCHEMA = "kind byte, key long, c long, rid long, p long, ref long, at long"
 
 
+def _found(spec: Windows, key, c, rid, p, ref, at) -> pa.RecordBatch:
+    return _rows(FOUND, key, c, rid, p, ref, at) if spec.sources else _rows(FOUND, key, c, rid, p)
+
+
 def _rows(kind: int, key, c, rid, p, ref=None, at=None) -> pa.RecordBatch:
     n = len(rid)
     zero = np.zeros(n, np.int64)
@@ -198,7 +204,7 @@ def _settled_here(spec: Windows, parts: list[tuple[np.ndarray, ...]]) -> Iterato
     done = r > r[head] if spec.strict else ~new
     yield _rows(CELL, g[~done], c[~done], r[~done], p[~done])
     if done.any():
-        yield _rows(FOUND, combine(r[done].view(np.uint64), p[done].view(np.uint64)), np.zeros(int(done.sum()), np.int64), r[done], p[done], r[head[done]], p[head[done]] >> 32)
+        yield _found(spec, r[done], np.zeros(int(done.sum()), np.int64), r[done], p[done], r[head[done]], p[head[done]] >> 32)
 
 
 def _anchored(spec: Windows):
@@ -250,7 +256,8 @@ def _settle(spec: Windows):
             many = np.bincount(group, weights=new) > 1
             many[0] |= held is not None and several
             if done.any():
-                yield _rows(FOUND, g[done], c[done], r[done], p[done], r[head[done]], p[head[done]] >> 32)
+                zero = np.zeros(int(done.sum()), np.int64)
+                yield _found(spec, zero, zero, r[done], p[done], r[head[done]], p[head[done]] >> 32)
             give = ~done & ~skip & many[group]
             if give.any():
                 yield _rows(OPEN, rank + group[give], c[give], r[give], p[give])
@@ -311,7 +318,7 @@ def _grown(spec: Windows, size: int):
 
 
 def repeated_windows(docs: DataFrame, spec: Windows) -> DataFrame:
-    """(rid, found): for each document with any, the array of (p, ref, at) runs of windows that also start earlier.
+    """(rid, found): for each document with any, the array of (p, ref, at) runs of windows that also start earlier (without sources: of p).
 
     docs: (rid, text), bucketed by rid, each rid once. p packs (start, windows,
     place of the anchor) of a run; ref and at are the document and place where
@@ -331,8 +338,9 @@ def repeated_windows(docs: DataFrame, spec: Windows) -> DataFrame:
         lists = left.groupBy("rid").agg(F.collect_list(F.struct("key", "p")).alias("open"))
         rows = docs.join(lists.hint("shuffle_hash"), "rid").select("rid", "text", "open").mapInArrow(_grown(spec, size), _SCHEMA)
         settled.append(ranked(rows, f"runs-{size}"))
-    found = reduce(DataFrame.unionByName, [x.where(F.col("kind") == FOUND).select("rid", "p", "ref", "at") for x in settled])
-    return found.groupBy("rid").agg(F.collect_list(F.struct("p", "ref", "at")).alias("found"))
+    columns = ["p", "ref", "at"] if spec.sources else ["p"]
+    found = reduce(DataFrame.unionByName, [x.where(F.col("kind") == FOUND).select("rid", *columns) for x in settled])
+    return found.groupBy("rid").agg(F.collect_list(F.struct(*columns)).alias("found"))
 
 
 def covered(length: int, W: int, p: np.ndarray) -> np.ndarray:
