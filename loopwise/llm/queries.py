@@ -77,31 +77,44 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op6_license_scans, op7_best_fit_packing, op8_soft_membership_mixing, op9_nearest_neighbours, op10_secret_scans)}
 
 
-_DOCS = r"docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"
+_DOCS = r"docs AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"
+_OVER = "OVER (PARTITION BY doc_id ORDER BY i)"
+
+
+def _doubled(upto: int) -> str:
+    """Relations h1, h2, h4 ... with one row for each word and hashes of the 1, 2, 4 ... words from it on."""
+    out, k = ["h1 AS (SELECT *, hash(word) AS h1 FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS n FROM docs))"], 1
+    while 2 * k <= upto:
+        out.append(f"h{2 * k} AS (SELECT *, hash(h{k}, lead(h{k}, {k}) {_OVER}) AS h{2 * k} FROM h{k})")
+        k *= 2
+    return ",\n".join(out)
+
 
 _QUALITY = rf"""WITH {_DOCS},
-sized AS (SELECT *, len(w) AS n FROM docs),
-grams AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[i:i + 4], ' '))) AS c FROM sized, unnest(range(1, n - 3)) AS u(i)),
-rep AS (SELECT doc_id, count(DISTINCT j) AS n_rep FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM grams WHERE c > 1) GROUP BY doc_id),
-long_ AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM sized, unnest(range(1, n - 99)) AS u(i) GROUP BY doc_id, md5(array_to_string(w[i:i + 100], ' ')) HAVING count(*) > 1)),
-twenty AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, md5(array_to_string(w[i:i + 19], ' '))) AS c FROM sized, unnest(range(1, n - 18)) AS u(i)),
+{_doubled(64)},
+grams AS MATERIALIZED (SELECT doc_id, i, n, hash(h4, lead(h1, 4) {_OVER}) AS g5, hash(h16, lead(h4, 16) {_OVER}) AS g20, hash(h64, lead(h32, 64) {_OVER}, lead(h4, 96) {_OVER}, lead(h1, 100) {_OVER}) AS g101 FROM h64),
+five AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g5) AS c FROM grams WHERE i <= n - 4),
+rep AS (SELECT doc_id, count(DISTINCT j) AS n_rep FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM five WHERE c > 1) GROUP BY doc_id),
+twenty AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g20) AS c FROM grams WHERE i <= n - 19),
 cover AS (SELECT doc_id, count(DISTINCT j) AS n_cover FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM twenty WHERE c > 1) GROUP BY doc_id),
-base AS (SELECT s.doc_id, n AS n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS bigint) AS word_chars,
-  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-  len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]'))) - len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) AS n_dup_lines,
-  coalesce(n_rep, 0) AS n_repeat_words, l.doc_id IS NOT NULL OR coalesce(n_cover, 0) > 0.1 * n AS repeats
-  FROM sized s LEFT JOIN rep r ON r.doc_id = s.doc_id LEFT JOIN long_ l ON l.doc_id = s.doc_id LEFT JOIN cover c ON c.doc_id = s.doc_id)
+long_ AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM grams WHERE i <= n - 100 GROUP BY doc_id, g101 HAVING count(*) > 1)),
+line AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM docs),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n_dup FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (SELECT s.doc_id, len(w) AS n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS bigint) AS word_chars,
+  length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_rep, 0) AS n_repeat_words,
+  l.doc_id IS NOT NULL OR coalesce(n_cover, 0) > 0.1 * len(w) AS repeats
+  FROM docs s LEFT JOIN rep r ON r.doc_id = s.doc_id LEFT JOIN long_ l ON l.doc_id = s.doc_id LEFT JOIN cover c ON c.doc_id = s.doc_id LEFT JOIN dup d ON d.doc_id = s.doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
   NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT repeats AS kept FROM base"""
 
 _WORDS = rf"""WITH {_DOCS},
-win AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY md5(array_to_string(w[i:i + 49], ' '))) AS first FROM docs, unnest(range(1, len(w) - 48)) AS u(i)),
-gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM win WHERE first < doc_id),
-each AS (SELECT doc_id, w[j] AS word, j FROM docs, unnest(range(1, len(w) + 1)) AS u(j)),
-kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY j) AS kept, count(*) AS n FROM each e ANTI JOIN gone g ON g.doc_id = e.doc_id AND g.j = e.j GROUP BY e.doc_id)
+{_doubled(32)},
+grams AS MATERIALIZED (SELECT doc_id, i, n, word, hash(h32, lead(h16, 32) {_OVER}, lead(h2, 48) {_OVER}) AS g50 FROM h32),
+win AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g50) AS first FROM grams WHERE i <= n - 49),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM win WHERE first < doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM grams ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
 
-
 _BYTES = r"""WITH h AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 part AS MATERIALIZED (SELECT doc_id, 1000 * k AS base, substr(x, 2000 * k + 1, 2198) AS x FROM h, unnest(range(0, length(x) // 2000 + 1)) AS u(k)),
 win AS MATERIALIZED (SELECT doc_id, base + i AS s, md5_number(substr(x, 2 * i + 1, 200)) AS w FROM part, unnest(range(0, least(1000, length(x) // 2 - 99))) AS u(i)),
