@@ -49,36 +49,46 @@ def new_partner_rate(trades: DataFrame, days: int = NEW_PARTNER_DAYS) -> DataFra
     return met.join(F.broadcast(ref)).groupBy("mst").agg(F.bround(F.count_if(F.col("met") >= F.col("cutoff")) / F.count("*"), 4).alias("new_partner_rate_90d"))
 
 
-def betweenness(trades: DataFrame, most_rounds: int = 64) -> DataFrame:
+def betweenness(trades: DataFrame, most_rounds: int = 64, batch: int = 4096) -> DataFrame:
     """(mst, betweenness_centrality): undirected, unweighted, each pair counted once, not normalised.
 
-    Brandes' sums by joins: breadth-first levels of all sources together, with
+    Brandes' sums by joins: breadth-first levels of many sources together, with
     the number of shortest paths; then what each vertex carries, from the last
-    level back. No task holds the graph.
+    level back. No task holds the graph. Sources go in batches of about
+    ``batch``, so that at most batch times companies rows are alive; the work
+    in all is companies times edges, as for any exact method.
     """
     adj = materialise(partners(trades).select(F.col("mst").alias("v"), F.col("partner").alias("w")), "adjacency")
     nodes = adj.select("v").distinct()
-    levels = [materialise(nodes.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("sigma"), F.lit(0).alias("depth")), "level")]
-    for depth in range(1, most_rounds):
+    parts = max(1, -(-nodes.count() // batch))
+    sums = nodes.withColumn("delta", F.lit(0.0))
+    for k in range(parts):
+        some = nodes if parts == 1 else nodes.where(F.pmod(F.xxhash64("v"), F.lit(parts)) == k)
+        sums = sums.unionByName(_carried(adj, some, most_rounds))
+    return sums.groupBy(F.col("v").alias("mst")).agg(F.bround(F.sum("delta") / 2, 6).alias("betweenness_centrality"))
+
+
+def _carried(adj: DataFrame, sources: DataFrame, most_rounds: int) -> DataFrame:
+    """(v, delta): what each vertex carries of the shortest paths from the sources (v)."""
+    levels = [materialise(sources.select(F.col("v").alias("s"), "v", F.lit(1.0).alias("sigma")), "level")]
+    for _ in range(1, most_rounds):
         step = levels[-1].join(adj, "v").groupBy("s", F.col("w").alias("v")).agg(F.sum("sigma").alias("sigma"))
         # a neighbour of a level lies in it, in the one before, or in the next
         near = levels[-1].select("s", "v") if len(levels) == 1 else levels[-1].select("s", "v").unionByName(levels[-2].select("s", "v"))
-        step = materialise(step.join(near, ["s", "v"], "left_anti").withColumn("depth", F.lit(depth)), "level")
+        step = materialise(step.join(near, ["s", "v"], "left_anti"), "level")
         if step.isEmpty():
             break
         levels.append(step)
     else:
         raise RuntimeError(f"shortest paths of {most_rounds} hops and more")
-    carried, total = None, None
-    for level in reversed(levels[1:]):
-        own = level if carried is None else level.join(carried, ["s", "v"], "left")
-        own = own.select("s", "v", "sigma", F.col("depth"), (F.lit(0.0) if carried is None else F.coalesce("delta", F.lit(0.0))).alias("delta"))
-        own = materialise(own, "delta")
-        total = own.select("v", "delta") if total is None else total.unionByName(own.select("v", "delta"))
-        before = levels[levels.index(level) - 1].select("s", F.col("v").alias("u"), F.col("sigma").alias("sigma_u"))
-        carried = own.join(adj.select("v", F.col("w").alias("u")), "v").join(before, ["s", "u"]).groupBy("s", F.col("u").alias("v")).agg(F.sum(F.col("sigma_u") / F.col("sigma") * (1 + F.col("delta"))).alias("delta"))
-    sums = nodes.withColumn("delta", F.lit(0.0)) if total is None else total.unionByName(nodes.withColumn("delta", F.lit(0.0)))
-    return sums.groupBy(F.col("v").alias("mst")).agg(F.bround(F.sum("delta") / 2, 6).alias("betweenness_centrality"))
+    carried, total = None, sources.sparkSession.createDataFrame([], adj.select("v", F.lit(0.0).alias("delta")).schema)
+    for before, level in zip(reversed(levels[:-1]), reversed(levels[1:]), strict=True):
+        own = level.withColumn("delta", F.lit(0.0)) if carried is None else level.join(carried, ["s", "v"], "left").withColumn("delta", F.coalesce("delta", F.lit(0.0)))
+        own = materialise(own.select("s", "v", "sigma", "delta"), "delta")
+        total = total.unionByName(own.select("v", "delta"))
+        nearer = before.select("s", F.col("v").alias("u"), F.col("sigma").alias("sigma_u"))
+        carried = own.join(adj.select("v", F.col("w").alias("u")), "v").join(nearer, ["s", "u"]).groupBy("s", F.col("u").alias("v")).agg(F.sum(F.col("sigma_u") / F.col("sigma") * (1 + F.col("delta"))).alias("delta"))
+    return materialise(total.groupBy("v").agg(F.sum("delta").alias("delta")), "carried")
 
 
 def company_metrics(trades: DataFrame) -> DataFrame:

@@ -205,8 +205,9 @@ def test_betweenness(spark):
     rnd = random.Random(2)
     pairs = {(f"v{rnd.randrange(14)}", f"v{rnd.randrange(14)}") for _ in range(22)} | {("w1", "w2")}
     pairs = {(a, b) for a, b in pairs if a != b}
-    got = {r.mst: r.betweenness_centrality for r in metrics.betweenness(graph(spark, [(a, b, 202101, 1, 0) for a, b in pairs])).collect()}
-    assert got == pytest.approx(brandes(pairs), abs=1e-5)
+    for batch in (4096, 6):
+        got = {r.mst: r.betweenness_centrality for r in metrics.betweenness(graph(spark, [(a, b, 202101, 1, 0) for a, b in pairs]), batch=batch).collect()}
+        assert got == pytest.approx(brandes(pairs), abs=1e-5)
 
 
 def test_csv_to_report(spark, tmp_path):
