@@ -73,8 +73,20 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .codes import vector_codes
+
+    return vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened_embeddings
+
+    return whitened_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op6_license_scans, op7_best_fit_packing, op8_soft_membership_mixing, op9_nearest_neighbours, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op6_license_scans, op7_best_fit_packing, op8_soft_membership_mixing, op9_nearest_neighbours, op10_secret_scans, op12_vector_codes, op13_embedding_whitening)}
 
 
 _DOCS = r"docs AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"
@@ -128,6 +140,28 @@ SELECT doc_id, cast(length(h.x) // 2 AS bigint) AS n_bytes, cast(coalesce(n_remo
 FROM h LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+
+def _codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
+    """Product codes: whole numbers as doubles, whose inner products are exact."""
+    cut = [f"v[{p} * len(v) // {parts} + 1:{p + 1} * len(v) // {parts}]" for p in range(parts)]
+    steps = [
+        f"""x AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda c: floor(1024 * cast(c AS double))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)""",
+        "part AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT vec_id, label, {p} AS p, {cut[p]} AS v FROM x" for p in range(parts)) + ")",
+        f"book0 AS MATERIALIZED (SELECT p, n - 1 AS k, v FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) AS n FROM part) WHERE n <= {entries})",
+    ]
+    near = "SELECT vec_id, a.p, k, a.v, list_inner_product(a.v, a.v) - 2 * list_inner_product(a.v, b.v) + list_inner_product(b.v, b.v) AS d FROM part a JOIN book{r} b ON a.p = b.p"
+    first = "SELECT vec_id, p, any_value(v) AS v, min(k) AS k, min(d) AS d FROM (SELECT *, min(d) OVER (PARTITION BY vec_id, p) AS best FROM (" + near + ")) WHERE d = best GROUP BY vec_id, p"
+    for r in range(rounds):
+        steps.append(f"near{r} AS MATERIALIZED ({first.format(r=r)})")
+        steps.append(f"mean{r} AS (SELECT p, k, list(m ORDER BY i) AS v FROM (SELECT p, k, i, floor(sum(c) / count(*)) AS m FROM (SELECT p, k, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM near{r}) GROUP BY p, k, i) GROUP BY p, k)")
+        steps.append(f"book{r + 1} AS MATERIALIZED (SELECT b.p, b.k, coalesce(m.v, b.v) AS v FROM book{r} b LEFT JOIN mean{r} m ON m.p = b.p AND m.k = b.k)")
+    steps.append(f"last AS MATERIALIZED ({first.format(r=rounds)})")
+    steps.append(f"sha AS (SELECT sha256(string_agg(cast(cast(c AS bigint) AS varchar), ',' ORDER BY p, k, i)) AS codebooks_sha256 FROM (SELECT p, k, unnest(v) AS c, generate_subscripts(v, 1) AS i FROM book{rounds}))")
+    steps.append("code AS (SELECT vec_id, string_agg(format('{:02x}', k), '' ORDER BY p) AS code, cast(sum(d) AS bigint) AS error FROM last GROUP BY vec_id)")
+    return "WITH " + ",\n".join(steps) + "\nSELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256 FROM code JOIN x USING (vec_id), sha"
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for those whose results it can express; the others are held against brute force in the tests."""
-    return {"op1_quality_rules": _QUALITY, "op3_relative_lempel_ziv": _WORDS, "op5_suffix_array_dedup": _BYTES}
+    return {"op1_quality_rules": _QUALITY, "op3_relative_lempel_ziv": _WORDS, "op5_suffix_array_dedup": _BYTES, "op12_vector_codes": _codes_sql()}
