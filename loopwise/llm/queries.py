@@ -73,6 +73,12 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import extract_articles
+
+    return extract_articles(_table(spark, sf_dir, "pages"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .codes import vector_codes
 
@@ -86,7 +92,7 @@ def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op6_license_scans, op7_best_fit_packing, op8_soft_membership_mixing, op9_nearest_neighbours, op10_secret_scans, op12_vector_codes, op13_embedding_whitening)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_simhash_near_dedup, op3_relative_lempel_ziv, op4_factorisation_machine, op5_suffix_array_dedup, op6_license_scans, op7_best_fit_packing, op8_soft_membership_mixing, op9_nearest_neighbours, op10_secret_scans, op11_html_extraction, op12_vector_codes, op13_embedding_whitening)}
 
 
 _DOCS = r"docs AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents)"
