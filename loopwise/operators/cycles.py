@@ -5,19 +5,31 @@ of its months. It is a front, a path from that company, and a back, a path to
 it, that meet in one equi-join on both ends; fronts and backs grow by one edge
 a level, to half the longest cycle. Balance and time never rise when an edge
 is added, so a half under the bound is dropped as it grows.
+
+Signals lower the bound of a cycle, and only through its members. Companies at
+risk come first in the order, so a cycle that has one starts at one: paths from
+there grow down to 35, all others to 50. Cycles with a hidden link between two
+members are looked for below that, down to 25, or 10 with a member at risk:
+from the arcs between linked companies. No path is grown at a bound that nothing
+on it can earn.
 """
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import month_index
 from ..scratch import materialise
 from .edges import seeds, trim_to_core, window_of
+from .links import groups_of_pairs
 from .score import RED, W_HIDDEN, W_RISKY, W_VAT, balance_of, components_of, flagged_members, time_of
 
 
@@ -25,11 +37,6 @@ def _edge() -> F.Column:
     return F.struct(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst"), "period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"))
 
 
-def _fact() -> F.Column:
-    """What a path keeps of an edge beside its companies."""
-    return F.struct("period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"))
-
-
 def reach_layers(edges: DataFrame, max_hops: int, targets: DataFrame | None = None) -> DataFrame:
     """(src, dst, depth): the fewest hops, up to ``max_hops``, from src to each dst (of ``targets`` (mst) where given)."""
     hops = edges.select(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst")).distinct()
@@ -42,65 +49,114 @@ def reach_layers(edges: DataFrame, max_hops: int, targets: DataFrame | None = No
     return out
 
 
-class CyclesCut(RuntimeError):
-    """The paths of a level exceed the row budget."""
+class BudgetSpent(RuntimeError):
+    """The time of a search is over."""
 
 
-#: What a path knows of all its edges: how two parts are put together, and what one edge has.
-_RANGE = {"mn": F.least, "mx": F.greatest, "lo": F.least, "hi": F.greatest, "risk": F.greatest, "many": F.greatest, "linked": F.concat}
-_OF_EDGE = {"mn": "total_amount", "mx": "total_amount", "lo": "month", "hi": "month", "risk": "e_risk", "many": "e_many", "linked": "e_linked"}
-_FEW = 32  # hidden links of a company that a path carries along
+class Budget:
+    """Rows and seconds that a search may take. Within seconds, a running job is stopped, and what was written before stays."""
 
+    def __init__(self, rows: int | None, seconds: float | None):
+        self.rows, self.seconds, self.began, self.spent = rows, seconds, time.monotonic(), False
 
-def _with_signals(edges: DataFrame, hidden: DataFrame | None, risky: DataFrame | None) -> DataFrame:
-    """Edges with what is known of their sellers: e_risk (0 or 1), e_linked (companies linked to it in secret) and e_many (1: too many of them to carry).
+    def write(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """(``df`` as a scratch table, its rows)."""
+        seen = Observation()
+        observed = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        if self.seconds is None:
+            return materialise(observed, name), seen.get["n"]
+        left = self.seconds - (time.monotonic() - self.began)
+        if self.spent or left <= 0:
+            self.spent = True
+            raise BudgetSpent
+        context, tag, over = df.sparkSession.sparkContext, f"loopwise-{uuid.uuid4().hex}", threading.Event()
+
+        def stop():
+            while not over.is_set():  # a write begins its jobs one by one
+                self.spent = True
+                context.cancelJobsWithTag(tag)
+                over.wait(0.2)
+
+        timer = threading.Timer(left, stop)
+        context.addJobTag(tag)
+        timer.start()
+        try:
+            out = materialise(observed, name)
+        except Exception as e:
+            if self.spent:
+                raise BudgetSpent from e
+            raise
+        finally:
+            over.set()
+            timer.cancel()
+            context.removeJobTag(tag)
+        return out, seen.get["n"]
 
-    Each company of a cycle is the seller of one of its edges, so the signals of a path are those of its edges.
-    """
-    none = F.array().cast("array<string>")
-    rows = edges if risky is None else edges.join(risky.select(F.col("mst").alias("seller_mst"), F.lit(1).alias("risk")).distinct(), "seller_mst", "left")
-    if hidden is not None:
-        both = hidden.select("company_a", "company_b").unionByName(hidden.select(F.col("company_b").alias("company_a"), F.col("company_a").alias("company_b"))).distinct()
-        few = both.withColumn("_n", F.row_number().over(W.partitionBy("company_a").orderBy("company_b"))).where(F.col("_n") <= _FEW + 1)
-        links = few.groupBy(F.col("company_a").alias("seller_mst")).agg(F.collect_list("company_b").alias("linked"))
-        rows = rows.join(links, "seller_mst", "left")
-    have = lambda c, other: F.coalesce(F.col(c), other) if c in rows.columns else other
-    many = F.size(have("linked", none)) > _FEW
-    return rows.withColumns({"e_risk": have("risk", F.lit(0)), "e_many": many.cast("int"), "e_linked": F.when(many, none).otherwise(have("linked", none))}).drop("risk", "linked")
+
+# A path of n edges has the companies v0 .. vn and of edge i = 1 .. n the period p<i>, amount a<i> and tax t<i>;
+# of all its edges least and largest amount and month, and whether a seller is at risk.
+_FACTS = ("p", "a", "t")
+_RANGE = {"mn": F.least, "mx": F.greatest, "lo": F.least, "hi": F.greatest, "risk": F.greatest}
+_OF_EDGE = {"mn": "amount", "mx": "amount", "lo": "month", "hi": "month", "risk": "risk"}
+
+
+def _columns(n: int) -> list[str]:
+    return [f"v{i}" for i in range(n + 1)] + [f"{f}{i}" for i in range(1, n + 1) for f in _FACTS] + list(_RANGE)
 
 
 def _within(rows: DataFrame, bound: float | Column) -> DataFrame:
     return rows.where(balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi")) >= bound)
 
 
-def _first_level(edges: DataFrame, front: bool) -> DataFrame:
-    """Edges as paths (low, far, members, facts, ranges): low is the smallest company, far the other end; a back's members leave low out."""
-    low, far = ("seller_mst", "buyer_mst") if front else ("buyer_mst", "seller_mst")
-    members = F.array(low, far) if front else F.array(far)
-    return edges.where(F.col(low) < F.col(far)).select(F.col(low).alias("low"), F.col(far).alias("far"), members.alias("members"), F.array(_fact()).alias("facts"), *[F.col(c).alias(k) for k, c in _OF_EDGE.items()])
+def _steps(edges: DataFrame, back: bool) -> DataFrame:
+    """Edges as steps (here, there, ...); those of a back lead against the trade."""
+    here, there = ("dst", "src") if back else ("src", "dst")
+    return edges.select(F.col(here).alias("here"), F.col(there).alias("there"), *[F.col(c) for c in ("period", "amount", "vat", "month", "risk")])
 
 
-def _longer(paths: DataFrame, edges: DataFrame, front: bool, bound: float) -> DataFrame:
-    """Paths with one more edge at their far end."""
-    at, new = ("seller_mst", "buyer_mst") if front else ("buyer_mst", "seller_mst")
-    joined = paths.join(edges, (F.col("far") == F.col(at)) & (F.col(new) > F.col("low")) & ~F.array_contains("members", F.col(new)))
-    grow = (lambda c, x: F.concat(c, F.array(x))) if front else (lambda c, x: F.concat(F.array(x), c))
-    rows = joined.select("low", F.col(new).alias("far"), grow(F.col("members"), F.col(new)).alias("members"), grow(F.col("facts"), _fact()).alias("facts"), *[f(k, _OF_EDGE[k]).alias(k) for k, f in _RANGE.items()])
+def _start(steps: DataFrame, rising: bool) -> DataFrame:
+    """Steps as paths of one edge; ``rising``: to a larger company only."""
+    rows = steps.where("here < there") if rising else steps
+    return rows.select(F.col("here").alias("v0"), F.col("there").alias("v1"), F.col("period").alias("p1"), F.col("amount").alias("a1"), F.col("vat").alias("t1"), *[F.col(c).alias(k) for k, c in _OF_EDGE.items()])
+
+
+def _longer(paths: DataFrame, n: int, steps: DataFrame, rising: bool, bound: float | Column) -> DataFrame:
+    """Paths of n edges with one more."""
+    apart = [F.col("there") > F.col("v0") if rising else F.col("there") != F.col("v0"), *[F.col("there") != F.col(f"v{i}") for i in range(1, n)]]
+    joined = paths.join(steps.withColumnRenamed("risk", "e_risk"), F.col(f"v{n}") == F.col("here"))
+    for x in apart:
+        joined = joined.where(x)
+    own = {**_OF_EDGE, "risk": "e_risk"}
+    rows = joined.select(*[c for c in _columns(n) if c not in _RANGE], *[c for c in paths.columns if c not in _columns(n)], F.col("there").alias(f"v{n + 1}"), F.col("period").alias(f"p{n + 1}"), F.col("amount").alias(f"a{n + 1}"), F.col("vat").alias(f"t{n + 1}"), *[f(k, own[k]).alias(k) for k, f in _RANGE.items()])
     return _within(rows, bound)
 
 
-def _closed(fronts: DataFrame, backs: DataFrame, hops: int, bound: float, signals: bool) -> DataFrame:
-    """(members, edges, hop_len) of the fronts and backs that meet at both ends and nowhere else; with ``signals`` those that can be red."""
-    names = ("members", "facts", *_RANGE)
-    other = backs.select("low", "far", *[F.col(c).alias(f"b_{c}") for c in names])
-    rest = F.slice("b_members", 2, hops)  # a back's first member is the front's last
-    joined = fronts.join(other, ["low", "far"]).where(~F.arrays_overlap("members", rest))
-    rows = joined.select(F.concat("members", rest).alias("members"), F.concat("facts", "b_facts").alias("facts"), *[f(k, f"b_{k}").alias(k) for k, f in _RANGE.items()])
-    # a pair of members is hidden, or may be: within_member_bound looks again
-    pair = (F.col("many") > 0) | F.arrays_overlap("members", "linked")
-    need = RED - W_VAT - F.when(pair, W_HIDDEN).otherwise(0.0) - W_RISKY * F.col("risk")
-    edge = lambda f, i: F.struct(F.col("members")[i].alias("src"), F.col("members")[(i + 1) % hops].alias("dst"), f["period"].alias("period"), f["amount"].alias("amount"), f["vat"].alias("vat"))
-    return _within(rows, F.greatest(need, F.lit(bound)) if signals else bound).select("members", F.transform("facts", edge).alias("edges"), F.lit(hops).alias("hop_len"))
+def _meet(fronts: DataFrame, n: int, backs: DataFrame, m: int, start: str = "v0", key: tuple[str, ...] = ()) -> DataFrame:
+    """Fronts of n and backs of m edges put together where they end at the same company and share no other, as paths of n + m edges.
+
+    A closed path also starts where it ends: then ``start`` is 'v0', and vn+m is
+    left out. ``key``: further columns that must be equal, and stay.
+    """
+    closed = start == "v0"
+    other = backs.select(*[F.col(c).alias(f"b_{c}") for c in (*_columns(m), *key)])
+    on = [F.col(f"v{n}") == F.col(f"b_v{m}"), *([F.col("v0") == F.col("b_v0")] if closed else []), *[F.col(k) == F.col(f"b_{k}") for k in key]]
+    rows = fronts.join(other, on)
+    for i in range(1 if closed else 0, m):
+        for k in range(n if not closed or i else 0):
+            rows = rows.where(F.col(f"b_v{i}") != F.col(f"v{k}"))
+    names = [F.col(f"b_v{m - i}").alias(f"v{n + i}") for i in range(1, m if closed else m + 1)]
+    facts = [F.col(f"b_{f}{m + 1 - i}").alias(f"{f}{n + i}") for i in range(1, m + 1) for f in _FACTS]
+    keep = [c for c in _columns(n) if c not in _RANGE]
+    return rows.select(*keep, *names, *facts, *[f(k, f"b_{k}").alias(k) for k, f in _RANGE.items()], *key)
+
+
+def _cycles_of(paths: DataFrame | None, hops: int) -> DataFrame | None:
+    """Closed paths as (members, edges, hop_len), by the companies' own names and from the smallest on."""
+    if paths is None:
+        return None
+    paths = paths.withColumns({f"v{i}": F.substring(f"v{i}", 2, 1 << 30) for i in range(hops)})
+    edge = lambda i: F.struct(F.col(f"v{i}").alias("src"), F.col(f"v{(i + 1) % hops}").alias("dst"), F.col(f"p{i + 1}").alias("period"), F.col(f"a{i + 1}").alias("amount"), F.col(f"t{i + 1}").alias("vat"))
+    return canonical(paths.select(F.array(*[f"v{i}" for i in range(hops)]).alias("members"), F.array(*map(edge, range(hops))).alias("edges"), F.lit(hops).alias("hop_len")))
 
 
 def enumerate_cycles(trades: DataFrame, period_from: int, period_to: int, **how) -> DataFrame:
@@ -109,6 +165,76 @@ def enumerate_cycles(trades: DataFrame, period_from: int, period_to: int, **how)
     return found.withColumn("truncated", F.lit(truncated))
 
 
+@dataclass
+class _Sweep:
+    """Cycles through the smallest company of all, by fronts and backs of growing length."""
+
+    edges: DataFrame
+    lengths: list[int]
+    bound: float | Column  # may depend on v0
+    budget: Budget
+
+    def __post_init__(self):
+        self.levels: dict[tuple[bool, int], DataFrame | None] = {}
+
+    def level(self, front: bool, n: int) -> DataFrame | None:
+        """Fronts or backs of n edges; None where the row budget forbids them."""
+        if (front, n) not in self.levels:
+            if n == 1:
+                self.levels[front, n] = _within(_start(_steps(self.edges, not front), True), self.bound)
+            else:
+                before = self.level(front, n - 1)
+                self.levels[front, n] = None if before is None else self.kept(_longer(before, n - 1, _steps(self.edges, not front), True, self.bound), front, n)
+        return self.levels[front, n]
+
+    def kept(self, level: DataFrame, front: bool, n: int) -> DataFrame | None:
+        """A level that is read more than once, or must be counted, is written."""
+        reads = sum(n == (h + 1) // 2 if front else n == h // 2 for h in self.lengths) + any((h + 1) // 2 > n if front else h // 2 > n for h in self.lengths)
+        if reads < 2 and self.budget.rows is None and self.budget.seconds is None:
+            return level
+        out, rows = self.budget.write(level, "fronts" if front else "backs")
+        return None if self.budget.rows is not None and rows > self.budget.rows else out
+
+    def closed(self, hops: int) -> DataFrame | None:
+        fronts, backs = self.level(True, (hops + 1) // 2), self.level(False, hops // 2)
+        return None if fronts is None or backs is None else _within(_meet(fronts, (hops + 1) // 2, backs, hops // 2), self.bound)
+
+
+def _arcs(edges: DataFrame, groups: DataFrame, n: int, bound: float) -> DataFrame:
+    """Paths of n edges whose ends share a group, each once: halves from the members of groups meet on the group and the company between them."""
+
+    def half(m: int, back: bool) -> DataFrame:
+        if m == 0:
+            return groups.select(F.col("mst").alias("v0"), "grp")
+        steps = _steps(edges, back)
+        out = _start(steps, False).join(groups.select(F.col("mst").alias("v0"), "grp"), "v0")
+        for k in range(1, m):
+            out = _longer(out, k, steps, False, bound)
+        return out
+
+    fronts = half((n + 1) // 2, False)
+    if n == 1:
+        rows = fronts.join(groups.select(F.col("mst").alias("v1"), "grp"), ["v1", "grp"]).select(*_columns(1))
+    else:
+        rows = _meet(fronts, (n + 1) // 2, half(n // 2, True), n // 2, "any", ("grp",)).drop("grp")
+    return _within(rows, bound).dropDuplicates([f"v{i}" for i in range(n + 1)] + [f"p{i}" for i in range(1, n + 1)])
+
+
+def _through_arcs(arcs: DataFrame, b: int, hops: int, edges: DataFrame, bound: float) -> DataFrame:
+    """Cycles of ``hops`` companies with an arc of b edges: arcs grow from their end, and backs from their start."""
+    a = hops - b
+    m = (a + 1) // 2
+    out = arcs
+    for k in range(b, hops - m):
+        out = _longer(out, k, _steps(edges, False), False, bound)
+    ends = arcs.select("v0").distinct()
+    steps = _steps(edges, True)
+    backs = _start(steps, False).join(ends, "v0", "left_semi")
+    for k in range(1, m):
+        backs = _longer(backs, k, steps, False, bound)
+    return _within(_meet(out, hops - m, backs, m), bound)
+
+
 def search_cycles(
     trades: DataFrame,
     period_from: int,
@@ -126,44 +252,87 @@ def search_cycles(
     """(members, edges, hop_len) of every cycle of min_hops..max_hops companies with balance + time >= bound, and whether a budget cut the search.
 
     members start with the smallest key; edges[i] leads from members[i] to the
-    next. A level of more than ``row_budget`` paths is not made longer, and no
-    level is begun after ``time_budget_s`` seconds; then cycles that would need
-    it are lacking, and the search was truncated. ``only`` keeps one length.
-    With ``hidden`` (company_a, company_b) or ``risky`` (mst), cycles that
-    can't be red by their members' signals are dropped as they close.
+    next. With ``hidden`` (pairs company_a, company_b, or groups mst, grp whose
+    members are linked) or ``risky`` (mst), ``bound`` is the least that any cycle
+    needs, and a cycle must also have 50, less 25 with a hidden pair among its
+    members and 15 with a member at risk: those that can be red.
+
+    A level of more than ``row_budget`` paths is not made longer. After
+    ``time_budget_s`` seconds the running job is stopped; lengths and signals
+    that are done by then are given out. In both cases the search was truncated.
+    ``only`` keeps one length.
     """
-    began = time.monotonic()
-    signals = hidden is not None or risky is not None
-    edges = window_of(trades, period_from, period_to).select("seller_mst", "buyer_mst", "period", "total_amount", "total_vat", month_index(F.col("period")).alias("month"))
-    edges = trim_to_core(materialise(_with_signals(edges, hidden, risky), "window"), trim_rounds)
+    budget = Budget(row_budget, time_budget_s)
+    spark = trades.sparkSession
+    edges = window_of(trades, period_from, period_to).select(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst"), "period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"), month_index(F.col("period")).alias("month"))
+    edges = trim_to_core(materialise(_ranked(edges, risky), "window"), trim_rounds, "src", "dst")
     lengths = [only] if only is not None else list(range(max(2, min_hops), max_hops + 1))
-    levels: dict[tuple[bool, int], DataFrame | None] = {(f, 1): _first_level(edges, f) for f in (True, False)}
-    truncated, found = False, []
+    full = max(bound, RED - W_VAT) if hidden is not None or risky is not None else bound
+    points = balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi"))
+    at_risk = W_RISKY * F.col("risk")
+    need = full if risky is None else F.when(F.col("v0").startswith(_AT_RISK), max(bound, full - W_RISKY)).otherwise(full)
+    sweep = _Sweep(edges, lengths, need, budget)
+    parts: list[Callable[[int], DataFrame | None]] = [lambda hops: _cycles_of(sweep.closed(hops), hops)]
+    if hidden is not None and bound < full:
+        groups = materialise(_ranked(_in_twos(hidden if "grp" in hidden.columns else groups_of_pairs(hidden)), risky, ("mst",)), "groups")
+        least = max(bound, full - W_HIDDEN - (W_RISKY if risky is not None else 0.0))
+        arcs: dict[int, DataFrame] = {}
+
+        def linked(hops: int) -> DataFrame | None:
+            """What the sweep's bound leaves out; a cycle with several links comes once."""
+            rows = None
+            for b in range(1, hops // 2 + 1):
+                if b not in arcs:
+                    arcs[b], n = budget.write(_arcs(edges, groups, b, least), "arcs")
+                    if row_budget is not None and n > row_budget:
+                        return None
+                closed = _through_arcs(arcs[b], b, hops, edges, least)
+                rows = closed if rows is None else rows.unionByName(closed)
+            below = F.greatest(F.lit(bound), full - at_risk)
+            fine = (points >= F.greatest(F.lit(bound), full - W_HIDDEN - at_risk)) & (points < below)
+            found = _cycles_of(rows.where(fine), hops).withColumn("_periods", F.transform("edges", lambda e: e["period"]))
+            return found.dropDuplicates(["members", "_periods"]).drop("_periods")
+
+        parts.append(linked)
 
-    def level(front: bool, n: int) -> DataFrame | None:
-        """Fronts or backs of n edges; None where a budget forbids them."""
-        if (front, n) not in levels:
-            before, out = level(front, n - 1), None
-            spent = time_budget_s is not None and time.monotonic() - began > time_budget_s
-            if before is not None and not spent and (row_budget is None or before.limit(row_budget + 1).count() <= row_budget):
-                out = _longer(before, edges, front, bound)
-                if sum(n <= ((h + 1) // 2 if front else h // 2) for h in lengths) > 1:  # read more than once
-                    out = materialise(out, "fronts" if front else "backs")
-            levels[front, n] = out
-        return levels[front, n]
-
-    for hops in lengths:
-        fronts, backs = level(True, (hops + 1) // 2), level(False, hops // 2)
-        if fronts is None or backs is None:
-            truncated = True
-            break
-        found.append(_closed(fronts, backs, hops, bound, signals))
-    out = found[0] if found else _closed(levels[True, 1], levels[False, 1], 2, bound, signals).limit(0)
+    truncated, found = False, []
+    try:
+        for hops in lengths:
+            for part in parts:
+                rows = part(hops)
+                if rows is None:
+                    truncated = True
+                else:
+                    found.append(rows if time_budget_s is None else budget.write(rows, "found")[0])
+    except BudgetSpent:
+        truncated = True
+    if not found:
+        return spark.createDataFrame([], "members array<string>, edges array<struct<src: string, dst: string, period: int, amount: double, vat: double>>, hop_len int"), truncated
+    out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
     return out, truncated
 
 
+_AT_RISK, _OTHER = "0", "1"  # put before the names of companies while cycles are looked for
+
+
+def _ranked(rows: DataFrame, risky: DataFrame | None, columns: tuple[str, ...] = ("src", "dst")) -> DataFrame:
+    """``rows`` with companies at risk before all others in the order of names; of edges also ``risk``, whether their seller is (0 or 1)."""
+    for c in columns:
+        if risky is not None:
+            rows = rows.join(risky.select(F.col("mst").alias(c), F.lit(1).alias(f"_{c}")).distinct(), c, "left")
+        rows = rows.withColumn(f"_{c}", F.coalesce(F.col(f"_{c}"), F.lit(0)) if risky is not None else F.lit(0))
+    rows = rows.withColumns({c: F.concat(F.when(F.col(f"_{c}") == 1, _AT_RISK).otherwise(_OTHER), F.col(c)) for c in columns})
+    return rows.withColumnRenamed("_src", "risk").drop(*[f"_{c}" for c in columns])
+
+
+def _in_twos(groups: DataFrame) -> DataFrame:
+    """Groups of two members and more; the others link nothing."""
+    rows = groups.select("mst", "grp").distinct()
+    return rows.join(rows.groupBy("grp").count().where("count > 1").select("grp"), "grp", "left_semi")
+
+
 def within_member_bound(found: DataFrame, hidden: DataFrame | None, risky: DataFrame | None) -> DataFrame:
     """Those of ``found`` that can be red: balance + time >= 50, less 25 with a hidden pair among the members and 15 with a company at risk."""
     need = F.lit(RED - W_VAT)

@@ -65,12 +65,12 @@ def seed_summary(trades: DataFrame) -> DataFrame:
     ).withColumn("pruned_share", F.try_divide((F.col("n_participants") - F.col("n_seeds")).cast("double"), F.col("n_participants")))
 
 
-def trim_to_core(trades: DataFrame, rounds: int = 1) -> DataFrame:
+def trim_to_core(trades: DataFrame, rounds: int = 1, seller: str = "seller_mst", buyer: str = "buyer_mst") -> DataFrame:
     """Edges whose seller also buys and whose buyer also sells, again and again: what is dropped lies on no cycle."""
     for _ in range(rounds):
-        sells = trades.select(F.col("seller_mst").alias("k")).distinct()
-        buys = trades.select(F.col("buyer_mst").alias("k")).distinct()
-        trades = trades.join(buys, trades["seller_mst"] == buys["k"], "left_semi").join(sells, F.col("buyer_mst") == sells["k"], "left_semi")
+        sells = trades.select(F.col(seller).alias("k")).distinct()
+        buys = trades.select(F.col(buyer).alias("k")).distinct()
+        trades = trades.join(buys, trades[seller] == buys["k"], "left_semi").join(sells, F.col(buyer) == sells["k"], "left_semi")
         trades = materialise(trades, "core")
     return trades
 

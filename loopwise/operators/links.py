@@ -87,6 +87,35 @@ def hidden_pairs(shares_address: DataFrame | None = None, shares_phone: DataFram
     return reduce(DataFrame.unionByName, parts).distinct() if parts else None
 
 
+def hidden_groups(addresses: DataFrame | None = None, phones: DataFrame | None = None, legal_reps: DataFrame | None = None, owns: DataFrame | None = None, most_phone: int = MAX_PHONE_GROUP) -> DataFrame | None:
+    """(mst, grp): companies of one group are linked to each other; None if there is no source.
+
+    addresses (mst, norm_addr), phones (mst, phone), legal_reps (mst, person_id),
+    owns (owner, owned). The same links as ``hidden_pairs`` has, but a group of n
+    companies is n rows and not n * (n - 1) / 2 pairs, so none is too large.
+    Numbers that more than ``most_phone`` companies share link nothing.
+    """
+    named = lambda df, kind, key: df.where(F.col(key).isNotNull()).select("mst", F.concat_ws("|", F.lit(kind), F.col(key)).alias("grp")).distinct()
+    parts = []
+    if addresses is not None:
+        parts.append(named(addresses, "address", "norm_addr"))
+    if phones is not None:
+        few = phones.select("mst", "phone").distinct()
+        parts.append(named(few.join(few.groupBy("phone").count().where(F.col("count") <= most_phone).select("phone"), "phone", "left_semi"), "phone", "phone"))
+    if legal_reps is not None:
+        parts.append(named(legal_reps, "person", "person_id"))
+    if owns is not None:
+        parts.append(groups_of_pairs(unordered(owns, "owner", "owned")))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def groups_of_pairs(pairs: DataFrame) -> DataFrame:
+    """(mst, grp): each pair (company_a, company_b) as a group of two."""
+    both = pairs.select("company_a", "company_b").where("company_a <> company_b").distinct()
+    grp = F.concat_ws("|", F.lit("pair"), F.length("company_a"), "company_a", "company_b")
+    return both.select(F.explode(F.array("company_a", "company_b")).alias("mst"), grp.alias("grp"))
+
+
 def risky_companies(companies: DataFrame, period_from: int) -> DataFrame:
     """(mst) that are new, founded within a year before the window or later, or have a bad status; by the columns that are there."""
     terms = []

@@ -51,26 +51,40 @@ def prune_bound(has_hidden: bool, has_risky: bool, no_prune: bool = False) -> fl
 
 
 def flagged_members(cycles: DataFrame, signal: DataFrame, name: str) -> DataFrame:
-    """(cycle_id, ``name`` = true) of cycles with a member of ``signal`` (mst), or a pair of them in it (company_a < company_b).
+    """(cycle_id, ``name`` = true) of cycles with a member of ``signal`` (mst), two members of one of its groups (mst, grp), or a pair of members in it (company_a < company_b).
 
     Members are exploded once for each different list of them and joined to
-    the signal by key; the rows are cycles times members or pairs of members.
+    the signal by key; the rows are cycles times members (and their groups), or
+    pairs of members.
     """
     members = cycles.select(F.array_join("members", "|").alias("cycle_id"), "members").distinct().select("cycle_id", "members", F.explode("members").alias("mst"))
     if "company_a" in signal.columns:
         pairs = members.select("cycle_id", F.col("mst").alias("company_a"), F.explode("members").alias("company_b")).where("company_a < company_b")
         hit = pairs.join(signal, ["company_a", "company_b"], "left_semi")
+    elif "grp" in signal.columns:
+        hit = members.join(signal.select("mst", "grp").distinct(), "mst").groupBy("cycle_id", "grp").count().where("count > 1")
     else:
         hit = members.join(signal, "mst", "left_semi")
     return hit.select("cycle_id").distinct().withColumn(name, F.lit(True))
 
 
+def _both_signals(cycles: DataFrame, groups: DataFrame, risky: DataFrame) -> DataFrame:
+    """(cycle_id, _hidden, _risky) of cycles with two members of a group or a member at risk; risk is a group that needs one member."""
+    members = cycles.select(F.array_join("members", "|").alias("cycle_id"), F.explode("members").alias("mst"))
+    signals = groups.select("mst", "grp").unionByName(risky.select("mst", F.lit(None).cast("string").alias("grp"))).distinct()
+    hits = members.join(signals, "mst").groupBy("cycle_id", "grp").count().where("grp is null or count > 1")
+    return hits.groupBy("cycle_id").agg(F.max(F.col("grp").isNotNull()).alias("_hidden"), F.max(F.col("grp").isNull()).alias("_risky"))
+
+
 def score_cycles(cycles: DataFrame, hidden: DataFrame | None = None, risky: DataFrame | None = None) -> DataFrame:
     """All scores of deduplicated cycles (members, edges, hop_len)."""
-    cycles = materialise(cycles, "best-cycles")  # read by each signal
+    cycles = materialise(cycles, "best-cycles")  # read by the signals too
     rows = cycles.withColumn("cycle_id", F.array_join("members", "|")).withColumns(components_of(F.col("edges")))
-    for name, signal in (("_hidden", hidden), ("_risky", risky)):
-        rows = rows.withColumn(name, F.lit(None).cast("boolean")) if signal is None else rows.join(flagged_members(cycles, signal, name), "cycle_id", "left")
+    if hidden is not None and "grp" in hidden.columns and risky is not None:  # one pass over the members for both
+        rows = rows.join(_both_signals(cycles, hidden, risky), "cycle_id", "left")
+    else:
+        for name, signal in (("_hidden", hidden), ("_risky", risky)):
+            rows = rows.withColumn(name, F.lit(None).cast("boolean")) if signal is None else rows.join(flagged_members(cycles, signal, name), "cycle_id", "left")
     rows = rows.withColumn("score_hidden_link", F.when(F.col("_hidden"), F.lit(W_HIDDEN)).otherwise(F.lit(0.0))).withColumn("score_risky_member", F.when(F.col("_risky"), F.lit(W_RISKY)).otherwise(F.lit(0.0)))
     three = F.col("score_balance") + F.col("score_time") + F.col("score_vat")
     one = lambda c: F.bround(c, 1)

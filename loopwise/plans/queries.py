@@ -469,10 +469,10 @@ def _and_scored(sql: str) -> str:
 
 def _scored(t: Tables) -> DataFrame:
     """All cycles of 3 to 5 companies that can be red, as in plans.circular."""
-    hidden = materialise(links.hidden_pairs(links.address_pairs(t["company"])), "hidden")
+    hidden = materialise(links.hidden_groups(links.normalized_addresses(t["company"])), "hidden")
     risky = materialise(links.risky_companies(t["company"], FROM), "risky")
-    found = cycles.enumerate_cycles(t["trades"], FROM, TO, bound=score.prune_bound(True, True), hidden=hidden, risky=risky)
-    return score.score_cycles(cycles.best_combinations(cycles.within_member_bound(found, hidden, risky)), hidden, risky)
+    found, _ = cycles.search_cycles(t["trades"], FROM, TO, bound=score.prune_bound(True, True), hidden=hidden, risky=risky)
+    return score.score_cycles(cycles.best_combinations(found), hidden, risky)
 
 
 _SCORES = ["score", "score_60", "score_balance", "score_time", "score_hidden_link", "score_risky_member", "score_vat"]

@@ -91,9 +91,7 @@ def test_budget_is_told(spark):
     assert not cycles.search_cycles(t, 202011, 202104, max_hops=4, bound=float("-inf"), row_budget=10**6, time_budget_s=600)[1]
 
 
-@pytest.mark.parametrize("few", [0, 32])
-def test_signals_lower_the_bound(spark, monkeypatch, few):
-    monkeypatch.setattr(cycles, "_FEW", few)  # 0: no company's links are carried along
+def test_signals_lower_the_bound(spark):
     rows = random_graph(7, n=8, m=60)
     t = graph(spark, rows)
     hidden = spark.createDataFrame([("c0", "c1"), ("c2", "c5")], "company_a string, company_b string")
