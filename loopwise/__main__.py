@@ -17,9 +17,14 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="loopwise", description=__doc__)
     p.add_argument("--root", required=True, help="folder of datasets")
     p.add_argument("--dataset", required=True, help="name of the dataset's folder below it")
-    source = p.add_argument_group("ingest, from one of two sources")
+    source = p.add_argument_group("ingest, from one source")
     source.add_argument("--companies", help="headerless company CSV")
     source.add_argument("--invoices", help="headerless invoice CSV")
+    source.add_argument("--workbook", help="workbook (.xlsx) with a sheet 'companies' and a sheet 'invoices'")
+    source.add_argument("--datasource", choices=contract.SOURCES, help="the source that the inputs must belong to (default: the one that they fit)")
+    source.add_argument("--rebuild", action="store_true", help="drop all tables that were there; else trades are replaced by month")
+    source.add_argument("--merge", action="store_true", help="keep rows of other tables whose keys don't come again")
+    source.add_argument("--ingest-only", action="store_true", help="stop when the tables are written")
     source.add_argument("--lake", help="folder of Parquet tables, catalog:<schema>, or a jdbc: address")
     source.add_argument("--lake-table", action="append", default=[], metavar="ROLE=NAME", help="a table of the lake that has another name")
     search = p.add_argument_group("search")
@@ -29,7 +34,7 @@ def parser() -> argparse.ArgumentParser:
     search.add_argument("--method", choices=("dfs", "match"), default="dfs")
     search.add_argument("--bound", type=float, help="least balance + time of a cycle (default: what can be red)")
     search.add_argument("--row-budget", type=int, help="stop where a level has more paths than this")
-    search.add_argument("--time-budget", type=float, help="begin no further level after so many seconds")
+    search.add_argument("--time-budget", type=float, help="stop the search after so many seconds and keep what it has found")
     search.add_argument("--seeds", type=int, default=5000, help="method match: companies to start from")
     search.add_argument("--per-seed", type=int, help="method match: cycles kept of each")
     out = p.add_argument_group("output")
@@ -44,21 +49,30 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     p = parser()
     a = p.parse_args(argv)
-    if bool(a.companies) != bool(a.invoices):
-        p.error("--companies and --invoices go together")
-    if a.companies and a.lake:
-        p.error("ingest either CSV files or a lake")
+    try:
+        source = contract.source_of({"companies": a.companies, "invoices": a.invoices, "workbook": a.workbook, "lake": a.lake}, a.datasource)
+    except ValueError as e:
+        p.error(str(e))
+    if a.ingest_only and source == "local_existing":
+        p.error("nothing to ingest")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(message)s")
     spark = session()
     path = raw.dataset_dir(a.root, a.dataset)
     raw.dataset_dir(a.root, a.run_id)  # a run's name must be safe as well
     steps = circular.Steps()
     try:
-        if a.companies:
-            circular.save(circular.ingest(spark, a.companies, a.invoices), path, steps)
-        elif a.lake:
+        new: dict = {}
+        if source == "csv":
+            new = circular.ingest(spark, a.companies, a.invoices)
+        elif source == "workbook":
+            new = circular.ingest_workbook(spark, a.workbook)
+        elif source == "lake":
             names = dict(x.split("=", 1) for x in a.lake_table)
-            circular.save(circular.ingest_lake(lake.read_lake(spark, a.lake, names), a.period_from, a.period_to), path, steps)
+            new = circular.ingest_lake(lake.read_lake(spark, a.lake, names), a.period_from, a.period_to)
+        circular.save(new, path, steps, rebuild=a.rebuild, merge=a.merge)
+        if a.ingest_only:
+            print(json.dumps({x["step"]: x["rows"] for x in steps.done if "rows" in x}))
+            return 0
         tables = raw.read_tables(spark, path)
         if a.skip_detect:
             print(json.dumps(contract.as_dict(contract.validate(tables)), ensure_ascii=False, default=str))

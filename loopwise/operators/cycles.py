@@ -176,24 +176,29 @@ class _Sweep:
 
     def __post_init__(self):
         self.levels: dict[tuple[bool, int], DataFrame | None] = {}
+        self.full: set[tuple[bool, int]] = set()  # levels that hold more paths than the budget
 
     def level(self, front: bool, n: int) -> DataFrame | None:
-        """Fronts or backs of n edges; None where the row budget forbids them."""
+        """Fronts or backs of n edges; None where the row budget forbids to make the level before longer."""
         if (front, n) not in self.levels:
             if n == 1:
-                self.levels[front, n] = _within(_start(_steps(self.edges, not front), True), self.bound)
+                out = _within(_start(_steps(self.edges, not front), True), self.bound)
             else:
                 before = self.level(front, n - 1)
-                self.levels[front, n] = None if before is None else self.kept(_longer(before, n - 1, _steps(self.edges, not front), True, self.bound), front, n)
+                out = None if before is None or (front, n - 1) in self.full else _longer(before, n - 1, _steps(self.edges, not front), True, self.bound)
+            self.levels[front, n] = None if out is None else self.kept(out, front, n)
         return self.levels[front, n]
 
-    def kept(self, level: DataFrame, front: bool, n: int) -> DataFrame | None:
+    def kept(self, level: DataFrame, front: bool, n: int) -> DataFrame:
         """A level that is read more than once, or must be counted, is written."""
-        reads = sum(n == (h + 1) // 2 if front else n == h // 2 for h in self.lengths) + any((h + 1) // 2 > n if front else h // 2 > n for h in self.lengths)
-        if reads < 2 and self.budget.rows is None and self.budget.seconds is None:
+        of = lambda h: (h + 1) // 2 if front else h // 2
+        reads = sum(n == of(h) for h in self.lengths) + any(of(h) > n for h in self.lengths)
+        if self.budget.rows is None and self.budget.seconds is None and (reads < 2 or n == 1):
             return level
         out, rows = self.budget.write(level, "fronts" if front else "backs")
-        return None if self.budget.rows is not None and rows > self.budget.rows else out
+        if self.budget.rows is not None and rows > self.budget.rows:
+            self.full.add((front, n))
+        return out
 
     def closed(self, hops: int) -> DataFrame | None:
         fronts, backs = self.level(True, (hops + 1) // 2), self.level(False, hops // 2)
@@ -277,6 +282,7 @@ def search_cycles(
         groups = materialise(_ranked(_in_twos(hidden if "grp" in hidden.columns else groups_of_pairs(hidden)), risky, ("mst",)), "groups")
         least = max(bound, full - W_HIDDEN - (W_RISKY if risky is not None else 0.0))
         arcs: dict[int, DataFrame] = {}
+        full_arcs: set[int] = set()
 
         def linked(hops: int) -> DataFrame | None:
             """What the sweep's bound leaves out; a cycle with several links comes once."""
@@ -285,7 +291,9 @@ def search_cycles(
                 if b not in arcs:
                     arcs[b], n = budget.write(_arcs(edges, groups, b, least), "arcs")
                     if row_budget is not None and n > row_budget:
-                        return None
+                        full_arcs.add(b)
+                if full_arcs:
+                    return None
                 closed = _through_arcs(arcs[b], b, hops, edges, least)
                 rows = closed if rows is None else rows.unionByName(closed)
             below = F.greatest(F.lit(bound), full - at_risk)

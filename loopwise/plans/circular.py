@@ -5,16 +5,19 @@ from __future__ import annotations
 import json
 import logging
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import contract, cycles, edges, flags, links, metrics, report, score
-from ..scratch import committed, write_counted
-from ..sources import lake, raw
+from ..functions.text import normalize_date
+from ..schemas import KEYS, RAW_COMPANY, RAW_INVOICE, TABLES
+from ..scratch import Change, committed, complete, journalled, months_of, write_counted
+from ..sources import lake, raw, workbook
 
 log = logging.getLogger(__name__)
 
@@ -57,37 +60,102 @@ class Steps:
         log.info("%s: %.1f s %s", name, time.monotonic() - began, facts or "")
 
 
+def _addresses(companies: DataFrame) -> dict[str, DataFrame]:
+    """Pairs of companies with the same address; where there would be too many, their groups, which say the same in a row for each company."""
+    try:
+        return {"shares_address": links.address_pairs(companies)}
+    except links.TooManyPairs as e:
+        log.warning("shared addresses are kept as groups: %s", e)
+        return {"groups": links.hidden_groups(links.normalized_addresses(companies))}
+
+
 def ingest(spark: SparkSession, company_csv: str, invoice_csv: str) -> dict[str, DataFrame]:
     """The tables of two headerless CSV files."""
     companies = raw.companies(raw.read_companies(spark, company_csv))
     rows = raw.invoices(raw.read_invoices(spark, invoice_csv))
-    return {"company": companies, "trades": edges.trade_edges(rows), "shares_address": links.address_pairs(companies), "invoices": raw.invoice_rows(rows)}
+    tables = {
+        "company": companies,
+        "trades": edges.trade_edges(rows),
+        "invoices": raw.invoice_rows(rows),
+    }
+    return tables | _addresses(companies)
+
+
+def ingest_workbook(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of workbooks whose sheets 'companies' and 'invoices' have a header row and the columns of the CSV files."""
+    rows = workbook.read_workbooks(spark, path)
+    keyed = lambda sheet, schema, least: workbook.by_position(rows, sheet, schema.fieldNames()).where(F.trim(F.coalesce(F.col(schema.fieldNames()[least]), F.lit(""))) != "")
+    companies = raw.companies(keyed("companies", RAW_COMPANY, 0))
+    invoices = keyed("invoices", RAW_INVOICE, 2).withColumn("ngay_xuat", normalize_date(F.col("ngay_xuat")))
+    invoices = raw.invoices(invoices)
+    return {"company": companies, "trades": edges.trade_edges(invoices), "invoices": raw.invoice_rows(invoices)} | _addresses(companies)
 
 
 def ingest_lake(t: dict[str, DataFrame], period_from: int | None = None, period_to: int | None = None) -> dict[str, DataFrame]:
     """The tables of a lake's tables (see ``lake.read_lake``), of the companies that trade: companies, edges, links, people and invoices."""
     scope = lake.transacting(t["invoices"])
     reps = lake.legal_reps(t["header"], scope)
-    return {
+    addresses, phones = lake.addresses(t["header"], t["filings"], scope), lake.phones(t["header"], scope)
+    tables = {
         "company": lake.companies(t["header"], t["filings"], t["items"], t["industry"], t["tax"], t["risk"], scope),
         "trades": lake.trades(t["invoices"], period_from, period_to).withColumns({c: F.col(c).cast("double") for c in ("total_amount", "total_vat")}),
-        "shares_address": links.address_pairs(lake.addresses(t["header"], t["filings"], scope)),
-        "shares_phone": links.phone_pairs(lake.phones(t["header"], scope)),
+        "shares_phone": links.phone_pairs(phones),
         "legal_reps": reps,
         "persons": lake.persons(reps),
         "invoices": lake.invoice_rows(t["invoices"], period_from, period_to),
     }
+    return tables | _addresses(addresses)
+
 
+def save(tables: dict[str, DataFrame], path: str, steps: Steps | None = None, rebuild: bool = False, merge: bool = False) -> None:
+    """Replace tables below ``path``, all or none, each counted after it is written.
 
-def save(tables: dict[str, DataFrame], path: str, steps: Steps | None = None) -> None:
-    """Write tables below ``path`` and count what is there: trades by month (only the months at hand are replaced), the others whole."""
+    Of trades, the months at hand are replaced; the other tables whole, or with
+    ``merge`` by key, the new row taking the place of the old one. ``rebuild``
+    drops what was there, tables that are not given included.
+    """
+    if not tables:
+        return
     steps = steps or Steps()
-    for name, df in tables.items():
-        with steps.step(f"write {name}") as facts:
-            if name == "trades":
-                edges.upsert_edges(df, f"{path}/{name}")
-            else:
-                facts["rows"] = write_counted(df, f"{path}/{name}")
+    spark = next(iter(tables.values())).sparkSession
+    complete(spark, path)
+    old = raw.read_tables(spark, path, partial=True) if merge else {}
+    change = Change(spark, path)
+    try:
+        for name, df in tables.items():
+            with steps.step(f"write {name}") as facts:
+                if name == "trades" and not rebuild:
+                    facts["rows"] = write_counted(df, f"{change.staged}/{name}", by="period")
+                    for month in months_of(spark, f"{change.staged}/{name}"):
+                        change.place(f"{name}/{month}")
+                elif name == "trades":
+                    facts["rows"] = write_counted(df, change.place(name), by="period")
+                else:
+                    if name in old:
+                        keys = [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in KEYS[name]]
+                        new = df.select(*[F.col(k).alias(f"_new_{k}") for k in KEYS[name]]).distinct()
+                        df = df.unionByName(old[name].join(new, keys, "left_anti"), allowMissingColumns=True)
+                    facts["rows"] = write_counted(df, change.place(name))
+        if rebuild:
+            for name in set(TABLES) - set(tables):
+                change.drop(name)
+        change.commit()
+    except BaseException:
+        if not journalled(spark, path):
+            change.give_up()
+        raise
+
+
+def linked_groups(tables: dict[str, DataFrame]) -> DataFrame | None:
+    """(mst, grp) of all tables that tell of links."""
+    parts = [tables["groups"]] if "groups" in tables else []
+    parts += [links.groups_of_pairs(links.unordered(tables[k], "company_a", "company_b")) for k in ("shares_address", "shares_phone") if k in tables]
+    if "legal_reps" in tables:
+        parts.append(links.hidden_groups(legal_reps=tables["legal_reps"]))
+    if "owns" in tables:
+        parts.append(links.hidden_groups(owns=tables["owns"]))
+    groups = reduce(DataFrame.unionByName, parts) if parts else None
+    return None if groups is None else groups.join(groups.groupBy("grp").agg(F.count_distinct("mst").alias("n")).where("n > 1").select("grp"), "grp", "left_semi").select("mst", "grp").distinct()
 
 
 def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
@@ -96,7 +164,7 @@ def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
     if s.period_from is None or s.period_to is None:
         span = trades.agg(F.min("period").alias("a"), F.max("period").alias("b")).first()
         s.period_from, s.period_to = s.period_from or span["a"], s.period_to or span["b"]
-    hidden = links.hidden_pairs(tables.get("shares_address"), tables.get("shares_phone"), tables.get("legal_reps"), tables.get("owns"))
+    hidden = linked_groups(tables)
     risky = links.risky_companies(tables["company"], s.period_from)
     has_hidden, has_risky = hidden is not None and not hidden.isEmpty(), not risky.isEmpty()
     bound = score.prune_bound(has_hidden, has_risky) if s.bound is None else s.bound
@@ -109,8 +177,6 @@ def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
     elif s.method == "dfs":
         signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None else {}
         rows, truncated = cycles.search_cycles(trades, s.period_from, s.period_to, s.max_hops, bound=bound, row_budget=s.row_budget, time_budget_s=s.time_budget_s, **signals)
-        if signals:
-            rows = cycles.within_member_bound(rows, **signals)
     else:
         raise ValueError(f"unknown method: {s.method}")
     scored = score.score_cycles(cycles.best_combinations(rows), hidden if has_hidden else None, risky if has_risky else None)

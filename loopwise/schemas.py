@@ -28,11 +28,15 @@ SHARES_PHONE = _fields("company_a string, company_b string, norm_phone string")
 LEGAL_REPS = _fields("person_id string, person_name string, mst string")
 OWNS = _fields("owner string, owned string")
 PERSONS = _fields("person_id string, person_name string")
+#: Companies by address, phone number or person: those of a group are linked, and no pair needs to be made.
+GROUPS = _fields("mst string, grp string")
 INVOICES = _fields("einvoice_row_id string, seller_mst string, buyer_mst string, period int")
 
 #: All tables of a dataset directory; those in OPTIONAL may be absent.
-TABLES = {"company": COMPANY, "trades": TRADES, "shares_address": SHARES_ADDRESS, "shares_phone": SHARES_PHONE, "legal_reps": LEGAL_REPS, "owns": OWNS, "persons": PERSONS, "invoices": INVOICES}
+TABLES = {"company": COMPANY, "trades": TRADES, "shares_address": SHARES_ADDRESS, "shares_phone": SHARES_PHONE, "legal_reps": LEGAL_REPS, "owns": OWNS, "persons": PERSONS, "groups": GROUPS, "invoices": INVOICES}
 OPTIONAL = frozenset(TABLES) - {"company", "trades"}
+#: What tells rows of a table apart: of two with equal keys the later one stays. Trades are replaced by month.
+KEYS = {"company": ("mst",), "shares_address": ("company_a", "company_b"), "shares_phone": ("company_a", "company_b"), "legal_reps": ("person_id", "mst"), "owns": ("owner", "owned"), "persons": ("person_id",), "groups": ("mst", "grp"), "invoices": ("einvoice_row_id", "seller_mst", "buyer_mst", "period")}
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -88,10 +89,85 @@ def committed(spark: SparkSession, out: str) -> Iterator[str]:
     files.delete(old, True)
 
 
-def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write ``df`` as Parquet, read it back, and raise unless it holds as many rows as were written."""
+_JOURNAL, _STAGED = ".journal", ".staged-"
+
+
+class Change:
+    """Several tables of a folder that are replaced together, or not at all.
+
+    New files are written below a hidden folder. ``commit`` first writes a
+    journal of what has to be moved where, and then moves it. Before the
+    journal is there, the old tables are whole; from then on whoever opens the
+    folder completes the moves (``complete``), each of which can be repeated.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.staged = f"{self.path}/{_STAGED}{uuid.uuid4().hex[:8]}"
+        self.moves: list[tuple[str, str]] = []
+
+    def place(self, name: str) -> str:
+        """Where to write the new ``name`` (a table, or a partition of one), which takes the place of the old one."""
+        self.moves.append((f"{self.staged}/{name}", f"{self.path}/{name}"))
+        return self.moves[-1][0]
+
+    def drop(self, name: str) -> None:
+        self.moves.append(("", f"{self.path}/{name}"))
+
+    def commit(self) -> None:
+        files, journal = _files(self.spark, f"{self.path}/{_JOURNAL}")
+        begun = _files(self.spark, f"{self.staged}/{_JOURNAL}")[1]
+        out = files.create(begun)
+        out.write(bytearray(json.dumps({"staged": self.staged, "moves": self.moves}).encode()))
+        out.close()
+        if files.exists(journal) or not files.rename(begun, journal):
+            raise OSError(f"another change of {self.path} is being made")
+        complete(self.spark, self.path)
+
+    def give_up(self) -> None:
+        remove(self.spark, self.staged)
+
+
+def journalled(spark: SparkSession, path: str) -> bool:
+    """Whether a change of the folder has begun to take effect and isn't done."""
+    files, journal = _files(spark, f"{path.rstrip('/')}/{_JOURNAL}")
+    return files.exists(journal)
+
+
+def months_of(spark: SparkSession, table: str) -> list[str]:
+    """Names of the partition folders of a table: one for each month."""
+    files, where = _files(spark, table)
+    return sorted(x.getPath().getName() for x in files.listStatus(where) if x.isDirectory() and "=" in x.getPath().getName())
+
+
+def complete(spark: SparkSession, path: str) -> None:
+    """Finish a change of the folder that has begun to take effect, if there is one."""
+    files, journal = _files(spark, f"{path.rstrip('/')}/{_JOURNAL}")
+    if not files.exists(journal):
+        return
+    stream = files.open(journal)
+    plan = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    for n, (source, target) in enumerate(plan["moves"]):
+        old = _files(spark, f"{plan['staged']}/.old-{n}")[1]
+        there = _files(spark, target)[1]
+        new = _files(spark, source)[1] if source else None
+        if new is None or files.exists(new):
+            if files.exists(there) and not files.exists(old) and not files.rename(there, old):
+                raise OSError(f"cannot replace {target}")
+            if new is not None:
+                files.mkdirs(there.getParent())
+                if not files.rename(new, there):
+                    raise OSError(f"cannot move {source} to {target}")
+    files.delete(journal, False)
+    remove(spark, plan["staged"])
+
+
+def write_counted(df: DataFrame, path: str, mode: str = "overwrite", by: str | None = None) -> int:
+    """Write ``df`` as Parquet (partitioned by the column ``by``), read it back, and raise unless it holds as many rows as were written."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode(mode)
+    (writer.partitionBy(by) if by else writer).parquet(path)
     wrote, there = seen.get["n"], df.sparkSession.read.parquet(path).count()
     if wrote != there:
         raise RuntimeError(f"{path} holds {there} rows, {wrote} were written")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import strip, to_period
 from ..schemas import OPTIONAL, RAW_COMPANY, RAW_INVOICE, TABLES
+from ..scratch import complete
 
 _DATASET = re.compile(r"[A-Za-z0-9_-]{1,64}")
 
@@ -28,16 +29,46 @@ def dataset_dir(root: str, name: str) -> str:
     return str(path)
 
 
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field may go over a line's end: then some line has an odd number of quotes. Without one, Spark can split the file anywhere."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+
+
+_END = "\x01"  # a field put after the last one, to tell empty fields from those that aren't there
+
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """(record): each record of a CSV as it stands, line breaks within quotes included.
+
+    Files with such a break are read each by one task, as a stream; all others
+    are split.
+    """
+    if not has_line_breaks(spark, path):
+        return spark.read.text(path).select(F.col("value").alias("record"))
+    # records don't fit a schema of one field, and are given whole then
+    one = T.StructType([T.StructField("_first", T.StringType()), T.StructField("_record", T.StringType())])
+    rows = spark.read.csv(path, schema=one, header=False, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord="_record", quote='"', escape='"', multiLine=True, maxCharsPerColumn=-1)
+    return rows.select(F.coalesce("_record", "_first", F.lit("")).alias("record"))
+
+
 def _rows(spark: SparkSession, path: str, schema, least: int) -> DataFrame:
-    """Rows of a headerless CSV with at least ``least`` fields each; a byte order mark is dropped."""
-    fields = [f.name for f in schema.fields]
-    raw = spark.read.csv(path, schema=T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), header=False, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", multiLine=False, nullValue="\x00", emptyValue="")
-    first = F.regexp_replace(F.col(fields[0]), "^﻿", "")
-    # only a field that isn't there reads as null, an empty one as ''
-    short = F.col(fields[least - 1]).isNull() & (strip(first) != "")
-    checked = F.when(short, F.raise_error(F.concat(F.lit(f"fewer than {least} fields: "), F.col("_bad")))).otherwise(first)
-    rows = raw.where(F.col("_bad").isNull() | (F.trim(F.col("_bad")) != "")).withColumn(fields[0], checked.cast("string"))
-    return rows.where(strip(F.col(fields[0])) != "").select(*fields)
+    """Rows of a headerless CSV with at least ``least`` fields each; a byte order mark is dropped.
+
+    Fields may be quoted; within quotes a comma, a line break or a doubled quote
+    is part of the field. A field that isn't there is null, an empty one ''.
+    """
+    names = schema.fieldNames()
+    record = F.regexp_replace("record", "^\ufeff", "")
+    fields = T.StructType([T.StructField(f"f{k}", T.StringType()) for k in range(len(names) + 1)])
+    options = {"quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\x00", "emptyValue": "", "maxCharsPerColumn": "-1"}
+    rows = _records(spark, path).where(F.trim(record) != "").select(F.from_csv(F.concat(record, F.lit(f",{_END}")), F.lit(fields.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ").replace(",", ", ")), options).alias("x"), record.alias("record"))
+    rows = rows.withColumn("n", F.array_position(F.array(*[f"x.f{k}" for k in range(len(names) + 1)]), _END))  # fields and one; 0: more than are asked for
+    there = lambda k: (F.col("n") == 0) | (F.col("n") > k + 1)
+    first = F.coalesce(F.col("x.f0"), F.lit(""))
+    checked = F.when((strip(first) != "") & ~there(least - 1), F.raise_error(F.concat(F.lit(f"fewer than {least} fields: "), F.col("record")))).otherwise(first)
+    rows = rows.select(checked.cast("string").alias(names[0]), *[F.when(there(k), F.coalesce(F.col(f"x.f{k}"), F.lit(""))).alias(n) for k, n in enumerate(names) if k])
+    return rows.where(strip(F.col(names[0])) != "")
 
 
 def read_companies(spark: SparkSession, path: str) -> DataFrame:
@@ -76,14 +107,15 @@ def invoices(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The tables of a dataset folder; optional ones that aren't there are left out."""
+def read_tables(spark: SparkSession, path: str, partial: bool = False) -> dict[str, DataFrame]:
+    """The tables of a dataset folder; optional ones that aren't there are left out (``partial``: any). A change that was broken off while it took effect is completed first."""
+    complete(spark, path)
     out = {}
     for name, schema in TABLES.items():
         try:
             out[name] = spark.read.schema(schema).parquet(f"{path}/{name}")
         except Exception as e:
-            if name not in OPTIONAL or "PATH_NOT_FOUND" not in str(e):
+            if not (partial or name in OPTIONAL) or "PATH_NOT_FOUND" not in str(e):
                 raise
     return out
 
