@@ -21,8 +21,13 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 # Candidates for decoding.
 PEM_MARK = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,40})-----")
 PEM_HEADERS = re.compile(r"\s*+(?:[A-Za-z-]++: [^\n]*+\n\s*+)*+")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{40,}={0,2}")
-HEX_ANY = re.compile(r"(?:[0-9a-f]{2}){40,}|(?:[0-9A-F]{2}){40,}")
+BASE64 = re.compile(r"\\[nrt]|[A-Za-z0-9+/_-]+={0,2}")  # the letter of an escape is none of a word
+LEAST_64, LEAST_LINE = 40, 32  # characters of a candidate, and of a line of a wrapped one
+LINE = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_LINE}}}")
+BREAK = re.compile(r"""(?:\\r)?(?:\\n|\r?\n)[ \t"'>|]*+|["'],?[ \t]*\r?\n[ \t]*["']""")  # a line's end, plain, escaped, or between quoted lines
+HEX_ANY = re.compile(r"[0-9a-fA-F]{80,}|(?:[0-9a-fA-F]{2}:\s*+){39,}[0-9a-fA-F]{2}")
+SEPARATORS = frozenset("/+-_")  # of the alphabet itself: what stands before one may be no part of the key
+OFFSETS = 8  # separators near the front of a candidate that are tried
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)(?![A-Za-z0-9_-])")
 KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
 _ORDER = {k: i for i, k in enumerate(KINDS)}
@@ -78,15 +83,21 @@ def is_der_key(data: bytes) -> bool:
     return tag == 2 and inner[1][0] == 2 and len(content) >= 32  # a modulus and its exponent
 
 
+def is_private_der(data: bytes) -> bool:
+    """A key of which a part must stay secret: PKCS#1, SEC1 or PKCS#8 by their version and fields, or an encrypted PKCS#8; no public key or certificate."""
+    if not is_der_key(data):
+        return False
+    inner = der_items(der_items(data)[0][1])
+    tag, content = inner[0]
+    if tag == 2 and len(content) == 1:  # a version
+        return inner[1][0] == 4 or (inner[1][0] == 0x30 and len(inner) > 2 and inner[2][0] == 4) or (inner[1][0] == 2 and len(inner) >= 4)
+    return tag == 0x30 and inner[1][0] == 4
+
+
 def is_ssh_key(data: bytes) -> bool:
     """A key blob or key file of the SSH wire format: length-prefixed strings that fill it exactly."""
     if data.startswith(SSH_MAGIC):
-        at, fields = len(SSH_MAGIC), 3
-        for _ in range(fields):
-            if at + 4 > len(data):
-                return False
-            at += 4 + int.from_bytes(data[at : at + 4], "big")
-        return at + 4 <= len(data) and 1 <= int.from_bytes(data[at : at + 4], "big") <= 16
+        return _ssh_file(data) > 0
     at, parts = 0, []
     while at + 4 <= len(data) and len(parts) < 12:
         size = int.from_bytes(data[at : at + 4], "big")
@@ -95,6 +106,26 @@ def is_ssh_key(data: bytes) -> bool:
     return at == len(data) and len(parts) > 1 and parts[0] in SSH_NAMES
 
 
+def _ssh_file(data: bytes) -> int:
+    """Length of the private key file that ``data`` starts with: names of cipher and key derivation, its options, public keys, and the private part; 0 if it is none."""
+    at = len(SSH_MAGIC)
+    if not data.startswith(SSH_MAGIC):
+        return 0
+    for _ in range(3):
+        if at + 4 > len(data):
+            return 0
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(data[at : at + 4], "big") if at + 4 <= len(data) else 0
+    if not 1 <= keys <= 16:
+        return 0
+    end = at + 4
+    for _ in range(keys + 1):  # the private part may be cut off in what is seen of it
+        if end + 4 > len(data):
+            return at + 4
+        end += 4 + int.from_bytes(data[end : end + 4], "big")
+    return end if end <= len(data) else at + 4
+
+
 def _decode64(text: str) -> bytes | None:
     text = text.rstrip("=")
     if len(text) % 4 == 1:
@@ -113,10 +144,16 @@ def _json64(text: str):
         return None
 
 
-def _structure(data: bytes | None) -> str | None:
+def _private(data: bytes | None) -> tuple[str, int] | None:
+    """(kind, length) of the private key that ``data`` starts with: DER says how long it is, and so do the strings of SSH."""
     if not data or len(data) < 24:
         return None
-    return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+    if data[0] == 0x30:
+        more = data[1] & 127 if data[1] > 127 else 0
+        size = 2 + (int.from_bytes(data[2 : 2 + more], "big") + more if more else data[1])
+        return ("der", size) if more <= 4 and 24 <= size <= len(data) and is_private_der(data[:size]) else None
+    size = _ssh_file(data)
+    return ("ssh", max(size, 24)) if size else None
 
 
 def _assignments(text: str) -> list[Span]:
@@ -131,19 +168,89 @@ def base_spans(text: str) -> list[Span]:
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def _unescaped(body: str) -> str:
+    """A block's body as it was before it was put in a string: escaped breaks are breaks; quotes, commas and backslashes go."""
+    return re.sub(r"""["',\\]""", "", body.replace("\\r", "").replace("\\n", "\n").replace("\\/", "/"))
+
+
 def _pem_spans(text: str) -> list[Span]:
-    """Blocks whose BEGIN mark is followed by the END mark of the same label, no other mark between, and that decode to a key."""
+    """Blocks whose BEGIN mark is followed by the END mark of the same label, no other mark between, and that decode to a private key.
+
+    They may stand in strings (JSON, .env, YAML), their breaks written out.
+    """
     out: list[Span] = []
     marks = list(PEM_MARK.finditer(text))
     for m, n in zip(marks, marks[1:], strict=False):
         if m[1] == "BEGIN" and n[1] == "END" and m[2] == n[2]:
-            body = text[PEM_HEADERS.match(text, m.end(), n.start()).end() : n.start()]
-            data = _decode64("".join(body.split()))
-            if data and (is_der_key(data) or is_ssh_key(data) or ("PRIVATE KEY" in m[2] and der_items(data))):
+            body = text[m.end() : n.start()]
+            if "\\" in body or '"' in body or "'" in body:
+                body = _unescaped(body)
+            data = _decode64("".join(body[PEM_HEADERS.match(body).end() :].split()))
+            if data and (is_private_der(data) or _ssh_file(data) or ("PRIVATE KEY" in m[2] and der_items(data))):
                 out.append(("pem", m.start(), n.end()))
     return out
 
 
+def _wrapped(text: str) -> list[list[tuple[int, int]]]:
+    """Candidates in base64 of either alphabet, as the pieces that they consist of: one word, or lines of one length and a last one that isn't longer."""
+    out: list[list[tuple[int, int]]] = []
+    if not LINE.search(text):
+        return out
+    at, size = -1, 0  # where the last piece ends, and how long full lines of its candidate are
+    for m in BASE64.finditer(text):
+        a, b = m.span()
+        if text[a] == "\\":
+            continue
+        joins = size >= LEAST_LINE and b - a <= size and at < a <= at + 64 and BREAK.fullmatch(text, at, a)
+        if joins:
+            out[-1].append((a, b))
+        elif b - a >= LEAST_LINE:
+            out.append([(a, b)])
+            size = b - a
+        else:
+            size = 0
+        if joins and b - a < size:
+            size = 0
+        at = b
+    return [c for c in out if sum(b - a for a, b in c) >= LEAST_64]
+
+
+def _encoded_spans(text: str, pem: list[Span]) -> list[Span]:
+    """Private keys in base64 outside of the blocks ``pem``."""
+    out: list[Span] = []
+    k = 0
+    for pieces in _wrapped(text):
+        first = pieces[0][0]
+        while k < len(pem) and pem[k][2] <= first:
+            k += 1
+        if k < len(pem) and pem[k][1] <= first:
+            continue
+        word = "".join(text[a:b] for a, b in pieces)
+        plain = word.rstrip("=").replace("-", "+").replace("_", "/")
+        starts = [0, *[i + 1 for i in range(min(64, len(word))) if word[i] in SEPARATORS][:OFFSETS]]
+        for o in starts:
+            if plain[o : o + 1] not in ("M", "b"):  # what 0x30 and the magic of SSH begin with
+                continue
+            whole = plain[o : o + (len(plain) - o) // 4 * 4] if (len(plain) - o) % 4 == 1 else plain[o:]
+            found = _private(_decode64(whole))
+            if found:
+                last = o + -(-found[1] * 4 // 3)
+                if last + 2 >= len(plain):  # the pad belongs to it
+                    last = len(word)
+                out.append((found[0], _place(pieces, o), _place(pieces, last - 1) + 1))
+                break
+    return out
+
+
+def _place(pieces: list[tuple[int, int]], k: int) -> int:
+    """Where the k-th character of joined pieces stands."""
+    for a, b in pieces:
+        if k < b - a:
+            return a + k
+        k -= b - a
+    return pieces[-1][1]
+
+
 def _token_spans(text: str) -> list[Span]:
     """Dotted triples whose first part is a header that names its algorithm and whose second part is an object too."""
     out: list[Span] = []
@@ -159,22 +266,19 @@ def _token_spans(text: str) -> list[Span]:
 
 
 def confirmed_spans(text: str) -> list[Span]:
-    """Spans whose decoded bytes have the structure of a key or a signed token.
+    """Spans whose decoded bytes have the structure of a private key or a signed token; public keys and certificates are none.
 
     Each kind of candidate is looked for on its own, so that what is found
     depends on no other word of the text; the time is linear in its length.
     """
-    out = pem = _pem_spans(text) if "-----BEGIN " in text else []
-    out = list(out)
-    k = 0
-    for m in BASE64.finditer(text):
-        while k < len(pem) and pem[k][2] <= m.start():
-            k += 1
-        if not (k < len(pem) and pem[k][1] <= m.start()) and (kind := _structure(_decode64(m[0]))):
-            out.append((kind, *m.span()))
+    pem = _pem_spans(text) if "-----BEGIN " in text else []
+    out = pem + _encoded_spans(text, pem)
     for m in HEX_ANY.finditer(text):
-        if kind := _structure(bytes.fromhex(m[0])):
-            out.append((kind, *m.span()))
+        digits = "".join(m[0].replace(":", "").split())
+        found = _private(bytes.fromhex(digits[: len(digits) // 2 * 2]))
+        if found:
+            plain = len(digits) == m.end() - m.start()
+            out.append((found[0], m.start(), m.start() + 2 * found[1] if plain else m.end()))
     return out + _token_spans(text)
 
 
@@ -184,7 +288,7 @@ def find_secrets(text: str | None) -> tuple[list[Span], list[Span]]:
     # a text whose words are all shorter than a candidate has none; blocks with BEGIN marks may be wrapped into short lines
     longest = max(map(len, text.split()), default=0)
     base = base_spans(text) if longest >= 20 else _assignments(text)
-    if longest >= 40:
+    if longest >= LEAST_LINE:
         more = confirmed_spans(text)
     else:
         more = _token_spans(text) if longest >= 12 and "." in text else []
@@ -215,9 +319,11 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """Secrets of each row of ``docs`` (doc_id, text); one row out for each row in.
 
     Base spans come from patterns alone; base64, hex, PEM and dotted candidates
-    add a span where their decoded bytes parse as a key (DER with nested
-    lengths, SSH wire strings) or a signed token (a JSON header that names its
-    algorithm). A null text is empty; null and repeated ids are passed on;
+    add a span where their decoded bytes parse as a private key (DER with nested
+    lengths, SSH key files) or a signed token (a JSON header that names its
+    algorithm). Keys may be wrapped, stand in strings with their breaks written
+    out, use either alphabet of base64, or be glued to a prefix; hex may be of
+    either case and have colons. Public keys are no secrets. A null text is empty; null and repeated ids are passed on;
     other columns are ignored.
     """
 

@@ -62,7 +62,7 @@ def test_structure():
     text = base64.b64encode(KEY).decode()
     assert kinds(f"x {text} y") == ["der"]
     assert kinds(f"x {text[:-6]} y") == []
-    assert "ssh" in kinds("k " + base64.b64encode(ssh(b"ssh-ed25519", bytes(range(32)))).decode())
+    assert kinds("k " + base64.b64encode(ssh(b"ssh-ed25519", bytes(range(32)))).decode()) == []  # a public key is no secret
     assert kinds(f"a {jwt({'alg': 'HS256', 'typ': 'JWT'})}.") == ["jwt"] and kinds(f"a {jwt({'typ': 'JWT'})}") == []
     body = "\n".join(text[i : i + 64] for i in range(0, len(text), 64))
     pem = f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----"
@@ -86,6 +86,52 @@ def test_found_alone_and_beside_other_words():
     assert [s[0] for s in find_secrets(headed)[1]] == ["pem"]
 
 
+PKCS8 = der(0x30, der(2, b"\0"), der(0x30, der(6, b"\x2b\x65\x70")), der(4, der(4, random.Random(9).randbytes(32))))
+SEC1 = der(0x30, der(2, b"\1"), der(4, random.Random(8).randbytes(32)), der(0xA0, der(6, b"\x2a\x86\x48\xce\x3d\x03\x01\x07")))
+SEALED = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86"), der(0x30, der(4, b"salt"))), der(4, random.Random(7).randbytes(80)))
+OPENSSH = b"openssh-key-v1\0" + ssh(b"none", b"none", b"") + (1).to_bytes(4, "big") + ssh(ssh(b"ssh-ed25519", bytes(range(32))), random.Random(6).randbytes(136))
+PRIVATE = [KEY, PKCS8, SEC1, SEALED, OPENSSH]
+PUBLIC = [
+    der(0x30, der(0x30, der(6, b"\x2b\x65\x70")), der(3, b"\0" + random.Random(5).randbytes(32))),
+    der(0x30, der(2, b"\0" + random.Random(4).randbytes(128)), der(2, b"\1\0\1")),
+    der(0x30, der(0x30, der(0xA0, der(2, b"\2")), der(2, b"\5"), der(0x30, der(6, b"\x2a"))), der(0x30, der(6, b"\x2a")), der(3, b"\0" + bytes(64))),
+    ssh(b"ssh-ed25519", bytes(range(32))),
+    ssh(b"ssh-rsa", b"\1\0\1", random.Random(3).randbytes(128)),
+]
+
+
+def forms(key, label):
+    """(text before, secret, text after) of a key in the places where keys are kept."""
+    plain, url = base64.b64encode(key).decode(), base64.urlsafe_b64encode(key).decode()
+    lines = [plain[i : i + 64] for i in range(0, len(plain), 64)]
+    pem = [f"-----BEGIN {label}-----", *lines, f"-----END {label}-----"]
+    yield '{"type": "service_account", "private_key": "', "\\n".join(pem), '\\n", "x": 1}'
+    yield 'KEY="', "\\n".join(pem), '"\n'
+    yield "key: |\n  ", "\n  ".join(pem), "\nnext: 1"
+    yield "k = (", '"\n     "'.join(pem).replace('-----"', '-----"', 1), ")"
+    yield "bare ", "\r\n".join(pem), " end"
+    yield "see ", plain, " and"
+    yield "see ", url, " and"
+    yield "see ", url.rstrip("="), "."
+    yield "wrapped\n", "\n".join(lines), "\n\nNext paragraph"
+    yield "wrapped: '", "\\n".join(lines), "'"
+    yield "sk/", plain, " x"
+    yield "prod_key-", url, " x"
+    yield "h ", key.hex().upper(), " x"
+    yield "h ", "".join(c.upper() if k % 3 else c for k, c in enumerate(key.hex())), " x"
+    yield "h ", ":".join(key.hex()[i : i + 2] for i in range(0, 2 * len(key), 2)), " x"
+    yield "h\n    ", ":\n    ".join(":".join(key.hex()[i : i + 2] for i in range(j, min(j + 30, 2 * len(key)), 2)) for j in range(0, 2 * len(key), 30)), "\n"
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_private_keys_wherever_they_are_kept_and_no_public_ones(number):
+    for before, secret, after in forms(PRIVATE[number], "PRIVATE KEY"):
+        spans = [x for x in find_secrets(before + secret + after)[1] if x[0] in ("pem", "der", "ssh")]
+        assert spans and redact(before + secret + after, spans) == f"{before}[SECRET]{after}", (before, secret, spans)
+    for before, secret, after in forms(PUBLIC[number], "PUBLIC KEY"):
+        assert not [x for x in find_secrets(before + secret + after)[1] if x[0] in ("pem", "der", "ssh")], (before, secret)
+
+
 def confirmed_slowly(text):
     """All added spans, by runs of characters and by trying every pair of marks."""
     out = set()
@@ -146,6 +192,12 @@ def test_long_hostile_texts_take_linear_time():
         "e" * (n // 2) + "." + "f" * (n // 2),
         ("ab" * 39 + "x") * (n // 79),
         f"-----BEGIN PRIVATE KEY-----\n{body}\n-----END PRIVATE KEY-----\n" * (n // 320),
+        "\\n" * (n // 2),
+        ("A" * 64 + "\n") * (n // 65),
+        ("M/" * 20 + "A" * 24 + "\n") * (n // 65),
+        "-M" * (n // 2),
+        "ab:" * (n // 3),
+        ("ab:" + " " * 20) * (n // 23),
         "token" * (n // 5),
         "token=" * (n // 6),
     ):
