@@ -38,6 +38,22 @@ TEMPLATES = {
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
         "and/or other materials provided with the distribution."
     ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+        "and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"
+    ),
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "Apache-2.0": (
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. "
+        '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.'
+    ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above "
         "copyright notice and this permission notice appear in all copies."
@@ -47,13 +63,80 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
         "Free Software Foundation, either version 3 of the License, or (at your option) any later version."
     ),
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+        "Free Software Foundation; either version 2 of the License, or (at your option) any later version."
+    ),
+    "LGPL-2.1-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    ),
+    "LGPL-3.0-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the "
+        "Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    ),
+    "GPL-2.0": (
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies "
+        "of this license document, but changing it is not allowed. Preamble The licenses for most software are designed to take away your freedom."
+    ),
+    "GPL-3.0": (
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies "
+        "of this license document, but changing it is not allowed. Preamble The GNU General Public License is a free, copyleft license for software and other kinds of works."
+    ),
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0-notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0-notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0-notice": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "rights-reserved": "All rights reserved. No part of this publication may be reproduced without prior written permission.",
 }
+# Words of a template that tell it from its kin, and must be among those that a match pairs.
+TELLING = {
+    "Apache-2.0-notice": "apache 2.0",
+    "Apache-2.0-header": "apache 2.0",
+    "Apache-2.0": "apache 2.0",
+    "MIT-notice": "mit",
+    "BSD-3-Clause": "neither endorse promote",
+    "BSL-1.0-notice": "boost 1.0",
+    "GPL-3.0-notice": "general 3",
+    "GPL-3.0-header": "general 3",
+    "GPL-2.0-header": "general 2",
+    "LGPL-2.1-header": "lesser 2.1",
+    "LGPL-3.0-header": "lesser 3",
+    "AGPL-3.0-header": "affero 3",
+    "GPL-2.0": "general 2 1991",
+    "GPL-3.0": "general 3 2007",
+    "EPL-2.0": "eclipse 2.0",
+    "MPL-2.0": "mozilla",
+    "CC-BY-4.0-notice": "by 4.0",
+    "CC-BY-SA-4.0-notice": "by-sa 4.0",
+    "CC-BY-NC-4.0-notice": "by-nc 4.0",
+    "CC-BY-ND-4.0-notice": "by-nd 4.0",
+    "CC-BY-NC-SA-4.0-notice": "by-nc-sa 4.0",
+    "CC-BY-NC-ND-4.0-notice": "by-nc-nd 4.0",
+    "CC-BY-4.0": "attribution 4.0",
+    "CC-BY-SA-4.0": "attribution-sharealike 4.0",
+    "CC-BY-NC-4.0": "attribution-noncommercial 4.0",
+    "CC-BY-ND-4.0": "attribution-noderivatives 4.0",
+    "CC-BY-NC-SA-4.0": "attribution-noncommercial-sharealike 4.0",
+    "CC-BY-NC-ND-4.0": "attribution-noncommercial-noderivatives 4.0",
+}
+# Words that make the name another license's: a match of these templates may not have one in its midst.
+FOREIGN = {name: "lesser affero" for name in ("GPL-2.0", "GPL-2.0-header", "GPL-3.0", "GPL-3.0-header", "GPL-3.0-notice")}
 # Words too common to start a search with, if others do.
 COMMON = frozenset("a an and any are as at be by for from if in is it no not of on or that the this to was with without you".split())
 _WORD = re.compile(rb"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -179,10 +262,12 @@ def scan_text(text: str | None, templates: tuple[tuple[str, str], ...] = tuple(T
     ``_windows``) are aligned with the template; a match pairs ``least`` of
     the template's words, within a stretch in which at least half of the words
     are paired. Stretches that lack too many of the template's different words
-    are not aligned, as they can't match. Of overlapping matches the one with
-    more paired words stays.
+    are not aligned, as they can't match. Of overlapping
+    matches the one with more paired words stays.
     """
     templates_words, cues = _prepared(templates, least)
+    foreign = {name: frozenset(FOREIGN.get(name, "").encode().split()) for name, _ in templates}
+    telling = {name: frozenset(TELLING.get(name, "").encode().split()) for name, _ in templates}
     found = words_of(text or "")
     hits = [i for i, (w, _, _) in enumerate(found) if w in cues]
     if not hits:
@@ -196,12 +281,13 @@ def scan_text(text: str | None, templates: tuple[tuple[str, str], ...] = tuple(T
                 if (name, lo, hi) in tried:
                     continue
                 tried.add((name, lo, hi))
-                if len(different.intersection(words[lo:hi])) < needed:
+                inside = different.intersection(words[lo:hi])
+                if len(inside) < needed or not telling[name] <= inside:
                     continue
                 pairs = align(words[lo:hi], own)
-                if pairs and len(pairs) >= least * len(own) - 1e-9:
+                if pairs and len(pairs) >= least * len(own) - 1e-9 and telling[name] <= {own[j] for _, j in pairs}:
                     first, last = lo + pairs[0][0], lo + pairs[-1][0]
-                    if 2 * len(pairs) >= last - first + 1:
+                    if 2 * len(pairs) >= last - first + 1 and foreign[name].isdisjoint(words[first : last + 1]):
                         matches.add((len(pairs), len(pairs) / len(own), first, last, name))
     if not matches:
         return []

@@ -4,7 +4,7 @@ import random
 import time
 
 import pytest
-from loopwise.llm.licenses import TEMPLATES, _prepared, _windows, align, scan_licenses, scan_text, words_of
+from loopwise.llm.licenses import FOREIGN, TELLING, TEMPLATES, _prepared, _windows, align, scan_licenses, scan_text, words_of
 
 SCHEMA = "doc_id long, text string, license string"
 
@@ -43,6 +43,12 @@ def test_longest_increasing_anchors():
         assert len(align(a, b)) >= increasing([(i, b.index(i)) for i in range(n)])
 
 
+def told(name, own, pairs, window):
+    if set(FOREIGN.get(name, "").encode().split()) & set(window[pairs[0][0] : pairs[-1][0] + 1]):
+        return False
+    return set(TELLING.get(name, "").encode().split()) <= {own[j] for _, j in pairs}
+
+
 def without_cues(text, least=0.8):
     """Every window of every template's length, without the cue words."""
     found = [w for w, _, _ in words_of(text)]
@@ -52,7 +58,8 @@ def without_cues(text, least=0.8):
         slack = max(2, len(own) // 4)
         for at in range(-len(own), len(found)):
             window = found[max(0, at - slack) : max(0, at + len(own) + slack)]
-            if len(align(window, own)) >= least * len(own) - 1e-9:
+            pairs = align(window, own)
+            if len(pairs) >= least * len(own) - 1e-9 and told(name, own, pairs, window):
                 out.add(name)
     return out
 
@@ -83,7 +90,7 @@ def every_window(text, least=0.8):
             for k in (k for k, x in enumerate(own) if x == w):
                 for lo, hi in _windows(i, k, len(own), len(words)):
                     pairs = align(words[lo:hi], own)
-                    if pairs and len(pairs) >= least * len(own) - 1e-9 and 2 * len(pairs) >= pairs[-1][0] - pairs[0][0] + 1:
+                    if pairs and len(pairs) >= least * len(own) - 1e-9 and 2 * len(pairs) >= pairs[-1][0] - pairs[0][0] + 1 and told(name, own, pairs, words[lo:hi]):
                         matches.add((len(pairs), lo + pairs[0][0], lo + pairs[-1][0], name))
     out = []
     for m in sorted(matches, key=lambda m: (-m[0], m[2] - m[1])):
@@ -147,6 +154,28 @@ def test_spans_and_repeats():
     assert all(len(w) for w, _, _ in _prepared(tuple(TEMPLATES.items()), 0.8)[0].values())
 
 
+def test_near_kin_are_told_apart():
+    assert set(TELLING) <= set(TEMPLATES)
+    for name, words in TELLING.items():
+        assert set(words.encode().split()) <= {w for w, _, _ in words_of(TEMPLATES[name])}, name
+    grant = "This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    for kind, name in (("", "GPL"), ("Lesser ", "LGPL"), ("Affero ", "AGPL")):
+        for version in ("2", "2.1", "3"):
+            for what, mark in (("program", ";"), ("library", ":"), ("file", ",")):
+                got = [m[0] for m in scan_text("// " + grant.format(what, mark, kind, mark, version) + " more")]
+                known = f"{name}-{version if '.' in version else version + '.0'}-header"
+                assert got == ([known] if known in TEMPLATES else []), (kind, version, got)
+    bsd = TEMPLATES["BSD-2-Clause"]
+    third = " Neither the name of Example nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    assert [m[0] for m in scan_text(bsd)] == ["BSD-2-Clause"] and [m[0] for m in scan_text(bsd + third)] == ["BSD-3-Clause"]
+    for kind in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        assert [m[0] for m in scan_text(f"x Licensed under CC {kind} 4.0. y")] == [f"CC-{kind}-4.0-notice"]
+        assert scan_text(f"x Licensed under CC {kind} 3.0. y") == []
+        long = {"SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}
+        words = "-".join(["Attribution", *(long[k] for k in kind.split("-")[1:])])
+        assert [m[0] for m in scan_text(f"This work is licensed under a Creative Commons {words} 4.0 International License.")] == [f"CC-{kind}-4.0"]
+
+
 def test_edge_rows(spark):
     long = "word " * 40_000 + TEMPLATES["Apache-2.0-notice"]
     rows = [(1, None, "x"), (None, "", None), (3, long, "x"), (3, long, "x"), (4, "licensed license under", "x")]
