@@ -53,27 +53,30 @@ def _bucket(feature: Column) -> Column:
     return F.pmod(F.xxhash64(feature), F.lit(BUCKETS)).cast("int")
 
 
-def calibrated(scores: list[list[float]], truth: list[int], ridge: tuple[float, float] = (0.1, 1.0)) -> tuple[float, list[float]]:
-    """(scale, shifts) that make exp(scale * score + shift) the likeliest posteriors of some held-out rows.
+def calibrated(scores: list, truth: list[int], start: tuple[float, ...] = (1.0,), ridge: tuple[float, float] = (0.1, 1.0)) -> tuple[float | list[float], list[float]]:
+    """(scale, or scales of several kinds, shifts) that make exp(sum of scale * evidence + shift) the likeliest posteriors of some held-out rows.
 
-    Multinomial logistic regression of one scale and a shift for each domain by
-    damped Newton steps; the ridge (of the scale, of the shifts) towards 1 and
-    0 decides where rows are few.
+    scores: of each row, for each domain, its evidence of one or several kinds.
+    Multinomial logistic regression of one scale for each kind and a shift for
+    each domain, by damped Newton steps; the ridge (of scales, of shifts)
+    towards ``start`` and 0 decides where rows are few.
     """
     if not truth:
-        return 1.0, []
-    x, y = np.array(scores), np.eye(len(scores[0]))[truth]
-    at = np.concatenate(([1.0], np.zeros(x.shape[1])))
-    base, weight = at.copy(), np.concatenate(([ridge[0]], np.full(x.shape[1], ridge[1])))
-    basis = np.concatenate((x[:, :, None], np.broadcast_to(np.eye(x.shape[1]), (len(x), x.shape[1], x.shape[1]))), axis=2)  # d score / d parameter
+        return start[0] if len(start) == 1 else list(start), []
+    x, y = np.array(scores, float), np.eye(len(scores[0]))[truth]
+    x = x.reshape(len(x), y.shape[1], -1)
+    domains, kinds = x.shape[1:]
+    at = np.concatenate((np.array(start[:kinds], float), np.zeros(domains)))
+    base, weight = at.copy(), np.concatenate((np.full(kinds, ridge[0]), np.full(domains, ridge[1])))
+    basis = np.concatenate((x, np.broadcast_to(np.eye(domains), (len(x), domains, domains))), axis=2)  # d score / d parameter
 
     def loss(v):
-        z = x * v[0] + v[1:]
+        z = basis @ v
         top = z.max(axis=1)
         return float((top + np.log(np.exp(z - top[:, None]).sum(axis=1)) - (z * y).sum(axis=1)).sum() + (weight * (v - base) ** 2).sum() / 2)
 
     for _ in range(50):
-        z = x * at[0] + at[1:]
+        z = basis @ at
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         slope = np.einsum("nk,nkj->j", p - y, basis) + weight * (at - base)
@@ -85,7 +88,8 @@ def calibrated(scores: list[list[float]], truth: list[int], ridge: tuple[float,
         at = at - size * move
         if np.abs(size * move).max() < 1e-6:
             break
-    return float(max(at[0], 0.0)), at[1:].tolist()
+    scales = np.maximum(at[:kinds], 0.0).tolist()
+    return scales[0] if len(start) == 1 else scales, at[kinds:].tolist()
 
 
 def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], fit_rows: int = 20_000, strength: float = 100.0, least_weight: float = 0.2) -> DataFrame:
@@ -98,9 +102,11 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     ratios of shares of documents that have a feature bucket, shrunk to the
     overall share with ``strength`` documents (a fifth of them, if fewer); those under
     ``least_weight`` are noise and dropped. A document's evidence for a
-    domain is the sum of its weights over the root of how many features it
-    has, as features repeat each other. The last third, by another hash,
-    calibrates the posteriors (see ``calibrated``). Posteriors are rounded to
+    domain is of three kinds: the sum of its weights over the root of how many
+    features it has, as features repeat each other; its largest weight, as one
+    telling word may decide; and the sum of the weights of its structure marks.
+    The last third, by another hash, weighs the kinds and calibrates the
+    posteriors (see ``calibrated``). Posteriors are rounded to
     three digits. Without labelled documents all domains are alike.
     """
     sample = labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
@@ -109,7 +115,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     known = known.groupBy("l_id", "domain").agg(F.min("text").alias("text")).withColumn("held", F.pmod(F.xxhash64("l_id", F.lit(3)), F.lit(3)) == 0)
     # explode_outer, as Spark would put a filter on what explode() takes, and with it the features, below the join
     has = _with_features(known).select("l_id", "domain", "held", F.explode_outer("f").alias("f"))
-    has = materialise(has.select("l_id", "domain", "held", _bucket(F.col("f")).alias("bucket")), "labelled-features")
+    mark = F.coalesce(F.col("f").startswith("\x00"), F.lit(False)).alias("mark")
+    has = materialise(has.select("l_id", "domain", "held", _bucket(F.col("f")).alias("bucket"), mark), "labelled-features")
     per = has.where("not held").select("l_id", "domain").distinct().groupBy("domain").count()
     size = {r["domain"]: r["count"] for r in per.collect()}  # one row for each domain
     total = max(1, sum(size.values()))
@@ -124,13 +131,17 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str],
     weights = materialise(weights, "domain-weights")  # at most BUCKETS rows
     prior = [math.log((size.get(d, 0) + 1) / (total + len(domains))) for d in domains]
     root = F.sqrt(F.count("*"))
-    evidence = [(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)) / root + prior[k]).alias(f"s{k}") for k in range(len(domains))]
+    evidence = []
+    for k in range(len(domains)):
+        w = F.col(f"w{k}")
+        evidence += [(F.coalesce(F.sum(w), F.lit(0.0)) / root + prior[k]).alias(f"s{k}0"), F.coalesce(F.max(w), F.lit(0.0)).alias(f"s{k}1"), F.coalesce(F.sum(F.when(F.col("mark"), w)), F.lit(0.0)).alias(f"s{k}2")]
     held = has.where("held").join(F.broadcast(weights), "bucket", "left").groupBy("l_id", "domain").agg(*evidence).collect()  # at most fit_rows rows
-    scale, shift = calibrated([[r[f"s{k}"] for k in range(len(domains))] for r in held], [domains.index(r["domain"]) for r in held])
+    kinds = (1.0, 0.0, 0.0)
+    scale, shift = calibrated([[[r[f"s{k}{e}"] for e in range(len(kinds))] for k in range(len(domains))] for r in held], [domains.index(r["domain"]) for r in held], kinds)
     each = _with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("uid")))
-    each = each.select("uid", "doc_id", "n_tokens", F.explode_outer("f").alias("f")).withColumn("bucket", _bucket(F.col("f")))
+    each = each.select("uid", "doc_id", "n_tokens", F.explode_outer("f").alias("f")).select("uid", "doc_id", "n_tokens", _bucket(F.col("f")).alias("bucket"), mark)
     scored = each.join(F.broadcast(weights), "bucket", "left").groupBy("uid", "doc_id", "n_tokens").agg(*evidence)
-    score = [scale * F.col(f"s{k}") + (shift[k] if shift else 0.0) for k in range(len(domains))]
+    score = [sum((x * F.col(f"s{k}{e}") for e, x in enumerate(scale)), F.lit(shift[k] if shift else 0.0)) for k in range(len(domains))]
     top = F.greatest(*score)
     odds = [F.exp(x - top) for x in score]
     whole = sum(odds, F.lit(0.0))
@@ -156,7 +167,7 @@ def _rate(domains: list[str], bounds: tuple[Column, Column], history: list[list[
 
 
 def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float | None = None, max_rate: float | None = None, tolerance: float = 2e-3, most_steps: int = 40, keep: str | None = None) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>..., rate, largest_miss): how often to take each row of ``docs`` (doc_id, text).
+    """(doc_id, n_tokens, p_<domain>..., rate, largest_miss, dropped): how often to take each row of ``docs`` (doc_id, text).
 
     targets: the share of each domain; budget: expected tokens in all (None:
     as many as there are; with ``max_rate`` at most as many as the scarcest
@@ -176,7 +187,9 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     end when all targets are met within ``tolerance``, when several brought no
     gain, or after ``most_steps``. ``largest_miss`` is the same in all rows:
     how far the worst share is from its target; where that is over
-    ``tolerance``, a warning tells all of them.
+    ``tolerance``, a warning tells all of them. ``dropped``, too: the share of
+    the expected tokens of the domain with the largest target that is in
+    documents of rate 0.
 
     Null and empty texts have no tokens and get the rate of their posterior;
     null and repeated ids keep their rows; other columns are ignored. An empty
@@ -205,7 +218,9 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
         if keep is not None:
             share = {d: min(share[d], (max_rate or math.inf) * mass[d] / budget) for d in domains}
         best = _descend(groups, domains, share, budget, bounds, tolerance, most_steps)
-    return post.withColumns({"rate": _rate(domains, bounds, best[1]), "largest_miss": F.lit(best[0])})
+    main = F.col("tokens") * F.col(f"p_{max(domains, key=lambda d: (targets[d], d))}")
+    gone = groups.agg(F.try_divide(F.sum(F.when(_rate(domains, bounds, best[1]) == 0, main).otherwise(0.0)), F.sum(main)).alias("x")).first()["x"]
+    return post.withColumns({"rate": _rate(domains, bounds, best[1]), "largest_miss": F.lit(best[0]), "dropped": F.lit(float(gone or 0.0))})
 
 
 def _descend(groups: DataFrame, domains: list[str], share: dict[str, float], budget: float, bounds: tuple[Column, Column], tolerance: float, most_steps: int) -> tuple[float, list[list[float]]]:

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from loopwise.llm.mixing import TARGETS, calibrated, domain_posteriors, label_domains, mixing_rates, take_copies
 from pyspark.sql import functions as F
@@ -77,6 +78,10 @@ def test_real_tables_meet_their_targets(spark, sf):
     assert all(r.largest_miss < 0.01 for r in rows)
     known = [r for r in rows if r.domain]
     names = sorted(TARGETS)
+    clean = [r for r in known if r.domain == "clean"]
+    gone = [r for r in rows if r.rate == 0]
+    assert sum(r.rate == 0 for r in clean) < len(clean) / 3 and (sf == "sf0.01" or rows[0].largest_miss < 2e-3)
+    assert abs(sum(r.n_tokens * r.p_clean for r in gone) / sum(r.n_tokens * r.p_clean for r in rows) - rows[0].dropped) < 1e-9
     right = sum(max(names, key=lambda d: r[f"p_{d}"]) == r.domain for r in known)
     assert right > 0.8 * len(known)  # the labels of these tables are noisy; the largest class is 0.75
     for d in names:  # posteriors agree with the shares of the classes
@@ -86,6 +91,17 @@ def test_real_tables_meet_their_targets(spark, sf):
     budget = sum(r.n_tokens * r.p_clean for r in kept) / TARGETS["clean"]
     got = {d: sum(r.n_tokens * r[f"p_{d}"] * r.rate for r in kept) / budget for d in names}
     assert abs(max(abs(got[d] - t) for d, t in TARGETS.items()) - kept[0].largest_miss) < 0.02  # what is out of reach is told
+    # no other rates within the bounds come nearer: least squares by many small steps over the rows themselves
+    for some, most, held, whole in ((rows, np.inf, False, sum(r.n_tokens for r in rows)), (kept, 1.0, True, budget)):
+        p = np.array([[r[f"p_{d}"] for d in names] for r in some])
+        n = np.array([r.n_tokens for r in some])
+        low = ((p[:, names.index("clean")] >= p.max(axis=1)) & held).astype(float)
+        want = np.array([min(TARGETS[d], (most * (n * p[:, k]).sum() / whole)) for k, d in enumerate(names)])
+        a = p.T * n / whole
+        x, step = np.ones(len(n)), 1 / np.linalg.norm(p.T @ (a.T), 2)
+        for _ in range(3000):
+            x = np.clip(x - step * (p @ (a @ x - want)), low, most)
+        assert abs(np.abs(a @ x - want).max() - np.abs(a @ np.array([r.rate for r in some]) - want).max()) < 4e-3
 
 
 def test_calibration():
