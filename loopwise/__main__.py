@@ -35,6 +35,8 @@ def parser() -> argparse.ArgumentParser:
     search.add_argument("--bound", type=float, help="least balance + time of a cycle (default: what can be red)")
     search.add_argument("--row-budget", type=int, help="stop where a level has more paths than this")
     search.add_argument("--time-budget", type=float, help="stop the search after so many seconds and keep what it has found")
+    search.add_argument("--exact-trim", action="store_true", help="drop all edges between strongly connected components first")
+    search.add_argument("--months", type=lambda x: [int(m) for m in x.split(",")], help="months (yyyymm,...) replaced since the last run of this id: only cycles through them are looked for anew")
     search.add_argument("--seeds", type=int, default=5000, help="method match: companies to start from")
     search.add_argument("--per-seed", type=int, help="method match: cycles kept of each")
     out = p.add_argument_group("output")
@@ -43,6 +45,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--run-id", default="run")
     out.add_argument("--skip-detect", action="store_true", help="check only")
     out.add_argument("--no-metrics", action="store_true")
+    out.add_argument("--samples", type=int, help="betweenness from so many sources, with an error bound (default: exact)")
     return p
 
 
@@ -77,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
         if a.skip_detect:
             print(json.dumps(contract.as_dict(contract.validate(tables)), ensure_ascii=False, default=str))
             return 0
-        s = circular.Settings(a.period_from, a.period_to, a.hops, a.method, a.bound, a.row_budget, a.time_budget, a.seeds, a.per_seed, a.threshold, a.top_n, not a.no_metrics)
+        s = circular.Settings(a.period_from, a.period_to, a.hops, a.method, a.bound, a.row_budget, a.time_budget, a.seeds, a.per_seed, a.threshold, a.top_n, not a.no_metrics, a.samples, a.exact_trim, a.months)
         meta = circular.run(spark, tables, f"{path}/runs/{a.run_id}", s, steps=steps)
         print(json.dumps(meta["summary"] | {"truncated": meta["truncated"]}, default=str))
         return 0

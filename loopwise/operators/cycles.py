@@ -21,6 +21,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import month_index
 from ..scratch import materialise
+from .components import within_components
 from .edges import seeds, trim_to_core, window_of
 from .links import groups_of_pairs
 from .score import RED, W_HIDDEN, W_RISKY, W_VAT, balance_of, components_of, flagged_members, time_of
@@ -253,6 +255,8 @@ def search_cycles(
     time_budget_s: float | None = None,
     hidden: DataFrame | None = None,
     risky: DataFrame | None = None,
+    months: list[int] | None = None,
+    exact_trim: bool = False,
 ) -> tuple[DataFrame, bool]:
     """(members, edges, hop_len) of every cycle of min_hops..max_hops companies with balance + time >= bound, and whether a budget cut the search.
 
@@ -265,19 +269,32 @@ def search_cycles(
     A level of more than ``row_budget`` paths is not made longer. After
     ``time_budget_s`` seconds the running job is stopped; lengths and signals
     that are done by then are given out. In both cases the search was truncated.
-    ``only`` keeps one length.
+    ``only`` keeps one length. ``months`` keeps cycles with an edge in one of
+    them, and grows paths from those edges alone. ``exact_trim`` first drops all
+    edges between strongly connected components, which lie on no cycle.
     """
     budget = Budget(row_budget, time_budget_s)
     spark = trades.sparkSession
-    edges = window_of(trades, period_from, period_to).select(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst"), "period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"), month_index(F.col("period")).alias("month"))
+    rows = window_of(trades, period_from, period_to)
+    if exact_trim:
+        rows = within_components(materialise(rows, "window"))
+    edges = rows.select(F.col("seller_mst").alias("src"), F.col("buyer_mst").alias("dst"), "period", F.col("total_amount").alias("amount"), F.col("total_vat").alias("vat"), month_index(F.col("period")).alias("month"))
     edges = trim_to_core(materialise(_ranked(edges, risky), "window"), trim_rounds, "src", "dst")
     lengths = [only] if only is not None else list(range(max(2, min_hops), max_hops + 1))
     full = max(bound, RED - W_VAT) if hidden is not None or risky is not None else bound
     points = balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi"))
     at_risk = W_RISKY * F.col("risk")
     need = full if risky is None else F.when(F.col("v0").startswith(_AT_RISK), max(bound, full - W_RISKY)).otherwise(full)
-    sweep = _Sweep(edges, lengths, need, budget)
-    parts: list[Callable[[int], DataFrame | None]] = [lambda hops: _cycles_of(sweep.closed(hops), hops)]
+    in_months = lambda hops: F.lit(True) if months is None else reduce(lambda a, b: a | b, (F.col(f"p{i}").isin(months) for i in range(1, hops + 1)))
+    once = lambda found: found.withColumn("_periods", F.transform("edges", lambda e: e["period"])).dropDuplicates(["members", "_periods"]).drop("_periods")
+    if months is None:
+        sweep = _Sweep(edges, lengths, need, budget)
+        parts: list[Callable[[int], DataFrame | None]] = [lambda hops: _cycles_of(sweep.closed(hops), hops)]
+    else:
+        # a path doesn't know yet whether its cycle has a company at risk
+        lowest = full if risky is None else max(bound, full - W_RISKY)
+        anchors = materialise(_within(_start(_steps(edges.where(F.col("period").isin(months)), False), False), lowest), "anchors")
+        parts = [lambda hops: once(_cycles_of(_through_arcs(anchors, 1, hops, edges, lowest).where(points >= F.greatest(F.lit(bound), full - at_risk)), hops))]
     if hidden is not None and bound < full:
         groups = materialise(_ranked(_in_twos(hidden if "grp" in hidden.columns else groups_of_pairs(hidden)), risky, ("mst",)), "groups")
         least = max(bound, full - W_HIDDEN - (W_RISKY if risky is not None else 0.0))
@@ -298,8 +315,7 @@ def search_cycles(
                 rows = closed if rows is None else rows.unionByName(closed)
             below = F.greatest(F.lit(bound), full - at_risk)
             fine = (points >= F.greatest(F.lit(bound), full - W_HIDDEN - at_risk)) & (points < below)
-            found = _cycles_of(rows.where(fine), hops).withColumn("_periods", F.transform("edges", lambda e: e["period"]))
-            return found.dropDuplicates(["members", "_periods"]).drop("_periods")
+            return once(_cycles_of(rows.where(fine & in_months(hops)), hops))
 
         parts.append(linked)
 
@@ -335,6 +351,18 @@ def _ranked(rows: DataFrame, risky: DataFrame | None, columns: tuple[str, ...] =
     return rows.withColumnRenamed("_src", "risk").drop(*[f"_{c}" for c in columns])
 
 
+def refreshed(stored: DataFrame, trades: DataFrame, period_from: int, period_to: int, months: list[int], **how) -> tuple[DataFrame, bool]:
+    """``search_cycles`` after the trades of some months have been replaced, from what it ``stored`` before.
+
+    Cycles without an edge in these months stay as they are; the others are
+    looked for anew. Window, bounds and signals must be those of the stored
+    search.
+    """
+    kept = stored.where(~F.exists("edges", lambda e: e["period"].isin(months))).select("members", "edges", "hop_len")
+    new, truncated = search_cycles(trades, period_from, period_to, months=months, **how)
+    return kept.unionByName(new), truncated
+
+
 def _in_twos(groups: DataFrame) -> DataFrame:
     """Groups of two members and more; the others link nothing."""
     rows = groups.select("mst", "grp").distinct()

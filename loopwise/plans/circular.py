@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import contract, cycles, edges, flags, links, metrics, report, score
+from ..operators import components, contract, cycles, edges, flags, links, metrics, report, score
 from ..functions.text import normalize_date
 from ..schemas import KEYS, RAW_COMPANY, RAW_INVOICE, TABLES
 from ..scratch import Change, committed, complete, journalled, months_of, write_counted
@@ -24,7 +24,12 @@ log = logging.getLogger(__name__)
 
 @dataclass
 class Settings:
-    """max_hops and method as asked for; a bound of None is the one that keeps all red cycles."""
+    """max_hops and method as asked for; a bound of None is the one that keeps all red cycles.
+
+    samples: sources of betweenness (None: all, exact). months: of which trades
+    have been replaced since the run that is being replaced; only cycles with an
+    edge in them are looked for anew.
+    """
 
     period_from: int | None = None
     period_to: int | None = None
@@ -38,6 +43,9 @@ class Settings:
     threshold: float = score.WATCH
     top_n: int = 20
     metrics: bool = True
+    samples: int | None = None
+    exact_trim: bool = False
+    months: list[int] | None = None
 
 
 class Steps:
@@ -158,8 +166,13 @@ def linked_groups(tables: dict[str, DataFrame]) -> DataFrame | None:
     return None if groups is None else groups.join(groups.groupBy("grp").agg(F.count_distinct("mst").alias("n")).where("n > 1").select("grp"), "grp", "left_semi").select("mst", "grp").distinct()
 
 
-def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
-    """(scored cycles, facts about the run)."""
+def detect(tables: dict[str, DataFrame], s: Settings, stored: DataFrame | None = None, keep: str | None = None) -> tuple[DataFrame, dict]:
+    """(scored cycles, facts about the run).
+
+    stored: the cycles that an earlier run has found (members, edges, hop_len),
+    of which those without an edge in ``s.months`` stay; keep: where to write
+    what this one finds.
+    """
     trades = tables["trades"]
     if s.period_from is None or s.period_to is None:
         span = trades.agg(F.min("period").alias("a"), F.max("period").alias("b")).first()
@@ -176,11 +189,45 @@ def detect(tables: dict[str, DataFrame], s: Settings) -> tuple[DataFrame, dict]:
         truncated = s.per_seed is not None
     elif s.method == "dfs":
         signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None else {}
-        rows, truncated = cycles.search_cycles(trades, s.period_from, s.period_to, s.max_hops, bound=bound, row_budget=s.row_budget, time_budget_s=s.time_budget_s, **signals)
+        how = {"max_hops": s.max_hops, "bound": bound, "row_budget": s.row_budget, "time_budget_s": s.time_budget_s, "exact_trim": s.exact_trim} | signals
+        if stored is not None and s.months:
+            rows, truncated = cycles.refreshed(stored, trades, s.period_from, s.period_to, s.months, **how)
+        else:
+            rows, truncated = cycles.search_cycles(trades, s.period_from, s.period_to, **how)
+        if keep is not None and not truncated:
+            rows.write.parquet(keep)
+            rows = trades.sparkSession.read.schema(rows.schema).parquet(keep)
     else:
         raise ValueError(f"unknown method: {s.method}")
     scored = score.score_cycles(cycles.best_combinations(rows), hidden if has_hidden else None, risky if has_risky else None)
-    return scored, {"bound": bound, "has_hidden": has_hidden, "has_risky": has_risky, "truncated": truncated}
+    if s.exact_trim:
+        window = edges.window_of(trades, s.period_from, s.period_to)
+        kept = {"edges": window.count(), "edges_on_cycles": components.within_components(window).count()}
+    else:
+        kept = {}
+    return scored, kept | {"bound": bound, "has_hidden": has_hidden, "has_risky": has_risky, "truncated": truncated}
+
+
+FOUND = "_found"  # cycles of a run before the best months are picked
+_SAME = ("period_from", "period_to", "max_hops", "method", "bound")
+
+
+def last_found(spark: SparkSession, out: str, s: Settings) -> DataFrame | None:
+    """The cycles that the last run below ``out`` found, if it was whole and asked for the same; else None, and the search starts anew."""
+    try:
+        meta = json.loads("".join(r["value"] for r in spark.read.text(f"{out}/meta.json", wholetext=True).collect()))
+        found = spark.read.parquet(f"{out}/{FOUND}")
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+    asked = asdict(s)
+    same = all(asked[k] is None or meta["asked"][k] == asked[k] for k in _SAME) and meta["asked"]["bound"] == asked["bound"]
+    if not same:
+        log.warning("the last run asked for something else: all cycles are looked for anew")
+        return None
+    s.period_from, s.period_to = meta["asked"]["period_from"], meta["asked"]["period_to"]
+    return found
 
 
 def run(spark: SparkSession, tables: dict[str, DataFrame], out: str, s: Settings | None = None, invoices: DataFrame | None = None, steps: Steps | None = None) -> dict:
@@ -199,7 +246,9 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], out: str, s: Settings
         contract.gate(checks)
     with committed(spark, out) as new:
         with steps.step("detect cycles") as facts:
-            scored, found = detect(tables, s)
+            stored = last_found(spark, out, s) if s.months else None
+            scored, found = detect(tables, s, stored, f"{new}/{FOUND}")
+            facts["refreshed"] = stored is not None
             scored.write.parquet(f"{new}/scored")
             scored = spark.read.parquet(f"{new}/scored")
             summary = score.level_summary(scored, found["has_hidden"], found["has_risky"]).first().asDict()
@@ -209,7 +258,7 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], out: str, s: Settings
             flags.loops(scored).write.json(f"{new}/invoice_loops")
         if s.metrics:
             with steps.step("company metrics"):
-                metrics.company_metrics(edges.window_of(tables["trades"], s.period_from, s.period_to)).write.json(f"{new}/company_metrics")
+                metrics.company_metrics(edges.window_of(tables["trades"], s.period_from, s.period_to), s.samples).write.json(f"{new}/company_metrics")
         flagged = None
         if invoices is not None:
             try:
@@ -220,7 +269,7 @@ def run(spark: SparkSession, tables: dict[str, DataFrame], out: str, s: Settings
                 log.exception("invoice flags were skipped")
                 flagged = False
         with steps.step("report"):
-            meta = asdict(s) | found | {"summary": summary, "contract": contract.as_dict(checks), "invoice_flags": flagged, "elapsed_sec": round(time.time() - began, 1), "steps": steps.done}
+            meta = asdict(s) | {"asked": {k: getattr(s, k) for k in _SAME}} | found | {"summary": summary, "contract": contract.as_dict(checks), "invoice_flags": flagged, "elapsed_sec": round(time.time() - began, 1), "steps": steps.done}
             files = report.report_files(scored, tables["company"], summary, {k: meta[k] for k in ("period_from", "period_to", "max_hops", "method")}, s.top_n)
             for name, text in (files | {"meta.json": json.dumps(meta, ensure_ascii=False, default=str), "validation.json": json.dumps(contract.as_dict(checks), ensure_ascii=False, default=str)}).items():
                 spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{new}/{name}")

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import contract, cycles, edges, flags, links, metrics, score
-from ..scratch import materialise
-from ..sources import lake, testbed
+from ..operators import components, contract, cycles, edges, flags, links, metrics, paths, score
+from ..scratch import materialise, scratch_path
+from ..sources import lake, raw, testbed
 from ..sources.testbed import PERIOD_FROM as FROM
 from ..sources.testbed import PERIOD_TO as TO
 from ..sources.testbed import with_views
@@ -535,6 +535,91 @@ def cycle_names(t):
     return flags.with_names(_scored(t), t["company"]).select("cycle_id", F.array_join("names", "|").alias("names"))
 
 
+@query(
+    _and_w(
+        f"""SELECT * FROM (WITH RECURSIVE e AS MATERIALIZED (SELECT DISTINCT seller_mst AS a, buyer_mst AS b FROM w), reach AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b),
+    comp AS (SELECT x.a AS mst, least(min(x.b), x.a) AS component, count(DISTINCT x.b) AS n FROM reach x JOIN reach y ON y.a = x.b AND y.b = x.a GROUP BY x.a)
+    SELECT mst, component, n AS size FROM comp WHERE n > 1)"""
+    ),
+    "trades",
+)
+def strong_components(t):
+    return components.strong_components(_window(t))
+
+
+_BOTH_WAYS = f"SELECT company_a AS src, company_b AS dst FROM ({_P_ADDR}) UNION SELECT company_b, company_a FROM ({_P_ADDR})"
+
+
+@query(
+    _and_w(
+        f"""SELECT * FROM (WITH e AS MATERIALIZED (SELECT DISTINCT seller_mst AS a, buyer_mst AS b FROM w), q AS MATERIALIZED ({_BOTH_WAYS}),
+    p AS (SELECT src, dst, 1 AS hops, [src, dst] AS path FROM q JOIN e ON a = src AND b = dst
+      UNION ALL SELECT src, dst, 2, [src, x.b, dst] FROM q JOIN e x ON x.a = src JOIN e y ON y.a = x.b AND y.b = dst
+      UNION ALL SELECT src, dst, 3, [src, x.b, y.b, dst] FROM q JOIN e x ON x.a = src JOIN e y ON y.a = x.b JOIN e z ON z.a = y.b AND z.b = dst
+      UNION ALL SELECT src, dst, 4, [src, x.b, y.b, z.b, dst] FROM q JOIN e x ON x.a = src JOIN e y ON y.a = x.b JOIN e z ON z.a = y.b JOIN e u ON u.a = z.b AND u.b = dst),
+    best AS (SELECT src, dst, min(hops) AS hops FROM p GROUP BY src, dst)
+    SELECT src, dst, cast(hops AS int) AS hops, count(*) AS n_paths, array_to_string(min(path), '|') AS path FROM p JOIN best USING (src, dst, hops) GROUP BY src, dst, hops)"""
+    ),
+    "trades",
+    "company",
+)
+def shortest_paths(t):
+    """How companies with the same address sell to each other, in both directions, by at most 4 sales."""
+    pairs = links.address_pairs(t["company"])
+    both = pairs.select(F.col("company_a").alias("src"), F.col("company_b").alias("dst")).unionByName(pairs.select(F.col("company_b").alias("src"), F.col("company_a").alias("dst")))
+    return paths.shortest_paths(_window(t), both, 4).withColumn("path", F.array_join("path", "|"))
+
+
+@query(
+    _and_w(
+        f"""SELECT * FROM (WITH e AS MATERIALIZED (SELECT DISTINCT seller_mst AS a, buyer_mst AS b FROM w), r AS MATERIALIZED ({_RISKY}),
+    reach AS (SELECT a, b FROM e WHERE a IN (SELECT mst FROM r) UNION SELECT x.a, y.b FROM e x JOIN e y ON y.a = x.b WHERE x.a IN (SELECT mst FROM r))
+    SELECT b AS mst, count(DISTINCT a) AS n_sources FROM reach WHERE a <> b GROUP BY b)"""
+    ),
+    "trades",
+    "company",
+)
+def hub_convergence(t):
+    """To how many companies at risk each company can be traced back within two sales."""
+    return paths.hub_convergence(_window(t), links.risky_companies(t["company"], FROM))
+
+
+@query("SELECT seller_mst, buyer_mst, count(*) AS n_months, cast(sum(invoice_count) AS bigint) AS invoice_count, sum(total_amount) AS total_amount FROM trades GROUP BY ALL HAVING count(*) >= 3", "trades")
+def repeated_pairs(t):
+    return paths.repeated_pairs(t["trades"])
+
+
+@query(
+    """SELECT mst, name || ' "A, B"' || chr(10) || '""' AS name, sector, address || ', "' AS address, revenue, report_date, nullif(status, '') AS status FROM company""",
+    "company",
+)
+def csv_companies(t):
+    """The companies after a way through a headerless CSV file, their names with quotes, commas and line breaks."""
+    rows = t["company"].select("mst", F.concat("name", F.lit(' "A, B"\n""')).alias("name"), "sector", F.concat("address", F.lit(', "')).alias("address"), F.col("revenue").cast("string").alias("revenue"), "report_date", "status")
+    path = scratch_path(rows.sparkSession, "csv")
+    rows.write.csv(path, quote='"', escape='"', emptyValue="")
+    return raw.companies(raw.read_companies(rows.sparkSession, path))
+
+
+@query("SELECT seller_mst, buyer_mst, period, invoice_count, total_amount, total_vat, first_date, last_date FROM trades", "trades")
+def csv_trades(t):
+    """The monthly edges of invoices that were read from a headerless CSV file; texts hold commas and quotes, and each row a column too many."""
+    rows = t["invoices"].select(F.col("einvoice_row_id").cast("string"), F.col("day").alias("d"), "seller_mst", "buyer_mst", F.lit('goods "x", y').alias("g"), F.col("amount").cast("string"), F.col("vat").cast("string"), F.lit("more"))
+    path = scratch_path(rows.sparkSession, "csv")
+    rows.write.csv(path, quote='"', escape='"')
+    return edges.trade_edges(raw.invoices(raw.read_invoices(rows.sparkSession, path)))
+
+
+@query(_and_scored("SELECT cycle_id, array_to_string(periods, '|') AS periods, hop_len FROM near"), "trades", "company")
+def cycles_refreshed(t):
+    """All cycles that can be red, after the last month of the window was replaced: the stored ones without it, and those through it."""
+    hidden = materialise(links.hidden_groups(links.normalized_addresses(t["company"])), "hidden")
+    risky = materialise(links.risky_companies(t["company"], FROM), "risky")
+    how = {"bound": score.prune_bound(True, True), "hidden": hidden, "risky": risky}
+    before, _ = cycles.search_cycles(t["trades"].where(F.col("period") < TO), FROM, TO, **how)
+    return _flat(cycles.refreshed(materialise(before, "stored"), t["trades"], FROM, TO, [TO], **how)[0])
+
+
 # -- network -------------------------------------------------------------------------
 
 _PARTNERS = "SELECT mst, partner, count(*) > 1 AS both_ FROM (SELECT DISTINCT seller_mst AS mst, buyer_mst AS partner FROM w UNION ALL SELECT DISTINCT buyer_mst, seller_mst FROM w) GROUP BY mst, partner"
