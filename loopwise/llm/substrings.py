@@ -109,14 +109,13 @@ def spans(parse: list[tuple[int, int, int, int]], found: np.ndarray, W: int) ->
 
     A factor of W words and more is a span. A shorter one was cut at the
     boundary to the factor before it: it is followed back over the boundary,
-    through its own reference, and is a span if that makes W words.
+    through its own reference, which makes at least W words, as every match
+    has so many.
     """
     own = {(r, e, p - s): s for s, e, r, p in zip(*(x.tolist() for x in found), strict=True)}
     out: list[tuple[int, int]] = []
     for a, b, ref, place in parse:
         back = a if b - a >= W else own.get((ref, b, place - a), a)
-        if b - back < W:
-            continue
         if out and out[-1][1] >= back:
             out[-1] = (min(out[-1][0], back), b)
         else:
@@ -135,8 +134,13 @@ def rlz_dedup(docs: DataFrame, window: int = 50, anchor: int = 8, with_text: boo
     a document that some earlier block holds, the earliest such block and the
     place there. The document is then parsed greedily into the longest of
     these matches and literals; factors of ``window`` words and more, and
-    shorter ones that reach it when followed back over the boundary to the
-    factor before, are the spans that are removed.
+    shorter ones, followed back over the boundary to the factor before, are the
+    spans that are removed.
+
+    This is relative Lempel-Ziv in its result, not in how matches are found:
+    the index already holds complete matches, so the parse rejects none of
+    them. A parse against the text needs every earlier place of a seed (README
+    has the figures, and of what the earliest places alone would lose).
 
     docs: (doc_id, text); other columns are ignored. Null and empty texts have
     no words. Where doc_ids are null or repeat, documents are ordered by
