@@ -45,7 +45,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--run-id", default="run")
     out.add_argument("--skip-detect", action="store_true", help="check only")
     out.add_argument("--no-metrics", action="store_true")
-    out.add_argument("--samples", type=int, help="betweenness from so many sources, with an error bound (default: exact)")
+    out.add_argument("--samples", type=int, help="betweenness from so many sources, with an error bound (default: exact up to 50000 companies)")
     return p
 
 

@@ -115,7 +115,17 @@ def sampled_betweenness(trades: DataFrame, samples: int, seed: int = 0, confiden
     return sums.groupBy(F.col("v").alias("mst")).agg(F.bround(F.sum("delta") * (n / max(k, 1)) / 2, 6).alias("betweenness_centrality"), F.lit(error).alias("error"))
 
 
-def company_metrics(trades: DataFrame, samples: int | None = None) -> DataFrame:
-    """All four metrics of every company of the window; betweenness from so many ``samples``, with its error, or exact without."""
+#: More companies than this have their betweenness estimated from so many sources, unless asked otherwise.
+MOST_EXACT, SOURCES = 50_000, 1024
+
+
+def company_metrics(trades: DataFrame, samples: int | None = None, most_exact: int = MOST_EXACT) -> DataFrame:
+    """All four metrics of every company of the window.
+
+    betweenness is exact up to ``most_exact`` companies; beyond, and where
+    ``samples`` are asked for, it is estimated and has its error beside it.
+    """
+    if samples is None and trades.select(F.explode(F.array("seller_mst", "buyer_mst")).alias("k")).distinct().count() > most_exact:
+        samples = SOURCES
     between = betweenness(trades) if samples is None else sampled_betweenness(trades, samples)
     return degree_and_reciprocity(trades).drop("degree").join(new_partner_rate(trades), "mst").join(between, "mst")

@@ -110,6 +110,7 @@ def test_sampled_betweenness(spark):
         kept += all(abs(r.betweenness_centrality - exact[r.mst]) <= r.error for r in some)
         assert {r.mst for r in some} == set(exact) and some[0].error > 0
     assert kept == 4
+    assert "error" in metrics.company_metrics(t, most_exact=5).columns and "error" not in metrics.company_metrics(t).columns
 
 
 def fitting(rows, most, hidden, risky):
