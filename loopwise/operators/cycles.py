@@ -421,20 +421,19 @@ def within_path_bound(cycles: DataFrame, trades: DataFrame, hidden: DataFrame |
     balance + time >= 50 - 25 H - 15 R, where H says that a pair of members is
     hidden, or a company of some hidden pair outside the cycle can be reached
     from its last member in the hops that are left; R is the same for risk.
+    hidden: pairs (company_a, company_b), or groups (mst, grp).
     """
+    groups = None if hidden is None else _in_twos(hidden if "grp" in hidden.columns else groups_of_pairs(hidden))
     rows = canonical(cycles).withColumn("cycle_key", F.concat_ws("|", F.col("members"), F.transform("edges", lambda e: e["period"].cast("string"))))
     flat = rows.select("cycle_key", "members", F.element_at("members", -1).alias("src"), (max_hops - F.col("hop_len")).alias("left"))
     flags = {}
-    for name, marked, pairs in (("_h", None if hidden is None else hidden.select(F.explode(F.array("company_a", "company_b")).alias("mst")).distinct(), hidden), ("_r", risky, None)):
+    for name, marked, linked in (("_h", None if groups is None else groups.select("mst").distinct(), groups), ("_r", risky, None)):
         if marked is None:
             continue
         reach = reach_layers(trades, max_hops, marked)
         near = flat.join(reach, "src").where((F.col("depth") <= F.col("left")) & ~F.array_contains("members", F.col("dst"))).select("cycle_key")
-        if pairs is not None:
-            each = flat.select("cycle_key", "members", F.explode("members").alias("company_a")).select("cycle_key", "company_a", F.explode("members").alias("company_b"))
-            inside = each.join(pairs, ["company_a", "company_b"], "left_semi").select("cycle_key")
-        else:
-            inside = flat.select("cycle_key", F.explode("members").alias("mst")).join(marked, "mst", "left_semi").select("cycle_key")
+        each = flat.select("cycle_key", F.explode("members").alias("mst"))
+        inside = (each.join(marked, "mst", "left_semi") if linked is None else each.join(linked, "mst").groupBy("cycle_key", "grp").count().where("count > 1")).select("cycle_key")
         flags[name] = near.union(inside).distinct().withColumn(name, F.lit(True))
     need = F.lit(50.0)
     for name, points in (("_h", 25.0), ("_r", 15.0)):

@@ -26,6 +26,9 @@ log = logging.getLogger(__name__)
 class Settings:
     """max_hops and method as asked for; a bound of None is the one that keeps all red cycles.
 
+    rule: what lowers the bound of a cycle: signals of its members, or (path) also
+    of companies that could be reached from its last member in the hops that are
+    left, which gives more cycles of the watch list and takes longer.
     samples: sources of betweenness (None: all, exact). months: of which trades
     have been replaced since the run that is being replaced; only cycles with an
     edge in them are looked for anew.
@@ -46,6 +49,7 @@ class Settings:
     samples: int | None = None
     exact_trim: bool = False
     months: list[int] | None = None
+    rule: str = "member"
 
 
 class Steps:
@@ -188,13 +192,17 @@ def detect(tables: dict[str, DataFrame], s: Settings, stored: DataFrame | None =
             rows = rows.unionByName(x)
         truncated = s.per_seed is not None
     elif s.method == "dfs":
-        signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None else {}
+        by_path = s.rule == "path" and s.bound is None
+        signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None and not by_path else {}
         how = {"max_hops": s.max_hops, "bound": bound, "row_budget": s.row_budget, "time_budget_s": s.time_budget_s, "exact_trim": s.exact_trim} | signals
-        if stored is not None and s.months:
+        if stored is not None and s.months and not by_path:
             rows, truncated = cycles.refreshed(stored, trades, s.period_from, s.period_to, s.months, **how)
         else:
             rows, truncated = cycles.search_cycles(trades, s.period_from, s.period_to, **how)
-        if keep is not None and not truncated:
+        if by_path:
+            rows = cycles.within_path_bound(rows, edges.window_of(trades, s.period_from, s.period_to), hidden if has_hidden else None, risky if has_risky else None, s.max_hops)
+        if keep is not None and not truncated and not by_path:  # which cycles a path finds depends on all edges
+
             rows.write.parquet(keep)
             rows = trades.sparkSession.read.schema(rows.schema).parquet(keep)
     else:
@@ -209,7 +217,7 @@ def detect(tables: dict[str, DataFrame], s: Settings, stored: DataFrame | None =
 
 
 FOUND = "_found"  # cycles of a run before the best months are picked
-_SAME = ("period_from", "period_to", "max_hops", "method", "bound")
+_SAME = ("period_from", "period_to", "max_hops", "method", "bound", "rule")
 
 
 def last_found(spark: SparkSession, out: str, s: Settings) -> DataFrame | None:

@@ -162,6 +162,19 @@ def test_a_run_refreshes_the_last_one(spark, tmp_path):
     assert circular.last_found(spark, f"{data}/run", settings(bound=5.0)) is None and circular.last_found(spark, f"{data}/none", settings()) is None
 
 
+def test_a_run_by_the_rule_of_paths(spark, tmp_path):
+    rows = random_graph(6)
+    company = spark.createDataFrame([(f"c{k}", f"c{k}", "Đã giải thể" if k == 2 else None) for k in range(7)], "mst string, name string, status string")
+    pairs = spark.createDataFrame([("c0", "c1", "x")], "company_a string, company_b string, norm_addr string")
+    tables = {"company": company, "trades": graph(spark, rows), "shares_address": pairs}
+    every = cycles.enumerate_cycles(tables["trades"], 202011, 202104, max_hops=4, bound=10.0)
+    want = cycles.within_path_bound(every, tables["trades"].where("seller_mst <> buyer_mst"), pairs, spark.createDataFrame([("c2",)], "mst string"), 4)
+    scored, _ = circular.detect(tables, circular.Settings(max_hops=4, rule="path"))
+    got = {tuple(r.members) for r in scored.collect()}
+    assert got == {tuple(r.members) for r in want.collect()}
+    assert got > {tuple(r.members) for r in circular.detect(tables, circular.Settings(max_hops=4))[0].collect()}
+
+
 def test_a_time_budget_stops_a_running_level(spark):
     n = 60  # a complete graph: its paths of 3 edges are too many for some seconds
     t = graph(spark, [(f"c{a:02d}", f"c{b:02d}", m, 100, 10) for a, b in itertools.permutations(range(n), 2) for m in (202101, 202102)])
