@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import month_index
-from ..scratch import materialise
+from ..scratch import materialise, side_by_side
 from .components import within_components
 from .edges import seeds, trim_to_core, window_of
 from .links import groups_of_pairs
@@ -96,69 +96,69 @@ class Budget:
 
 
 # A path of n edges has the companies v0 .. vn and of edge i = 1 .. n the period p<i>, amount a<i> and tax t<i>;
-# of all its edges least and largest amount and month, and whether a seller is at risk.
-_FACTS = ("p", "a", "t")
-_RANGE = {"mn": F.least, "mx": F.greatest, "lo": F.least, "hi": F.greatest, "risk": F.greatest}
-_OF_EDGE = {"mn": "amount", "mx": "amount", "lo": "month", "hi": "month", "risk": "risk"}
+# of all its edges least and largest amount and month, and whether a seller is at risk. Its columns are put
+# together as SQL text: a search has some thousand of them, and each call from Python costs a millisecond.
+_FACTS = {"p": "period", "a": "amount", "t": "vat"}
+_RANGE = {"mn": "least", "mx": "greatest", "lo": "least", "hi": "greatest", "risk": "greatest"}
+_OF_EDGE = {"mn": "amount", "mx": "amount", "lo": "month", "hi": "month", "risk": "at_risk"}
+
+
+def _flat_columns(n: int) -> list[str]:
+    return [f"v{i}" for i in range(n + 1)] + [f"{f}{i}" for i in range(1, n + 1) for f in _FACTS]
 
 
 def _columns(n: int) -> list[str]:
-    return [f"v{i}" for i in range(n + 1)] + [f"{f}{i}" for i in range(1, n + 1) for f in _FACTS] + list(_RANGE)
+    return [*_flat_columns(n), *_RANGE]
 
 
-def _within(rows: DataFrame, bound: float | Column) -> DataFrame:
-    return rows.where(balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi")) >= bound)
+def _points() -> Column:
+    """Balance + time of a path."""
+    return balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi"))
 
 
 def _steps(edges: DataFrame, back: bool) -> DataFrame:
     """Edges as steps (here, there, ...); those of a back lead against the trade."""
     here, there = ("dst", "src") if back else ("src", "dst")
-    return edges.select(F.col(here).alias("here"), F.col(there).alias("there"), *[F.col(c) for c in ("period", "amount", "vat", "month", "risk")])
+    return edges.selectExpr(f"{here} AS here", f"{there} AS there", "period", "amount", "vat", "month", "risk AS at_risk")
 
 
 def _start(steps: DataFrame, rising: bool) -> DataFrame:
     """Steps as paths of one edge; ``rising``: to a larger company only."""
     rows = steps.where("here < there") if rising else steps
-    return rows.select(F.col("here").alias("v0"), F.col("there").alias("v1"), F.col("period").alias("p1"), F.col("amount").alias("a1"), F.col("vat").alias("t1"), *[F.col(c).alias(k) for k, c in _OF_EDGE.items()])
+    return rows.selectExpr("here AS v0", "there AS v1", *[f"{c} AS {f}1" for f, c in _FACTS.items()], *[f"{c} AS {k}" for k, c in _OF_EDGE.items()])
 
 
-def _longer(paths: DataFrame, n: int, steps: DataFrame, rising: bool, bound: float | Column) -> DataFrame:
-    """Paths of n edges with one more."""
-    apart = [F.col("there") > F.col("v0") if rising else F.col("there") != F.col("v0"), *[F.col("there") != F.col(f"v{i}") for i in range(1, n)]]
-    joined = paths.join(steps.withColumnRenamed("risk", "e_risk"), F.col(f"v{n}") == F.col("here"))
-    for x in apart:
-        joined = joined.where(x)
-    own = {**_OF_EDGE, "risk": "e_risk"}
-    rows = joined.select(*[c for c in _columns(n) if c not in _RANGE], *[c for c in paths.columns if c not in _columns(n)], F.col("there").alias(f"v{n + 1}"), F.col("period").alias(f"p{n + 1}"), F.col("amount").alias(f"a{n + 1}"), F.col("vat").alias(f"t{n + 1}"), *[f(k, own[k]).alias(k) for k, f in _RANGE.items()])
-    return _within(rows, bound)
+def _longer(paths: DataFrame, n: int, steps: DataFrame, rising: bool, keep: Column) -> DataFrame:
+    """Paths of n edges with one more, those that ``keep`` lets through."""
+    on = [f"v{n} = here", "there > v0" if rising else "there <> v0", *[f"there <> v{i}" for i in range(1, n)]]
+    more = [c for c in paths.columns if c not in _columns(n)]
+    ranges = [f"{f}({k}, {_OF_EDGE[k]}) AS {k}" for k, f in _RANGE.items()]
+    rows = paths.join(steps, F.expr(" AND ".join(on)))
+    return rows.selectExpr(*_flat_columns(n), *more, f"there AS v{n + 1}", *[f"{c} AS {f}{n + 1}" for f, c in _FACTS.items()], *ranges).where(keep)
 
 
-def _meet(fronts: DataFrame, n: int, backs: DataFrame, m: int, start: str = "v0", key: tuple[str, ...] = ()) -> DataFrame:
+def _meet(fronts: DataFrame, n: int, backs: DataFrame, m: int, closed: bool = True, key: tuple[str, ...] = ()) -> DataFrame:
     """Fronts of n and backs of m edges put together where they end at the same company and share no other, as paths of n + m edges.
 
-    A closed path also starts where it ends: then ``start`` is 'v0', and vn+m is
-    left out. ``key``: further columns that must be equal, and stay.
+    A ``closed`` path also starts where it ends, and vn+m is left out. ``key``:
+    further columns that must be equal, and stay.
     """
-    closed = start == "v0"
-    other = backs.select(*[F.col(c).alias(f"b_{c}") for c in (*_columns(m), *key)])
-    on = [F.col(f"v{n}") == F.col(f"b_v{m}"), *([F.col("v0") == F.col("b_v0")] if closed else []), *[F.col(k) == F.col(f"b_{k}") for k in key]]
-    rows = fronts.join(other, on)
-    for i in range(1 if closed else 0, m):
-        for k in range(n if not closed or i else 0):
-            rows = rows.where(F.col(f"b_v{i}") != F.col(f"v{k}"))
-    names = [F.col(f"b_v{m - i}").alias(f"v{n + i}") for i in range(1, m if closed else m + 1)]
-    facts = [F.col(f"b_{f}{m + 1 - i}").alias(f"{f}{n + i}") for i in range(1, m + 1) for f in _FACTS]
-    keep = [c for c in _columns(n) if c not in _RANGE]
-    return rows.select(*keep, *names, *facts, *[f(k, f"b_{k}").alias(k) for k, f in _RANGE.items()], *key)
+    other = backs.selectExpr(*[f"{c} AS b_{c}" for c in (*_columns(m), *key)])
+    on = [f"v{n} = b_v{m}", *(["v0 = b_v0"] if closed else []), *[f"{k} = b_{k}" for k in key]]
+    on += [f"b_v{i} <> v{k}" for i in range(1 if closed else 0, m) for k in range(n)]
+    names = [f"b_v{m - i} AS v{n + i}" for i in range(1, m if closed else m + 1)]
+    facts = [f"b_{f}{m + 1 - i} AS {f}{n + i}" for i in range(1, m + 1) for f in _FACTS]
+    ranges = [f"{f}({k}, b_{k}) AS {k}" for k, f in _RANGE.items()]
+    return fronts.join(other, F.expr(" AND ".join(on))).selectExpr(*_flat_columns(n), *names, *facts, *ranges, *key)
 
 
 def _cycles_of(paths: DataFrame | None, hops: int) -> DataFrame | None:
     """Closed paths as (members, edges, hop_len), by the companies' own names and from the smallest on."""
     if paths is None:
         return None
-    paths = paths.withColumns({f"v{i}": F.substring(f"v{i}", 2, 1 << 30) for i in range(hops)})
-    edge = lambda i: F.struct(F.col(f"v{i}").alias("src"), F.col(f"v{(i + 1) % hops}").alias("dst"), F.col(f"p{i + 1}").alias("period"), F.col(f"a{i + 1}").alias("amount"), F.col(f"t{i + 1}").alias("vat"))
-    return canonical(paths.select(F.array(*[f"v{i}" for i in range(hops)]).alias("members"), F.array(*map(edge, range(hops))).alias("edges"), F.lit(hops).alias("hop_len")))
+    name = lambda i: f"substring(v{i % hops}, 2)"
+    edge = lambda i: f"named_struct('src', {name(i)}, 'dst', {name(i + 1)}, 'period', p{i + 1}, 'amount', a{i + 1}, 'vat', t{i + 1})"
+    return canonical(paths.selectExpr(f"array({', '.join(map(name, range(hops)))}) AS members", f"array({', '.join(map(edge, range(hops)))}) AS edges", f"{hops} AS hop_len"))
 
 
 def enumerate_cycles(trades: DataFrame, period_from: int, period_to: int, **how) -> DataFrame:
@@ -173,7 +173,7 @@ class _Sweep:
 
     edges: DataFrame
     lengths: list[int]
-    bound: float | Column  # may depend on v0
+    keep: Column  # which paths are grown
     budget: Budget
 
     def __post_init__(self):
@@ -184,10 +184,10 @@ class _Sweep:
         """Fronts or backs of n edges; None where the row budget forbids to make the level before longer."""
         if (front, n) not in self.levels:
             if n == 1:
-                out = _within(_start(_steps(self.edges, not front), True), self.bound)
+                out = _start(_steps(self.edges, not front), True).where(self.keep)
             else:
                 before = self.level(front, n - 1)
-                out = None if before is None or (front, n - 1) in self.full else _longer(before, n - 1, _steps(self.edges, not front), True, self.bound)
+                out = None if before is None or (front, n - 1) in self.full else _longer(before, n - 1, _steps(self.edges, not front), True, self.keep)
             self.levels[front, n] = None if out is None else self.kept(out, front, n)
         return self.levels[front, n]
 
@@ -204,42 +204,42 @@ class _Sweep:
 
     def closed(self, hops: int) -> DataFrame | None:
         fronts, backs = self.level(True, (hops + 1) // 2), self.level(False, hops // 2)
-        return None if fronts is None or backs is None else _within(_meet(fronts, (hops + 1) // 2, backs, hops // 2), self.bound)
+        return None if fronts is None or backs is None else _meet(fronts, (hops + 1) // 2, backs, hops // 2).where(self.keep)
 
 
-def _arcs(edges: DataFrame, groups: DataFrame, n: int, bound: float) -> DataFrame:
+def _arcs(edges: DataFrame, groups: DataFrame, n: int, keep: Column) -> DataFrame:
     """Paths of n edges whose ends share a group, each once: halves from the members of groups meet on the group and the company between them."""
 
     def half(m: int, back: bool) -> DataFrame:
         if m == 0:
-            return groups.select(F.col("mst").alias("v0"), "grp")
+            return groups.selectExpr("mst AS v0", "grp")
         steps = _steps(edges, back)
-        out = _start(steps, False).join(groups.select(F.col("mst").alias("v0"), "grp"), "v0")
+        out = _start(steps, False).join(groups.selectExpr("mst AS v0", "grp"), "v0")
         for k in range(1, m):
-            out = _longer(out, k, steps, False, bound)
+            out = _longer(out, k, steps, False, keep)
         return out
 
     fronts = half((n + 1) // 2, False)
     if n == 1:
-        rows = fronts.join(groups.select(F.col("mst").alias("v1"), "grp"), ["v1", "grp"]).select(*_columns(1))
+        rows = fronts.join(groups.selectExpr("mst AS v1", "grp"), ["v1", "grp"]).select(*_columns(1))
     else:
-        rows = _meet(fronts, (n + 1) // 2, half(n // 2, True), n // 2, "any", ("grp",)).drop("grp")
-    return _within(rows, bound).dropDuplicates([f"v{i}" for i in range(n + 1)] + [f"p{i}" for i in range(1, n + 1)])
+        rows = _meet(fronts, (n + 1) // 2, half(n // 2, True), n // 2, False, ("grp",)).drop("grp")
+    return rows.where(keep).dropDuplicates([f"v{i}" for i in range(n + 1)] + [f"p{i}" for i in range(1, n + 1)])
 
 
-def _through_arcs(arcs: DataFrame, b: int, hops: int, edges: DataFrame, bound: float) -> DataFrame:
+def _through_arcs(arcs: DataFrame, b: int, hops: int, edges: DataFrame, keep: Column) -> DataFrame:
     """Cycles of ``hops`` companies with an arc of b edges: arcs grow from their end, and backs from their start."""
     a = hops - b
     m = (a + 1) // 2
     out = arcs
     for k in range(b, hops - m):
-        out = _longer(out, k, _steps(edges, False), False, bound)
+        out = _longer(out, k, _steps(edges, False), False, keep)
     ends = arcs.select("v0").distinct()
     steps = _steps(edges, True)
     backs = _start(steps, False).join(ends, "v0", "left_semi")
     for k in range(1, m):
-        backs = _longer(backs, k, steps, False, bound)
-    return _within(_meet(out, hops - m, backs, m), bound)
+        backs = _longer(backs, k, steps, False, keep)
+    return _meet(out, hops - m, backs, m).where(keep)
 
 
 def search_cycles(
@@ -282,22 +282,22 @@ def search_cycles(
     edges = trim_to_core(materialise(_ranked(edges, risky), "window"), trim_rounds, "src", "dst")
     lengths = [only] if only is not None else list(range(max(2, min_hops), max_hops + 1))
     full = max(bound, RED - W_VAT) if hidden is not None or risky is not None else bound
-    points = balance_of(F.col("mn"), F.col("mx")) + time_of(F.col("lo"), F.col("hi"))
+    points = _points()
     at_risk = W_RISKY * F.col("risk")
     need = full if risky is None else F.when(F.col("v0").startswith(_AT_RISK), max(bound, full - W_RISKY)).otherwise(full)
     in_months = lambda hops: F.lit(True) if months is None else reduce(lambda a, b: a | b, (F.col(f"p{i}").isin(months) for i in range(1, hops + 1)))
     once = lambda found: found.withColumn("_periods", F.transform("edges", lambda e: e["period"])).dropDuplicates(["members", "_periods"]).drop("_periods")
     if months is None:
-        sweep = _Sweep(edges, lengths, need, budget)
+        sweep = _Sweep(edges, lengths, points >= need, budget)
         parts: list[Callable[[int], DataFrame | None]] = [lambda hops: _cycles_of(sweep.closed(hops), hops)]
     else:
         # a path doesn't know yet whether its cycle has a company at risk
-        lowest = full if risky is None else max(bound, full - W_RISKY)
-        anchors = materialise(_within(_start(_steps(edges.where(F.col("period").isin(months)), False), False), lowest), "anchors")
-        parts = [lambda hops: once(_cycles_of(_through_arcs(anchors, 1, hops, edges, lowest).where(points >= F.greatest(F.lit(bound), full - at_risk)), hops))]
+        may_be = points >= (full if risky is None else max(bound, full - W_RISKY))
+        anchors = materialise(_start(_steps(edges.where(F.col("period").isin(months)), False), False).where(may_be), "anchors")
+        parts = [lambda hops: once(_cycles_of(_through_arcs(anchors, 1, hops, edges, may_be).where(points >= F.greatest(F.lit(bound), full - at_risk)), hops))]
     if hidden is not None and bound < full:
         groups = materialise(_ranked(_in_twos(hidden if "grp" in hidden.columns else groups_of_pairs(hidden)), risky, ("mst",)), "groups")
-        least = max(bound, full - W_HIDDEN - (W_RISKY if risky is not None else 0.0))
+        may_be_linked = points >= max(bound, full - W_HIDDEN - (W_RISKY if risky is not None else 0.0))
         arcs: dict[int, DataFrame] = {}
         full_arcs: set[int] = set()
 
@@ -306,12 +306,12 @@ def search_cycles(
             rows = None
             for b in range(1, hops // 2 + 1):
                 if b not in arcs:
-                    arcs[b], n = budget.write(_arcs(edges, groups, b, least), "arcs")
+                    arcs[b], n = budget.write(_arcs(edges, groups, b, may_be_linked), "arcs")
                     if row_budget is not None and n > row_budget:
                         full_arcs.add(b)
                 if full_arcs:
                     return None
-                closed = _through_arcs(arcs[b], b, hops, edges, least)
+                closed = _through_arcs(arcs[b], b, hops, edges, may_be_linked)
                 rows = closed if rows is None else rows.unionByName(closed)
             below = F.greatest(F.lit(bound), full - at_risk)
             fine = (points >= F.greatest(F.lit(bound), full - W_HIDDEN - at_risk)) & (points < below)
@@ -319,17 +319,22 @@ def search_cycles(
 
         parts.append(linked)
 
-    truncated, found = False, []
-    try:
-        for hops in lengths:
-            for part in parts:
-                rows = part(hops)
-                if rows is None:
-                    truncated = True
-                else:
-                    found.append(rows if time_budget_s is None else budget.write(rows, "found")[0])
-    except BudgetSpent:
-        truncated = True
+    if time_budget_s is None:  # the sweep and the arcs need nothing of each other
+        made = side_by_side(spark, [lambda part=part: [part(hops) for hops in lengths] for part in parts])
+        found = [x for each in made for x in each if x is not None]
+        truncated = len(found) < len(parts) * len(lengths)
+    else:
+        truncated, found = False, []
+        try:
+            for hops in lengths:
+                for part in parts:
+                    rows = part(hops)
+                    if rows is None:
+                        truncated = True
+                    else:
+                        found.append(budget.write(rows, "found")[0])
+        except BudgetSpent:
+            truncated = True
     if not found:
         return spark.createDataFrame([], "members array<string>, edges array<struct<src: string, dst: string, period: int, amount: double, vat: double>>, hop_len int"), truncated
     out = found[0]
@@ -407,12 +412,15 @@ def canonical(cycles: DataFrame) -> DataFrame:
     return cycles.withColumn("_at", at).withColumns({"members": turn("members"), "edges": turn("edges")}).drop("_at")
 
 
-def best_combinations(cycles: DataFrame) -> DataFrame:
-    """One row for each member list: the months with the best balance + time + vat, then the smallest months and amounts."""
+def best_combinations(cycles: DataFrame, turn: bool = True) -> DataFrame:
+    """One row for each member list: the months with the best balance + time + vat, then the smallest months and amounts.
+
+    ``turn``: off for cycles that start with their smallest member, as those of ``search_cycles`` do.
+    """
     parts = components_of(F.col("edges"))
     total = parts["score_balance"] + parts["score_time"] + parts["score_vat"]
     rank = F.struct(-total, F.transform("edges", lambda e: e["period"]), F.transform("edges", lambda e: e["amount"]))
-    return canonical(cycles).groupBy("members", "hop_len").agg(F.min_by("edges", rank).alias("edges"))
+    return (canonical(cycles) if turn else cycles).groupBy("members", "hop_len").agg(F.min_by("edges", rank).alias("edges"))
 
 
 def within_path_bound(cycles: DataFrame, trades: DataFrame, hidden: DataFrame | None, risky: DataFrame | None, max_hops: int) -> DataFrame:
@@ -424,7 +432,8 @@ def within_path_bound(cycles: DataFrame, trades: DataFrame, hidden: DataFrame |
     hidden: pairs (company_a, company_b), or groups (mst, grp).
     """
     groups = None if hidden is None else _in_twos(hidden if "grp" in hidden.columns else groups_of_pairs(hidden))
-    rows = canonical(cycles).withColumn("cycle_key", F.concat_ws("|", F.col("members"), F.transform("edges", lambda e: e["period"].cast("string"))))
+    found = materialise(cycles, "cycles")  # read by each signal
+    rows = canonical(found).withColumn("cycle_key", F.concat_ws("|", F.col("members"), F.transform("edges", lambda e: e["period"].cast("string"))))
     flat = rows.select("cycle_key", "members", F.element_at("members", -1).alias("src"), (max_hops - F.col("hop_len")).alias("left"))
     flags = {}
     for name, marked, linked in (("_h", None if groups is None else groups.select("mst").distinct(), groups), ("_r", risky, None)):

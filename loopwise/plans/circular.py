@@ -207,7 +207,7 @@ def detect(tables: dict[str, DataFrame], s: Settings, stored: DataFrame | None =
             rows = trades.sparkSession.read.schema(rows.schema).parquet(keep)
     else:
         raise ValueError(f"unknown method: {s.method}")
-    scored = score.score_cycles(cycles.best_combinations(rows), hidden if has_hidden else None, risky if has_risky else None)
+    scored = score.score_cycles(cycles.best_combinations(rows, turn=s.method == "match"), hidden if has_hidden else None, risky if has_risky else None)
     if s.exact_trim:
         window = edges.window_of(trades, s.period_from, s.period_to)
         kept = {"edges": window.count(), "edges_on_cycles": components.within_components(window).count()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import components, contract, cycles, edges, flags, links, metrics, paths, score
-from ..scratch import materialise, scratch_path
+from ..scratch import materialise, scratch_path, side_by_side
 from ..sources import lake, raw, testbed
 from ..sources.testbed import PERIOD_FROM as FROM
 from ..sources.testbed import PERIOD_TO as TO
@@ -467,12 +467,17 @@ def _and_scored(sql: str) -> str:
     return f"SELECT * FROM (WITH {W_SQL}, {_SCORED} {sql})"
 
 
+def _signals(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Groups of companies with one address, and companies at risk, as tables."""
+    hidden, risky = links.hidden_groups(links.normalized_addresses(t["company"])), links.risky_companies(t["company"], FROM)
+    return tuple(side_by_side(t["company"].sparkSession, [lambda: materialise(hidden, "hidden"), lambda: materialise(risky, "risky")]))
+
+
 def _scored(t: Tables) -> DataFrame:
     """All cycles of 3 to 5 companies that can be red, as in plans.circular."""
-    hidden = materialise(links.hidden_groups(links.normalized_addresses(t["company"])), "hidden")
-    risky = materialise(links.risky_companies(t["company"], FROM), "risky")
+    hidden, risky = _signals(t)
     found, _ = cycles.search_cycles(t["trades"], FROM, TO, bound=score.prune_bound(True, True), hidden=hidden, risky=risky)
-    return score.score_cycles(cycles.best_combinations(found), hidden, risky)
+    return score.score_cycles(cycles.best_combinations(found, turn=False), hidden, risky)
 
 
 _SCORES = ["score", "score_60", "score_balance", "score_time", "score_hidden_link", "score_risky_member", "score_vat"]
@@ -613,8 +618,7 @@ def csv_trades(t):
 @query(_and_scored("SELECT cycle_id, array_to_string(periods, '|') AS periods, hop_len FROM near"), "trades", "company")
 def cycles_refreshed(t):
     """All cycles that can be red, after the last month of the window was replaced: the stored ones without it, and those through it."""
-    hidden = materialise(links.hidden_groups(links.normalized_addresses(t["company"])), "hidden")
-    risky = materialise(links.risky_companies(t["company"], FROM), "risky")
+    hidden, risky = _signals(t)
     how = {"bound": score.prune_bound(True, True), "hidden": hidden, "risky": risky}
     before, _ = cycles.search_cycles(t["trades"].where(F.col("period") < TO), FROM, TO, **how)
     return _flat(cycles.refreshed(materialise(before, "stored"), t["trades"], FROM, TO, [TO], **how)[0])
