@@ -37,6 +37,7 @@ def parser() -> argparse.ArgumentParser:
     search.add_argument("--time-budget", type=float, help="stop the search after so many seconds and keep what it has found")
     search.add_argument("--rule", choices=("member", "path"), default="member", help="path: companies that a cycle's last member leads to lower its bound too (more of the watch list, slower)")
     search.add_argument("--exact-trim", action="store_true", help="drop all edges between strongly connected components first")
+    search.add_argument("--return-filter", action="store_true", help="drop paths that can't get back to their start in the hops that are left (for graphs where companies reach few others)")
     search.add_argument("--months", type=lambda x: [int(m) for m in x.split(",")], help="months (yyyymm,...) replaced since the last run of this id: only cycles through them are looked for anew")
     search.add_argument("--seeds", type=int, default=5000, help="method match: companies to start from")
     search.add_argument("--per-seed", type=int, help="method match: cycles kept of each")
@@ -81,7 +82,7 @@ def main(argv: list[str] | None = None) -> int:
         if a.skip_detect:
             print(json.dumps(contract.as_dict(contract.validate(tables)), ensure_ascii=False, default=str))
             return 0
-        s = circular.Settings(a.period_from, a.period_to, a.hops, a.method, a.bound, a.row_budget, a.time_budget, a.seeds, a.per_seed, a.threshold, a.top_n, not a.no_metrics, a.samples, a.exact_trim, a.months, a.rule)
+        s = circular.Settings(a.period_from, a.period_to, a.hops, a.method, a.bound, a.row_budget, a.time_budget, a.seeds, a.per_seed, a.threshold, a.top_n, not a.no_metrics, a.samples, a.exact_trim, a.months, a.rule, a.return_filter)
         meta = circular.run(spark, tables, f"{path}/runs/{a.run_id}", s, steps=steps)
         print(json.dumps(meta["summary"] | {"truncated": meta["truncated"]}, default=str))
         return 0

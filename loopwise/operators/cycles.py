@@ -32,6 +32,7 @@ from ..scratch import materialise, side_by_side
 from .components import within_components
 from .edges import seeds, trim_to_core, window_of
 from .links import groups_of_pairs
+from .reach import may_reach, reach_labels
 from .score import RED, W_HIDDEN, W_RISKY, W_VAT, balance_of, components_of, flagged_members, time_of
 
 
@@ -128,9 +129,9 @@ def _start(steps: DataFrame, rising: bool) -> DataFrame:
     return rows.selectExpr("here AS v0", "there AS v1", *[f"{c} AS {f}1" for f, c in _FACTS.items()], *[f"{c} AS {k}" for k, c in _OF_EDGE.items()])
 
 
-def _longer(paths: DataFrame, n: int, steps: DataFrame, rising: bool, keep: Column) -> DataFrame:
-    """Paths of n edges with one more, those that ``keep`` lets through."""
-    on = [f"v{n} = here", "there > v0" if rising else "there <> v0", *[f"there <> v{i}" for i in range(1, n)]]
+def _longer(paths: DataFrame, n: int, steps: DataFrame, rising: bool, keep: Column, also: str = "true") -> DataFrame:
+    """Paths of n edges with one more, those that ``keep`` (of the new path) and ``also`` (of the old one and the step) let through."""
+    on = [f"v{n} = here", "there > v0" if rising else "there <> v0", *[f"there <> v{i}" for i in range(1, n)], also]
     more = [c for c in paths.columns if c not in _columns(n)]
     ranges = [f"{f}({k}, {_OF_EDGE[k]}) AS {k}" for k, f in _RANGE.items()]
     rows = paths.join(steps, F.expr(" AND ".join(on)))
@@ -175,19 +176,32 @@ class _Sweep:
     lengths: list[int]
     keep: Column  # which paths are grown
     budget: Budget
+    returning: bool = False  # drop paths that can't close in the hops that are left
 
     def __post_init__(self):
+        self.labels: dict[bool, list[DataFrame]] = {}
         self.levels: dict[tuple[bool, int], DataFrame | None] = {}
         self.full: set[tuple[bool, int]] = set()  # levels that hold more paths than the budget
 
+    def steps(self, front: bool, n: int) -> DataFrame:
+        """Steps that make paths of n edges; with ``returning``, each with the label of where it leads."""
+        steps = _steps(self.edges, not front)
+        if not self.returning:
+            return steps
+        most = max(self.lengths)
+        if front not in self.labels:
+            self.labels[front] = reach_labels(steps.selectExpr("here AS src", "there AS dst"), most - 1)
+        return steps.join(self.labels[front][most - n - 1].withColumnRenamed("v", "there"), "there")
+
     def level(self, front: bool, n: int) -> DataFrame | None:
         """Fronts or backs of n edges; None where the row budget forbids to make the level before longer."""
         if (front, n) not in self.levels:
             if n == 1:
-                out = _start(_steps(self.edges, not front), True).where(self.keep)
+                steps = self.steps(front, 1)
+                out = _start(steps.where(may_reach("here")) if self.returning else steps, True).where(self.keep)
             else:
                 before = self.level(front, n - 1)
-                out = None if before is None or (front, n - 1) in self.full else _longer(before, n - 1, _steps(self.edges, not front), True, self.keep)
+                out = None if before is None or (front, n - 1) in self.full else _longer(before, n - 1, self.steps(front, n), True, self.keep, may_reach("v0") if self.returning else "true")
             self.levels[front, n] = None if out is None else self.kept(out, front, n)
         return self.levels[front, n]
 
@@ -257,6 +271,7 @@ def search_cycles(
     risky: DataFrame | None = None,
     months: list[int] | None = None,
     exact_trim: bool = False,
+    return_filter: bool = False,
 ) -> tuple[DataFrame, bool]:
     """(members, edges, hop_len) of every cycle of min_hops..max_hops companies with balance + time >= bound, and whether a budget cut the search.
 
@@ -272,6 +287,10 @@ def search_cycles(
     ``only`` keeps one length. ``months`` keeps cycles with an edge in one of
     them, and grows paths from those edges alone. ``exact_trim`` first drops all
     edges between strongly connected components, which lie on no cycle.
+    ``return_filter`` drops paths, as they grow, whose end can't get back to
+    their start in the hops that are left: by labels of a fixed size on the
+    edges, so without another shuffle of paths. It pays where companies reach
+    few others; no cycle is lost.
     """
     budget = Budget(row_budget, time_budget_s)
     spark = trades.sparkSession
@@ -288,7 +307,7 @@ def search_cycles(
     in_months = lambda hops: F.lit(True) if months is None else reduce(lambda a, b: a | b, (F.col(f"p{i}").isin(months) for i in range(1, hops + 1)))
     once = lambda found: found.withColumn("_periods", F.transform("edges", lambda e: e["period"])).dropDuplicates(["members", "_periods"]).drop("_periods")
     if months is None:
-        sweep = _Sweep(edges, lengths, points >= need, budget)
+        sweep = _Sweep(edges, lengths, points >= need, budget, return_filter)
         parts: list[Callable[[int], DataFrame | None]] = [lambda hops: _cycles_of(sweep.closed(hops), hops)]
     else:
         # a path doesn't know yet whether its cycle has a company at risk

@@ -50,6 +50,7 @@ class Settings:
     exact_trim: bool = False
     months: list[int] | None = None
     rule: str = "member"
+    return_filter: bool = False
 
 
 class Steps:
@@ -194,7 +195,7 @@ def detect(tables: dict[str, DataFrame], s: Settings, stored: DataFrame | None =
     elif s.method == "dfs":
         by_path = s.rule == "path" and s.bound is None
         signals = {"hidden": hidden if has_hidden else None, "risky": risky if has_risky else None} if s.bound is None and not by_path else {}
-        how = {"max_hops": s.max_hops, "bound": bound, "row_budget": s.row_budget, "time_budget_s": s.time_budget_s, "exact_trim": s.exact_trim} | signals
+        how = {"max_hops": s.max_hops, "bound": bound, "row_budget": s.row_budget, "time_budget_s": s.time_budget_s, "exact_trim": s.exact_trim, "return_filter": s.return_filter} | signals
         if stored is not None and s.months and not by_path:
             rows, truncated = cycles.refreshed(stored, trades, s.period_from, s.period_to, s.months, **how)
         else:

@@ -434,6 +434,12 @@ _ALL = " UNION ALL ".join(f"SELECT cycle_id, members, periods, amounts, balance,
 _BEST = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cycle_id ORDER BY balance + time_ + vat DESC, periods, amounts) AS n FROM ({_ALL})) WHERE n = 1"
 
 
+@query(_and_w(f"SELECT cycle_id, array_to_string(periods, '|') AS periods, hop_len FROM ({_ALL})"), "trades")
+def cycles_return_filter(t):
+    """The cycles of 3 and 4 companies, by paths that can still get back to their start."""
+    return _flat(cycles.search_cycles(t["trades"], FROM, TO, max_hops=4, return_filter=True)[0])
+
+
 def _best(t: Tables) -> DataFrame:
     return cycles.best_combinations(cycles.enumerate_cycles(t["trades"], FROM, TO, max_hops=4))
 

@@ -53,6 +53,29 @@ def test_exact_trim_keeps_all_cycles(spark):
     assert len(got) == len(set(got)) and set(got) == brute(rows, 4, 25.0)
 
 
+def test_return_filter_drops_paths_and_no_cycle(spark, monkeypatch):
+    rows = random_graph(3) + [("a1", f"b{i}", 202101, 90, 9) for i in range(5)] + [(f"b{i}", f"d{k}", 202101, 90, 9) for i in range(5) for k in range(5)]
+    rows += [(f"d{k}", "e1", 202101, 90, 9) for k in range(5)] + [("e1", "f1", 202101, 90, 9), ("f1", "f2", 202101, 90, 9), ("f2", "a1", 202101, 90, 9)]  # closes with six companies only
+    t = graph(spark, rows)
+    counts, write = {}, cycles.Budget.write
+
+    def counted(self, df, name):
+        out, n = write(self, df, name)
+        counts[filtered].append(n)
+        return out, n
+
+    monkeypatch.setattr(cycles.Budget, "write", counted)
+    for filtered in (False, True):
+        counts[filtered] = []
+        found, truncated = cycles.search_cycles(t, 202011, 202104, max_hops=5, bound=25.0, row_budget=10**6, return_filter=filtered)
+        got = collected(found)
+        assert len(got) == len(set(got)) and set(got) == brute(rows, 5, 25.0) and not truncated
+    assert len(counts[True]) == len(counts[False]) and all(a <= b for a, b in zip(counts[True], counts[False], strict=True))
+    assert sum(counts[True]) < sum(counts[False]) - 50
+    empty, _ = cycles.search_cycles(t.where("false"), 202011, 202104, return_filter=True)
+    assert empty.count() == 0
+
+
 def test_shortest_paths(spark):
     rnd = random.Random(5)
     pairs = sorted({(f"v{rnd.randrange(16)}", f"v{rnd.randrange(16)}") for _ in range(34)} - {(f"v{k}", f"v{k}") for k in range(16)})
