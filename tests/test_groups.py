@@ -36,3 +36,28 @@ def test_shortest_paths_within_groups(spark):
         want = paths.shortest_paths(t, spark.createDataFrame(ask, "src string, dst string"), most).collect()
         got = paths.shortest_paths(t, spark.createDataFrame(groups, "mst string, grp string"), most).collect()
         assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(got) > 10
+
+
+def test_pairs_of_groups(spark):
+    groups = some_groups()
+    want = pairs_of(groups)
+    df = spark.createDataFrame([*groups, groups[0], (None, "g0"), ("v03", None)], "mst string, grp string")
+    for block in (2, 1024):  # groups in one block and in several
+        once = [tuple(r) for r in links.pairs_of_groups(df, block=block, most_in_task=5).collect()]
+        assert sorted(once) == sorted((*p, min(g)) for p, g in want.items())
+        each = [tuple(r) for r in links.pairs_of_groups(df, block=block, once=False).collect()]
+        assert sorted(each) == sorted((*p, g) for p, gs in want.items() for g in gs)
+    assert max(map(len, want.values())) > 1
+    assert links.pairs_of_groups(df.where("false")).count() == 0
+
+
+def test_a_query_gives_all_pairs_of_a_large_group(spark, monkeypatch):
+    n = 60
+    header = spark.createDataFrame([(f"c{k:02d}", "Nguyễn Văn A", "", "active", 1, f"{k}", None, None) for k in range(n)], "mst string, dai_dien_phap_luat string, dien_thoai_tru_so string, record_status string, ictrl_dt int, ten_cong_ty string, dia_chi string, trang_thai string")
+    valid = "'ban' AS chieu, '1' AS ky_hieu_mau_so, 'Hóa đơn mới' AS trang_thai_hd"
+    einvoice = header.selectExpr("mst AS mst_ban_goc", "mst AS mst_mua_goc", valid.split(", ")[0], *valid.split(", ")[1:])
+    company = header.selectExpr("mst", "'Số 1, P. A' AS address")
+    tables = {"header": header, "einvoice": einvoice, "company": company}
+    monkeypatch.setattr(links, "_guard", lambda *a: pytest.fail("refused by the number of pairs"))
+    for name in ("hidden_pairs_rep", "hidden_pairs_address"):
+        assert QUERIES[name](tables).select("company_a", "company_b").distinct().count() == QUERIES[name](tables).count() == n * (n - 1) // 2
