@@ -5,10 +5,11 @@ import random
 from collections import defaultdict
 
 import pytest
-from loopwise.operators import links, paths
+from loopwise.operators import cycles, links, paths
 from loopwise.plans.queries import QUERIES
+from loopwise.scratch import materialise
 
-from .test_operators import graph
+from .test_operators import collected, graph, parts, random_graph
 
 
 def some_groups():
@@ -61,3 +62,34 @@ def test_a_query_gives_all_pairs_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(links, "_guard", lambda *a: pytest.fail("refused by the number of pairs"))
     for name in ("hidden_pairs_rep", "hidden_pairs_address", "hidden_pairs_union"):
         assert QUERIES[name](tables).select("company_a", "company_b").distinct().count() == QUERIES[name](tables).count() == n * (n - 1) // 2
+
+
+def test_path_bound_goes_no_further_than_the_hops_left(spark, monkeypatch):
+    monkeypatch.setattr(cycles, "reach_layers", lambda *a: pytest.fail("all pairs in reach"))
+    written = []
+    monkeypatch.setattr(cycles, "materialise", lambda df, name: (written.append(name), materialise(df, name))[1])
+    rows = random_graph(9, n=9, m=40)
+    t = graph(spark, rows)
+    after = defaultdict(set)
+    for r in rows:
+        after[r[0]].add(r[1])
+    hidden = spark.createDataFrame([("c0", "g"), ("c1", "g")], "mst string, grp string")
+    risky = spark.createDataFrame([("c2",)], "mst string")
+    every = cycles.enumerate_cycles(t, 202011, 202104, bound=float("-inf"), only=3)
+    for most in (3, 4, 5):
+        written.clear()
+        got = set(collected(cycles.within_path_bound(every, t, hidden, risky, most)))
+        assert written.count("reached") == max(0, most - 4) * 4  # each level, for both signals, unless there is one only
+        want = set()
+        for members, periods in collected(every):
+            near, level = set(), {members[-1]}
+            for _ in range(most - 3):
+                level = {x for v in level for x in after[v]}
+                near |= level
+            near -= set(members)
+            combo = [next(r for r in rows if r[:3] == (a, b, p)) for a, b, p in zip(members, (*members[1:], members[0]), periods)]
+            balance, time, _ = parts([r[3] for r in combo], periods, [r[4] for r in combo])
+            linked, at_risk = {"c0", "c1"} <= set(members) or near & {"c0", "c1"}, "c2" in members or "c2" in near
+            if balance + time >= 50 - 25 * bool(linked) - 15 * bool(at_risk):
+                want.add((members, periods))
+        assert got == want and want
