@@ -5,9 +5,10 @@ import random
 from collections import defaultdict
 
 import pytest
-from loopwise.operators import cycles, links, paths
+from loopwise.operators import cycles, edges, links, paths
 from loopwise.plans.queries import QUERIES
 from loopwise.scratch import materialise
+from loopwise.sources import raw
 
 from .test_operators import collected, graph, parts, random_graph
 
@@ -101,3 +102,13 @@ def test_repeated_pairs_take_one_aggregation(spark):
     assert df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
     assert df._jdf.queryExecution().sparkPlan().toString().count("HashAggregate(") == 2  # partial and final
     assert [(r.seller_mst, r.buyer_mst, r.n_months) for r in df.collect()] == [("a", "b", 3)]
+
+
+def test_a_csv_record_is_parsed_once(spark, tmp_path):
+    (tmp_path / "i.csv").write_text('1,2021-03-15,a,b,"x, ""y""",100,10,more\n2, 2021-4-01,b,a,,7\n', "utf-8")
+    (tmp_path / "j.csv").write_text("1,2021-03-15,a,b,x,100,10\n2, 2021-4-01,b,a,,7,\n", "utf-8")
+    df = edges.trade_edges(raw.invoices(raw.read_invoices(spark, str(tmp_path / "j.csv"))))
+    assert df._jdf.queryExecution().optimizedPlan().toString().lower().count("from_csv") + df._jdf.queryExecution().optimizedPlan().toString().lower().count("csvtostructs") == 1
+    assert sorted((r.seller_mst, r.buyer_mst, r.period, r.total_amount) for r in df.collect()) == [("a", "b", 202103, 100.0), ("b", "a", 202104, 7.0)]
+    with pytest.raises(Exception, match="fewer than 7 fields"):
+        raw.read_invoices(spark, str(tmp_path / "i.csv")).collect()
