@@ -112,3 +112,17 @@ def test_a_csv_record_is_parsed_once(spark, tmp_path):
     assert sorted((r.seller_mst, r.buyer_mst, r.period, r.total_amount) for r in df.collect()) == [("a", "b", 202103, 100.0), ("b", "a", 202104, 7.0)]
     with pytest.raises(Exception, match="fewer than 7 fields"):
         raw.read_invoices(spark, str(tmp_path / "i.csv")).collect()
+
+
+def test_fixed_hop_cycles_are_found_once_and_turned(spark, monkeypatch):
+    rows = random_graph(11, n=6, m=25)
+    t = graph(spark, rows)
+    asked = []
+    search = cycles.search_cycles
+    monkeypatch.setattr(cycles, "search_cycles", lambda *a, **k: (asked.append(k), search(*a, **k))[1])
+    got = [(tuple(r.members), tuple((e.src, e.dst, e.period) for e in r.edges)) for r in cycles.fixed_hop_cycles(t, 202011, 202104, 3).collect()]
+    by = defaultdict(list)
+    for r in rows:
+        by[r[0]].append(r)
+    want = [((a[0], b[0], c[0]), tuple(x[:3] for x in (a, b, c))) for a in rows for b in by[a[1]] for c in by[b[1]] if c[1] == a[0] and len({a[0], b[0], c[0]}) == 3]
+    assert sorted(got) == sorted(want) and want and asked == [{"bound": float("-inf"), "only": 3}]
