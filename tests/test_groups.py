@@ -12,6 +12,8 @@ from loopwise.sources import raw
 
 from .test_operators import collected, graph, parts, random_graph
 
+_pairs = links._pairs
+
 
 def some_groups():
     rnd = random.Random(8)
@@ -126,3 +128,13 @@ def test_fixed_hop_cycles_are_found_once_and_turned(spark, monkeypatch):
         by[r[0]].append(r)
     want = [((a[0], b[0], c[0]), tuple(x[:3] for x in (a, b, c))) for a in rows for b in by[a[1]] for c in by[b[1]] if c[1] == a[0] and len({a[0], b[0], c[0]}) == 3]
     assert sorted(got) == sorted(want) and want and asked == [{"bound": float("-inf"), "only": 3}]
+
+
+def test_contract_counts_pairs_of_addresses_without_making_them(spark, monkeypatch):
+    monkeypatch.setattr(links, "_pairs", lambda groups, key: pytest.fail("pairs of addresses") if key == "norm_addr" else _pairs(groups, key))
+    header = spark.createDataFrame([("a", "Nguyễn Văn A", "", "active", 1, "a", None, None)], "mst string, dai_dien_phap_luat string, dien_thoai_tru_so string, record_status string, ictrl_dt int, ten_cong_ty string, dia_chi string, trang_thai string")
+    einvoice = header.selectExpr("mst AS mst_ban_goc", "mst AS mst_mua_goc", "'ban' AS chieu", "'1' AS ky_hieu_mau_so", "'Hóa đơn mới' AS trang_thai_hd")
+    company = spark.createDataFrame([(f"c{k}", "Số 1, P. A", None, None) for k in range(5)], "mst string, address string, status string, established_date string")
+    tables = {"header": header, "einvoice": einvoice, "company": company, "trades": graph(spark, [("a", "b", 202101, 1, 0)])}
+    got = {r.id: (r.status, r.n) for r in QUERIES["contract_checks"](tables).collect()}
+    assert got["shares_address"] == ("pass", 10) and got["trades"] == ("pass", 1) and got["shares_phone"] == ("empty", 0)
