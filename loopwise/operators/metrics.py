@@ -3,14 +3,24 @@
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
+from functools import partial
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..scratch import materialise
 
 NEW_PARTNER_DAYS = 90
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers that don't have the package run the steps of betweenness too
+
 
 def partners(trades: DataFrame) -> DataFrame:
     """(mst, partner, both): undirected partners, and whether both have sold to each other."""
@@ -51,23 +61,156 @@ def new_partner_rate(trades: DataFrame, days: int = NEW_PARTNER_DAYS) -> DataFra
     return met.join(F.broadcast(ref)).groupBy("mst").agg(F.bround(F.count_if(F.col("met") >= F.col("cutoff")) / F.count("*"), 4).alias("new_partner_rate_90d"))
 
 
-def betweenness(trades: DataFrame, most_rounds: int = 64, batch: int = 4096) -> DataFrame:
+#: Companies across a block of the adjacency, sources of a stripe at most, and bytes that a stripe may hold.
+BLOCK, STRIPE, STRIPE_BYTES = 1024, 512, 1 << 28
+_STATE = "s int, c int, level binary, paths binary, share binary, fresh long, open long"
+
+
+def betweenness(trades: DataFrame, most_rounds: int = 64, batch: int = 4096, block: int = BLOCK) -> DataFrame:
     """(mst, betweenness_centrality): undirected, unweighted, each pair counted once, not normalised.
 
-    Brandes' sums by joins: breadth-first levels of many sources together, with
-    the number of shortest paths; then what each vertex carries, from the last
-    level back. No task holds the graph. Sources go in batches of about
-    ``batch``, so that at most batch times companies rows are alive; the work
-    in all is companies times edges, as for any exact method.
+    Brandes' sums as products of matrices. Sources go in stripes of at most
+    ``batch``; a task holds its stripe's rows (levels, numbers of shortest
+    paths, shares) and sees the adjacency pass by in blocks of about ``block``
+    companies square, so it holds one block at a time and never the graph. Each
+    level is one pass out and one back. The work in all is companies squared
+    times companies for each pass, in dense products, and what is shuffled is
+    the edges once for each stripe.
     """
     adj = materialise(partners(trades).select(F.col("mst").alias("v"), F.col("partner").alias("w")), "adjacency")
-    nodes = adj.select("v").distinct()
-    parts = max(1, -(-nodes.count() // batch))
-    sums = nodes.withColumn("delta", F.lit(0.0))
-    for k in range(parts):
-        some = nodes if parts == 1 else nodes.where(F.pmod(F.xxhash64("v"), F.lit(parts)) == k)
-        sums = sums.unionByName(_carried(adj, some, most_rounds))
-    return sums.groupBy(F.col("v").alias("mst")).agg(F.bround(F.sum("delta") / 2, 6).alias("betweenness_centrality"))
+    each = materialise(adj.select("v").distinct(), "companies")
+    n = each.count()
+    n_blocks = max(1, -(-n // block))
+    bucket = F.pmod(F.xxhash64("v"), F.lit(n_blocks)).cast("int")
+    nodes = materialise(each.withColumn("c", bucket).withColumn("i", F.row_number().over(W.partitionBy("c").orderBy("v")) - 1), "places")
+    sizes = {r.c: r.n for r in nodes.groupBy("c").agg(F.count("*").alias("n")).collect()}
+    width = max(sizes.values(), default=1)
+    parts = -(-width // max(1, min(batch, STRIPE, STRIPE_BYTES // (25 * max(n, 1)))))
+    shape = _Shape([sizes.get(c, 0) for c in range(n_blocks)], width, -(-width // parts), parts)
+    of = lambda end, c, i: nodes.select(F.col("v").alias(end), F.col("c").alias(c), F.col("i").alias(i))
+    cells = adj.join(of("v", "r", "i"), "v").join(of("w", "c", "j"), "w").groupBy("r", "c").agg(F.sort_array(F.collect_list((F.col("i") * width + F.col("j")).cast("int"))).alias("cells"))
+    blocks = materialise(cells, "blocks")
+    state, levels = None, 0
+    for depth in range(most_rounds):
+        state = materialise(_passed(blocks, state, shape, depth, False), "level")
+        n_new, n_open = state.agg(F.coalesce(F.sum("fresh"), F.lit(0)), F.coalesce(F.sum("open"), F.lit(0))).first()
+        levels += n_new > 0
+        if not n_new or not n_open:
+            break
+    else:
+        raise RuntimeError(f"shortest paths of {most_rounds} hops and more")
+    for depth in range(levels, 1, -1):
+        state = _passed(blocks, state, shape, depth, True)
+        if depth > 2:
+            state = materialise(state, "share")
+    carried = state.mapInArrow(partial(_sums, width=width), "c int, delta array<double>")
+    delta = carried.select("c", F.posexplode("delta").alias("i", "delta")).groupBy("c", "i").agg(F.sum("delta").alias("delta"))
+    return nodes.join(delta, ["c", "i"], "left").select(F.col("v").alias("mst"), F.bround(F.coalesce("delta", F.lit(0.0)) / 2, 6).alias("betweenness_centrality"))
+
+
+class _Shape(NamedTuple):
+    """Companies by block, the largest block, and in how many stripes of how many sources each block is cut."""
+
+    sizes: list[int]
+    width: int
+    height: int
+    parts: int
+
+
+def _passed(blocks: DataFrame, state: DataFrame | None, shape: _Shape, depth: int, back: bool) -> DataFrame:
+    """The state of all stripes after the step from level ``depth`` to the next one, or ``back`` to the one before."""
+    stripes = len(shape.sizes) * shape.parts
+    rows = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("s"), F.lit(1).alias("kind"), "r", "c", "cells")
+    if state is not None:
+        rows = state.select("s", F.lit(0).alias("kind"), "c", "level", "paths", "share").unionByName(rows, allowMissingColumns=True)
+    else:
+        rows = rows.selectExpr("*", *[f"cast(NULL AS binary) AS {c}" for c in ("level", "paths", "share")])
+    dealt = rows.repartitionById(stripes, "s").sortWithinPartitions("s", "kind", "r", "c")
+    return dealt.mapInArrow(partial(_stepped, shape=shape, depth=depth, back=back), _STATE)
+
+
+def _stepped(batches: Iterator[pa.RecordBatch], shape: _Shape, depth: int, back: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of a stripe are its state, if there is one, and then all blocks by row."""
+    stripe = None
+    for batch in batches:
+        cells, numbers = batch.column("cells"), {c: batch.column(c).to_pylist() for c in ("s", "kind", "r", "c")}
+        for k, s in enumerate(numbers["s"]):
+            if stripe is None or stripe.s != s:
+                if stripe is not None:
+                    yield from stripe.rows()
+                stripe = _Stripe(s, shape, depth, back)
+            if numbers["kind"][k] == 0:
+                stripe.hold(numbers["c"][k], *[batch.column(c)[k].as_buffer() for c in ("level", "paths", "share")])
+            else:
+                stripe.multiply(numbers["r"][k], numbers["c"][k], cells[k].values.to_numpy())
+    if stripe is not None:
+        yield from stripe.rows()
+
+
+class _Stripe:
+    """Some sources of one block, by blocks of companies: level (-1: not reached, -2: no company), number of shortest paths, share carried."""
+
+    def __init__(self, s: int, shape: _Shape, depth: int, back: bool):
+        self.s, self.shape, self.depth, self.back = s, shape, depth, back
+        size = (shape.height, shape.width)
+        self.level = [np.full(size, -1, np.int8) for _ in shape.sizes]
+        self.paths = [np.zeros(size) for _ in shape.sizes]
+        self.share = [np.zeros(size if back else 0) for _ in shape.sizes]
+        self.sums: dict[int, np.ndarray] = {}
+        block, part = divmod(s, shape.parts)
+        sources = range(part * shape.height, min((part + 1) * shape.height, shape.sizes[block]))
+        for level, n in zip(self.level, shape.sizes, strict=True):
+            level[:, n:] = level[len(sources) :] = -2
+        for k, i in enumerate(sources):
+            self.level[block][k, i], self.paths[block][k, i] = 0, 1.0
+        self.row, self.front = -1, None
+
+    def hold(self, c: int, level: pa.Buffer, paths: pa.Buffer, share: pa.Buffer) -> None:
+        size = (self.shape.height, self.shape.width)
+        self.level[c] = np.frombuffer(level, np.int8).reshape(size).copy()
+        self.paths[c] = np.frombuffer(paths).reshape(size).copy()
+        if self.back and share.size:
+            self.share[c] = np.frombuffer(share).reshape(size).copy()
+
+    def multiply(self, r: int, c: int, cells: np.ndarray) -> None:
+        wanted = self.depth - 1 if self.back else -1
+        if r != self.row:
+            at = self.level[r] == self.depth
+            values = np.divide(1 + self.share[r], self.paths[r], out=np.zeros(at.shape), where=at) if self.back else np.where(at, self.paths[r], 0.0)
+            self.row, self.front = r, values if at.any() else None
+        if self.front is None or not (self.level[c] == wanted).any():
+            return
+        square = np.zeros(self.shape.width**2)
+        square[cells] = 1.0
+        product = self.front @ square.reshape(self.shape.width, self.shape.width)
+        if c in self.sums:
+            self.sums[c] += product
+        else:
+            self.sums[c] = product
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for c, level in enumerate(self.level):
+            fresh = 0
+            if c in self.sums:
+                if self.back:
+                    self.share[c] = np.where(level == self.depth - 1, self.paths[c] * self.sums.pop(c), self.share[c])
+                else:
+                    new = (level == -1) & (self.sums[c] > 0)
+                    level[new] = self.depth + 1
+                    self.paths[c][new] = self.sums.pop(c)[new]
+                    fresh = int(new.sum())
+            row = {"s": [self.s], "c": [c], "level": [level.tobytes()], "paths": [self.paths[c].tobytes()], "share": [self.share[c].tobytes()], "fresh": [fresh], "open": [int((level == -1).sum())]}
+            types = {"s": pa.int32(), "c": pa.int32(), "level": pa.binary(), "paths": pa.binary(), "share": pa.binary(), "fresh": pa.int64(), "open": pa.int64()}
+            yield pa.RecordBatch.from_pydict(row, pa.schema(types.items()))
+
+
+def _sums(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(c, delta): the shares of a block's companies, over the sources of a stripe."""
+    for batch in batches:
+        for c, share in zip(batch.column("c").to_pylist(), batch.column("share"), strict=True):
+            held = np.frombuffer(share.as_buffer())
+            if held.size:
+                yield pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "delta": pa.array([held.reshape(-1, width).sum(0)], pa.list_(pa.float64()))})
 
 
 def _carried(adj: DataFrame, sources: DataFrame, most_rounds: int) -> DataFrame:

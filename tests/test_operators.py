@@ -266,3 +266,18 @@ def test_sections_and_first(spark):
     rows = spark.createDataFrame([(1, "sales", None), (2, " no. ", "number"), (3, "a", " "), (4, "b", "7"), (5, "c", None)], "i int, label string, v string")
     assert [r.label for r in raw.sections(rows, "i", "label", {"sales": "out"}, "total", header="No.", required="v").collect()] == ["b"]
     assert [r.i for r in edges.keep_first(rows.withColumn("k", F.lit(1)), ["k"], "i").collect()] == [1]
+
+
+def test_betweenness_by_blocks(spark, monkeypatch):
+    """Blocks and stripes of any size give the same; no table of sources and companies is joined with the edges."""
+    monkeypatch.setattr(metrics, "_carried", lambda *a: pytest.fail("rows of source and company are joined with the edges"))
+    rnd = random.Random(5)
+    pairs = {(f"v{rnd.randrange(30)}", f"v{rnd.randrange(30)}") for _ in range(45)} | {("w1", "w2")} | {(f"x{k}", f"x{k + 1}") for k in range(6)}
+    pairs = {(a, b) for a, b in pairs if a != b}
+    t = graph(spark, [(a, b, 202101, 1, 0) for a, b in pairs])
+    for batch, block in ((4096, 7), (2, 1024)):
+        got = {r.mst: r.betweenness_centrality for r in metrics.betweenness(t, batch=batch, block=block).collect()}
+        assert got == pytest.approx(brandes(pairs), abs=1e-5)
+    assert metrics.betweenness(t.where("false")).count() == 0
+    with pytest.raises(RuntimeError):
+        metrics.betweenness(t, most_rounds=3)
