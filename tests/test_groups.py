@@ -138,3 +138,27 @@ def test_contract_counts_pairs_of_addresses_without_making_them(spark, monkeypat
     tables = {"header": header, "einvoice": einvoice, "company": company, "trades": graph(spark, [("a", "b", 202101, 1, 0)])}
     got = {r.id: (r.status, r.n) for r in QUERIES["contract_checks"](tables).collect()}
     assert got["shares_address"] == ("pass", 10) and got["trades"] == ("pass", 1) and got["shares_phone"] == ("empty", 0)
+
+
+def test_reach_layers_by_lists(spark, monkeypatch):
+    """Any size of the blocks of names gives the same; layers are lists, one for each source and block, and not pairs."""
+    rnd = random.Random(3)
+    pairs = sorted({(a, b) for a, b in ((f"v{rnd.randrange(40):02d}", f"v{rnd.randrange(40):02d}") for _ in range(70)) if a != b})
+    t = graph(spark, [(a, b, 202101, 1, 0) for a, b in pairs])
+    near = {p: 1 for p in pairs}
+    for depth in (2, 3):
+        last = [p for p, d in near.items() if d == depth - 1]
+        for a, b in last:
+            for c, d in pairs:
+                if b == c:
+                    near.setdefault((a, d), depth)
+    written = {}
+    monkeypatch.setattr(cycles, "materialise", lambda df, name: written.setdefault(name, []).append(df) or materialise(df, name))
+    for names in (7, 30_000):
+        got = cycles.reach_layers(t, 3, names=names).collect()
+        assert {(r.src, r.dst): r.depth for r in got} == near and len(got) == len(near)
+        some = cycles.reach_layers(t, 3, spark.createDataFrame([("v01",), ("v02",)], "mst string"), names=names).collect()
+        assert {(r.src, r.dst): r.depth for r in some} == {p: d for p, d in near.items() if p[1] in ("v01", "v02")}
+    assert all("dst" not in df.columns for df in written["reach"])
+    monkeypatch.setattr(cycles, "MOST_BROADCAST", 3)
+    assert cycles.reach_layers(t, 1).count() == len(pairs)
