@@ -1,7 +1,9 @@
 """The queries over scored cycles: no red cycle is lost to the bound of the search."""
 
 import pytest
+from loopwise.plans import queries
 from loopwise.plans.queries import QUERIES
+from loopwise.scratch import materialise
 
 from .test_operators import graph
 
@@ -23,3 +25,25 @@ def test_red_cycles_under_the_bound_without_signals(tables):
     assert got == {"A|B|C": (3, 65.4), "P|Q|R": (3, 59.0), "v0|v1|v2|v3|v4": (5, 65.4)}
     assert QUERIES["cycles_level_summary"](tables).first()["red"] == 2
     assert {r.mst for r in QUERIES["hub_companies"](tables).collect()} == {"A", "B", "C", *(f"v{i}" for i in range(5))}
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """Rows of the tables that the queries themselves write, by name."""
+    out = {}
+
+    def noted(df, name):
+        made = materialise(df, name)
+        out.setdefault(name, []).append(made)
+        return made
+
+    monkeypatch.setattr(queries, "materialise", noted)
+    return out
+
+
+def test_drill_down_reads_trades_of_the_window_once(spark, tables, written):
+    tables["trades"] = tables["trades"].unionByName(graph(spark, [("A", "B", 199512, 7, 0), ("A", "B", 199604, 7, 0)]))
+    got = {(r.seller_mst, r.buyer_mst, r.period) for r in QUERIES["cycle_drilldown"](tables).collect()}
+    assert len(got) == 11 and {r[2] for r in got} == {199601, 199602, 199603}
+    (trades,) = written["trades"]
+    assert trades.count() == 11
