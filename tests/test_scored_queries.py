@@ -47,3 +47,11 @@ def test_drill_down_reads_trades_of_the_window_once(spark, tables, written):
     assert len(got) == 11 and {r[2] for r in got} == {199601, 199602, 199603}
     (trades,) = written["trades"]
     assert trades.count() == 11
+
+
+def test_refreshed_cycles_read_trades_of_the_window_once(spark, tables, written):
+    tables["trades"] = tables["trades"].unionByName(graph(spark, [("A", "B", 199512, 7, 0), ("A", "B", 199604, 7, 0)]))
+    got = {r.cycle_id for r in QUERIES["cycles_refreshed"](tables).collect()}
+    assert got == {"A|B|C", "P|Q|R", "v0|v1|v2|v3|v4"}
+    (trades,) = written["trades"]
+    assert trades.count() == 11
