@@ -55,3 +55,13 @@ def test_refreshed_cycles_read_trades_of_the_window_once(spark, tables, written)
     assert got == {"A|B|C", "P|Q|R", "v0|v1|v2|v3|v4"}
     (trades,) = written["trades"]
     assert trades.count() == 11
+
+
+def test_invoice_flags_read_invoices_of_the_window_once(spark, tables, written):
+    rows = [(k, r.seller_mst, r.buyer_mst, r.period, r.first_date, int(r.total_amount), 10) for k, r in enumerate(tables["trades"].collect())]
+    rows += [(100, "A", "B", 199512, "1995-12-01", 7, 0), (101, "A", "B", 199604, "1996-04-01", 7, 0)]
+    invoices = spark.createDataFrame(rows, "einvoice_row_id int, seller_mst string, buyer_mst string, period int, day string, amount bigint, vat bigint")
+    flagged = QUERIES["invoice_flags"]({"invoices": invoices, "company": tables["company"]}).collect()  # trades are not asked for
+    assert len(flagged) == 11 and {r.cycle_ids for r in flagged} == {"A|B|C", "P|Q|R", "v0|v1|v2|v3|v4"}
+    (read,) = written["invoices"]
+    assert read.count() == 11
