@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -61,156 +62,181 @@ def new_partner_rate(trades: DataFrame, days: int = NEW_PARTNER_DAYS) -> DataFra
     return met.join(F.broadcast(ref)).groupBy("mst").agg(F.bround(F.count_if(F.col("met") >= F.col("cutoff")) / F.count("*"), 4).alias("new_partner_rate_90d"))
 
 
-#: Companies across a block of the adjacency, sources of a stripe at most, and bytes that a stripe may hold.
-BLOCK, STRIPE, STRIPE_BYTES = 1024, 512, 1 << 28
-_STATE = "s int, c int, level binary, paths binary, share binary, fresh long, open long"
+#: Companies that are numbered together, bytes of the adjacency that a task holds in memory, and neighbours that it looks at together.
+BLOCK, HELD_BYTES, SLICE = 1024, 1 << 30, 1 << 21
 
 
 def betweenness(trades: DataFrame, most_rounds: int = 64, batch: int = 4096, block: int = BLOCK) -> DataFrame:
     """(mst, betweenness_centrality): undirected, unweighted, each pair counted once, not normalised.
 
-    Brandes' sums as products of matrices. Sources go in stripes of at most
-    ``batch``; a task holds its stripe's rows (levels, numbers of shortest
-    paths, shares) and sees the adjacency pass by in blocks of about ``block``
-    companies square, so it holds one block at a time and never the graph. Each
-    level is one pass out and one back. The work in all is companies squared
-    times companies for each pass, in dense products, and what is shuffled is
-    the edges once for each stripe.
+    Brandes' sums, one source after the other. Companies are numbered in blocks
+    of about ``block``; their lists of neighbours, about a byte for each, are
+    sent once to each task, which searches from at most ``batch`` sources and
+    gives out one sum a company. Nothing of a single source leaves its task.
+    A task holds lists (4 bytes a neighbour) of up to HELD_BYTES in memory and
+    more in a mapped file. A step looks at the neighbours of the level or at
+    those of the companies that are left, whichever are fewer.
     """
-    adj = materialise(partners(trades).select(F.col("mst").alias("v"), F.col("partner").alias("w")), "adjacency")
-    each = materialise(adj.select("v").distinct(), "companies")
+    pairs = materialise(trades.where("seller_mst <> buyer_mst").select(F.col("seller_mst").alias("v"), F.col("buyer_mst").alias("w")).distinct(), "pairs")
+    each = materialise(pairs.select("v").union(pairs.select("w")).distinct(), "companies")
     n = each.count()
     n_blocks = max(1, -(-n // block))
     bucket = F.pmod(F.xxhash64("v"), F.lit(n_blocks)).cast("int")
     nodes = materialise(each.withColumn("c", bucket).withColumn("i", F.row_number().over(W.partitionBy("c").orderBy("v")) - 1), "places")
-    sizes = {r.c: r.n for r in nodes.groupBy("c").agg(F.count("*").alias("n")).collect()}
-    width = max(sizes.values(), default=1)
-    parts = -(-width // max(1, min(batch, STRIPE, STRIPE_BYTES // (25 * max(n, 1)))))
-    shape = _Shape([sizes.get(c, 0) for c in range(n_blocks)], width, -(-width // parts), parts)
-    of = lambda end, c, i: nodes.select(F.col("v").alias(end), F.col("c").alias(c), F.col("i").alias(i))
-    cells = adj.join(of("v", "r", "i"), "v").join(of("w", "c", "j"), "w").groupBy("r", "c").agg(F.sort_array(F.collect_list((F.col("i") * width + F.col("j")).cast("int"))).alias("cells"))
-    blocks = materialise(cells, "blocks")
-    state, levels = None, 0
-    for depth in range(most_rounds):
-        state = materialise(_passed(blocks, state, shape, depth, False), "level")
-        n_new, n_open = state.agg(F.coalesce(F.sum("fresh"), F.lit(0)), F.coalesce(F.sum("open"), F.lit(0))).first()
-        levels += n_new > 0
-        if not n_new or not n_open:
-            break
-    else:
+    counted = {r.c: r.n for r in nodes.groupBy("c").agg(F.count("*").alias("n")).collect()}
+    sizes = [counted.get(c, 0) for c in range(n_blocks)]
+    place = F.col("i") + F.element_at(F.array([F.lit(sum(sizes[:c])) for c in range(n_blocks)]), F.col("c") + 1)
+    of = lambda end, name: nodes.select(F.col("v").alias(end), place.alias(name))
+    numbered = pairs.join(of("v", "a"), "v").join(of("w", "b"), "w")
+    sides = numbered.select(F.explode(F.array(F.struct(F.col("a").alias("place"), F.col("b").alias("near")), F.struct(F.col("b").alias("place"), F.col("a").alias("near"))))).select("col.*")
+    lists = materialise(sides.groupBy("place").agg(F.collect_list("near").alias("near")).mapInArrow(_coded, "place int, degree long, near binary"), "adjacency")
+    n_near = lists.agg(F.coalesce(F.sum("degree"), F.lit(0)).alias("n")).first().n
+    cores = trades.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, cores * -(-n // (batch * cores))))
+    dealt = lists.select(F.explode(F.sequence(F.lit(0), F.lit(tasks - 1))).alias("task"), "place", "near").repartitionById(tasks, "task")
+    searched = dealt.mapInArrow(partial(_searched, shape=_Shape(sizes, n_near, tasks, most_rounds)), "c int, delta array<double>, ended boolean")
+    searched = materialise(searched, "delta")
+    if not searched.where("not ended").isEmpty():
         raise RuntimeError(f"shortest paths of {most_rounds} hops and more")
-    for depth in range(levels, 1, -1):
-        state = _passed(blocks, state, shape, depth, True)
-        if depth > 2:
-            state = materialise(state, "share")
-    carried = state.mapInArrow(partial(_sums, width=width), "c int, delta array<double>")
-    delta = carried.select("c", F.posexplode("delta").alias("i", "delta")).groupBy("c", "i").agg(F.sum("delta").alias("delta"))
+    delta = searched.select("c", F.posexplode("delta").alias("i", "delta")).groupBy("c", "i").agg(F.sum("delta").alias("delta"))
     return nodes.join(delta, ["c", "i"], "left").select(F.col("v").alias("mst"), F.bround(F.coalesce("delta", F.lit(0.0)) / 2, 6).alias("betweenness_centrality"))
 
 
 class _Shape(NamedTuple):
-    """Companies by block, the largest block, and in how many stripes of how many sources each block is cut."""
+    """Companies by block, neighbours of all companies, tasks, and most hops."""
 
     sizes: list[int]
-    width: int
-    height: int
-    parts: int
+    n_near: int
+    tasks: int
+    most_rounds: int
 
 
-def _passed(blocks: DataFrame, state: DataFrame | None, shape: _Shape, depth: int, back: bool) -> DataFrame:
-    """The state of all stripes after the step from level ``depth`` to the next one, or ``back`` to the one before."""
-    stripes = len(shape.sizes) * shape.parts
-    rows = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("s"), F.lit(1).alias("kind"), "r", "c", "cells")
-    if state is not None:
-        rows = state.select("s", F.lit(0).alias("kind"), "c", "level", "paths", "share").unionByName(rows, allowMissingColumns=True)
-    else:
-        rows = rows.selectExpr("*", *[f"cast(NULL AS binary) AS {c}" for c in ("level", "paths", "share")])
-    dealt = rows.repartitionById(stripes, "s").sortWithinPartitions("s", "kind", "r", "c")
-    return dealt.mapInArrow(partial(_stepped, shape=shape, depth=depth, back=back), _STATE)
-
-
-def _stepped(batches: Iterator[pa.RecordBatch], shape: _Shape, depth: int, back: bool) -> Iterator[pa.RecordBatch]:
-    """Rows of a stripe are its state, if there is one, and then all blocks by row."""
-    stripe = None
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(place, degree, near): sorted neighbours by their distances from one another, a byte for the rest after a byte of 255 for each 255."""
     for batch in batches:
-        cells, numbers = batch.column("cells"), {c: batch.column(c).to_pylist() for c in ("s", "kind", "r", "c")}
-        for k, s in enumerate(numbers["s"]):
-            if stripe is None or stripe.s != s:
-                if stripe is not None:
-                    yield from stripe.rows()
-                stripe = _Stripe(s, shape, depth, back)
-            if numbers["kind"][k] == 0:
-                stripe.hold(numbers["c"][k], *[batch.column(c)[k].as_buffer() for c in ("level", "paths", "share")])
-            else:
-                stripe.multiply(numbers["r"][k], numbers["c"][k], cells[k].values.to_numpy())
-    if stripe is not None:
-        yield from stripe.rows()
-
-
-class _Stripe:
-    """Some sources of one block, by blocks of companies: level (-1: not reached, -2: no company), number of shortest paths, share carried."""
-
-    def __init__(self, s: int, shape: _Shape, depth: int, back: bool):
-        self.s, self.shape, self.depth, self.back = s, shape, depth, back
-        size = (shape.height, shape.width)
-        self.level = [np.full(size, -1, np.int8) for _ in shape.sizes]
-        self.paths = [np.zeros(size) for _ in shape.sizes]
-        self.share = [np.zeros(size if back else 0) for _ in shape.sizes]
-        self.sums: dict[int, np.ndarray] = {}
-        block, part = divmod(s, shape.parts)
-        sources = range(part * shape.height, min((part + 1) * shape.height, shape.sizes[block]))
-        for level, n in zip(self.level, shape.sizes, strict=True):
-            level[:, n:] = level[len(sources) :] = -2
-        for k, i in enumerate(sources):
-            self.level[block][k, i], self.paths[block][k, i] = 0, 1.0
-        self.row, self.front = -1, None
-
-    def hold(self, c: int, level: pa.Buffer, paths: pa.Buffer, share: pa.Buffer) -> None:
-        size = (self.shape.height, self.shape.width)
-        self.level[c] = np.frombuffer(level, np.int8).reshape(size).copy()
-        self.paths[c] = np.frombuffer(paths).reshape(size).copy()
-        if self.back and share.size:
-            self.share[c] = np.frombuffer(share).reshape(size).copy()
-
-    def multiply(self, r: int, c: int, cells: np.ndarray) -> None:
-        wanted = self.depth - 1 if self.back else -1
-        if r != self.row:
-            at = self.level[r] == self.depth
-            values = np.divide(1 + self.share[r], self.paths[r], out=np.zeros(at.shape), where=at) if self.back else np.where(at, self.paths[r], 0.0)
-            self.row, self.front = r, values if at.any() else None
-        if self.front is None or not (self.level[c] == wanted).any():
-            return
-        square = np.zeros(self.shape.width**2)
-        square[cells] = 1.0
-        product = self.front @ square.reshape(self.shape.width, self.shape.width)
-        if c in self.sums:
-            self.sums[c] += product
-        else:
-            self.sums[c] = product
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        for c, level in enumerate(self.level):
-            fresh = 0
-            if c in self.sums:
-                if self.back:
-                    self.share[c] = np.where(level == self.depth - 1, self.paths[c] * self.sums.pop(c), self.share[c])
-                else:
-                    new = (level == -1) & (self.sums[c] > 0)
-                    level[new] = self.depth + 1
-                    self.paths[c][new] = self.sums.pop(c)[new]
-                    fresh = int(new.sum())
-            row = {"s": [self.s], "c": [c], "level": [level.tobytes()], "paths": [self.paths[c].tobytes()], "share": [self.share[c].tobytes()], "fresh": [fresh], "open": [int((level == -1).sum())]}
-            types = {"s": pa.int32(), "c": pa.int32(), "level": pa.binary(), "paths": pa.binary(), "share": pa.binary(), "fresh": pa.int64(), "open": pa.int64()}
-            yield pa.RecordBatch.from_pydict(row, pa.schema(types.items()))
-
-
-def _sums(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """(c, delta): the shares of a block's companies, over the sources of a stripe."""
+        near = [np.unique(x.values.to_numpy()) for x in batch.column("near")]
+        coded = []
+        for x in near:
+            steps, rest = np.divmod(np.diff(x, prepend=0), 255)
+            ends = np.cumsum(steps + 1) - 1
+            code = np.full(ends[-1] + 1, 255, np.uint8)
+            code[ends] = rest
+            coded.append(code.tobytes())
+        yield pa.RecordBatch.from_pydict({"place": batch.column("place"), "degree": pa.array([len(x) for x in near], pa.int64()), "near": pa.array(coded, pa.binary())})
+
+
+def _searched(batches: Iterator[pa.RecordBatch], shape: _Shape) -> Iterator[pa.RecordBatch]:
+    """(c, delta, ended): the sums of all companies by block, over the sources of a task, and whether its searches came to their end."""
+    graph, task = _Graph(sum(shape.sizes), shape.n_near), None
     for batch in batches:
-        for c, share in zip(batch.column("c").to_pylist(), batch.column("share"), strict=True):
-            held = np.frombuffer(share.as_buffer())
-            if held.size:
-                yield pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "delta": pa.array([held.reshape(-1, width).sum(0)], pa.list_(pa.float64()))})
+        for k, place in enumerate(batch.column("place").to_pylist()):
+            graph.add(place, batch.column("near")[k].as_buffer())
+        if batch.num_rows:
+            task = batch.column("task")[0].as_py()
+    if task is None:
+        return
+    delta, ended = np.zeros(graph.n), True
+    for s in range(task, graph.n, shape.tasks):
+        ended = ended and graph.carry(s, delta, shape.most_rounds)
+    first = 0
+    for c, size in enumerate(shape.sizes):
+        yield pa.RecordBatch.from_pydict({"c": pa.array([c], pa.int32()), "delta": pa.array([delta[first : first + size]], pa.list_(pa.float64())), "ended": pa.array([ended])})
+        first += size
+
+
+class _Graph:
+    """Neighbours of all companies, which are known by their places."""
+
+    def __init__(self, n: int, n_near: int):
+        self.n, self.filled = n, 0
+        self.first, self.degree = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.near = np.empty(n_near, np.int32) if 4 * n_near <= HELD_BYTES else np.memmap(tempfile.TemporaryFile(), np.int32, "w+", shape=(n_near,))
+        self.component, self.reach = np.full(n, -1, np.int32), []
+
+    def add(self, place: int, code: pa.Buffer) -> None:
+        steps = np.frombuffer(code, np.uint8)
+        near = np.cumsum(steps, dtype=np.int32)[steps < 255]
+        self.first[place], self.degree[place] = self.filled, len(near)
+        self.near[self.filled : self.filled + len(near)] = near
+        self.filled += len(near)
+
+    def lists(self, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Some of the places, their degrees and all their neighbours, until all places have come."""
+        degree = self.degree[places]
+        cuts = np.flatnonzero(np.diff(np.cumsum(degree) // SLICE, prepend=0))
+        for some, lengths in zip(np.split(places, cuts), np.split(degree, cuts), strict=True):
+            if len(some):
+                first = self.first[some]
+                if lengths.mean() < 32:
+                    yield some, lengths, self.near[np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())]
+                else:
+                    yield some, lengths, np.concatenate([self.near[a:b] for a, b in zip(first.tolist(), (first + lengths).tolist(), strict=True)])
+
+    def spread(self, places: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """For each company the sum of the values of those of its neighbours that are among the places."""
+        sums, at = np.zeros(self.n), 0
+        for some, lengths, near in self.lists(places):
+            sums += np.bincount(near, np.repeat(values[at : at + len(some)], lengths), self.n)
+            at += len(some)
+        return sums
+
+    def gathered(self, places: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """For each of the places the sum of the values of its neighbours."""
+        sums = [np.add.reduceat(values[near], np.cumsum(lengths) - lengths) for _, lengths, near in self.lists(places)]
+        return np.concatenate(sums) if sums else np.zeros(0)
+
+    def component_of(self, s: int) -> int:
+        """Number of the component of a company, which is looked for once."""
+        if self.component[s] < 0:
+            number, front = len(self.reach), np.array([s])
+            self.component[s] = number
+            while front.size and (self.component < 0).any():
+                seen = np.zeros(self.n, bool)
+                for _, _, near in self.lists(front):
+                    seen[near] = True
+                front = np.flatnonzero(seen & (self.component < 0))
+                self.component[front] = number
+            self.reach.append(int(self.degree[self.component == number].sum()))
+        return self.component[s]
+
+    def carry(self, s: int, delta: np.ndarray, most_rounds: int) -> bool:
+        """Add to ``delta`` what each company carries of the shortest paths from the source; False if they are too long."""
+        number = self.component_of(s)
+        waiting = self.component == number  # companies that aren't reached yet
+        waiting[s] = False
+        left = self.reach[number] - self.degree[s]  # their degrees in all
+        paths = np.zeros(self.n)
+        paths[s] = 1.0
+        levels, ends = [np.array([s])], [int(self.degree[s])]
+        while left:
+            if len(levels) > most_rounds:
+                return False
+            if ends[-1] <= left:
+                sums = self.spread(levels[-1], paths[levels[-1]])
+                level = np.flatnonzero(waiting & (sums > 0))
+                paths[level] = sums[level]
+            else:
+                rest, values = np.flatnonzero(waiting), np.zeros(self.n)
+                values[levels[-1]] = paths[levels[-1]]
+                sums = self.gathered(rest, values)
+                level = rest[sums > 0]
+                paths[level] = sums[sums > 0]
+            waiting[level] = False
+            levels.append(level)
+            ends.append(int(self.degree[level].sum()))
+            left -= ends[-1]
+        share = np.zeros(self.n)
+        for depth in range(len(levels) - 1, 1, -1):
+            far, nearer = levels[depth], levels[depth - 1]
+            values = (1 + share[far]) / paths[far]
+            if ends[depth] <= ends[depth - 1]:
+                share[nearer] = paths[nearer] * self.spread(far, values)[nearer]
+            else:
+                each = np.zeros(self.n)
+                each[far] = values
+                share[nearer] = paths[nearer] * self.gathered(nearer, each)
+        delta += share
+        return True
 
 
 def _carried(adj: DataFrame, sources: DataFrame, most_rounds: int) -> DataFrame:
