@@ -65,3 +65,21 @@ def test_invoice_flags_read_invoices_of_the_window_once(spark, tables, written):
     assert len(flagged) == 11 and {r.cycle_ids for r in flagged} == {"A|B|C", "P|Q|R", "v0|v1|v2|v3|v4"}
     (read,) = written["invoices"]
     assert read.count() == 11
+
+
+def test_summary_counts_cycles_of_all_levels(spark, tables):
+    rows = [("L", "M", 199601, 100, 10), ("M", "N", 199601, 100, 10), ("N", "L", 199601, 40, 4)]  # 6 + 20: below
+    rows += [("S", "T", 199601, 100, 10), ("T", "U", 199601, 100, 10), ("U", "S", 199601, 72, 7.2)]  # 25.2 + 20: to watch, by no signal
+    rows += [("X", "Y", 199601, 10000, 1000), ("Y", "Z", 199601, 10000, 1000), ("Z", "X", 199601, 7993, 1600)]  # 29.958 + 20 + 10: 60.0 by rounding
+    tables["trades"] = tables["trades"].unionByName(graph(spark, rows))
+    got = QUERIES["cycles_level_summary"](tables).first().asDict()
+    assert got == {"total": 6, "red": 3, "watch": 2, "skipped": 1, "top_score": 65.4, "max_achievable_score": 100.0}
+    assert {r.cycle_id for r in QUERIES["cycles_scored"](tables).collect()} == {"A|B|C", "P|Q|R", "v0|v1|v2|v3|v4"}  # those that can be red, as before
+
+
+def test_summary_tells_what_the_signals_at_hand_allow(spark, tables):
+    tables["company"] = tables["company"].where("mst in ('A', 'P', 'R')")  # no address is shared
+    assert QUERIES["cycles_level_summary"](tables).first()["max_achievable_score"] == 75.0
+    tables["company"] = tables["company"].where("mst = 'A'")
+    tables["trades"] = tables["trades"].where("false")
+    assert QUERIES["cycles_level_summary"](tables).first().asDict() == {"total": 0, "red": 0, "watch": 0, "skipped": 0, "top_score": None, "max_achievable_score": 60.0}
