@@ -66,7 +66,7 @@ def new_partner_rate(trades: DataFrame, days: int = NEW_PARTNER_DAYS) -> DataFra
 BLOCK, HELD_BYTES, SLICE = 1024, 1 << 30, 1 << 21
 
 
-def betweenness(trades: DataFrame, most_rounds: int = 64, batch: int = 4096, block: int = BLOCK) -> DataFrame:
+def betweenness(trades: DataFrame, most_rounds: int = 64, batch: int = 8192, block: int = BLOCK) -> DataFrame:
     """(mst, betweenness_centrality): undirected, unweighted, each pair counted once, not normalised.
 
     Brandes' sums, one source after the other. Companies are numbered in blocks
@@ -170,7 +170,7 @@ class _Graph:
                 if lengths.mean() < 32:
                     yield some, lengths, self.near[np.repeat(first - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())]
                 else:
-                    yield some, lengths, np.concatenate([self.near[a:b] for a, b in zip(first.tolist(), (first + lengths).tolist(), strict=True)])
+                    yield some, lengths, np.concatenate([self.near[a:b] for a, b in zip(first.tolist(), (first + lengths).tolist(), strict=True)], dtype=np.intp)
 
     def spread(self, places: np.ndarray, values: np.ndarray) -> np.ndarray:
         """For each company the sum of the values of those of its neighbours that are among the places."""
@@ -182,7 +182,7 @@ class _Graph:
 
     def gathered(self, places: np.ndarray, values: np.ndarray) -> np.ndarray:
         """For each of the places the sum of the values of its neighbours."""
-        sums = [np.add.reduceat(values[near], np.cumsum(lengths) - lengths) for _, lengths, near in self.lists(places)]
+        sums = [np.add.reduceat(values.take(near), np.cumsum(lengths) - lengths) for _, lengths, near in self.lists(places)]
         return np.concatenate(sums) if sums else np.zeros(0)
 
     def component_of(self, s: int) -> int:
